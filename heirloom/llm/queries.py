@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
-from heirloom.llm import fingerprints, media_gif, mixing, suffix_dedup
+from heirloom.llm import fingerprints, media_gif, minhash, mixing, suffix_dedup
 from heirloom.llm.common import documents
 
 
@@ -46,10 +46,15 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_fingerprints": op2_fingerprints,
     "op3_media_gif": op3_media_gif,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_minhash": op5_minhash,
 }
 ORACLE: dict[str, str] = {}
