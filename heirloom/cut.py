@@ -20,6 +20,11 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the written rows.
 
     A reliable checkpoint survives the loss of any executor, unlike a local one.
+    The rows are wrapped anew because a checkpoint keeps the size estimate of the
+    plan that made it: in loops these products of products grow without bound,
+    until the planner spends its time multiplying them.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)._jdf
+    fresh = df.sparkSession._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False)
+    return DataFrame(fresh, df.sparkSession)
