@@ -125,36 +125,41 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sign, SIGNATURES)
 
 
-class _Forest:
-    def __init__(self, labels: list):
-        self.up = {x: x for x in labels}
+class _Group:
+    """The members of a bucket, or of a pair of its blocks."""
 
-    def find(self, x):
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
+    def __init__(self, t: pa.Table, percent: int):
+        packed = b"".join(t.column("sig").to_pylist())
+        self.sig = np.frombuffer(packed, "<u2").reshape(-1, REGISTERS)
+        self.bands = np.frombuffer(packed, "<u8").reshape(-1, BANDS)
+        self.n, self.comp = t.column("n").to_numpy(), t.column("comp").to_numpy()
+        self.band, self.percent = t.column("band")[0].as_py(), percent
 
-    def join(self, a, b) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
+    def fits(self, i: int, others: np.ndarray, root: np.ndarray) -> np.ndarray:
+        """Those of ``others`` to test with ``i``: of another component, of a fitting size, and in no earlier bucket with it."""
+        m = self.n[others]
+        others = others[(root[others] != root[i]) & (100 * np.minimum(m, self.n[i]) >= self.percent * np.maximum(m, self.n[i]))]
+        if self.band and len(others):
+            others = others[~(self.bands[others, : self.band] == self.bands[i, : self.band]).any(axis=1)]
+        return others
 
-
-def _group(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(-1, REGISTERS)
-    return sig, t.column("n").to_numpy(), t.column("comp").to_numpy()
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        return estimate(self.sig[i], self.sig[others], self.n[i], self.n[others])
 
 
 def _partners(percent: int, floor: float):
     def find(t: pa.Table) -> pa.Table:
         """The members that may be similar to a member of another component."""
-        sig, n, comp = _group(t)
-        keep = np.zeros(len(n), bool)
-        for i in range(len(n)):
-            j = np.nonzero((comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))[0]
-            keep[i] = len(j) > 0 and bool((estimate(sig[i], sig[j], n[i], n[j]) >= floor).any())
-        return t.select(["key", "pair", "rep"]).filter(pa.array(keep))
+        g = _Group(t, percent)
+        everyone = np.arange(len(g.n))
+        keep = np.zeros(len(g.n), bool)
+        for i in range(len(g.n) - 1):
+            others = g.fits(i, everyone[i + 1 :], g.comp)
+            if len(others):
+                others = others[g.near(i, others) >= floor]
+                keep[others] = True
+                keep[i] |= len(others) > 0
+        return t.select(["key", "band", "pair", "rep"]).filter(pa.array(keep))
 
     return find
 
@@ -162,30 +167,26 @@ def _partners(percent: int, floor: float):
 def _confirm(percent: int, floor: float, words: int):
     def find(t: pa.Table) -> pa.Table:
         """Links between components of the group, enough to join all that are linked in it."""
-        sig, n, comp = _group(t)
+        g = _Group(t, percent)
         sets = shingle_sets(as_bytes(t.column("text")), words)
-        forest = _Forest(comp.tolist())
-        src, dst = [], []
+        root, src, dst = g.comp.copy(), [], []
 
         def against(i: int, others: np.ndarray) -> None:
-            near = estimate(sig[i], sig[others], n[i], n[others])
+            near = g.near(i, others)
             for j in others[np.argsort(-near, kind="stable")][: int((near >= floor).sum())]:
-                a, b = int(comp[i]), int(comp[j])
-                if forest.find(a) != forest.find(b) and similar(sets[i], sets[j], percent):
-                    forest.join(a, b)
-                    src.append(a)
-                    dst.append(b)
+                if root[i] != root[j] and similar(sets[i], sets[j], percent):
+                    root[root == root[j]] = root[i]
+                    src.append(int(g.comp[i]))
+                    dst.append(int(g.comp[j]))
 
-        everyone = np.arange(len(n))
+        everyone = np.arange(len(root))
         # First the member most like the others: in a group of copies of one text it links nearly all of them.
-        ordinary = np.sort(sig, axis=0)[len(sig) // 2]
-        hub = int((sig == ordinary).sum(axis=1).argmax())
-        against(hub, everyone[everyone != hub])
-        for i in everyone:
-            roots = np.array([forest.find(int(c)) for c in comp[i + 1 :]], np.int64)
-            others = everyone[i + 1 :][roots != forest.find(int(comp[i]))]
+        hub = int((g.sig == np.sort(g.sig, axis=0)[len(root) // 2]).sum(axis=1).argmax())
+        against(hub, g.fits(hub, everyone, root))
+        for i in range(len(root) - 1):
+            others = g.fits(i, everyone[i + 1 :], root)
             if len(others):
-                against(int(i), others)
+                against(i, others)
         return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
     return find
@@ -211,18 +212,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     labels = reps.select("rep", F.col("rep").alias("comp"))
     floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     for turn in TURNS:
-        keys = F.array(*[F.xxhash64(F.substring("sig", 1 + 2 * BAND * b, 2 * BAND), F.lit(b)) for b in turn])
+        keys = F.array(*[F.struct(F.xxhash64(F.substring("sig", 1 + 2 * BAND * b, 2 * BAND), F.lit(b)).alias("key"), F.lit(b).alias("band")) for b in turn])
         known = reps.select("rep", "n", "sig").join(labels, "rep")
-        in_bucket = known.select("rep", "comp", F.explode(keys).alias("key"))
+        in_bucket = known.select("rep", "comp", F.inline(keys))
         mixed = in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
         members = in_bucket.join(mixed.select("key", "m"), "key").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
         mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        paired = members.select("key", "rep", "comp", mine.alias("mine"), other.alias("other")).select(
-            "key", "rep", "comp", F.concat_ws("-", F.least("mine", "other"), F.greatest("mine", "other")).alias("pair")
+        paired = members.select("key", "band", "rep", "comp", mine.alias("mine"), other.alias("other")).select(
+            "key", "band", "rep", "comp", F.concat_ws("-", F.least("mine", "other"), F.greatest("mine", "other")).alias("pair")
         )
         full = paired.join(reps.select("rep", "n", "sig"), "rep")
-        found = cut(full.groupBy("key", "pair").applyInArrow(_partners(percent, floor), "key long, pair string, rep long"))
+        found = cut(full.groupBy("key", "pair").applyInArrow(_partners(percent, floor), "key long, band int, pair string, rep long"))
         need = found.select("rep").distinct()
         n_need = need.count()
         if not n_need:
