@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
-from heirloom.llm import fingerprints, media_gif, minhash, mixing, suffix_dedup
+from heirloom.llm import debruijn, fingerprints, media_gif, minhash, mixing, suffix_dedup
 from heirloom.llm.common import documents
 
 
@@ -50,11 +50,17 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
 
 
+def op6_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = debruijn.remove_repeats(documents(spark, sf_dir))
+    return r.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_fingerprints": op2_fingerprints,
     "op3_media_gif": op3_media_gif,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash": op5_minhash,
+    "op6_debruijn": op6_debruijn,
 }
 ORACLE: dict[str, str] = {}
