@@ -155,3 +155,32 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     return np.nonzero(new)[0]
+
+
+class HashIndex:
+    """Places of 64-bit hashes in a sorted array, by a table over their high bits."""
+
+    BITS = 22
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        top = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.slot = np.full(1 << self.BITS, -1, np.int32)
+        self.slot[top[::-1]] = np.arange(len(top) - 1, -1, -1, dtype=np.int32)
+        runs = np.diff(np.append(group_starts(top), len(top)))
+        self.longest = int(runs.max()) if len(runs) else 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        out = self.slot[(h >> np.uint64(64 - self.BITS)).astype(np.int64)].astype(np.int64)
+        live = np.nonzero(out >= 0)[0]
+        at, want = out[live], h[live]
+        out[live] = -1
+        for _ in range(self.longest):
+            hit = self.hashes[at] == want
+            out[live[hit]] = at[hit]
+            rest = ~hit & (at + 1 < len(self.hashes))
+            live, at, want = live[rest], at[rest] + 1, want[rest]
+            if not len(live):
+                break
+        return out

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
-from heirloom.llm import debruijn, fingerprints, media_gif, minhash, mixing, suffix_dedup
+from heirloom.llm import debruijn, fingerprints, langid, lm, media_gif, minhash, mixing, pieces, suffix_dedup
 from heirloom.llm.common import documents
 
 
@@ -55,6 +55,29 @@ def op6_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 6))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = pieces.load_vocabulary()
+    found = pieces.decode_documents(pieces.encode_documents(documents(spark, sf_dir), v), v)
+    return found.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.length("decoded").cast("long").alias("n_chars"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_fingerprints": op2_fingerprints,
@@ -62,5 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash": op5_minhash,
     "op6_debruijn": op6_debruijn,
+    "op7_language_id": op7_language_id,
+    "op8_lm_scores": op8_lm_scores,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 ORACLE: dict[str, str] = {}
