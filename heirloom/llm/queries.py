@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
-from heirloom.llm import debruijn, fingerprints, langid, lm, media_gif, minhash, mixing, pieces, suffix_dedup
+from heirloom.llm import debruijn, fingerprints, langid, lm, media_gif, minhash, mixing, pieces, quality, suffix_dedup
 from heirloom.llm.common import documents
 
 
@@ -78,6 +78,16 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = cut(quality.with_evidence(docs.select("doc_id", "text", "source", "lang"), model).drop("text"))
+    found = quality.with_site_priors(scored)
+    return found.select(
+        "doc_id", langid.held_out().alias("held_out"), "p_doc", "site_quality", "posterior", "p_toxic", ((F.col("posterior") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_fingerprints": op2_fingerprints,
@@ -88,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_lm_scores": op8_lm_scores,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}

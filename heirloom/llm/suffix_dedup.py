@@ -251,12 +251,13 @@ def _covered(p: Phrases, d: _Distinct, ids: np.ndarray, sizes: np.ndarray, mail:
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, trigger: int = 16, carry: tuple[str, ...] = ("doc_id",), each: int = X.CHUNK
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, trigger: int = 16, carry: tuple[str, ...] = ("doc_id",), each: int = X.CHUNK, as_text: bool = False
 ) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts in a document with a smaller key.
 
     Returns the columns ``carry`` of the input and ``n_bytes`` (of the text),
-    ``kept`` (the remaining bytes), ``span_start`` and ``span_len`` (the maximal
+    ``kept`` (the remaining bytes; with ``as_text`` a string, without the parts
+    of characters that were cut), ``span_start`` and ``span_len`` (the maximal
     removed runs), one row per row of ``docs``.  Strings are judged on the input;
     overlaps count; nothing matches across documents or within one.  A null text
     counts as empty, a null key as larger than all keys; rows that share a key
@@ -309,7 +310,7 @@ def remove_repeats(
             lens.append((e - s).tolist())
         new = {
             "n_bytes": pa.array([len(b) for b in blobs], pa.int64()),
-            "kept": pa.array(kept, pa.binary()),
+            "kept": pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
             "span_start": pa.array(starts, pa.list_(pa.int64())),
             "span_len": pa.array(lens, pa.list_(pa.int64())),
         }
@@ -318,5 +319,5 @@ def remove_repeats(
     seen = X.answer(X.send(d, ask), _seen_twice)
     spelled = X.answer(X.meet(d, seen, spell, X.LETTER), lambda blobs: _combine(blobs, length))
     both = seen.selectExpr("bucket * 2 as bucket", "chunk", "blob").union(spelled.selectExpr("bucket * 2 + 1 as bucket", "chunk", "blob"))
-    schema = X.schema_of(docs, list(carry)) + ", n_bytes long, kept binary, span_start array<long>, span_len array<long>"
+    schema = X.schema_of(docs, list(carry)) + f", n_bytes long, kept {'string' if as_text else 'binary'}, span_start array<long>, span_len array<long>"
     return X.meet(d, both, remove, schema)
