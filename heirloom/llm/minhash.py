@@ -159,7 +159,7 @@ def _partners(percent: int, floor: float):
                 others = others[g.near(i, others) >= floor]
                 keep[others] = True
                 keep[i] |= len(others) > 0
-        return t.select(["key", "band", "pair", "rep"]).filter(pa.array(keep))
+        return t.filter(pa.array(keep))
 
     return find
 
@@ -209,21 +209,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         .groupBy("s1", "s2")
         .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
     )
-    labels = reps.select("rep", F.col("rep").alias("comp"))
+    state = reps.select("rep", "n", "sig", F.col("rep").alias("comp"))
+    member = "key long, band int, rep long, n long, sig binary, comp long, pair string"
     floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     for turn in TURNS:
         keys = F.array(*[F.struct(F.xxhash64(F.substring("sig", 1 + 2 * BAND * b, 2 * BAND), F.lit(b)).alias("key"), F.lit(b).alias("band")) for b in turn])
-        known = reps.select("rep", "n", "sig").join(labels, "rep")
-        in_bucket = known.select("rep", "comp", F.inline(keys))
+        in_bucket = state.select("rep", "comp", "n", "sig", F.inline(keys))
         mixed = in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        members = in_bucket.join(mixed.select("key", "m"), "key").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+        mixed = cut(mixed.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+        n_mixed = mixed.count()
+        if not n_mixed:
+            continue
+        if n_mixed <= BROADCAST_IDS:
+            members = in_bucket.join(F.broadcast(mixed), "key")
+        else:  # Registers are fetched for the members alone.
+            members = in_bucket.select("key", "band", "rep").join(mixed, "key").join(state, "rep")
         mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        paired = members.select("key", "band", "rep", "comp", mine.alias("mine"), other.alias("other")).select(
-            "key", "band", "rep", "comp", F.concat_ws("-", F.least("mine", "other"), F.greatest("mine", "other")).alias("pair")
+        paired = members.select("key", "band", "rep", "n", "sig", "comp", mine.alias("mine"), other.alias("other")).withColumn(
+            "pair", F.concat_ws("-", F.least("mine", "other"), F.greatest("mine", "other"))
         )
-        full = paired.join(reps.select("rep", "n", "sig"), "rep")
-        found = cut(full.groupBy("key", "pair").applyInArrow(_partners(percent, floor), "key long, band int, pair string, rep long"))
+        full = paired.drop("mine", "other")
+        found = cut(full.groupBy("key", "pair").applyInArrow(_partners(percent, floor), member))
         need = found.select("rep").distinct()
         n_need = need.count()
         if not n_need:
@@ -231,14 +238,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         # Bounded: at most BROADCAST_IDS numbers, counted just above.
         wanted = F.broadcast(need) if n_need <= BROADCAST_IDS else need
         texts = narrow.join(wanted, narrow.doc_id == need.rep).select("rep", "text").dropDuplicates(["rep"])
-        group = found.join(texts, "rep").join(known, "rep")
-        links = group.groupBy("key", "pair").applyInArrow(_confirm(percent, floor, words), "src long, dst long")
+        links = found.join(texts, "rep").groupBy("key", "pair").applyInArrow(_confirm(percent, floor, words), "src long, dst long")
         links = cut(links.distinct())
         if not links.limit(1).count():
             continue
-        to = connected_components(links).select(F.col("id").alias("comp"), F.col("component").alias("_to"))
-        labels = cut(labels.join(to, "comp", "left").select("rep", F.coalesce("_to", "comp").alias("comp")))
-    of_set = reps.join(labels, "rep").select("s1", "s2", "comp")
+        to = cut(connected_components(links).where("id <> component").select(F.col("id").alias("comp"), F.col("component").alias("_to")))
+        step = F.broadcast(to) if to.count() <= BROADCAST_IDS else to
+        state = state.join(step, "comp", "left").select("rep", "n", "sig", F.coalesce("_to", "comp").alias("comp"))
+    of_set = reps.select("s1", "s2", "rep").join(state.select("rep", "comp"), "rep").select("s1", "s2", "comp")
     component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.coalesce("comp", "doc_id"))
     out = signed.join(of_set, ["s1", "s2"], "left").select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
