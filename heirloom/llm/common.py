@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -58,4 +60,11 @@ def parts_for(n_bytes: int, each: int) -> int:
     return max(1, -(-n_bytes // each))
 
 
+def trim() -> None:
+    """Give freed memory back: workers live on between tasks, and an executor's share is fixed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 MapArrow = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

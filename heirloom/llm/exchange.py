@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heirloom.llm.common import parts_for, total_bytes
+from heirloom.llm.common import parts_for, total_bytes, trim
 
 #: Bytes of text in a chunk.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 LETTER = "bucket int, chunk int, blob binary"
 
 
@@ -56,15 +56,25 @@ def letters(rows: list[tuple[int, int, bytes]]) -> pa.Table:
 
 def send(chunks: DataFrame, ask: Callable[[pa.Table], list[tuple[int, int, bytes]]]) -> DataFrame:
     """First questions, made from the documents of a chunk alone."""
-    return chunks.groupBy("_chunk").applyInArrow(lambda t: letters(ask(t)), LETTER)
+
+    def group(t: pa.Table) -> pa.Table:
+        try:
+            return letters(ask(t))
+        finally:
+            trim()
+
+    return chunks.groupBy("_chunk").applyInArrow(group, LETTER)
 
 
 def answer(questions: DataFrame, reply: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
     """Each bucket's answers, one to each question blob."""
 
     def group(t: pa.Table) -> pa.Table:
-        blobs = t.column("blob").to_pylist()
-        return letters(list(zip(t.column("bucket").to_pylist(), t.column("chunk").to_pylist(), reply(blobs), strict=True)))
+        try:
+            found = reply(t.column("blob").to_pylist())
+            return letters(list(zip(t.column("bucket").to_pylist(), t.column("chunk").to_pylist(), found, strict=True)))
+        finally:
+            trim()
 
     return questions.groupBy("bucket").applyInArrow(group, LETTER)
 
@@ -77,7 +87,10 @@ def meet(chunks: DataFrame, answers: DataFrame, then: Callable[[pa.Table, dict[i
     """Hand each chunk its documents and the answers of the buckets it asked."""
 
     def group(docs: pa.Table, mail: pa.Table) -> pa.Table:
-        return then(docs, _mail(mail))
+        try:
+            return then(docs, _mail(mail))
+        finally:
+            trim()
 
     mail = answers.select(F.col("chunk").alias("_chunk"), "bucket", "blob")
     return chunks.groupBy("_chunk").cogroup(mail.groupBy("_chunk")).applyInArrow(group, schema)

@@ -13,7 +13,7 @@ from heirloom.llm.common import batches_of
 
 _M = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
-_PIECE = 1 << 21
+_PIECE = 1 << 20
 
 
 def _splitmix(seed: int, n: int) -> np.ndarray:

@@ -28,7 +28,9 @@ from heirloom.llm import kernels as K
 from heirloom.llm.common import as_bytes, batches_of
 
 NEVER = np.iinfo(np.int64).max
-_BATCH = 1 << 21
+_BATCH = 1 << 20
+#: Strings whose suffixes are sorted at once.
+_SLAB = 1 << 17
 
 
 class Phrases:
@@ -63,7 +65,8 @@ class Phrases:
         last[:-1] &= differs | ~valid[1:]
         s, e = np.nonzero(first)[0], np.nonzero(last)[0]
         piece = np.searchsorted(begin, s, "right") - 1
-        return least[s], K.span_hashes(g, s, e + length), doc[piece], s - begin[piece] + offset[piece], e - s + 1
+        # Minima are small: spread them anew, so that buckets of hash ranges are even.
+        return K.mix(least[s]), K.span_hashes(g, s, e + length), doc[piece], s - begin[piece] + offset[piece], e - s + 1
 
 
 def _pieces(blobs: list[bytes], length: int) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
@@ -175,7 +178,13 @@ def _combine(blobs: list[bytes], length: int) -> list[bytes]:
         counts.append(n)
     t, z, o, buf = (np.concatenate(x) for x in (trigger, size, owner, texts))
     begin = np.cumsum(z) - z
-    h = K.span_hashes(K.prefix_sums(K.TABLE[buf]), begin, begin + z)
+    h = np.empty(len(z), np.uint64)
+    at = 0
+    while at < len(z):  # hashed in batches: prefix sums take many times the bytes
+        end = max(at + 1, int(np.searchsorted(begin, begin[at] + _BATCH)))
+        part = slice(begin[at], begin[end - 1] + z[end - 1])
+        h[at:end] = K.span_hashes(K.prefix_sums(K.TABLE[buf[part]]), begin[at:end] - begin[at], begin[at:end] - begin[at] + z[at:end])
+        at = end
     order = np.lexsort((h, z, t))
     starts = K.group_starts(t[order], z[order], h[order])
     of = np.empty(len(order), np.int64)
@@ -190,15 +199,24 @@ def _combine(blobs: list[bytes], length: int) -> list[bytes]:
     of_string = np.repeat(several, strings)
     place = K.ragged(begin[phrase[several]], strings)
     least = first[of_string]
-    if len(place):
-        array = suffix_order(buf, place, length)
-        rows = np.lib.stride_tricks.sliding_window_view(buf, length)[place[array]]
+    # Equal strings have one trigger, so the array is sorted in slabs of whole families.
+    family_of = np.repeat(np.cumsum(np.repeat(family > 1, family) & np.isin(np.arange(len(phrase)), heads))[several], strings)
+    at = 0
+    while at < len(place):
+        end = min(at + _SLAB, len(place))
+        end = int(np.searchsorted(family_of, family_of[end - 1], "right"))
+        slab = place[at:end]
+        array = suffix_order(buf, slab, length)
         fresh = np.ones(len(array), bool)
-        fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        for lo in range(1, len(array), _SLAB // 8):
+            one, two = (np.lib.stride_tricks.sliding_window_view(buf, length)[slab[array[lo - k : lo - k + _SLAB // 8]]] for k in (0, 1))
+            n = min(len(one), len(two))
+            fresh[lo : lo + n] = (one[:n] != two[:n]).any(axis=1)
         begins = np.nonzero(fresh)[0]
-        low = np.minimum.reduceat(least[array], begins)
-        least = np.empty(len(array), np.int64)
-        least[array] = np.repeat(low, np.diff(np.append(begins, len(array))))
+        low = np.minimum.reduceat(least[at:end][array], begins)
+        sorted_low = np.repeat(low, np.diff(np.append(begins, len(array))))
+        least[at + array] = sorted_low
+        at = end
     string_at = np.zeros(len(phrase) + 1, np.int64)
     np.add.at(string_at, several + 1, strings)
     string_at = np.cumsum(string_at)
