@@ -51,7 +51,8 @@ class Pieces:
         first[1:] &= differs | ~valid[:-1]
         last[:-1] &= differs | ~valid[1:]
         s, e = np.nonzero(first)[0], np.nonzero(last)[0]
-        self.minimizer = least[s]
+        # Minima are small: spread them anew, so that buckets of hash ranges are even.
+        self.minimizer = K.mix(least[s])
         self.hash = K.span_hashes(K.prefix_sums(self.edges), s, e + 1)
         self.doc = np.searchsorted(base, s, "right") - 1
         self.doc = self._skip_empty(self.doc, s)
