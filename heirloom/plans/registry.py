@@ -1,14 +1,380 @@
-"""The registered queries and their SQL."""
+"""The registered queries of the kinship engine and their SQL for DuckDB."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from heirloom.functions import text as T
+from heirloom.functions import vocab as V
+from heirloom.operators import claims as C
+from heirloom.operators import documents as D
+from heirloom.operators import living as L
+from heirloom.operators import llm_claims as LLM
+from heirloom.operators import people as P
+from heirloom.operators import retrieval as R
+from heirloom.operators.components import connected_components
+from heirloom.sources import content, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: Family sentences made of the parts table, in SQL that Spark and DuckDB both read.
+KIN_TEXT = """select c.k as k, concat(c.nm,' (',cast(c.y as string),'-',cast(c.y+60 as string),') was child of ',a.nm,' (',cast(a.y as string),'-',
+cast(a.y+50 as string),') and ',b.nm,'. ',a.nm,' is married to ',b.nm,'.') as text from {p} c join {p} a on a.k=(c.k*7+1) % c.n join {p} b on b.k=(c.k*11+3) % c.n where c.k % 4 = 0"""
+KIN_PART = "select p_partkey as k, concat(upper(p_name),' ',p_type) as nm, 1500 + cast(p_partkey % 300 as int) as y, (select count(*) from part) as n from part"
+#: Edges with a few cycles, a self-loop and shared parents.
+KIN_EDGES = "select cast((k*k+1) % n as bigint) as src, k as tgt from (select p_partkey as k, (select count(*) from part) as n from part) union all select cast(0 as bigint), cast(0 as bigint)"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def kin_text(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    n = p.count()
+    q = p.select(F.col("p_partkey").alias("k"), F.concat(F.upper("p_name"), F.lit(" "), "p_type").alias("nm"), (1500 + (F.col("p_partkey") % 300).cast("int")).alias("y"))
+    c = q.where("k % 4 = 0").withColumns({"ka": (F.col("k") * 7 + 1) % n, "kb": (F.col("k") * 11 + 3) % n})
+    a, b = q.select(F.col("k").alias("ka"), F.col("nm").alias("na"), F.col("y").alias("ya")), q.select(F.col("k").alias("kb"), F.col("nm").alias("nb"))
+    text = F.format_string("%s (%d-%d) was child of %s (%d-%d) and %s. %s is married to %s.", "nm", "y", F.col("y") + 60, "na", "ya", F.col("ya") + 50, "nb", "na", "nb")
+    return c.join(a, "ka").join(b, "kb").select("k", text.alias("text"))
+
+
+def kin_edges(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    n = p.count()
+    e = p.select(((F.col("p_partkey") * F.col("p_partkey") + 1) % n).cast("long").alias("src"), F.col("p_partkey").alias("tgt"))
+    return e.union(spark.range(1).select(F.col("id").alias("src"), F.col("id").alias("tgt")))
+
+
+def gender_of(key: str):
+    return F.when(F.col(key) % 3 == 0, "male").when(F.col(key) % 3 == 1, "female")
+
+
+def kin_people(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select(k.cast("string").alias("entity_id"), gender_of("p_partkey").alias("gender"), (1500 + (k * 37) % 300).cast("int").alias("birth_year"), (1560 + (k * 37) % 300).cast("int").alias("death_year"))
+
+
+def q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+_KIN = f"p as ({KIN_PART}), kin as ({KIN_TEXT.format(p='p')})"
+_STRIP = "[ ,.;:!?\\t\\n\"''`«»“”()\\[\\]{}]+"
+_NOISE = "|".join(V.NOISE_SUFFIXES)
+
+
+def _clean(x: str) -> str:
+    bare = f"regexp_replace({x}, '(?i){q(V.YEARS_NOTE)}', ' ', 'g')"
+    bare = f"trim(regexp_replace(regexp_replace({bare}, '^{_STRIP}|{_STRIP}$', '', 'g'), '\\s+', ' ', 'g'))"
+    return f"regexp_replace({bare}, '(?i)^(.*?\\S)(?:\\s+[.,;:!?]*(?:{_NOISE})[.,;:!?]*)+$', '\\1')"
+
+
+def _year(x: str, fn: str) -> str:
+    g = [f"try_cast(nullif(regexp_extract({x}, '{q(V.YEARS_ANYWHERE)}', {i}),'') as integer)" for i in (1, 2)]
+    return f"{fn}({g[0]}, {g[1]})"
+
+
+def _norm(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(lower(coalesce({x},'')), '[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def _claims_sql() -> str:
+    parts = []
+    for no, (kind, p) in enumerate(V.RE2_CLAIMS):
+        g = ", ".join(f"regexp_extract_all(text, '{q(p)}', {i}) as g{i}" for i in range(4))
+        parts.append(f"select k, {no} as pattern_no, '{kind}' as claim_type, {g} from kin")
+    union = " union all ".join(parts)
+    cols = ", ".join(f"{_clean(f'r{i}')} as name{i}, {_year(f'r{i}', 'least')} as birth{i}, {_year(f'r{i}', 'greatest')} as death{i}" for i in (1, 2, 3))
+    return (
+        f"{_KIN}, found as ({union}), rowsof as (select k, pattern_no, claim_type, i-1 as match_no, g0[i] as quote, nullif(g1[i],'') as r1, nullif(g2[i],'') as r2, nullif(g3[i],'') as r3 "
+        f"from (select *, unnest(range(1, len(g0)+1)) as i from found)), claims as (select k, pattern_no, match_no, claim_type, quote, {cols} from rowsof where r1 is not null and r2 is not null)"
+    )
+
+
+_CLAIMS = _claims_sql()
+_ROLES = _CLAIMS + ", roles as (select * from (" + " union all ".join(
+    f"select k, pattern_no, match_no, claim_type, {i} as role, name{i} as name, birth{i} as birth_year, death{i} as death_year, {_norm(f'name{i}')} as normalized from claims where nullif(name{i},'') is not null" for i in (1, 2, 3)
+) + ") where normalized <> '')"
+_SEQ = "(((k*4+pattern_no)*1000+match_no)*4+role)"
+_PEOPLE = _ROLES + f""", dated as (select *, {_SEQ} as seq from roles),
+firsts as (select normalized, arg_min(birth_year, seq) as fy from dated where birth_year is not null group by 1),
+keyed as (select d.*, coalesce(d.birth_year, f.fy) as y from dated d left join firsts f using (normalized)),
+folded as (select normalized, y, arg_min(name, seq) as name, arg_min(death_year, case when death_year is not null then seq end) as death_year, min(seq) as seen from (select * from keyed) group by 1, 2),
+deaths as (select normalized, y, arg_min(death_year, seq) as dy from keyed where death_year is not null group by 1, 2),
+people as (select concat('person-', substr(md5(f.normalized),1,16), '-', lpad(cast(row_number() over (partition by f.normalized order by f.seen) as varchar), 4, '0')) as person_id, f.name, f.normalized, f.y as birth_year, d.dy as death_year
+from folded f left join deaths d on f.normalized = d.normalized and f.y is not distinct from d.y)"""
+_RELS = _PEOPLE + """, cand as (select r.*, p.person_id as pid, case when coalesce(r.birth_year = p.birth_year, true) and coalesce(r.death_year = p.death_year, true) then 0 else 1 end as bad from roles r join people p using (normalized)),
+best as (select k, pattern_no, match_no, claim_type, role, pid from (select *, row_number() over (partition by k, pattern_no, match_no, role order by bad, pid) as rn from cand) where rn = 1),
+edge as (select c.k, c.pattern_no, c.match_no, p.pid as src, 'parent_of' as type, c.pid as tgt, 0.8 as confidence from best c join best p on c.k = p.k and c.pattern_no = p.pattern_no and c.match_no = p.match_no and c.role = 1 and p.role > 1 where c.claim_type = 'parent_child'
+union all select a.k, a.pattern_no, a.match_no, least(a.pid, b.pid), 'spouse_of', greatest(a.pid, b.pid), 0.75 from best a join best b on a.k = b.k and a.pattern_no = b.pattern_no and a.match_no = b.match_no and a.role = 1 and b.role = 2 where a.claim_type = 'spouse'),
+rels as (select src, type, tgt, cast(max(confidence) as double) as confidence, count(distinct concat(k,'-',pattern_no,'-',match_no)) as support_count from edge group by 1, 2, 3)"""
+_CYCLE = ", reach(a, b) as (select src, tgt from e0 union select r.a, e.tgt from reach r join e0 e on e.src = r.b)"
+
+
+@query(f"with {_KIN} select k, text from kin")
+def kin_text_view(spark, d):
+    return kin_text(spark, d)
+
+
+@query(f"select doc_id, md5({_norm('text')}) as normalized_md5 from documents")
+def fn_normalize_name(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(T.normalize_name(F.col("text"))).alias("normalized_md5"))
+
+
+@query("select doc_id, cast(len(regexp_extract_all(replace(lower(text),'ё','е'),'[0-9a-zа-я]+')) as bigint) as n, md5(array_to_string(regexp_extract_all(replace(lower(text),'ё','е'),'[0-9a-zа-я]+'),' ')) as match_md5 from documents")
+def fn_match_normalize(spark, d):
+    t = T.match_normalize(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.size(F.split(t, " ")).cast("long").alias("n"), F.md5(t).alias("match_md5"))
+
+
+@query("select conv_id, turn, cast(len(regexp_extract_all(lower(text),'[0-9a-zа-яё]+')) as bigint) as n_tokens from conversations")
+def fn_tokenize(spark, d):
+    return table(spark, d, "conversations").select("conv_id", "turn", F.size(T.tokens(F.col("text"))).cast("long").alias("n_tokens"))
+
+
+@query(f"select p_partkey, {_norm('p_name')} as name, nullif(trim(p_type),'') as place, try_cast(substr(regexp_extract(p_brand,'(\\d+)',1),1,4) as integer) as year from part")
+def fn_scalars(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.normalize_name(F.col("p_name")).alias("name"), T.normalize_place(F.col("p_type")).alias("place"), T.coerce_year(F.col("p_brand")).alias("year"))
+
+
+@query("select o_orderkey, case when o_orderkey % 4000 between 1 and 2500 then cast(o_orderkey % 4000 as integer) end as year, case when o_custkey % 3 = 0 then 'male' when o_custkey % 3 = 1 then 'female' end as gender from orders")
+def fn_year_gender(spark, d):
+    word = F.element_at(F.array(*[F.lit(x) for x in ("Man ", "ЖЕНЩИНА", "?")]), (F.col("o_custkey") % 3 + 1).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", T.strict_year((F.col("o_orderkey") % 4000).cast("string")).alias("year"), T.gender(word).alias("gender"))
+
+
+@query("select url, trim(regexp_replace(lower(url),'[^a-z0-9]+','-','g'),'-') as slug, concat('source-', md5(url)) as source_id from pages")
+def fn_slug_and_id(spark, d):
+    return table(spark, d, "pages").select("url", T.slug(F.col("url")).alias("slug"), T.stable_id("source", F.col("url")).alias("source_id"))
+
+
+@query("select concat('chunk-', md5(concat_ws(chr(10), concat('source-', md5(source)), case when doc_id % 7 = 0 then '' else cast(doc_id % 7 as varchar) end, case when doc_id = 0 then '' else cast(doc_id as varchar) end, trim(text)))) as chunk_id, doc_id from documents where trim(text) <> ''")
+def src_chunks(spark, d):
+    items = table(spark, d, "documents").select("doc_id", F.col("source").alias("source_path"), F.lit("text").alias("type"), "text", (F.col("doc_id") % 7).cast("int").alias("page_idx"), F.col("doc_id").cast("int").alias("ordinal"))
+    return content.chunks(items).select("chunk_id", "doc_id")
+
+
+@query("select e.type, e.parser, count(*) as n from (select case when page_id % 5 = 0 then '.pdf' when page_id % 5 = 1 then '.png' when page_id % 5 = 2 then '.docx' when page_id % 5 = 3 then '.html' else '.zip' end as type, case when page_id % 5 = 1 then 'image' when page_id % 5 = 2 then 'office' when page_id % 5 = 3 then 'html' else 'pdf' end as parser from pages) e group by 1, 2")
+def src_parser_routing(spark, d):
+    ext = F.element_at(F.array(*[F.lit(x) for x in (".pdf", ".png", ".docx", ".html", ".zip")]), (F.col("page_id") % 5 + 1).cast("int"))
+    return table(spark, d, "pages").select(ext.alias("type")).withColumn("parser", content.parser_kind(F.col("type"))).groupBy("type", "parser").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with {_CLAIMS} select k, pattern_no, match_no, claim_type, quote, nullif(name1,'') as name1, birth1, death1, nullif(name2,'') as name2, birth2, death2, nullif(name3,'') as name3, birth3, death3 from claims")
+def nlp_claims(spark, d):
+    c = C.extract_claims(kin_text(spark, d))
+    return c.select("k", "pattern_no", "match_no", "claim_type", "quote", *[f"{x}{i}" for i in (1, 2, 3) for x in ("name", "birth", "death")])
+
+
+_SURFACES = f"select lang, unnest(regexp_extract_all(text, '({q(V.MENTION + V.YEARS_SUFFIX)})', 1)) as raw from documents"
+
+
+@query(f"with m as ({_SURFACES}), c as (select lang, {_clean('raw')} as surface from m), n as (select lang, surface, {_norm('surface')} as normalized from c) select lang, normalized, count(*) as n from n where normalized not in ({', '.join(repr(x) for x in V.MENTION_NOISE)}) and not regexp_matches(normalized, '^[\\d ]+$') and regexp_matches(surface, '\\p{{L}}') group by 1, 2")
+def nlp_mentions(spark, d):
+    m = C.extract_mentions(table(spark, d, "documents"), keys=("doc_id", "lang"))
+    return m.groupBy("lang", "normalized").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with {_PEOPLE} select person_id, name, normalized, birth_year, death_year from people")
+def gr_people(spark, d):
+    return P.fold_people(C.claim_people(C.extract_claims(kin_text(spark, d))))
+
+
+def _tree(spark, d):
+    from heirloom.cut import cut
+
+    claims = cut(C.extract_claims(kin_text(spark, d)))
+    roles = C.claim_people(claims)
+    people = cut(P.fold_people(roles))
+    return claims, roles, people, P.relationships(claims, roles, people)
+
+
+@query(f"with {_RELS} select src, type, tgt, confidence, support_count from rels")
+def gr_relationships(spark, d):
+    return _tree(spark, d)[3].drop("claim_ids")
+
+
+@query(
+    f"with recursive {_RELS}, y as (select r.*, a.birth_year as sb, b.birth_year as tb from rels r left join people a on a.person_id = r.src left join people b on b.person_id = r.tgt), "
+    "f as (select *, src = tgt as self, type = 'parent_of' and src <> tgt and coalesce(not (tb - sb between 12 and 80), false) as odd, type = 'parent_of' and count(case when type = 'parent_of' then 1 end) over (partition by tgt) > 2 as many from y), "
+    "e0 as (select src, tgt from f where type = 'parent_of' and not self and not odd and not many)"
+    + _CYCLE
+    + ", g as (select f.*, type = 'parent_of' and exists (select 1 from e0 where e0.src = f.src and e0.tgt = f.tgt) and exists (select 1 from reach where reach.a = f.tgt and reach.b = f.src) as loop from f) "
+    "select src, type, tgt, case when self or odd or many or loop then 'conflict' else 'accepted' end as status, concat_ws(',', case when self then 'self_relationship' end, case when odd then 'implausible_parent_age_gap' end, case when many then 'too_many_parent_relationships' end, case when loop then 'parent_cycle' end) as conflicts from g"
+)
+def gr_conflicts(spark, d):
+    _, _, people, rels = _tree(spark, d)
+    return P.validate(rels, people).select("src", "type", "tgt", "status", F.array_join("conflicts", ",").alias("conflicts"))
+
+
+@query(f"with recursive e0 as (select src, tgt from ({KIN_EDGES}) where src <> tgt){_CYCLE} select e0.src, e0.tgt from e0 where exists (select 1 from reach where reach.a = e0.tgt and reach.b = e0.src)")
+def gr_cycles(spark, d):
+    return P.cycle_edges(kin_edges(spark, d).where("src <> tgt"))
+
+
+@query(f"with recursive e0 as (select src as a, tgt as b from ({KIN_EDGES}) where src % 5 = 0 or src = tgt), e as (select a, b from e0 union select b, a from e0), r(id, c) as (select a, a from e union select e.b, r.c from r join e on e.a = r.id) select id, min(c) as component from r group by 1")
+def gr_components(spark, d):
+    e = kin_edges(spark, d).where("src % 5 = 0 or src = tgt")
+    return connected_components(e, "src", "tgt").select("id", "component")
+
+
+@query(f"with {_RELS}, of_child as (select tgt, string_agg(distinct src, ',' order by src) as parents from rels where type = 'parent_of' group by 1) select parents, count(*) as n_children from of_child group by 1 union all select concat(src, ',', tgt), 0 from (select distinct src, tgt from rels where type = 'spouse_of') where concat(src, ',', tgt) not in (select parents from of_child)")
+def gr_families(spark, d):
+    f = P.families(_tree(spark, d)[3])
+    return f.select(F.array_join("parent_ids", ",").alias("parents"), F.size("child_ids").cast("long").alias("n_children"))
+
+
+@query(f"with {_PEOPLE}, c as (select r.k, r.pattern_no, r.match_no, r.role, count(distinct p.person_id) as every, count(distinct case when coalesce(r.birth_year = p.birth_year, true) and coalesce(r.death_year = p.death_year, true) then p.person_id end) as fit from roles r left join people p using (normalized) group by 1, 2, 3, 4) select case when every = 0 then 'no_matching_person' when fit = 0 then 'year_mismatch' when fit > 1 then 'multiple_matching_people' else 'resolved' end as outcome, count(*) as n from c group by 1")
+def gr_resolution(spark, d):
+    _, roles, people, _ = _tree(spark, d)
+    m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name")})
+    return P.resolve_mentions(m, people).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select l_partkey as src, l_suppkey as tgt, lower(l_returnflag) as type, max(l_discount) as confidence, cast(sum(greatest(coalesce(l_linenumber,1),1)) as bigint) as support_count from lineitem where l_partkey <> l_suppkey group by 1, 2, 3")
+def lg_roll_up(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("tgt"), F.col("l_returnflag").alias("type"), F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("support_count"), F.lit(True).alias("directed"), F.lit(False).alias("symmetric"))
+    return L.roll_up(li).select("src", "tgt", "type", "confidence", F.col("support_count").cast("long").alias("support_count"))
+
+
+@query("select least(l_partkey, l_suppkey) as a, greatest(l_partkey, l_suppkey) as b, max(l_discount) as confidence, cast(sum(greatest(l_linenumber,1)) as bigint) as support, string_agg(distinct lower(l_returnflag), ',' order by lower(l_returnflag)) as types from lineitem where l_partkey <> l_suppkey group by 1, 2")
+def lg_pair_links(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("tgt"), F.col("l_returnflag").alias("type"), F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("support_count"))
+    return L.pair_links(li).select("a", "b", "confidence", F.col("support").cast("long").alias("support"), F.array_join("types", ",").alias("types"))
+
+
+@query("select event_type as type, count(*) as n from events where event_type in (select event_type from events group by 1 order by 1 limit 2) group by 1")
+def lg_type_filter(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("type"))
+    first = [r[0] for r in e.groupBy("type").count().orderBy("type").limit(2).collect()]
+    return L.filter_types(e, set(first)).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+_ENT = "ent as (select cast(p_partkey as varchar) as id, case when p_partkey % 3 = 0 then 'male' when p_partkey % 3 = 1 then 'female' end as g, cast(1500 + (p_partkey * 37) % 300 as integer) as b, cast(1560 + (p_partkey * 37) % 300 as integer) as dd from part)"
+_REL = f"rel as (select cast(src as varchar) as src, cast(tgt as varchar) as tgt from ({KIN_EDGES}) where src <> tgt)"
+_PT = "case when {g} = 'male' then 'father_of' when {g} = 'female' then 'mother_of' else 'parent_of' end"
+
+
+def _bad(s: str, t: str) -> str:
+    return f"(coalesce({t}.b - {s}.b < 12, false) or coalesce({t}.b - {s}.b > 80, false) or coalesce({s}.dd + 1 < {t}.b, false) or coalesce({s}.b > {t}.dd, false))"
+
+
+def _kin_rel(spark, d):
+    return kin_edges(spark, d).where("src <> tgt").select(F.col("src").cast("string").alias("src"), F.col("tgt").cast("string").alias("tgt"), F.lit("parent_child").alias("type"))
+
+
+@query(f"with {_ENT}, {_REL}, j as (select rel.*, s.g as sg, t.g as tg, s.id is not null and t.id is not null as known, {_bad('s', 't')} as bad, {_bad('t', 's')} as rbad from rel left join ent s on s.id = rel.src left join ent t on t.id = rel.tgt) select case when known and bad and not rbad then tgt else src end as src, case when known and bad and not rbad then src else tgt end as tgt, case when known and bad and not rbad then {_PT.format(g='tg')} when known and bad then 'relative' else {_PT.format(g='sg')} end as type, case when known and bad then case when rbad then 'downgraded' else 'reversed' end end as action from j")
+def lg_timeline(spark, d):
+    people = kin_people(spark, d)
+    return L.guard_timeline(L.specialise_parents(_kin_rel(spark, d), people), people).select("src", "tgt", "type", "action")
+
+
+@query("select l_partkey as tgt, l_suppkey as src, l_orderkey, l_linenumber, case when row_number() over (partition by l_partkey, l_returnflag order by l_discount desc, l_orderkey, l_linenumber) > case when l_returnflag = 'N' then 2 else 1 end then 'relative' else case l_returnflag when 'A' then 'father_of' when 'R' then 'mother_of' else 'parent_of' end end as type from lineitem")
+def lg_role_limits(spark, d):
+    t = F.when(F.col("l_returnflag") == "A", "father_of").when(F.col("l_returnflag") == "R", "mother_of").otherwise("parent_of")
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("tgt"), F.col("l_suppkey").alias("src"), "l_orderkey", "l_linenumber", "l_discount", t.alias("type"))
+    return L.limit_roles(li, [F.desc("l_discount"), F.col("l_orderkey"), F.col("l_linenumber")]).select("tgt", "src", "l_orderkey", "l_linenumber", "type")
+
+
+@query(
+    f"with {_ENT}, {_REL}, par as (select distinct rel.src as p, rel.tgt as c from rel join ent s on s.id = rel.src join ent t on t.id = rel.tgt), sib as (select distinct x.c as a, y.c as b from par x join par y on x.p = y.p and x.c <> y.c), "
+    "gp as (select x.p as gp, y.c from par x join par y on x.c = y.p), aunt as (select s.b as u, par.c from par join sib s on s.a = par.p), "
+    "cous as (select distinct aunt.c, par.c as d from aunt join par on par.p = aunt.u where par.c <> aunt.c), "
+    "al as (select a as src, b as tgt, 'sibling' as role, 0.75 as conf, 1 as o from sib union all select u, c, 'aunt', 0.72, 3 from aunt union all select c, u, 'niece', 0.72, 4 from aunt union all select gp, c, 'gp', 0.73, 5 from gp union all select c, gp, 'gc', 0.73, 6 from gp union all select c, d, 'cousin', 0.70, 7 from cous), "
+    "ty as (select al.*, case role when 'sibling' then case g when 'male' then 'brother_of' when 'female' then 'sister_of' else 'sibling_of' end when 'aunt' then case g when 'male' then 'uncle_of' when 'female' then 'aunt_of' else 'aunt_uncle_of' end when 'niece' then case g when 'male' then 'nephew_of' when 'female' then 'niece_of' else 'nibling_of' end "
+    "when 'gp' then case g when 'male' then 'grandfather_of' when 'female' then 'grandmother_of' else 'grandparent_of' end when 'gc' then case g when 'male' then 'grandson_of' when 'female' then 'granddaughter_of' else 'grandchild_of' end else 'cousin_of' end as type from al join ent on ent.id = al.src where al.src <> al.tgt) "
+    "select src, tgt, type, cast(arg_min(conf, o) as double) as confidence, concat('derived-', substr(md5(concat_ws('|', src, type, tgt)), 1, 12)) as relation_id from ty group by src, tgt, type"
+)
+def lg_kinship(spark, d):
+    return L.derive_kinship(_kin_rel(spark, d), kin_people(spark, d)).drop("inference_rule")
+
+
+_ASK = "the of and with question"
+
+
+@query("with t as (select conv_id, turn, regexp_extract_all(lower(text),'[0-9a-zа-яё]+') as toks from conversations), s as (select conv_id, turn, len(list_intersect(list_distinct(toks), ['the','of','and','with','question'])) as o, len(list_filter(toks, lambda x: x in ('the','of','and','with','question'))) as tf from t) select conv_id, turn, round(o / 5.0 + 0.05 * least(tf, 5), 6) as score from s where o > 0")
+def ret_lexical(spark, d):
+    return R.lexical_scores(table(spark, d, "conversations"), _ASK).select("conv_id", "turn", F.round("score", 6).alias("score"))
+
+
+@query("with t as (select doc_id, regexp_extract_all(lower(text),'[0-9a-zа-яё]+') as toks from documents), s as (select doc_id, len(list_intersect(list_distinct(toks), ['the','der','los','license'])) as o, len(list_filter(toks, lambda x: x in ('the','der','los','license'))) as tf from t) select doc_id as document_id, round(o / 4.0 + 0.05 * least(tf, 5), 6) as score from s where o > 0 order by score desc, doc_id desc limit 8")
+def ret_top_k(spark, d):
+    docs = table(spark, d, "documents").withColumnRenamed("doc_id", "document_id")
+    return R.top(R.lexical_scores(docs, "the der los license").select("document_id", F.round("score", 6).alias("score")))
+
+
+@query("select conv_id, turn, coalesce(string_agg(nullif(trim(text),''), chr(10)||chr(10)) over (partition by conv_id order by turn rows between 1 preceding and 1 preceding),'') as previous_text, coalesce(string_agg(nullif(trim(text),''), chr(10)||chr(10)) over (partition by conv_id order by turn rows between 1 following and 1 following),'') as next_text from conversations qualify len(list_intersect(list_distinct(regexp_extract_all(lower(text),'[0-9a-zа-яё]+')), ['the','der','los','et'])) > 0")
+def llm_candidates(spark, d):
+    return LLM.candidates(table(spark, d, "conversations"), "conv_id", "turn", terms=["the", "der", "los", "et"]).select("conv_id", "turn", "previous_text", "next_text")
+
+
+@query("select reason, count(*) as n from (select case when k % 5 = 0 then 'unsupported_claim_type' when k % 5 = 1 then 'rejected_no_evidence_quote' when k % 5 = 2 then 'rejected_missing_person_role' when k % 5 = 3 then 'rejected_generic_person_name' else 'accepted' end as reason from (select p_partkey as k from part)) group by 1")
+def llm_ladder(spark, d):
+    k = F.col("p_partkey") % 5
+    rows = table(spark, d, "part").select(
+        F.when(k == 0, "rumour").otherwise("parent_child").alias("claim_type"),
+        F.when(k == 2, "").otherwise("Anna Ivanova").alias("person1"),
+        F.when(k == 3, "Emperor").otherwise("Boris Ivanov").alias("person2"),
+        F.when(k == 1, "not said").otherwise("Anna is a child of Boris").alias("evidence_quote"),
+        F.lit("It is known: Anna is  a child of BORIS.").alias("context"),
+    )
+    return LLM.judge(rows).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(None)
+def llm_completion(spark, d):
+    k = table(spark, d, "part").select("p_partkey", F.concat(F.lit("part "), "p_partkey").alias("prompt"))
+    answer = lambda p: '<think>{"a": 1}</think>```json\n{"claims": [{"p": "%s",},]}\n```' % p if int(p.split()[1]) % 2 else "no json"
+    return LLM.complete(k, answer).groupBy("parse_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(None)
+def ret_graph(spark, d):
+    claims, _, people, rels = _tree(spark, d)
+    rels = P.validate(rels, people)
+    name = people.orderBy("person_id").limit(1).first()
+    docs = D.person_documents(people, rels).unionByName(D.relationship_documents(rels, people)).unionByName(D.claim_documents(claims)).unionByName(D.chunk_documents(kin_text(spark, d)))
+    asked = R.resolve_query(people, f"Who are {name['name'] if name else 'x'} parents and relations connected?")
+    graph = R.graph_ranked(docs, rels, asked)
+    rest = R.lexical_scores(docs, name["name"] if name else "x", kind="kind").join(graph.select("document_id"), "document_id", "left_anti")
+    return R.top(graph.unionByName(rest.select(*graph.columns))).select("document_id", "kind", "score", "text")
+
+
+@query(None)
+def out_dot(spark, d):
+    _, _, people, rels = _tree(spark, d)
+    return sinks.dot_lines(people, P.families(P.validate(rels, people), "accepted"))
+
+
+@query(None)
+def out_gedcom(spark, d):
+    _, _, people, rels = _tree(spark, d)
+    return sinks.gedcom_lines(people, P.families(P.validate(rels, people), "accepted"))
+
+
+@query(f"with {_RELS} select r.tgt as child_id, c.name as child, p.name as parent, r.support_count from rels r join people c on c.person_id = r.tgt join people p on p.person_id = r.src where r.type = 'parent_of'")
+def tree_parents(spark, d):
+    """Who are the parents of each person: from text to named relationships."""
+    _, _, people, rels = _tree(spark, d)
+    name = people.select("person_id", "name")
+    r = rels.where("type = 'parent_of'").join(name.select(F.col("person_id").alias("tgt"), F.col("name").alias("child")), "tgt").join(name.select(F.col("person_id").alias("src"), F.col("name").alias("parent")), "src")
+    return r.select(F.col("tgt").alias("child_id"), "child", "parent", "support_count")
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return tree_parents(spark, sf_dir)
