@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heirloom.llm.common import batches_of, small_batches
+from heirloom.llm.common import batches_of, small_batches, trimmed
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 998244353)
@@ -242,5 +242,5 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
         rows.repartition(parts, "slot")
         .sortWithinPartitions("slot", "guest", F.col("doc_id").asc_nulls_last(), "text")
         .select("doc_id", "text", "guest")
-        .mapInArrow(_pairs_in_order, RESULT)
+        .mapInArrow(trimmed(_pairs_in_order), RESULT)
     )

@@ -160,22 +160,24 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
 class HashIndex:
     """Places of 64-bit hashes in a sorted array, by a table over their high bits."""
 
-    BITS = 22
+    BITS = 18
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = hashes
         top = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
         self.slot = np.full(1 << self.BITS, -1, np.int32)
         self.slot[top[::-1]] = np.arange(len(top) - 1, -1, -1, dtype=np.int32)
+        # A small table answers most misses from cache.
+        self.any = self.slot >= 0
         runs = np.diff(np.append(group_starts(top), len(top)))
         self.longest = int(runs.max()) if len(runs) else 0
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash, or -1."""
-        out = self.slot[(h >> np.uint64(64 - self.BITS)).astype(np.int64)].astype(np.int64)
-        live = np.nonzero(out >= 0)[0]
-        at, want = out[live], h[live]
-        out[live] = -1
+        top = (h >> np.uint64(64 - self.BITS)).view(np.int64)
+        live = np.nonzero(self.any[top])[0]
+        at, want = self.slot[top[live]].astype(np.int64), h[live]
+        out = np.full(len(h), -1, np.int32)
         for _ in range(self.longest):
             hit = self.hashes[at] == want
             out[live[hit]] = at[hit]

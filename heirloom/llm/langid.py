@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heirloom.llm import kernels as K
-from heirloom.llm.common import batches_of, small_batches
+from heirloom.llm.common import batches_of, small_batches, trimmed
 
 MAX_GRAM = 5
 
@@ -186,7 +186,7 @@ def train(
                                 {"lang": [name] * len(value), "n": pa.array([n] * len(value), pa.int32()), "h": pa.array(value.view(np.int64)), "c": pa.array(times, pa.int64())}
                             )
 
-    each = sample.mapInArrow(count, "lang string, n int, h long, c long")
+    each = sample.mapInArrow(trimmed(count), "lang string, n int, h long, c long")
     wide = each.groupBy("n", "h").agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("lang") == name, F.col("c")).otherwise(0)).alias(f"l{i}") for i, name in enumerate(langs)])
     # One window group per order, over n-grams of the bounded sample.
     rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("total"), "h"))
@@ -217,4 +217,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             arrays = [*batch.columns, pa.array(name, pa.string()), pa.array(share, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "score"])
 
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(trimmed(run), schema)

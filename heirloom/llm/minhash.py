@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from heirloom.cut import cut
 from heirloom.llm import kernels as K
-from heirloom.llm.common import as_bytes, small_batches
+from heirloom.llm.common import as_bytes, small_batches, trimmed
 from heirloom.operators.components import connected_components
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
@@ -122,7 +122,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
                 }
             )
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sign, SIGNATURES)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(sign), SIGNATURES)
 
 
 class _Group:

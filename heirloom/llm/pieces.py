@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heirloom.llm import kernels as K
-from heirloom.llm.common import batches_of, small_batches
+from heirloom.llm.common import batches_of, small_batches, trimmed
 
 SPACE, NO_SPACE = 0x2581, 0x110000
 OFFSET = 10.0
@@ -42,6 +42,8 @@ class Vocabulary:
 
     def __post_init__(self) -> None:
         self.index = K.HashIndex(self.hashes)
+        # One more entry for what is spelled by bytes.
+        self.all_ids, self.all_logs = np.append(self.ids, np.int32(-1)), np.append(self.logs, 0.0)
 
     def __reduce__(self):
         return Vocabulary, (self.pieces, self.hashes, self.ids, self.logs, self.longest, self.byte0)
@@ -90,40 +92,42 @@ class _Lattice:
         room = np.arange(1, n + 1) - np.repeat(begin, sizes)
         g = K.prefix_sums(_values(c))
         _, ip = K.powers(n + 1)
+        # Row p, column k: the piece of k + 1 characters that ends at place p + 1, or -1; read row by row, edges come sorted by end.
+        found = np.full((n, v.longest), -1, np.int32)
         end = np.arange(1, n + 1)
-        ends, froms, ids, logs = [], [], [], []
-        single = np.zeros(n, bool)
         for size in range(1, v.longest + 1):
-            e = end[room >= size]
-            i = v.index.find(K.mix((g[e] - g[e - size]) * ip[e - size]))
-            e, i = e[i >= 0], i[i >= 0]
-            if size == 1:
-                single[e - 1] = True
-            ends.append(e)
-            froms.append(e - size)
-            ids.append(v.ids[i])
-            logs.append(v.logs[i])
-        # The worst piece's weight for each byte of a character that is no piece.
-        bare = np.nonzero(~single)[0]
-        worst = v.logs.min() - 1
-        ends.append(bare + 1)
-        froms.append(bare)
-        ids.append(np.full(len(bare), -1, np.int32))
-        logs.append(worst * _utf8_sizes(c[bare]))
-        e, f, i, w = (np.concatenate(x) for x in (ends, froms, ids, logs))
-        order = np.argsort(e, kind="stable")
-        self.end, self.start, self.id, log = e[order], f[order], i[order], w[order]
+            if size > n:
+                break
+            if 3 * len(end) > n:  # most places have room: hash them all in one sweep
+                i = v.index.find(K.mix((g[size:] - g[:-size]) * ip[: n + 1 - size]))
+                i[room[size - 1 :] < size] = -1
+                found[size - 1 :, size - 1] = i
+                end = end[room[end - 1] > size]
+                continue
+            if not len(end):
+                break
+            found[end - 1, size - 1] = v.index.find(K.mix((g[end] - g[end - size]) * ip[end - size]))
+            end = end[room[end - 1] > size]
+        # A character that is no piece is spelled by bytes, each lighter than the lightest piece.
+        bare = np.nonzero(found[:, 0] < 0)[0]
+        found[bare, 0] = len(v.ids)
+        at, size = np.nonzero(found >= 0)
+        i = found[at, size]
+        self.end, self.start = at + 1, at - size
+        self.id, log = v.all_ids[i], v.all_logs[i]
+        spelled = np.nonzero(i == len(v.ids))[0]
+        log[spelled] = (v.logs.min() - 1) * _utf8_sizes(c[at[spelled]])
         # alpha[p]: log weight of all spellings from the segment's start up to just before place p.
         alpha = np.zeros(n + 1)
-        base = np.repeat(begin, sizes)
-        depth = self.end - base[self.end - 1]
-        by_depth = np.argsort(depth, kind="stable")
-        at = np.concatenate(([0], np.cumsum(np.bincount(depth))))
+        depth = room[at]
+        # 16-bit keys sort by radix.
+        by_depth = np.argsort(depth.astype(np.int16) if depth.max() < 1 << 15 else depth, kind="stable")
+        by_place = np.concatenate(([0], np.cumsum(np.bincount(depth))))
         value = np.empty(len(log))
         # A segment's start shares its place with the end of the one before, whose sum is kept apart.
-        first = self.start == base[self.start]
-        for d in range(1, len(at) - 1):
-            edges = by_depth[at[d] : at[d + 1]]
+        first = size + 1 == depth
+        for d in range(1, len(by_place) - 1):
+            edges = by_depth[by_place[d] : by_place[d + 1]]
             value[edges] = log[edges] + np.where(first[edges], 0.0, alpha[self.start[edges]])
             groups = K.group_starts(self.end[edges])
             if len(groups):
@@ -239,7 +243,7 @@ def encode_documents(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text:
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))], ["doc_id", "pieces"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, pieces array<int>")
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(run), "doc_id long, pieces array<int>")
 
 
 def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
@@ -249,7 +253,9 @@ def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts = [None if x is None else join_pieces(v, x) for x in part.column("pieces").to_pylist()]
+                lists = part.column("pieces")
+                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+                texts = [None if no else join_pieces(v, flat[a:b].tolist()) for a, b, no in zip(ends, ends[1:], lists.is_null().to_pylist(), strict=False)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("pieces"), pa.array(texts, pa.string())], ["doc_id", "pieces", "decoded"])
 
-    return encoded.select("doc_id", "pieces").mapInArrow(run, "doc_id long, pieces array<int>, decoded string")
+    return encoded.select("doc_id", "pieces").mapInArrow(trimmed(run), "doc_id long, pieces array<int>, decoded string")

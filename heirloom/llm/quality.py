@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from heirloom.cut import cut
 from heirloom.llm import kernels as K
-from heirloom.llm.common import as_bytes, small_batches
+from heirloom.llm.common import as_bytes, small_batches, trimmed
 from heirloom.llm.langid import _points, _Words, held_out
 
 SYMBOLS = np.zeros(256, bool)
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 )
 
     totals = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(1 - F.col("quality")), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    seen = rows.mapInArrow(count, "h long, bad long, toxic long, n long").groupBy("h").agg(*[F.sum(c).alias(c) for c in ("bad", "toxic", "n")])
+    seen = rows.mapInArrow(trimmed(count), "h long, bad long, toxic long, n long").groupBy("h").agg(*[F.sum(c).alias(c) for c in ("bad", "toxic", "n")])
     telling = {}
     for name, total in (("bad", totals[1]), ("toxic", totals[2])):
         due = F.col("n") * F.lit(total / max(1, totals[0]))
@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             x = model.features(batch.column("text").to_pylist(), as_bytes(batch.column("text")))
             yield pa.RecordBatch.from_pydict({"x": pa.array(x.tolist(), pa.list_(pa.float64())), "quality": batch.column("quality"), "toxic": batch.column("toxic")})
 
-    data = rows.mapInArrow(measure, "x array<double>, quality int, toxic int").toPandas()
+    data = rows.mapInArrow(trimmed(measure), "x array<double>, quality int, toxic int").toPandas()
     x = np.array(data.x.tolist()).reshape(len(data), N_SHAPE + 2 * len(telling))
     if len(x) == 0:
         x = np.zeros((1, N_SHAPE + 2 * len(telling)))
@@ -189,7 +189,7 @@ def with_evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFram
             p = model.predict(batch.column(text).to_pylist(), as_bytes(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p["quality"]), pa.array(p["toxic"])], [*batch.schema.names, "p_doc", "p_toxic"])
 
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(trimmed(run), schema)
 
 
 def _strength(groups: DataFrame, mean: float, within: float) -> float:
