@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COLUMNS = ("document_id", "kind", "text", "person_ids", "claim_ids", "chunk_ids", "rel_key")
-_NONE = F.array().cast("array<string>")
 
 
 def _doc(df: DataFrame, kind: str, key, text, **ids) -> DataFrame:
-    given = {"person_ids": _NONE, "claim_ids": _NONE, "chunk_ids": _NONE, "rel_key": F.lit(None).cast("string")} | ids
+    none = F.array().cast("array<string>")
+    given = {"person_ids": none, "claim_ids": none, "chunk_ids": none, "rel_key": F.lit(None).cast("string")} | ids
     return df.select(F.concat(F.lit(f"{kind}-"), F.md5(key)).alias("document_id"), F.lit(kind).alias("kind"), text.alias("text"), *[c.alias(n) for n, c in given.items()])
 
 
