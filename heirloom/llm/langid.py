@@ -65,7 +65,7 @@ class _Words:
         return K.mix((self.g[at] - self.g[at - n]) * self.ip[at - n] + np.uint64(n))
 
 
-def _points(texts: list[str | None], limit: int = 1 << 23) -> Iterator[tuple[int, int, list[bytes]]]:
+def _points(texts: list[str | None], limit: int = 1 << 22) -> Iterator[tuple[int, int, list[bytes]]]:
     blobs = [(t or "").encode("utf-32-le") for t in texts]
     for lo, hi in batches_of(blobs, limit):
         yield lo, hi, blobs[lo:hi]

@@ -223,7 +223,7 @@ def sample_pieces(v: Vocabulary, texts: list[str | None], keys: list[int | None]
     blobs = [(t or "").encode("utf-32-le") for t in texts]
     seeds = K.mix(np.array([(k or 0) & ((1 << 64) - 1) for k in keys], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
     out: list[np.ndarray] = []
-    for lo, hi in batches_of(blobs, 1 << 22):
+    for lo, hi in batches_of(blobs, 1 << 20):
         out += _encode(v, blobs[lo:hi], seeds[lo:hi])
     return out
 
@@ -237,7 +237,7 @@ def encode_documents(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text:
     """``doc_id`` and ``pieces``, the sampled ids, for every row; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text", 1 << 20):
             found = sample_pieces(v, batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), seed)
             ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)
