@@ -100,4 +100,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+_WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+_TOKENS = f"t as (select doc_id, w, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from (select doc_id, {_WORDS.format('text')} as w from documents))"
+_AHEAD = "(order by cap / w, source rows between unbounded preceding and 1 preceding)"
+
+ORACLE: dict[str, str] = {
+    "op1_mix_sources": f"""with s as (select doc_id, source, cast(len({_WORDS.format('text')}) as bigint) as size from documents),
+t as (select source, cast(sum(size) as bigint) as ss from s group by 1),
+w as (select *, cast(case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as double) as w, cast(2 * ss as double) as cap from t),
+o as (select *, cast(sum(ss) over () as double) * cast(1.5 as double) as every, coalesce(sum(cap) over {_AHEAD}, 0) as used, sum(w) over () - coalesce(sum(w) over {_AHEAD}, 0) as rest from w),
+f as (select *, (every - used) >= cap / w * rest as is_full from o),
+g as (select *, sum(case when is_full then cap else 0 end) over () as fc, sum(case when is_full then 0 else w end) over () as ow from f),
+r as (select source, ss, case when is_full then cap else least(cap, (every - fc) / nullif(ow, 0) * w) end as target, cast(cast('0x' || substr(md5('17:' || source), 1, 8) as bigint) as double) / cast(4294967296 as double) as u from g),
+p as (select s.doc_id, s.size, r.ss, r.target, r.u, case when r.ss > 0 then r.target / r.ss else 0 end as rate, row_number() over (partition by s.source order by s.size, s.doc_id) as place from s join r on s.source = r.source),
+c as (select *, cast(least(floor(u + rate * place) - floor(u + rate * (place - 1)), ceil(rate)) as bigint) as copies from p)
+select doc_id, size, ss as source_size, target, copies * size as taken, copies from c""",
+    "op5_minhash": f"""with recursive d as (select doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i+3], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, case when len(w) > 0 then 2 else 1 end))) as i from d)),
+n as (select doc_id, count(*) as n from s group by 1),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as both_ from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e0 as (select p.a, p.b from pairs p join n x on x.doc_id = p.a join n y on y.doc_id = p.b where 100 * p.both_ >= 80 * (x.n + y.n - p.both_)),
+e as (select a, b from e0 union all select b, a from e0),
+r(id, c) as (select doc_id, doc_id from d union select e.b, r.c from r join e on e.a = r.id where r.c < e.b)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, d.doc_id = m.c as kept from d left join n using (doc_id) join (select id, min(c) as c from r group by 1) m on m.id = d.doc_id""",
+    "op8_lm_scores": f"""with {_TOKENS}, c as (select doc_id, i, word, lag(word) over (partition by doc_id order by i) as prev from t),
+n as (select *, count(*) over () as total, count(*) over (partition by doc_id) as mine, count(*) over (partition by word) - count(*) over (partition by doc_id, word) as c1, case when prev is null then 0 else count(*) over (partition by prev, word) - count(*) over (partition by doc_id, prev, word) end as c2 from c),
+x as (select *, lag(c1) over (partition by doc_id order by i) as ctx, case when c1 > 0 then cast(c1 as double) / (total - mine) else cast(0.4 as double) / (total + 1) end as v from n),
+y as (select doc_id, case when prev is null then v when c2 > 0 and ctx > 0 then cast(c2 as double) / ctx else cast(0.4 as double) * v end as v, case when prev is null then c1 > 0 else c2 > 0 and ctx > 0 end as seen from x),
+z as (select doc_id, count(*) as n, count(case when seen then 1 end) as s, round(sum(log10(v)) / count(*), 6) as l from y group by 1)
+select d.doc_id, coalesce(z.n, 0) as n_words, coalesce(z.s, 0) as n_seen, z.l as log_score from documents d left join z using (doc_id)""",
+}
