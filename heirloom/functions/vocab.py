@@ -56,3 +56,25 @@ HEADINGS = [
     r"^(?:Царствование|Правление|При)\s+([А-ЯЁA-Z][А-Яа-яЁёA-Za-z]+(?:\s+[IVXLCDM]+|\s+[А-ЯЁA-Z][А-Яа-яЁёA-Za-z]+){0,3})",
 ]
 STRIP = r""" ,.;:!?\t\n"'`«»“”()\[\]{}"""
+
+# Cues in quotes, each a whole word or phrase, and name parts.
+PARENT_HINTS = "сын сына сыном сыновей дочь дочери дочерью детей ребенок ребёнок child children son daughter".split()
+PARENT_CUES = ["son of", "daughter of", "child of", "сын", "сына", "дочь", "дочери"]
+PARENT_BEFORE = ["сын", "сына", "дочь", "дочери", "child of", "son of", "daughter of"]
+PARENT_AFTER = "родил родила родились имел имела had children child".split()
+SPOUSE_CUES = "wife husband spouse married супруга супруг муж жена брак".split()
+COLLATERAL_CUES = "brother sister uncle aunt cousin nephew niece брат сестра дядя тётя тетя кузен кузина племянник племянница".split()
+SEGMENT_CUES = "сын дочь child son daughter".split()
+NIBLING_CUES = "племянник племянница niece nephew".split()
+NIBLING_MARKS = ["племянник", "племянниц", " niece ", " nephew "]
+PATRONYMICS = "ович евич овна евна ична оглы кызы".split()
+PATRONYMIC_ENDINGS = "ович евич ич овна евна ична инична оглы кызы".split()
+NOT_PATRONYMICS = "цесаревич царевич королевич княжич".split()
+FINAL_VOWELS = "аеиоуыэюяьй"
+TITLES = "царь царица царевич царевна император императрица король королева князь княгиня государь государыня великий великая the king queen emperor empress tsar".split()
+KIN_TYPES = (
+    "parent_child parent_of father_of mother_of child_of spouse sibling sibling_of brother_of sister_of grandparent_of grandfather_of grandmother_of "
+    "grandchild_of grandson_of granddaughter_of aunt_uncle_of aunt_of uncle_of nibling_of nephew_of niece_of cousin_of"
+).split()
+ANCHOR_TYPES = "relative associated_with knows works_with colleague_of ally_of".split()
+PROMOTION_CONFIDENCE = 0.75
