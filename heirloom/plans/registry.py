@@ -13,7 +13,10 @@ from heirloom.operators import claims as C
 from heirloom.operators import documents as D
 from heirloom.operators import living as L
 from heirloom.operators import llm_claims as LLM
+from heirloom.operators import merging as M
 from heirloom.operators import people as P
+from heirloom.operators import promotion as PR
+from heirloom.operators import reconcile as RC
 from heirloom.operators import retrieval as R
 from heirloom.operators.components import connected_components
 from heirloom.sources import content, sinks
@@ -304,6 +307,62 @@ def lg_kinship(spark, d):
     return L.derive_kinship(_kin_rel(spark, d), kin_people(spark, d)).drop("inference_rule")
 
 
+#: Quotes about the ends of the edges; the ends are named Q<number> Bell.
+def _quoted(spark, d):
+    e = _kin_rel(spark, d).drop("type")
+    name = lambda c: F.concat(F.lit("Q"), F.col(c), F.lit(" Bell"))
+    n = F.col("tgt").cast("long") % 4
+    said = F.when(n == 0, F.concat(name("src"), F.lit(" is the son of "), name("tgt"), F.lit("."))).when(n == 1, F.concat(name("src"), F.lit(" had children with "), name("tgt"))).when(n == 2, F.concat(name("src"), F.lit(" married "), name("tgt"), F.lit(", child of a king"))).otherwise(F.concat(name("src"), F.lit(" is a niece of "), name("tgt")))
+    r = e.select("src", "tgt", F.lit("relative").alias("type"), F.lit(0.9).alias("confidence"), said.alias("quote"))
+    people = kin_people(spark, d).withColumn("canonical_name", F.concat(F.lit("Q"), "entity_id", F.lit(" Bell")))
+    return r, people
+
+
+_OLD = "coalesce(s.b <= t.b - 12, false)"
+
+
+_ENDS = f"with {_ENT}, {_REL}, j as (select rel.src, rel.tgt, cast(rel.tgt as bigint) % 4 as m, s.id is not null and t.id is not null as known, {_OLD} as old, t.g as tg from rel left join ent s on s.id = rel.src left join ent t on t.id = rel.tgt)"
+
+
+@query(f"{_ENDS} select case when m = 0 and known and not old then tgt else src end as src, case when m = 0 and known and not old then src else tgt end as tgt, case when m = 0 and known and not old then 'parent_child' else 'relative' end as type, m = 0 and known and not old as promoted from j")
+def lg_promote_parents(spark, d):
+    return PR.promote_parents(*_quoted(spark, d)).select("src", "tgt", "type", "promoted")
+
+
+@query(f"{_ENDS} select case when m = 3 and known then tgt else src end as src, case when m = 3 and known then src else tgt end as tgt, case when m = 3 and known then case tg when 'male' then 'uncle_of' when 'female' then 'aunt_of' else 'aunt_uncle_of' end else 'relative' end as type, m = 3 and known as promoted from j")
+def lg_promote_avuncular(spark, d):
+    return PR.promote_avuncular(*_quoted(spark, d)).select("src", "tgt", "type", "promoted")
+
+
+#: Bearers of 97 names, half of them with a title.
+@query("with e as (select cast(p_partkey as varchar) as id, p_partkey % 97 as k from part) select min(id) as representative, string_agg(id, ',' order by id) as members from e group by k having count(*) > 1")
+def lg_merge_groups(spark, d):
+    k = F.col("p_partkey")
+    name = F.concat(F.when(k % 2 == 0, "Emperor ").otherwise(""), F.lit("N"), k % 97, F.lit(" Bell"))
+    e = table(spark, d, "part").select(k.cast("string").alias("entity_id"), name.alias("canonical_name"), F.lit("human").alias("entity_type"), F.lit(None).cast("string").alias("gender"), F.lit(None).cast("int").alias("birth_year"), F.lit(None).cast("int").alias("death_year"), F.lit(0.5).alias("confidence"))
+    _, mapping = M.merge_entities(e, _kin_rel(spark, d).where("false").select("src", "tgt", "type", F.lit(0.5).alias("confidence"), F.lit(1).alias("support_count")))
+    return M.merge_groups(mapping).select("representative", F.array_join("members", ",").alias("members"))
+
+
+@query("select p_partkey as seq, case when p_partkey % 3 = 0 then 'GIVEN' || p_partkey || ' Sur' || p_partkey else 'Given' || p_partkey || ' Sur' || p_partkey end as name, case when p_partkey % 3 = 0 then 1800 end as birth_year, case when p_partkey % 3 = 0 then p_partkey end as ref from part")
+def gr_reconcile(spark, d):
+    k = F.col("p_partkey")
+    p = table(spark, d, "part").select(k.alias("seq"), F.concat(F.lit("Given"), k, F.lit(" Sur"), k).alias("name"), F.lit(None).cast("int").alias("birth_year"))
+    ref = table(spark, d, "part").where("p_partkey % 3 = 0").select(k.alias("ref"), F.concat(F.lit("GIVEN"), k, F.lit(" Sur"), k).alias("name"), F.lit(1800).alias("birth_year"))
+    return RC.reconcile(p, ref).select("seq", "name", "birth_year", "ref")
+
+
+@query("with e as (select p_partkey as k, 1500 + (p_partkey * 37) % 300 as y from part) select cast(floor(y / 10) * 10 as bigint) as decade, count(*) as n, arg_min(cast(k as varchar), (y, cast(k as varchar))) as anchor from e group by 1")
+def out_living_ranks(spark, d):
+    return sinks.decade_ranks(kin_people(spark, d).withColumn("canonical_name", F.lit("x"))).select("decade", "n", "anchor")
+
+
+@query(None)
+def out_living_dot(spark, d):
+    r = _kin_rel(spark, d).withColumns({"confidence": F.lit(0.8), "directed": F.lit(True), "symmetric": F.lit(False), "relation_no": F.col("tgt").cast("long")})
+    return sinks.living_dot_lines(kin_people(spark, d).withColumn("canonical_name", F.col("entity_id")), r)
+
+
 _ASK = "the of and with question"
 
 
