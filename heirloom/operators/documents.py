@@ -55,3 +55,32 @@ def claim_documents(claims: DataFrame) -> DataFrame:
 
 def chunk_documents(chunks: DataFrame) -> DataFrame:
     return _doc(chunks, "source_chunk", F.col("k").cast("string"), F.col("text"), chunk_ids=F.array(F.col("k").cast("string")))
+
+
+def family_documents(families: DataFrame, people: DataFrame) -> DataFrame:
+    """A document per family with the names of parents and children."""
+    f = families.withColumn("fid", F.concat(F.lit("family-"), F.md5(F.array_join("parent_ids", ","))))
+    member = f.select("fid", F.explode("parent_ids").alias("person_id"), F.lit("p").alias("role")).unionByName(f.select("fid", F.explode("child_ids").alias("person_id"), F.lit("c").alias("role")))
+    named = member.join(people.select("person_id", "name"), "person_id", "left").withColumn("name", F.coalesce("name", "person_id"))
+    of = lambda r: F.array_join(F.array_sort(F.collect_set(F.when(F.col("role") == r, F.col("name")))), ", ")
+    lists = named.groupBy("fid").agg(of("p").alias("parents"), of("c").alias("children"), F.sort_array(F.collect_set("person_id")).alias("ids"))
+    text = F.concat(F.lit("Family. Parents: "), F.col("parents"), F.when(F.col("children") != "", F.concat(F.lit(". Children: "), F.col("children"))).otherwise(""))
+    return _doc(lists, "family", F.col("fid"), text, person_ids=F.col("ids"))
+
+
+def conflict_documents(conflicts: DataFrame) -> DataFrame:
+    """A document per row of ``people.conflicts``."""
+    text = F.concat(F.lit("Conflict "), F.replace("conflict_type", F.lit("_"), F.lit(" ")), F.lit(": "), F.array_join("person_ids", ", "))
+    return _doc(conflicts, "conflict", F.concat_ws("|", F.col("conflict_type"), F.col("key")), text, person_ids=F.col("person_ids"), claim_ids=F.col("claim_ids"))
+
+
+def mention_documents(mentions: DataFrame) -> DataFrame:
+    """A document per mention, ``k, mention_no, surface, birth_year, death_year``."""
+    text = F.concat(F.lit("Mention: "), F.col("surface"), years(F.col("birth_year"), F.col("death_year")))
+    return _doc(mentions, "mention", F.concat_ws("|", F.col("k").cast("string"), F.col("mention_no").cast("string")), text, chunk_ids=F.array(F.col("k").cast("string")))
+
+
+def resolution_documents(resolved: DataFrame, key: str = "mention_id") -> DataFrame:
+    """A document per resolved or unresolved mention (rows of ``people.resolve_mentions``)."""
+    text = F.concat(F.lit("Resolution of "), F.col("surface"), F.lit(": "), F.replace("outcome", F.lit("_"), F.lit(" ")), F.when(F.size("candidates") > 0, F.concat(F.lit(". Candidates: "), F.array_join("candidates", ", "))).otherwise(""))
+    return _doc(resolved, "resolution", F.col(key).cast("string"), text, person_ids=F.col("candidates"))

@@ -115,3 +115,11 @@ def resolve_mentions(mentions: DataFrame, people: DataFrame, key: str = "mention
     )
     outcome = F.when(F.size("_all") == 0, "no_matching_person").when(F.size("_fit") == 0, "year_mismatch").when(F.size("_fit") > 1, "multiple_matching_people").otherwise("resolved")
     return c.select(key, "surface", "normalized", F.when(F.size("_fit") > 0, F.col("_fit")).otherwise(F.col("_all")).alias("candidates"), outcome.alias("outcome"))
+
+
+def conflicts(rels: DataFrame, roles: DataFrame, people: DataFrame) -> DataFrame:
+    """``conflict_type, key, person_ids, claim_ids``: one row per reason of a validated relationship, and one per role of a claim without a person."""
+    of_rel = rels.select(F.explode("conflicts").alias("conflict_type"), F.concat_ws("|", "src", "type", "tgt").alias("key"), F.array("src", "tgt").alias("person_ids"), "claim_ids")
+    lost = resolve_people(roles, people).where("person_id is null")
+    cid = F.concat_ws("-", F.lit("claim"), "k", "pattern_no", "match_no")
+    return of_rel.unionByName(lost.select(F.lit("unresolved_claim_person").alias("conflict_type"), F.concat_ws("-", cid, "role").alias("key"), F.array().cast("array<string>").alias("person_ids"), F.array(cid).alias("claim_ids")))

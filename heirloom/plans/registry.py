@@ -225,6 +225,23 @@ def gr_conflicts(spark, d):
     return P.validate(rels, people).select("src", "type", "tgt", "status", F.array_join("conflicts", ",").alias("conflicts"))
 
 
+#: Roles whose person is taken out of the people, so that they stay unresolved.
+@query(f"with {_PEOPLE} select 'unresolved_claim_person' as conflict_type, concat('claim-', k, '-', pattern_no, '-', match_no, '-', role) as key from roles where length(normalized) % 5 = 0")
+def gr_unresolved(spark, d):
+    _, roles, people, rels = _tree(spark, d)
+    fewer = people.where("length(normalized) % 5 <> 0")
+    return P.conflicts(P.validate(rels.where("false"), fewer), roles, fewer).select("conflict_type", "key")
+
+
+@query(None)
+def doc_kinds(spark, d):
+    claims, roles, people, rels = _tree(spark, d)
+    rels = P.validate(rels, people)
+    m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name"), "mention_no": F.col("match_no") * 4 + F.col("role")})
+    docs = D.family_documents(P.families(rels, "accepted"), people).unionByName(D.conflict_documents(P.conflicts(rels, roles, people))).unionByName(D.mention_documents(m)).unionByName(D.resolution_documents(P.resolve_mentions(m, people)))
+    return docs.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("first_text"))
+
+
 @query(f"with recursive e0 as (select src, tgt from ({KIN_EDGES}) where src <> tgt){_CYCLE} select e0.src, e0.tgt from e0 where exists (select 1 from reach where reach.a = e0.tgt and reach.b = e0.src)")
 def gr_cycles(spark, d):
     return P.cycle_edges(kin_edges(spark, d).where("src <> tgt"))

@@ -89,3 +89,13 @@ def test_registry_imports_without_corpus():
     import __spark_entry__ as e
 
     assert {"gr_people", "lg_kinship"} <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_conflict_and_family_documents(spark):
+    chunks, claims, people, rels = build(spark, ["Child One (1900-1980) was child of Parent Too Young (1895-1970) and Parent Two (1870-1940)."])
+    roles = C.claim_people(claims)
+    found = P.conflicts(rels, roles, people.where("name <> 'Parent Two'"))
+    assert sorted(r.conflict_type for r in found.collect()) == ["implausible_parent_age_gap", "unresolved_claim_person"]
+    assert D.conflict_documents(found).where("text like '%age gap%'").count() == 1
+    assert [r.text for r in D.family_documents(P.families(rels, "accepted"), people).collect()] == ["Family. Parents: Parent Two. Children: Child One"]
+    assert D.mention_documents(C.extract_mentions(chunks)).count() == 3
