@@ -40,7 +40,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove every stretch of 50 bytes or more that an earlier document has, and correct ``n_chars``."""
-    found = suffix_dedup.remove_repeats(docs, carry=tuple(docs.columns), as_text=True)
+    carry = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
+    found = suffix_dedup.remove_repeats(docs, carry=carry, as_text=True)
     return found.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
 
 

@@ -264,8 +264,13 @@ def _covered(p: Phrases, d: _Distinct, ids: np.ndarray, sizes: np.ndarray, mail:
     lo.append(strings)
     hi.append(strings + length)
     total = int(sizes.sum())
-    step = np.bincount(np.concatenate(lo), minlength=total + 1) - np.bincount(np.concatenate(hi), minlength=total + 1)
-    return np.cumsum(step)[:total] > 0
+    # Counted in place: sums over a chunk in 64 bits would take many times its bytes.
+    step = np.zeros(total + 1, np.int32)
+    for places, by in ((lo, 1), (hi, -1)):
+        for x in places:
+            np.add.at(step, x, np.int32(by))
+    np.cumsum(step, out=step)
+    return step[:total] > 0
 
 
 def remove_repeats(
