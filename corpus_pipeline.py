@@ -53,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled SentencePiece ids of every row, decoded again to show that nothing is lost."""
     v = pieces.load_vocabulary()
-    found = pieces.decode_documents(pieces.encode_documents(docs, v), v)
+    found = pieces.round_trip(docs, v)
     return found.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -233,17 +233,34 @@ def join_pieces(v: Vocabulary, ids: list[int]) -> str:
     return b"".join(map(v.pieces.__getitem__, ids))[1:].decode()
 
 
+def _encoded(v: Vocabulary, batch: pa.RecordBatch, seed: int) -> pa.RecordBatch:
+    found = sample_pieces(v, batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), seed)
+    ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
+    flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))], ["doc_id", "pieces"])
+
+
+def _decoded(v: Vocabulary, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, 500):
+        part = batch.slice(at, 500)
+        lists = part.column("pieces")
+        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+        texts = [None if no else join_pieces(v, flat[a:b].tolist()) for a, b, no in zip(ends, ends[1:], lists.is_null().to_pylist(), strict=False)]
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("pieces"), pa.array(texts, pa.string())], ["doc_id", "pieces", "decoded"])
+
+
+def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def encode_documents(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
     """``doc_id`` and ``pieces``, the sampled ids, for every row; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 1 << 20):
-            found = sample_pieces(v, batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), seed)
-            ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))], ["doc_id", "pieces"])
+            yield _encoded(v, batch, seed)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(run), "doc_id long, pieces array<int>")
+    return _keyed(docs, key, text).mapInArrow(trimmed(run), "doc_id long, pieces array<int>")
 
 
 def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
@@ -251,11 +268,16 @@ def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                lists = part.column("pieces")
-                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
-                texts = [None if no else join_pieces(v, flat[a:b].tolist()) for a, b, no in zip(ends, ends[1:], lists.is_null().to_pylist(), strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("pieces"), pa.array(texts, pa.string())], ["doc_id", "pieces", "decoded"])
+            yield from _decoded(v, batch)
 
     return encoded.select("doc_id", "pieces").mapInArrow(trimmed(run), "doc_id long, pieces array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
+    """``encode_documents`` and ``decode_documents`` in one worker: half as many hold the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 1 << 20):
+            yield from _decoded(v, _encoded(v, batch, seed))
+
+    return _keyed(docs, key, text).mapInArrow(trimmed(run), "doc_id long, pieces array<int>, decoded string")

@@ -200,3 +200,9 @@ def test_pipeline_stages(spark, docs):
             assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         rows_ = spark.createDataFrame([tuple(r) for r in out.collect()], out.schema)
     assert rows_.count() > 0
+
+
+def test_round_trip_is_encoding_and_decoding(docs):
+    v = pieces.load_vocabulary()
+    rows = lambda df: sorted((str(r.doc_id), list(r.pieces), r.decoded) for r in df.collect())
+    assert rows(pieces.round_trip(docs, v)) == rows(pieces.decode_documents(pieces.encode_documents(docs, v), v))
