@@ -66,6 +66,10 @@ def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 6))
 
 
+def op8_lm_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir), order=3).withColumn("log_score", F.round("log_score", 6))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = pieces.load_vocabulary()
     found = pieces.decode_documents(pieces.encode_documents(documents(spark, sf_dir), v), v)
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_debruijn": op6_debruijn,
     "op7_language_id": op7_language_id,
     "op8_lm_scores": op8_lm_scores,
+    "op8_lm_trigrams": op8_lm_trigrams,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
 }
