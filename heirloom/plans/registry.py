@@ -27,6 +27,8 @@ ORACLE: dict[str, str] = {}
 #: Family sentences made of the parts table, in SQL that Spark and DuckDB both read.
 KIN_TEXT = """select c.k as k, concat(c.nm,' (',cast(c.y as string),'-',cast(c.y+60 as string),') was child of ',a.nm,' (',cast(a.y as string),'-',
 cast(a.y+50 as string),') and ',b.nm,'. ',a.nm,' is married to ',b.nm,'.') as text from {p} c join {p} a on a.k=(c.k*7+1) % c.n join {p} b on b.k=(c.k*11+3) % c.n where c.k % 4 = 0"""
+#: The same with a sentence of every row.
+KIN_TEXT_WHOLE = KIN_TEXT.removesuffix(" where c.k % 4 = 0")
 KIN_PART = "select p_partkey as k, concat(upper(p_name),' ',p_type) as nm, 1500 + cast(p_partkey % 300 as int) as y, (select count(*) from part) as n from part"
 #: Edges with a few cycles, a self-loop and shared parents.
 KIN_EDGES = "select cast((k*k+1) % n as bigint) as src, k as tgt from (select p_partkey as k, (select count(*) from part) as n from part) union all select cast(0 as bigint), cast(0 as bigint)"
@@ -46,11 +48,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def kin_text(spark: SparkSession, d: str) -> DataFrame:
+def kin_text(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    """Sentences of every fourth row of part, as the SQL of KIN_TEXT has it, or of every row."""
     p = table(spark, d, "part")
     n = p.count()
     q = p.select(F.col("p_partkey").alias("k"), F.concat(F.upper("p_name"), F.lit(" "), "p_type").alias("nm"), (1500 + (F.col("p_partkey") % 300).cast("int")).alias("y"))
-    c = q.where("k % 4 = 0").withColumns({"ka": (F.col("k") * 7 + 1) % n, "kb": (F.col("k") * 11 + 3) % n})
+    c = (q if whole else q.where("k % 4 = 0")).withColumns({"ka": (F.col("k") * 7 + 1) % n, "kb": (F.col("k") * 11 + 3) % n})
     a, b = q.select(F.col("k").alias("ka"), F.col("nm").alias("na"), F.col("y").alias("ya")), q.select(F.col("k").alias("kb"), F.col("nm").alias("nb"))
     text = F.format_string("%s (%d-%d) was child of %s (%d-%d) and %s. %s is married to %s.", "nm", "y", F.col("y") + 60, "na", "ya", F.col("ya") + 50, "nb", "na", "nb")
     return c.join(a, "ka").join(b, "kb").select("k", text.alias("text"))
@@ -77,6 +80,7 @@ def q(s: str) -> str:
 
 
 _KIN = f"p as ({KIN_PART}), kin as ({KIN_TEXT.format(p='p')})"
+_KIN_WHOLE = f"p as ({KIN_PART}), kin as ({KIN_TEXT_WHOLE.format(p='p')})"
 _STRIP = "[ ,.;:!?\\t\\n\"''`«»“”()\\[\\]{}]+"
 _NOISE = "|".join(V.NOISE_SUFFIXES)
 
@@ -130,8 +134,8 @@ _CYCLE = ", reach(a, b) as (select src, tgt from e0 union select r.a, e.tgt from
 
 
 @query(f"with {_KIN} select k, text from kin")
-def kin_text_view(spark, d):
-    return kin_text(spark, d)
+def kin_text_view(spark, d, whole=False):
+    return kin_text(spark, d, whole)
 
 
 @query(f"select doc_id, md5({_norm('text')}) as normalized_md5 from documents")
@@ -179,8 +183,8 @@ def src_parser_routing(spark, d):
 
 
 @query(f"with {_CLAIMS} select k, pattern_no, match_no, claim_type, quote, nullif(name1,'') as name1, birth1, death1, nullif(name2,'') as name2, birth2, death2, nullif(name3,'') as name3, birth3, death3 from claims")
-def nlp_claims(spark, d):
-    c = C.extract_claims(kin_text(spark, d))
+def nlp_claims(spark, d, whole=False):
+    c = C.extract_claims(kin_text(spark, d, whole))
     return c.select("k", "pattern_no", "match_no", "claim_type", "quote", *[f"{x}{i}" for i in (1, 2, 3) for x in ("name", "birth", "death")])
 
 
@@ -194,22 +198,22 @@ def nlp_mentions(spark, d):
 
 
 @query(f"with {_PEOPLE} select person_id, name, normalized, birth_year, death_year from people")
-def gr_people(spark, d):
-    return P.fold_people(C.claim_people(C.extract_claims(kin_text(spark, d))))
+def gr_people(spark, d, whole=False):
+    return P.fold_people(C.claim_people(C.extract_claims(kin_text(spark, d, whole))))
 
 
-def _tree(spark, d):
+def _tree(spark, d, whole=False):
     from heirloom.cut import cut
 
-    claims = cut(C.extract_claims(kin_text(spark, d)))
+    claims = cut(C.extract_claims(kin_text(spark, d, whole)))
     roles = C.claim_people(claims)
     people = cut(P.fold_people(roles))
     return claims, roles, people, P.relationships(claims, roles, people)
 
 
 @query(f"with {_RELS} select src, type, tgt, confidence, support_count from rels")
-def gr_relationships(spark, d):
-    return _tree(spark, d)[3].drop("claim_ids")
+def gr_relationships(spark, d, whole=False):
+    return _tree(spark, d, whole)[3].drop("claim_ids")
 
 
 @query(
@@ -220,22 +224,22 @@ def gr_relationships(spark, d):
     + ", g as (select f.*, type = 'parent_of' and exists (select 1 from e0 where e0.src = f.src and e0.tgt = f.tgt) and exists (select 1 from reach where reach.a = f.tgt and reach.b = f.src) as loop from f) "
     "select src, type, tgt, case when self or odd or many or loop then 'conflict' else 'accepted' end as status, concat_ws(',', case when self then 'self_relationship' end, case when odd then 'implausible_parent_age_gap' end, case when many then 'too_many_parent_relationships' end, case when loop then 'parent_cycle' end) as conflicts from g"
 )
-def gr_conflicts(spark, d):
-    _, _, people, rels = _tree(spark, d)
+def gr_conflicts(spark, d, whole=False):
+    _, _, people, rels = _tree(spark, d, whole)
     return P.validate(rels, people).select("src", "type", "tgt", "status", F.array_join("conflicts", ",").alias("conflicts"))
 
 
 #: Roles whose person is taken out of the people, so that they stay unresolved.
 @query(f"with {_PEOPLE} select 'unresolved_claim_person' as conflict_type, concat('claim-', k, '-', pattern_no, '-', match_no, '-', role) as key from roles where length(normalized) % 5 = 0")
-def gr_unresolved(spark, d):
-    _, roles, people, rels = _tree(spark, d)
+def gr_unresolved(spark, d, whole=False):
+    _, roles, people, rels = _tree(spark, d, whole)
     fewer = people.where("length(normalized) % 5 <> 0")
     return P.conflicts(P.validate(rels.where("false"), fewer), roles, fewer).select("conflict_type", "key")
 
 
 @query(None)
 def doc_kinds(spark, d):
-    claims, roles, people, rels = _tree(spark, d)
+    claims, roles, people, rels = _tree(spark, d, True)
     rels = P.validate(rels, people)
     m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name"), "mention_no": F.col("match_no") * 4 + F.col("role")})
     docs = D.family_documents(P.families(rels, "accepted"), people).unionByName(D.conflict_documents(P.conflicts(rels, roles, people))).unionByName(D.mention_documents(m)).unionByName(D.resolution_documents(P.resolve_mentions(m, people)))
@@ -260,14 +264,14 @@ def gr_components_whole(spark, d):
 
 
 @query(f"with {_RELS}, of_child as (select tgt, string_agg(distinct src, ',' order by src) as parents from rels where type = 'parent_of' group by 1) select parents, count(*) as n_children from of_child group by 1 union all select concat(src, ',', tgt), 0 from (select distinct src, tgt from rels where type = 'spouse_of') where concat(src, ',', tgt) not in (select parents from of_child)")
-def gr_families(spark, d):
-    f = P.families(_tree(spark, d)[3])
+def gr_families(spark, d, whole=False):
+    f = P.families(_tree(spark, d, whole)[3])
     return f.select(F.array_join("parent_ids", ",").alias("parents"), F.size("child_ids").cast("long").alias("n_children"))
 
 
 @query(f"with {_PEOPLE}, c as (select r.k, r.pattern_no, r.match_no, r.role, count(distinct p.person_id) as every, count(distinct case when coalesce(r.birth_year = p.birth_year, true) and coalesce(r.death_year = p.death_year, true) then p.person_id end) as fit from roles r left join people p using (normalized) group by 1, 2, 3, 4) select case when every = 0 then 'no_matching_person' when fit = 0 then 'year_mismatch' when fit > 1 then 'multiple_matching_people' else 'resolved' end as outcome, count(*) as n from c group by 1")
-def gr_resolution(spark, d):
-    _, roles, people, _ = _tree(spark, d)
+def gr_resolution(spark, d, whole=False):
+    _, roles, people, _ = _tree(spark, d, whole)
     m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name")})
     return P.resolve_mentions(m, people).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
@@ -427,10 +431,10 @@ def llm_completion(spark, d):
 
 @query(None)
 def ret_graph(spark, d):
-    claims, _, people, rels = _tree(spark, d)
+    claims, _, people, rels = _tree(spark, d, True)
     rels = P.validate(rels, people)
     name = people.orderBy("person_id").limit(1).first()
-    docs = D.person_documents(people, rels).unionByName(D.relationship_documents(rels, people)).unionByName(D.claim_documents(claims)).unionByName(D.chunk_documents(kin_text(spark, d)))
+    docs = D.person_documents(people, rels).unionByName(D.relationship_documents(rels, people)).unionByName(D.claim_documents(claims)).unionByName(D.chunk_documents(kin_text(spark, d, True)))
     asked = R.resolve_query(people, f"Who are {name['name'] if name else 'x'} parents and relations connected?")
     graph = R.graph_ranked(docs, rels, asked)
     rest = R.lexical_scores(docs, name["name"] if name else "x", kind="kind").join(graph.select("document_id"), "document_id", "left_anti")
@@ -439,24 +443,37 @@ def ret_graph(spark, d):
 
 @query(None)
 def out_dot(spark, d):
-    _, _, people, rels = _tree(spark, d)
+    _, _, people, rels = _tree(spark, d, True)
     return sinks.dot_lines(people, P.families(P.validate(rels, people), "accepted"))
 
 
 @query(None)
 def out_gedcom(spark, d):
-    _, _, people, rels = _tree(spark, d)
+    _, _, people, rels = _tree(spark, d, True)
     return sinks.gedcom_lines(people, P.families(P.validate(rels, people), "accepted"))
 
 
 @query(f"with {_RELS} select r.tgt as child_id, c.name as child, p.name as parent, r.support_count from rels r join people c on c.person_id = r.tgt join people p on p.person_id = r.src where r.type = 'parent_of'")
-def tree_parents(spark, d):
+def tree_parents(spark, d, whole=False):
     """Who are the parents of each person: from text to named relationships."""
-    _, _, people, rels = _tree(spark, d)
+    _, _, people, rels = _tree(spark, d, whole)
     name = people.select("person_id", "name")
     r = rels.where("type = 'parent_of'").join(name.select(F.col("person_id").alias("tgt"), F.col("name").alias("child")), "tgt").join(name.select(F.col("person_id").alias("src"), F.col("name").alias("parent")), "src")
     return r.select(F.col("tgt").alias("child_id"), "child", "parent", "support_count")
 
 
+def _register_whole(f) -> None:
+    def run(spark, d):
+        return f(spark, d, whole=True)
+
+    run.__name__ = f"{f.__name__}_whole"
+    query(ORACLE[f.__name__].replace(_KIN, _KIN_WHOLE))(run)
+
+
+#: The queries above read every fourth sentence, as their SQL does; these read all.
+for _f in (kin_text_view, nlp_claims, gr_people, gr_relationships, gr_conflicts, gr_unresolved, gr_families, gr_resolution, tree_parents):
+    _register_whole(_f)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree_parents(spark, sf_dir)
+    return tree_parents(spark, sf_dir, whole=True)
