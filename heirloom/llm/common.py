@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The whitespace that separates words everywhere in this subpackage.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +20,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def column(name: str) -> Column:
+    """A column by its plain name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def spare(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
@@ -80,3 +96,22 @@ def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
 
 
 MapArrow = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def add_columns(docs: DataFrame, text: str, new: dict[str, T.DataType], compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """``docs`` and the columns ``new``, computed from batches of ``text``; input columns of these names are replaced."""
+    gone = {n.lower() for n in new}
+    passed = [c for c in docs.columns if c.lower() not in gone]
+    if text not in passed:
+        raise ValueError(f"{text!r} would be replaced")
+    # Working names: Arrow functions do not take every name that a column can have.
+    d = docs.select(*[column(c).alias(f"c{i}") for i, c in enumerate(passed)])
+    body = f"c{passed.index(text)}"
+    names = [f"n{i}" for i in range(len(new))]
+    schema = T.StructType([*d.schema.fields, *[T.StructField(n, kind) for n, kind in zip(names, new.values(), strict=True)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, body):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column(body))], schema.names)
+
+    return d.mapInArrow(trimmed(run), schema).toDF(*passed, *new)

@@ -24,7 +24,10 @@ from heirloom.cut import cut
 from heirloom.llm import exchange as X
 from heirloom.llm import kernels as K
 from heirloom.llm.common import WORD, as_bytes
-from heirloom.llm.suffix_dedup import _bits, _ids, _seen_twice
+from heirloom.llm.suffix_dedup import _ids
+
+#: Distinct pieces of one minimizer beyond which its edges travel one by one.
+HOT = 4096
 
 
 class Pieces:
@@ -64,16 +67,20 @@ class Pieces:
         return owners[np.searchsorted(self.base[owners], s, "right") - 1]
 
 
-def _minimizers(p: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct minimizers, sorted, and which of them have two pieces or a piece with a repeated edge."""
-    t = np.sort(p.minimizer)
+def _minimizers(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct minimizers, sorted, which of them have two pieces or a piece with a repeated edge, and the number of distinct pieces of each."""
+    order = np.lexsort((p.hash, p.minimizer))
+    t, h = p.minimizer[order], p.hash[order]
     starts = K.group_starts(t)
+    if not len(t):
+        return t, np.zeros(0, bool), np.zeros(0, np.int64)
     many = np.diff(np.append(starts, len(t))) > 1
-    if len(t):
-        # A run longer than an edge has seed places may walk in a circle.
-        loops = np.unique(p.minimizer[p.count > 1][_walks_twice(p.edges, p.at[p.count > 1], p.count[p.count > 1])])
-        many |= np.isin(t[starts], loops, assume_unique=True)
-    return t[starts], many
+    # A run longer than an edge has seed places may walk in a circle.
+    loops = np.unique(p.minimizer[p.count > 1][_walks_twice(p.edges, p.at[p.count > 1], p.count[p.count > 1])])
+    many |= np.isin(t[starts], loops, assume_unique=True)
+    fresh = np.ones(len(t), np.int64)
+    fresh[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
+    return t[starts], many, np.add.reduceat(fresh, starts)
 
 
 def _walks_twice(edges: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -88,10 +95,48 @@ def _walks_twice(edges: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.nda
     return twice
 
 
-def _ask(p: Pieces, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
-    t, many = _minimizers(p)
-    at = X.bucket_bounds(t, buckets)
-    return [(b, chunk, np.int64(hi - lo).tobytes() + np.packbits(many[lo:hi]).tobytes() + X.pack_sorted(t[lo:hi])) for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)) if hi > lo]
+class _Edges:
+    """The edges of pieces with a hot minimizer: the distinct ones with their earliest (document, start) in the chunk."""
+
+    def __init__(self, p: Pieces, hot: np.ndarray, ids: np.ndarray):
+        self.runs = np.nonzero(hot)[0]
+        n = p.count[self.runs]
+        self.place = K.ragged(p.at[self.runs], n)
+        e, m = p.edges[self.place], np.repeat(p.minimizer[self.runs], n)
+        doc, start = np.repeat(ids[p.doc[self.runs]], n), np.repeat(p.start[self.runs], n) + K.ragged(np.zeros(len(n), np.int64), n)
+        order = np.lexsort((start, doc, m, e))
+        starts = K.group_starts(e[order], m[order])
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+        head = order[starts]
+        self.edge, self.minimizer, self.doc, self.start = e[head], m[head], doc[head], start[head]
+
+    def ask(self, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
+        """Letters to buckets after those of the pieces; a size below 0 marks them."""
+        return [
+            (buckets + b, chunk, np.int64(lo - hi).tobytes() + X.pack_sorted(self.edge[lo:hi]) + self.minimizer[lo:hi].tobytes() + self.doc[lo:hi].tobytes() + self.start[lo:hi].astype(np.int64).tobytes())
+            for b, lo, hi in X.runs_by_bucket(self.edge, buckets)
+        ]
+
+    def sources(self, mail: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of all these edges, and the source document and start of each."""
+        doc, start = np.zeros(len(self.edge), np.int64), np.zeros(len(self.edge), np.int64)
+        for b, lo, hi in X.runs_by_bucket(self.edge, buckets):
+            doc[lo:hi], start[lo:hi] = np.frombuffer(mail[buckets + b], np.int64).reshape(2, -1)
+        return self.place, doc[self.of], start[self.of]
+
+
+def _earliest_edges(blobs: list[bytes]) -> list[bytes]:
+    """The source of each edge asked about one by one."""
+    sizes = [-int(np.frombuffer(b, np.int64, 1)[0]) for b in blobs]
+    e = np.concatenate([X.unpack_sorted(b[8 : 8 + 8 * n], n) for b, n in zip(blobs, sizes, strict=True)])
+    m, doc, start = (np.concatenate([np.frombuffer(b, kind, n, 8 + 8 * n * k) for b, n in zip(blobs, sizes, strict=True)]) for k, kind in ((1, np.uint64), (2, np.int64), (3, np.int64)))
+    order = np.lexsort((start, doc, m, e))
+    starts = K.group_starts(e[order], m[order])
+    width = np.diff(np.append(starts, len(order)))
+    doc[order], start[order] = np.repeat(doc[order][starts], width), np.repeat(start[order][starts], width)
+    cuts = np.cumsum(sizes)[:-1]
+    return [a.tobytes() + b.tobytes() for a, b in zip(np.split(doc, cuts), np.split(start, cuts), strict=True)]
 
 
 class _Distinct:
@@ -109,24 +154,19 @@ class _Distinct:
 
 
 def _spell(p: Pieces, d: _Distinct, ids: np.ndarray, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
-    at = X.bucket_bounds(d.minimizer, buckets)
     rows = []
-    for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        if hi > lo:
-            head = d.head[lo:hi]
-            edges = p.edges[K.ragged(p.at[head], p.count[head])]
-            rows.append(
-                (
-                    b,
-                    chunk,
-                    np.int64(hi - lo).tobytes() + X.pack_sorted(d.minimizer[lo:hi]) + p.count[head].astype(np.uint32).tobytes() + ids[p.doc[head]].tobytes() + p.start[head].astype(np.int64).tobytes() + edges.tobytes(),
-                )
-            )
+    for b, lo, hi in X.runs_by_bucket(d.minimizer, buckets):
+        head = d.head[lo:hi]
+        edges = p.edges[K.ragged(p.at[head], p.count[head])]
+        blob = np.int64(hi - lo).tobytes() + X.pack_sorted(d.minimizer[lo:hi]) + p.count[head].astype(np.uint32).tobytes() + ids[p.doc[head]].tobytes() + p.start[head].astype(np.int64).tobytes() + edges.tobytes()
+        rows.append((b, chunk, blob))
     return rows
 
 
 def _earliest(blobs: list[bytes]) -> list[bytes]:
     """For each piece asked about, the source of its first edge, or of each edge where pieces differ."""
+    if np.frombuffer(blobs[0], np.int64, 1)[0] < 0:
+        return _earliest_edges(blobs)
     parts: list[list[np.ndarray]] = [[] for _ in range(5)]
     sizes = []
     for b in blobs:
@@ -175,19 +215,17 @@ def _earliest(blobs: list[bytes]) -> list[bytes]:
 
 def _sources(p: Pieces, d: _Distinct, mail: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of all chosen edges in the chunk, and the source document and start of each."""
-    at = X.bucket_bounds(d.minimizer, buckets)
     n = len(d.minimizer)
     doc, start, split = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
     docs, starts = [], []
-    for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        if hi > lo:
-            z, m = hi - lo, -(-(hi - lo) // 8)
-            split[lo:hi] = np.unpackbits(np.frombuffer(mail[b], np.uint8, m), count=z)
-            doc[lo:hi] = np.frombuffer(mail[b], np.int64, z, m)
-            start[lo:hi] = np.frombuffer(mail[b], np.int64, z, m + 8 * z)
-            rest = np.frombuffer(mail[b][m + 16 * z :], np.int64)
-            docs.append(rest[: len(rest) // 2])
-            starts.append(rest[len(rest) // 2 :])
+    for b, lo, hi in X.runs_by_bucket(d.minimizer, buckets):
+        z, m = hi - lo, -(-(hi - lo) // 8)
+        split[lo:hi] = np.unpackbits(np.frombuffer(mail[b], np.uint8, m), count=z)
+        doc[lo:hi] = np.frombuffer(mail[b], np.int64, z, m)
+        start[lo:hi] = np.frombuffer(mail[b], np.int64, z, m + 8 * z)
+        rest = np.frombuffer(mail[b][m + 16 * z :], np.int64)
+        docs.append(rest[: len(rest) // 2])
+        starts.append(rest[len(rest) // 2 :])
     none = np.zeros(0, np.int64)
     each_doc, each_start = (np.concatenate(x) if x else none for x in (docs, starts))
     width = np.where(split, p.count[d.head], 0)
@@ -204,7 +242,7 @@ def _sources(p: Pieces, d: _Distinct, mail: dict[int, bytes], buckets: int) -> t
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, seed: int = 5, carry: tuple[str, ...] = ("doc_id",), each: int = X.CHUNK
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, seed: int = 5, carry: tuple[str, ...] = ("doc_id",), each: int = X.CHUNK, hot: int = HOT
 ) -> DataFrame:
     """Remove every word covered by a ``window``-word string that also starts earlier.
 
@@ -217,24 +255,29 @@ def remove_repeats(
     one document whose starts coincide: the same window at the same start is no
     earlier one.  Input columns of the result's names are replaced.
     """
-    carry = tuple(dict.fromkeys(c for c in carry if c not in ("n_words", "n_removed", "kept", "spans")))
-    d, buckets = X.chunked(docs.select(*dict.fromkeys((key, text, *carry))), key, text, each)
+    carry = X.result_names(carry, {"n_words", "n_removed", "kept", "spans"})
+    d, buckets = X.chunked(docs, key, text, carry, each)
 
     def read(t: pa.Table) -> tuple[list[bytes], Pieces, np.ndarray, int]:
-        blobs = as_bytes(t.column(text))
-        return blobs, Pieces(blobs, window, seed), _ids(t, key), t.column("_chunk")[0].as_py() if t.num_rows else -1
+        blobs = as_bytes(t.column("text"))
+        return blobs, Pieces(blobs, window, seed), _ids(t, "key"), t.column("chunk")[0].as_py() if t.num_rows else -1
 
-    def chosen(p: Pieces, mail: dict[int, bytes]) -> np.ndarray:
-        found, _ = _minimizers(p)
-        return _bits(found, mail, buckets)[np.searchsorted(found, p.minimizer)] if len(found) else np.zeros(0, bool)
+    def chosen(p: Pieces, mail: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each piece: whether it travels whole, and whether its edges travel one by one."""
+        found, _, _ = _minimizers(p)
+        if not len(found):
+            return np.zeros(0, bool), np.zeros(0, bool)
+        twice, many = (x[np.searchsorted(found, p.minimizer)] for x in X.read_census(found, mail, buckets))
+        return twice & ~many, twice & many
 
     def ask(t: pa.Table) -> list[tuple[int, int, bytes]]:
         _, p, _, chunk = read(t)
-        return _ask(p, chunk, buckets)
+        return X.ask_census(*_minimizers(p), chunk, buckets)
 
     def spell(t: pa.Table, mail: dict[int, bytes]) -> pa.Table:
         _, p, ids, chunk = read(t)
-        return X.letters(_spell(p, _Distinct(p, chosen(p, mail), ids), ids, chunk, buckets))
+        whole, single = chosen(p, mail)
+        return X.letters(_spell(p, _Distinct(p, whole, ids), ids, chunk, buckets) + _Edges(p, single, ids).ask(chunk, buckets))
 
     def remove(t: pa.Table, mail: dict[int, bytes]) -> pa.Table:
         blobs, p, ids, _ = read(t)
@@ -242,8 +285,12 @@ def remove_repeats(
         gone = np.zeros(total, bool)
         spans: list[list[dict]] = [[] for _ in blobs]
         if mail and len(p.minimizer):
-            pieces = _Distinct(p, chosen(p, {b >> 1: m for b, m in mail.items() if not b & 1}), ids)
-            place, src_doc, src_start = _sources(p, pieces, {b >> 1: m for b, m in mail.items() if b & 1}, buckets)
+            first, second = X.two_rounds(mail)
+            whole, single = chosen(p, first)
+            sources = (_sources(p, _Distinct(p, whole, ids), second, buckets), _Edges(p, single, ids).sources(second, buckets))
+            place, src_doc, src_start = (np.concatenate(x) for x in zip(*sources, strict=True))
+            order = np.argsort(place, kind="stable")
+            place, src_doc, src_start = place[order], src_doc[order], src_start[order]
             owners = np.nonzero(p.counts > 0)[0]
             own = owners[np.searchsorted(p.base[owners], place, "right") - 1]
             again = (src_doc != ids[own]) | (src_start != place - p.base[own])
@@ -265,13 +312,12 @@ def remove_repeats(
             kept.append(b" ".join(w for w, x in zip(words, f.tolist(), strict=True) if not x) if removed[-1] else b" ".join(words))
         kind = pa.list_(pa.struct([("word", pa.int64()), ("edges", pa.int64()), ("src_key", pa.int64()), ("src_word", pa.int64())]))
         new = {"n_words": pa.array(p.counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary()), "spans": pa.array(spans, kind)}
-        return pa.table({c: t.column(c) for c in carry} | new)
+        return pa.table({f"c{i}": t.column(f"c{i}") for i in range(len(carry))} | new)
 
-    seen = X.answer(X.send(d, ask), _seen_twice)
+    seen = X.answer(X.send(d, ask), lambda blobs: X.census(blobs, hot))
     spelled = X.answer(X.meet(d, seen, spell, X.LETTER), _earliest)
-    both = seen.selectExpr("bucket * 2 as bucket", "chunk", "blob").union(spelled.selectExpr("bucket * 2 + 1 as bucket", "chunk", "blob"))
-    schema = X.schema_of(docs, list(carry)) + ", n_words long, n_removed long, kept binary, spans array<struct<word:long,edges:long,src_key:long,src_word:long>>"
-    return X.meet(d, both, remove, schema)
+    schema = X.carried(docs, carry) + "n_words long, n_removed long, kept binary, spans array<struct<word:long,edges:long,src_key:long,src_word:long>>"
+    return X.named(X.meet(d, X.both(seen, spelled), remove, schema), carry)
 
 
 def unitigs(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 20, times: int = 2, max_rounds: int = 40) -> DataFrame:

@@ -18,24 +18,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heirloom.llm.common import parts_for, total_bytes, trim
+from heirloom.llm.common import column, parts_for, total_bytes, trim
+from heirloom.llm.kernels import group_starts
 
 #: Bytes of text in a chunk.
 CHUNK = 8 << 20
 LETTER = "bucket int, chunk int, blob binary"
 
 
-def chunked(docs: DataFrame, key: str = "doc_id", text: str = "text", each: int = CHUNK) -> tuple[DataFrame, int]:
-    """``docs`` with a column ``_chunk``, and the number of chunks."""
-    n_bytes = total_bytes(docs, text)
+def chunked(docs: DataFrame, key: str, text: str, carry: tuple[str, ...], each: int = CHUNK) -> tuple[DataFrame, int]:
+    """``chunk, key, text, c0, c1, ...`` (the columns to carry, whatever their names), and the number of chunks.
+
+    Rows are dealt by key and text together, so that rows of one key, or of none, spread like others.
+    """
+    d = docs.select(column(key).cast("long").alias("key"), column(text).alias("text"), *[column(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    n_bytes = total_bytes(d, "text")
     n = max(parts_for(n_bytes, each), min(48, parts_for(n_bytes, 1 << 18)))
-    return docs.withColumn("_chunk", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n
+    return d.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(n)).cast("int")), n
+
+
+def carried(docs: DataFrame, carry: tuple[str, ...]) -> str:
+    """The schema of the carried columns under their working names."""
+    return "".join(f"c{i} {docs.select(column(c)).dtypes[0][1]}, " for i, c in enumerate(carry))
+
+
+def named(found: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """Carried columns under their own names, then the results."""
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], *found.columns[len(carry) :])
+
+
+def result_names(carry: tuple[str, ...], new: set[str]) -> tuple[str, ...]:
+    """The columns to carry beside results of the names ``new``; names are compared as Spark does, without case."""
+    return tuple(dict.fromkeys(c for c in carry if c.lower() not in new))
+
+
+def bucket_of(values: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal hash ranges each value lies in."""
+    return ((values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def bucket_bounds(values: np.ndarray, n: int) -> np.ndarray:
-    """Where each of ``n`` equal hash ranges begins in sorted ``values``; ``n + 1`` places."""
-    inner = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(values, inner), [len(values)]))
+def runs_by_bucket(values: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Bucket, begin and end of each run of sorted ``values``; buckets without any do not appear."""
+    b = bucket_of(values, n)
+    at = group_starts(b)
+    return list(zip(b[at].tolist(), at.tolist(), [*at[1:].tolist(), len(b)], strict=True)) if len(b) else []
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -63,7 +89,7 @@ def send(chunks: DataFrame, ask: Callable[[pa.Table], list[tuple[int, int, bytes
         finally:
             trim()
 
-    return chunks.groupBy("_chunk").applyInArrow(group, LETTER)
+    return chunks.groupBy("chunk").applyInArrow(group, LETTER)
 
 
 def answer(questions: DataFrame, reply: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
@@ -92,9 +118,53 @@ def meet(chunks: DataFrame, answers: DataFrame, then: Callable[[pa.Table, dict[i
         finally:
             trim()
 
-    mail = answers.select(F.col("chunk").alias("_chunk"), "bucket", "blob")
-    return chunks.groupBy("_chunk").cogroup(mail.groupBy("_chunk")).applyInArrow(group, schema)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(group, schema)
+
+
+def ask_census(values: np.ndarray, many: np.ndarray, counts: np.ndarray, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
+    """Ask of each of the chunk's sorted ``values`` whether other chunks have it, or one with ``many``, and whether it is hot.
+
+    ``counts`` says how often the value counts in this chunk, 255 at most.
+    """
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return [(b, chunk, np.int64(hi - lo).tobytes() + np.packbits(many[lo:hi]).tobytes() + small[lo:hi].tobytes() + pack_sorted(values[lo:hi])) for b, lo, hi in runs_by_bucket(values, buckets)]
+
+
+def census(blobs: list[bytes], hot: int) -> list[bytes]:
+    """For each value of each blob two bits: it was marked or came in another blob too; its counts sum to more than ``hot``."""
+    values, marks, counts, sizes = [], [], [], []
+    for b in blobs:
+        n = int(np.frombuffer(b, np.int64, 1)[0])
+        m = -(-n // 8)
+        marks.append(np.unpackbits(np.frombuffer(b, np.uint8, m, 8), count=n).astype(bool))
+        counts.append(np.frombuffer(b, np.uint8, n, 8 + m))
+        values.append(unpack_sorted(b[8 + m + n :], n))
+        sizes.append(n)
+    v, m, c = np.concatenate(values), np.concatenate(marks), np.concatenate(counts)
+    order = np.argsort(v, kind="stable")
+    starts = group_starts(v[order])
+    width = np.diff(np.append(starts, len(v)))
+    twice, many = np.zeros(len(v), bool), np.zeros(len(v), bool)
+    twice[order] = np.repeat((width > 1) | (np.add.reduceat(m[order].astype(np.int64), starts) > 0), width)
+    many[order] = np.repeat(np.add.reduceat(c[order].astype(np.int64), starts) > hot, width)
+    cuts = np.cumsum(sizes)[:-1]
+    return [np.packbits(a).tobytes() + np.packbits(b).tobytes() for a, b in zip(np.split(twice, cuts), np.split(many, cuts), strict=True)]
+
+
+def read_census(values: np.ndarray, mail: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two answers of ``census``, in the order of the sorted ``values`` asked for."""
+    twice, hot = np.zeros(len(values), bool), np.zeros(len(values), bool)
+    for b, lo, hi in runs_by_bucket(values, buckets):
+        bits = np.frombuffer(mail[b], np.uint8).reshape(2, -1)
+        twice[lo:hi], hot[lo:hi] = (np.unpackbits(x, count=hi - lo) for x in bits)
+    return twice, hot
+
+
+def two_rounds(mail: dict[int, bytes]) -> tuple[dict[int, bytes], dict[int, bytes]]:
+    """Mail that ``both`` has united, by round."""
+    return {b >> 1: m for b, m in mail.items() if not b & 1}, {b >> 1: m for b, m in mail.items() if b & 1}
 
 
-def schema_of(docs: DataFrame, names: list[str]) -> str:
-    return ", ".join(f"`{n}` {t}" for n, t in docs.select(*names).dtypes)
+def both(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The answers of two rounds in one table."""
+    return first.selectExpr("bucket * 2 as bucket", "chunk", "blob").union(second.selectExpr("bucket * 2 + 1 as bucket", "chunk", "blob"))

@@ -4,29 +4,32 @@
 text, for two primes below 2**31.  Any two spans compare in constant time, and
 the longest common extension of two places is found by binary search.
 
-A fingerprint keeps a few values of these arrays: the hash of the whole text,
-the hashes of a ladder of prefixes and of suffixes whose lengths grow by a
-quarter of an octave, and the smallest hashes of all spans of 16 characters.
-The likeness of two fingerprints is the larger of (a) the share of the longer
-text that the common prefix and suffix cover, each found by binary search on
-the ladders, and (b) the bottom-k estimate of the spans in common.
+A fingerprint keeps the prefix array itself, at places a power of two apart,
+counted from the start and again from the end, besides the hash of the whole text
+and the smallest hashes of all spans of 16 characters.  So two fingerprints answer
+span equality at these places too.  Their likeness is the larger of (a) the share
+of the longer text that the longest common prefix and suffix cover, found by
+binary search over the places that both have, and (b) the bottom-k estimate of the
+spans in common.  Beside it stand the exact extensions of the texts, by binary
+search over their full prefix arrays.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heirloom.llm.common import batches_of, small_batches, trimmed
+from heirloom.llm.common import batches_of, column, small_batches, trimmed
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 998244353)
-LADDER = np.array(sorted({int(2 ** (j / 4)) for j in range(4 * 40)}), np.int64)
+#: A fingerprint has this many places at most, and more than half as many of a text that is long enough.
+PLACES = 64
 SPAN, SKETCH = 16, 16
 
 
@@ -78,24 +81,22 @@ class PrefixHashes:
         s, e = np.array([start]), np.array([end])
         return int(self.spans(s, e, 0)[0]), int(self.spans(s, e, 1)[0])
 
-    def lce(self, at: int, other: PrefixHashes, there: int) -> int:
-        """Length of the longest common extension of two places."""
-        low, high = 0, min(self.n - at, other.n - there)
-        while low < high:
-            mid = (low + high + 1) // 2
-            if self.span(at, at + mid) == other.span(there, there + mid):
-                low = mid
-            else:
-                high = mid - 1
-        return low
+    def lce(self, at: np.ndarray, there: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length of the longest common extension of each pair of places, ``most`` at most."""
+        return self._search(most, lambda n: (at, at + n, there, there + n))
 
+    def lce_back(self, at: np.ndarray, there: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """The same to the left of each pair of places."""
+        return self._search(most, lambda n: (at - n, at, there - n, there))
 
-def _hex24(values: np.ndarray) -> np.ndarray:
-    """The low 24 bits of each value as three bytes."""
-    out = np.empty((len(values), 3), np.uint8)
-    for k in range(3):
-        out[:, k] = (values >> np.uint64(16 - 8 * k)).astype(np.uint8)
-    return out
+    def _search(self, most: np.ndarray, ends: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> np.ndarray:
+        low, high = np.zeros(len(most), np.int64), most.astype(np.int64)
+        while (low < high).any():
+            mid = (low + high + 1) // 2
+            a, b, c, d = ends(mid)
+            same = (self.spans(a, b, 0) == self.spans(c, d, 0)) & (self.spans(a, b, 1) == self.spans(c, d, 1))
+            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+        return low
 
 
 def _sketch(hashes: np.ndarray) -> np.ndarray:
@@ -107,52 +108,78 @@ def _sketch(hashes: np.ndarray) -> np.ndarray:
     return np.unique(hashes)[:SKETCH]
 
 
+def _stride(n: np.ndarray) -> np.ndarray:
+    """The least power of two that leaves ``PLACES`` places or fewer in ``n`` characters."""
+    over = np.maximum(0, (n - 1) // PLACES)
+    return np.int64(1) << np.ceil(np.log2(over + 1)).astype(np.int64)
+
+
+def _batched(blobs: list[bytes], limit: int) -> Iterator[tuple[int, int, PrefixHashes, np.ndarray, np.ndarray]]:
+    """Runs of UTF-32 texts with the prefix arrays of all, and where each begins and ends there."""
+    for lo, hi in batches_of(blobs, 4 * limit):
+        ends = np.cumsum([len(b) // 4 for b in blobs[lo:hi]], dtype=np.int64)
+        starts = np.concatenate(([0], ends[:-1]))
+        yield lo, hi, PrefixHashes(np.frombuffer(b"".join(blobs[lo:hi]), np.uint32)), starts, ends
+
+
 def fingerprints(texts: list[str], limit: int = 1 << 20) -> list[str]:
-    """The fingerprint of each text: length, whole hash, prefix ladder, suffix ladder and sketch, in hexadecimal."""
+    """The fingerprint of each text: length, whole hash, prefix array from the start, from the end, and sketch, in hexadecimal."""
     out: list[str] = []
-    blobs = [t.encode("utf-32-le") for t in texts]
-    for lo, hi in batches_of(blobs, 4 * limit):
-        ph = PrefixHashes(np.frombuffer(b"".join(blobs[lo:hi]), np.uint32))
-        lens = np.array([len(b) // 4 for b in blobs[lo:hi]], np.int64)
-        ends = np.cumsum(lens)
-        starts = ends - lens
+    for _, _, ph, starts, ends in _batched([t.encode("utf-32-le") for t in texts], limit):
+        lens = ends - starts
         whole = [ph.spans(starts, ends, k) for k in (0, 1)]
-        rungs = np.searchsorted(LADDER, lens, "right")
-        upto = np.cumsum(rungs)
-        of = np.repeat(np.arange(len(lens)), rungs)
-        rung = LADDER[np.arange(len(of)) - np.repeat(upto - rungs, rungs)]
-        head = _hex24(ph.spans(starts[of], starts[of] + rung))
-        tail = _hex24(ph.spans(ends[of] - rung, ends[of]))
+        stride = _stride(lens)
+        places = lens // stride
+        upto = np.cumsum(places)
+        of = np.repeat(np.arange(len(lens)), places)
+        step = (np.arange(len(of)) - np.repeat(upto - places, places) + 1) * stride[of]
+        head = ph.spans(starts[of], starts[of] + step).astype(">u4")
+        tail = ph.spans(ends[of] - step, ends[of]).astype(">u4")
         at = np.arange(max(0, ph.n - SPAN + 1))
         spans = ph.spans(at, at + SPAN, 1) if len(at) else at.astype(np.uint64)
         spans = spans * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
-        for i, (s, e) in enumerate(zip(starts, ends, strict=True)):
-            r = slice(upto[i] - rungs[i], upto[i])
+        for i, (s, e) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+            r = slice(upto[i] - places[i], upto[i])
             low = _sketch(spans[s : max(s, e - SPAN + 1)]).astype(">u4").tobytes().hex()
             out.append(f"{e - s:x}:{whole[0][i]:08x}{whole[1][i]:08x}:{head[r].tobytes().hex()}:{tail[r].tobytes().hex()}:{low}")
     return out
 
 
-def _agree(a: str, b: str) -> int:
-    """The longest ladder length at which two ladders agree, by binary search."""
-    low, high = 0, min(len(a), len(b)) // 6
+def extensions(pairs: list[tuple[str, str]], limit: int = 1 << 20) -> list[tuple[int, int]]:
+    """Of each pair of texts, the length of the longest common prefix, and of the longest common suffix of the rest."""
+    out: list[tuple[int, int]] = []
+    blobs = [(a + b).encode("utf-32-le") for a, b in pairs]
+    for lo, hi, ph, starts, ends in _batched(blobs, limit):
+        middle = starts + np.array([len(a) for a, _ in pairs[lo:hi]], np.int64)
+        most = np.minimum(middle - starts, ends - middle)
+        head = ph.lce(starts, middle, most)
+        out += zip(head.tolist(), ph.lce_back(middle, ends, most - head).tolist(), strict=True)
+    return out
+
+
+def _agree(a: str, b: str, na: int, nb: int) -> int:
+    """The longest common extension of two sampled prefix arrays of texts of ``na`` and ``nb`` characters, by binary search."""
+    sa, sb = (int(_stride(np.int64(n))) for n in (na, nb))
+    stride = max(sa, sb)
+    at = lambda x, s, i: x[8 * (i * stride // s) - 8 : 8 * (i * stride // s)]  # noqa: E731  the prefix of i strides
+    low, high = 0, min(na, nb) // stride
     while low < high:
         mid = (low + high + 1) // 2
-        if a[6 * mid - 6 : 6 * mid] == b[6 * mid - 6 : 6 * mid]:
+        if at(a, sa, mid) == at(b, sb, mid):
             low = mid
         else:
             high = mid - 1
-    return int(LADDER[low - 1]) if low else 0
+    return low * stride
 
 
 def likeness(a: str, b: str) -> float:
     """How alike two fingerprints are, from 0 to 1; 1 only for equal ones."""
     if a == b:
         return 1.0
-    na, _, heada, taila, lowa = a.split(":")
-    nb, _, headb, tailb, lowb = b.split(":")
-    longer = max(int(na, 16), int(nb, 16))
-    covered = (_agree(heada, headb) + _agree(taila, tailb)) / longer
+    ha, _, heada, taila, lowa = a.split(":")
+    hb, _, headb, tailb, lowb = b.split(":")
+    na, nb = int(ha, 16), int(hb, 16)
+    covered = (_agree(heada, headb, na, nb) + _agree(taila, tailb, na, nb)) / max(na, nb)
     sa, sb = ({s[i : i + 8] for i in range(0, len(s), 8)} for s in (lowa, lowb))
     union = sorted(sa | sb)[:SKETCH]
     same = sum(x in sa and x in sb for x in union) / len(union) if union else 0.0
@@ -161,7 +188,7 @@ def likeness(a: str, b: str) -> float:
 
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double, next_id long"
+    "near_edited double, near_next double, next_id long, common_prefix long, common_suffix long"
 )
 
 
@@ -182,6 +209,7 @@ def _pairs_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         edited = [_edit(x[1], y[1]) for x, y in pairs]
         eprints = fingerprints(edited)
         if pairs:
+            common = extensions([(x[1], e) for (x, _), e in zip(pairs, edited, strict=True)])
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array([x[0] for x, _ in pairs], pa.int64()),
@@ -192,52 +220,68 @@ def _pairs_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     "near_edited": [likeness(x[2], e) for (x, _), e in zip(pairs, eprints, strict=True)],
                     "near_next": [likeness(x[2], y[2]) for x, y in pairs],
                     "next_id": pa.array([y[0] for _, y in pairs], pa.int64()),
+                    "common_prefix": pa.array([c[0] for c in common], pa.int64()),
+                    "common_suffix": pa.array([c[1] for c in common], pa.int64()),
                 }
             )
         # A guest ends its range: nothing is paired across it.
         last = None if guests[-1] else rows[-1][:3]
 
 
+#: Ranges of keys at most; each is one sorted, streamed task.
+MOST_RANGES = 16_384
+
+
+def _slot_of(cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are below ``doc_id``: first among every so manieth of them, then among those after it."""
+    each = max(1, int(len(cuts) ** 0.5))
+    blocks = [cuts[i : i + each] for i in range(0, len(cuts), each)]
+    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col("doc_id")))
+    block = F.greatest(below(F.lit([b[0] for b in blocks])), F.lit(1))
+    return (block - 1) * each + below(F.element_at(F.lit(blocks), block))
+
+
 def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", each: int = 2000) -> DataFrame:
     """Fingerprint every document, its edited text and the document that follows it.
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, next_id``, one row per row of ``docs``.  Documents
-    follow one another by ``key``, null keys last, rows of one key by text, the
-    last one by the first.  The edited text keeps the first half and takes the
-    second from the start of the following document.  A null text counts as
-    empty.  Other columns of the input are not read.  One document alone
-    follows itself; no document gives no row.
+    near_edited, near_next, next_id, common_prefix, common_suffix``, one row per
+    row of ``docs``.  Documents follow one another by ``key``, rows of one key by
+    text; rows without a key come last, in the order of a hash of their texts; the
+    last document is followed by the first.  The edited text keeps the first half
+    and takes the second from the start of the following document; the last two
+    columns count the characters that it has in common with the text at the start
+    and, of the rest, at the end.  A null text counts as empty.  Other columns of
+    the input are not read.  One document alone follows itself; no document gives
+    no row.
 
     Texts move once: rows are dealt out by ranges of keys between quantiles, and
     the first document of each range is also sent to the range before it.
     """
-    d = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    n = d.count()
+    d = docs.select(column(key).cast("long").alias("doc_id"), column(text).alias("text"))
+    n, n_null = d.agg(F.count(F.lit(1)), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
     if not n:
         return d.sparkSession.createDataFrame([], RESULT)
-    ranges = max(1, min(9000, n // each))
-    cuts = d.agg(F.percentile_approx("doc_id", [(i + 1) / ranges for i in range(ranges - 1)] or [1.0], 20000)).first()[0]
-    bounds = F.array(*[F.lit(int(c)) for c in sorted({*(cuts or [])})]) if ranges > 1 and cuts else None
-    slot = F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))) if bounds is not None else F.lit(0)
-    d = d.withColumn("slot", F.when(F.col("doc_id").isNull(), F.lit(10_000)).otherwise(slot).cast("int"))
-
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.coalesce("text", F.lit("")))
-    if d.where("doc_id is null").limit(1).count():
-        heads = d.groupBy("slot").agg(F.min(order).alias("o")).select("slot", F.col("o.doc_id").alias("doc_id"), F.col("o.col3").alias("text"))
+    ranges = max(1, min(MOST_RANGES, n // each))
+    cuts = d.agg(F.percentile_approx("doc_id", [(i + 1) / ranges for i in range(ranges - 1)], 2 * MOST_RANGES)).first()[0] if ranges > 1 else None
+    cuts = sorted({*(cuts or [])})
+    slot = _slot_of([int(c) for c in cuts]) if cuts else F.lit(0)
+    # Rows without a key: as many ranges of a hash as their number asks for.
+    free = max(1, min(MOST_RANGES, n_null // each))
+    late = F.lit(len(cuts) + 1) + F.pmod(F.xxhash64("text"), F.lit(free))
+    d = d.withColumn("slot", F.when(F.col("doc_id").isNull(), late).otherwise(slot).cast("int"))
+    # One row per range: what comes first there.
+    first = F.min(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    if n_null:
+        heads = d.groupBy("slot").agg(first.alias("o")).select("slot", "o.doc_id", "o.text")
     else:
-        # One id per range: at most 9000 rows.
         firsts = d.groupBy("slot").agg(F.min("doc_id").alias("doc_id"))
-        heads = d.join(F.broadcast(firsts), ["slot", "doc_id"]).groupBy("slot", "doc_id").agg(
-            F.min(F.coalesce("text", F.lit(""))).alias("text")
-        )
+        heads = d.join(F.broadcast(firsts), ["slot", "doc_id"]).groupBy("slot", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     turn = Window.orderBy("slot")
     slots = heads.select("slot", F.lag("slot").over(turn).alias("before"), F.max("slot").over(Window.partitionBy()).alias("last"))
-    guests = heads.join(F.broadcast(slots), "slot").select(
-        "doc_id", "text", F.coalesce("before", "last").alias("slot"), F.lit(True).alias("guest")
-    )
+    guests = heads.join(F.broadcast(slots), "slot").select("doc_id", "text", F.coalesce("before", "last").alias("slot"), F.lit(True).alias("guest"))
     rows = d.withColumn("guest", F.lit(False)).unionByName(guests)
-    parts = max(1, min(ranges, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2))
+    parts = max(1, min(ranges + free, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2))
     return (
         rows.repartition(parts, "slot")
         .sortWithinPartitions("slot", "guest", F.col("doc_id").asc_nulls_last(), "text")

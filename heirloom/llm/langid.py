@@ -14,12 +14,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heirloom.llm import kernels as K
-from heirloom.llm.common import batches_of, small_batches, trimmed
+from heirloom.llm.common import add_columns, batches_of, small_batches, trimmed
 
 MAX_GRAM = 5
 
@@ -152,13 +152,15 @@ def held_out(key: str = "doc_id"):
 
 
 def train(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 2000, vocabulary: int = 30_000, min_count: int = 2
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 2000, min_count: int = 2
 ) -> Model:
     """Learn from about ``per_lang`` documents a language, chosen by a hash of the key, never held-out ones.
 
-    That bound, and ``vocabulary`` words and n-grams of each order, bound the
-    model whatever the size of the input.  Whole texts count.  Rows without text
-    or label are left out.  Returns a model without languages if nothing is left.
+    That bound also bounds the model whatever the size of the input: it holds all
+    words and n-grams that occur ``min_count`` times in the chosen documents, and
+    all their characters.  Whole texts count.  Rows without text or label are left
+    out; rows without a key are chosen like others.  Returns a model without
+    languages if nothing is left.
     """
     d = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
     d = d.where(~held_out("k"))
@@ -167,7 +169,8 @@ def train(
     if not langs:
         return Model([], {n: _Table(np.zeros(0, np.uint64), np.zeros((0, 0), np.float32)) for n in range(MAX_GRAM + 1)})
     share = F.create_map(*[x for name in langs for x in (F.lit(name), F.lit(min(1.0, per_lang / counts[name])))])
-    luck = F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Rows without a key, and rows that share one, are told apart by their texts.
+    luck = F.pmod(F.xxhash64("k", "text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = d.where(luck < share[F.col("lang")]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,9 +191,8 @@ def train(
 
     each = sample.mapInArrow(trimmed(count), "lang string, n int, h long, c long")
     wide = each.groupBy("n", "h").agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("lang") == name, F.col("c")).otherwise(0)).alias(f"l{i}") for i, name in enumerate(langs)])
-    # One window group per order, over n-grams of the bounded sample.
-    rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("total"), "h"))
-    rows = wide.where((F.col("total") >= min_count) | (F.col("n") == 1)).withColumn("rank", rank).where(F.col("rank") <= vocabulary).drop("rank", "total").toPandas()
+    # Bounded by the chosen documents.
+    rows = wide.where((F.col("total") >= min_count) | (F.col("n") == 1)).drop("total").toPandas()
     tables = {}
     for n in range(MAX_GRAM + 1):
         part = rows[rows.n == n]
@@ -206,15 +208,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every row; input columns of these names are replaced.
 
     Reads the text alone.  A null text, or one without letters, is ``und`` with
-    score 0, as is every text if the model knows no language.
+    score 0, as is every text if the model knows no language.  Of languages that
+    are equally likely the first by code point is taken.
     """
-    d = docs.drop("lang_pred", "score")
-    schema = T.StructType([*d.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, text):
-            name, share = model.predict(batch.column(text).to_pylist())
-            arrays = [*batch.columns, pa.array(name, pa.string()), pa.array(share, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "score"])
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        name, share = model.predict(texts.to_pylist())
+        return [pa.array(name, pa.string()), pa.array(share, pa.float64())]
 
-    return d.mapInArrow(trimmed(run), schema)
+    return add_columns(docs, text, {"lang_pred": T.StringType(), "score": T.DoubleType()}, compute)

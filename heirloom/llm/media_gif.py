@@ -1,16 +1,16 @@
 """Media columns: animated GIF as a container of 8-bit samples.
 
-``encode`` writes GIF89a with real LZW or with literal codes only, ``decode``
-reads any GIF: LZW code streams, global and local palettes, interlacing,
-transparency, disposal and delays.  Streams of literal codes, which the bulk
-writer makes, are recognised after unpacking and decoded for many frames at
-once; every other stream goes through the general decoder.
+``encode`` writes GIF89a with LZW code streams; ``decode_frames`` reads any GIF:
+LZW with clear codes anywhere, global and local palettes, interlacing; and
+``composite`` applies transparency and disposal.  Code streams of many frames are
+decoded at once: widths follow from a code's place after the last clear code, a
+table entry is a stretch of the output already made, and so both the lengths of
+entries and the samples come from doubling pointers into earlier output.
 """
 
 from __future__ import annotations
 
 import struct
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,8 +24,10 @@ from heirloom.llm.common import as_bytes, small_batches, trimmed
 SIDE = 24
 FRAME = SIDE * SIDE
 DELAY_CS = 4
-#: A reader's table reaches 512 entries, and its codes 10 bits, after 255 codes; a clear code comes before.
-LITERALS = 254
+#: A byte that no UTF-8 text and no filling holds: frames use it for samples that stay as they are.
+SAME = 254
+#: Codes that are unpacked at once.
+_CODES = 1 << 20
 GRAY = np.repeat(np.arange(256, dtype=np.uint8)[:, None], 3, axis=1)
 BINS = 8
 
@@ -45,97 +47,132 @@ class Frame:
     transparent: int | None = None
 
 
-def _pack(codes: list[int], widths: list[int]) -> bytes:
-    acc = bits = 0
-    out = bytearray()
-    for code, width in zip(codes, widths, strict=True):
-        acc |= code << bits
-        bits += width
-        while bits >= 8:
-            out.append(acc & 255)
-            acc >>= 8
-            bits -= 8
-    if bits:
-        out.append(acc & 255)
-    return bytes(out)
-
-
-def lzw_encode(samples: bytes, size: int = 8) -> bytes:
-    """The LZW code stream of ``samples`` with variable code widths."""
-    clear, codes, widths = 1 << size, [], []
-    table: dict[tuple[int, int], int] = {}
-    free, width, held = clear + 2, size + 1, -1
-
-    def put(code: int) -> None:
-        codes.append(code)
-        widths.append(width)
-
-    put(clear)
-    for s in samples:
-        if held < 0:
-            held = s
-            continue
-        if (found := table.get((held, s))) is not None:
+def _widths(size: int, n: int) -> np.ndarray:
+    """The bits of each of the ``n`` codes that follow a clear code."""
+    entries = (1 << size) + 2 + np.arange(n)
+    return np.clip(np.ceil(np.log2(entries)).astype(np.int64), size + 1, 12)
+
+
+def _codes(samples: bytes, size: int) -> list[int]:
+    """The code of each longest known string; clear codes where the table is full, an end code last."""
+    clear = 1 << size
+    out, table, free = [clear], {}, clear + 2
+    if not samples:
+        return [clear, clear + 1]
+    held = samples[0]
+    put, known = out.append, table.get
+    for s in samples[1:]:
+        if (found := known(held << 8 | s)) is not None:
             held = found
             continue
         put(held)
-        table[held, s] = free
+        table[held << 8 | s] = free
         free += 1
-        if free > 1 << width and width < 12:
-            width += 1
         if free == 4096:
             put(clear)
             table.clear()
-            free, width = clear + 2, size + 1
+            free = clear + 2
         held = s
-    if held >= 0:
-        put(held)
-        free += 1
-        if free > 1 << width and width < 12:
-            width += 1
+    put(held)
     put(clear + 1)
-    return _pack(codes, widths)
-
-
-def lzw_decode(data: bytes, size: int, count: int) -> bytes:
-    """Up to ``count`` samples of an LZW code stream; a broken stream ends early and is filled with 0."""
-    clear, out = 1 << size, bytearray()
-    roots = [bytes([i & 255]) for i in range(clear)] + [b"", b""]
-    table, width, before = list(roots), size + 1, b""
-    acc = bits = at = 0
-    while len(out) < count:
-        while bits < width and at < len(data):
-            acc |= data[at] << bits
-            bits += 8
-            at += 1
-        if bits < width:
-            break
-        code = acc & ((1 << width) - 1)
-        acc >>= width
-        bits -= width
-        if code == clear:
-            table, width, before = list(roots), size + 1, b""
-            continue
-        if code == clear + 1:
+    return out
+
+
+def lzw_encode(frames: list[bytes], size: int = 8) -> list[bytes]:
+    """The LZW code streams of ``frames``, with variable code widths."""
+    found = [np.array(_codes(f, size), np.int64) for f in frames]
+    if not found:
+        return []
+    codes = np.concatenate(found)
+    first = np.cumsum([0] + [len(x) for x in found])
+    clears = np.nonzero(codes == 1 << size)[0]
+    place = np.arange(len(codes)) - np.repeat(clears, np.diff(np.append(clears, len(codes))))
+    width = np.concatenate(([size + 1], _widths(size, int(place.max()))))[place]
+    # A clear code within a stream comes at the width that its place has in the table before it.
+    inner = clears[np.isin(clears, first, invert=True)]
+    width[inner] = 12
+    ends = np.cumsum(width)
+    begin = np.concatenate(([0], ends))[first]
+    n_bytes = -(-np.diff(begin) // 8)
+    base = np.cumsum(n_bytes) - n_bytes
+    bit = ends - width - np.repeat(begin[:-1], np.diff(first)) + 8 * np.repeat(base, np.diff(first))
+    out = np.zeros(int(n_bytes.sum()) + 3, np.uint8)
+    spread = codes << (bit & 7)
+    for k in range(3):
+        np.add.at(out, (bit >> 3) + k, (spread >> 8 * k & 255).astype(np.uint8))
+    flat = out.tobytes()
+    return [flat[a : a + n] for a, n in zip(base.tolist(), n_bytes.tolist(), strict=True)]
+
+
+def lzw_decode(streams: list[bytes], size: int, count: int) -> np.ndarray:
+    """``count`` samples of each LZW code stream, a row each; a broken stream ends early and is filled with 0."""
+    out = np.zeros((len(streams), count), np.uint8)
+    each = max(1, _CODES // (count + 2))
+    for at in range(0, len(streams), each):
+        _decode_some(streams[at : at + each], size, out[at : at + each])
+    return out
+
+
+def _decode_some(streams: list[bytes], size: int, out: np.ndarray) -> None:
+    """All streams together, one stretch between clear codes after another."""
+    clear, count = 1 << size, out.shape[1]
+    raw = np.frombuffer(b"".join(streams) + b"\0\0\0", np.uint8).astype(np.int64)
+    n_bits = 8 * np.array([len(s) for s in streams], np.int64)
+    base = np.cumsum(n_bits) - n_bits
+    widths = _widths(size, count + 2)
+    offset = np.cumsum(widths) - widths
+    live, bit, made = np.arange(len(streams)), np.zeros(len(streams), np.int64), np.zeros(len(streams), np.int64)
+    while len(live):
+        at = bit[live, None] + offset
+        fits = at + widths <= n_bits[live, None]
+        byte = np.where(fits, (base[live, None] + at) >> 3, 0)
+        code = (raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> ((base[live, None] + at) & 7) & ((1 << widths) - 1)
+        code = np.where(fits, code, clear + 1)
+        stop = (code == clear) | (code == clear + 1)
+        # A code may name the entry that it completes itself, and no later one.
+        entries = np.minimum(clear + 2 + np.arange(count + 2), 4096)
+        entries[0] = clear
+        stop |= code >= np.where(np.arange(count + 2) == 0, clear, entries)
+        n = np.where(stop.any(axis=1), stop.argmax(axis=1), count + 2)
+        _expand(code, n, clear, live, made, out)
+        at_stop = np.minimum(n, count + 1)
+        again = (n < count + 2) & (code[np.arange(len(live)), at_stop] == clear)
+        bit[live] += offset[at_stop] + widths[at_stop]
+        live = live[again & (made[live] < count) & (bit[live] < n_bits[live])]
+
+
+def _expand(code: np.ndarray, n: np.ndarray, clear: int, live: np.ndarray, made: np.ndarray, out: np.ndarray) -> None:
+    """Write the strings of the first ``n`` codes of each row of ``code`` after what its stream has made."""
+    used = np.arange(code.shape[1]) < n[:, None]
+    c = code[used]
+    if not len(c):
+        return
+    row = np.repeat(np.arange(len(n)), n)
+    first = np.repeat(np.cumsum(n) - n, n)
+    # Entry k is the string of code k and one sample more: lengths add up along the chain of codes.
+    above = c >= clear + 2
+    parent = np.where(above, first + c - clear - 2, np.arange(len(c)))
+    length = above.astype(np.int64)
+    while (length[parent] > 0).any():
+        length += length[parent]
+        parent = parent[parent]
+    length += 1
+    start = np.cumsum(length) - length
+    # Each sample of such a string is an earlier sample of the output.
+    of = np.repeat(np.arange(len(c)), length)
+    place = np.arange(int(length.sum()))
+    source = np.where(above[of], start[np.where(above, first + c - clear - 2, 0)][of] + place - start[of], place)
+    while True:
+        further = source[source]
+        if (further == source).all():
             break
-        if not before:
-            if code >= clear:
-                break
-            entry = table[code]
-        else:
-            if code < len(table):
-                entry = table[code]
-            elif code == len(table):
-                entry = before + before[:1]
-            else:
-                break
-            if len(table) < 4096:
-                table.append(before + entry[:1])
-                if len(table) == 1 << width and width < 12:
-                    width += 1
-        out += entry
-        before = entry
-    return bytes(out[:count]).ljust(count, b"\0")
+        source = further
+    samples = c[of[source]].astype(np.uint8)
+    begin = start[np.minimum(np.cumsum(n) - n, len(c) - 1)]
+    to = made[live][row[of]] + place - begin[row[of]]
+    keep = to < out.shape[1]
+    out[live[row[of[keep]]], to[keep]] = samples[keep]
+    made[live] += np.bincount(row, weights=length, minlength=len(n)).astype(np.int64)
 
 
 def _sub_blocks(data: bytes) -> bytes:
@@ -154,44 +191,36 @@ def encode(width: int, height: int, palette: np.ndarray, frames: list[Frame], lo
         colours = palette if f.palette is None else f.palette
         out += b"" if f.palette is None else f.palette.astype(np.uint8).tobytes()
         size = max(2, len(colours).bit_length() - 1)
-        out += bytes([size]) + _sub_blocks(lzw_encode(f.samples.astype(np.uint8).tobytes(), size))
+        out += bytes([size]) + _sub_blocks(lzw_encode([f.samples.astype(np.uint8).tobytes()], size)[0])
     return bytes(out + b"\x3b")
 
 
-def _template() -> tuple[np.ndarray, np.ndarray]:
-    """A frame of literal codes: its code sequence with -1 for samples, and its bytes with the code stream left open."""
-    codes: list[int] = []
-    for at in range(0, FRAME, LITERALS):
-        codes += [256] + [-1] * min(LITERALS, FRAME - at)
-    codes.append(257)
-    n_bytes = -(-9 * len(codes) // 8)
-    head = b"\x21\xf9\x04" + struct.pack("<BHBB", 1 << 2, DELAY_CS, 0, 0)
-    head += b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, SIDE, 0) + b"\x08"
-    return np.array(codes, np.int16), np.frombuffer(head + _sub_blocks(bytes(n_bytes)), np.uint8)
-
-
-CODES, SHELL = _template()
-_N_BYTES = -(-9 * len(CODES) // 8)
-_OPEN = np.array([18 + 1 + i + i // 255 + 1 for i in range(_N_BYTES)])
 HEADER = b"GIF89a" + struct.pack("<HHBBB", SIDE, SIDE, 0xF7, 0, 0) + GRAY.tobytes()
 
 
 def encode_payloads(payloads: list[bytes]) -> list[bytes]:
-    """One GIF per payload, whose size is a multiple of 576: frames of 24 x 24 gray samples, 40 ms each."""
+    """One GIF per payload, whose size is a multiple of 576: frames of 24 x 24 gray samples, 40 ms each, left in place.
+
+    A sample that the frame before has at its place is stored as transparent, in frames without a sample ``SAME``.
+    """
     samples = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, FRAME)
-    codes = np.broadcast_to(CODES.astype(np.uint16), (len(samples), len(CODES))).copy()
-    codes[:, CODES < 0] = samples
-    bits = np.zeros((len(samples), _N_BYTES * 8), np.uint8)
-    for k in range(9):
-        bits[:, k : 9 * len(CODES) : 9] = (codes >> k) & 1
-    frames = np.broadcast_to(SHELL, (len(samples), len(SHELL))).copy()
-    frames[:, _OPEN] = np.packbits(bits, axis=1, bitorder="little")
-    flat, out, at = frames.tobytes(), [], 0
-    for p in payloads:
-        n = len(p) // FRAME * len(SHELL)
-        out.append(HEADER + flat[at : at + n] + b"\x3b")
-        at += n
-    return out
+    counts = np.array([len(p) // FRAME for p in payloads], np.int64)
+    first = np.cumsum(counts) - counts
+    stored = samples.copy()
+    if len(samples) > 1:
+        stored[1:][samples[1:] == samples[:-1]] = SAME
+    whole = (samples == SAME).any(axis=1)
+    whole[first[counts > 0]] = True
+    stored[whole] = samples[whole]
+    streams = lzw_encode([x.tobytes() for x in stored])
+    frame = []
+    for data, opaque in zip(streams, whole.tolist(), strict=True):
+        control = b"\x21\xf9\x04" + struct.pack("<BHBB", 1 << 2 | (not opaque), DELAY_CS, 0 if opaque else SAME, 0)
+        frame.append(control + _IMAGE + _sub_blocks(data))
+    return [HEADER + b"".join(frame[a : a + n]) + b"\x3b" for a, n in zip(first.tolist(), counts.tolist(), strict=True)]
+
+
+_IMAGE = b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, SIDE, 0) + b"\x08"
 
 
 def parse(gif: bytes) -> tuple[int, int, np.ndarray | None, list[tuple[Frame, int, bytes, bool]]]:
@@ -232,43 +261,20 @@ def parse(gif: bytes) -> tuple[int, int, np.ndarray | None, list[tuple[Frame, in
     return width, height, table, images
 
 
-def _literal(streams: list[bytes], count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Samples of streams of one length if all their codes are literals in 9 bits, and which of them are such."""
-    raw = np.frombuffer(b"".join(streams), np.uint8).reshape(len(streams), -1)
-    bits = np.unpackbits(raw, axis=1, bitorder="little")
-    n = bits.shape[1] // 9
-    codes = np.zeros((len(streams), n), np.uint16)
-    for k in range(9):
-        codes |= bits[:, k : 9 * n : 9].astype(np.uint16) << k
-    like = codes[0] < 256
-    runs = np.diff(np.nonzero(np.r_[True, ~like, True])[0])
-    last = int(np.argmax(codes[0] == 257)) if (codes[0] == 257).any() else -1
-    fits = last >= 0 and codes[0, 0] == 256 and int(like[:last].sum()) == count and runs.max() <= LITERALS + 1 and (codes[0, :last][~like[:last]] == 256).all()
-    if not fits:
-        return np.zeros((len(streams), count), np.uint8), np.zeros(len(streams), bool)
-    same = ((codes[:, : last + 1] < 256) == like[: last + 1]).all(axis=1) & (codes[:, : last + 1][:, ~like[: last + 1]] == codes[0, : last + 1][~like[: last + 1]]).all(axis=1)
-    return codes[:, :last][:, like[:last]].astype(np.uint8), same
-
-
 def decode_frames(gifs: list[bytes]) -> list[tuple[int, int, np.ndarray | None, list[Frame]]]:
     """Parsed GIFs with the samples of every frame."""
     parsed = [parse(g) for g in gifs]
-    groups: dict[tuple[int, int, int], list[tuple[Frame, bytes]]] = defaultdict(list)
+    groups: dict[tuple[int, int], list[tuple[Frame, bytes, bool]]] = {}
     for _, _, _, images in parsed:
         for frame, size, data, laced in images:
-            groups[size, len(data), frame.width * frame.height].append((frame, data))
-            frame.laced = laced  # type: ignore[attr-defined]
-    for (size, length, count), members in groups.items():
-        if size == 8 and length and count:
-            samples, same = _literal([d for _, d in members], count)
-        else:
-            samples, same = np.zeros((len(members), count), np.uint8), np.zeros(len(members), bool)
-        for (frame, data), row, quick in zip(members, samples, same, strict=True):
-            frame.samples = row if quick else np.frombuffer(lzw_decode(data, size, count), np.uint8)
-            if frame.laced:  # type: ignore[attr-defined]
+            groups.setdefault((size, frame.width * frame.height), []).append((frame, data, laced))
+    for (size, count), members in groups.items():
+        for (frame, _, laced), row in zip(members, lzw_decode([d for _, d, _ in members], size, count), strict=True):
+            frame.samples = row
+            if laced:
                 lines = [y for s, d in ((0, 8), (4, 8), (2, 4), (1, 2)) for y in range(s, frame.height, d)]
                 picture = np.empty((frame.height, frame.width), np.uint8)
-                picture[lines] = frame.samples.reshape(frame.height, frame.width)
+                picture[lines] = row.reshape(frame.height, frame.width)
                 frame.samples = picture.reshape(-1)
     return [(w, h, table, [f for f, *_ in images]) for w, h, table, images in parsed]
 
@@ -293,11 +299,14 @@ def composite(width: int, height: int, palette: np.ndarray | None, frames: list[
             canvas = kept
 
 
-def histogram(pixels: np.ndarray) -> np.ndarray:
-    """Counts of ``BINS`` equal ranges of red, then green, then blue, over the opaque pixels."""
-    seen = pixels.reshape(-1, 4)
-    seen = seen[seen[:, 3] > 0]
-    return np.concatenate([np.bincount(seen[:, c] >> 5, minlength=BINS) for c in range(3)])
+def histograms(canvases: np.ndarray) -> np.ndarray:
+    """Of each canvas, counts of ``BINS`` equal ranges of red, then green, then blue, over the opaque pixels."""
+    n = len(canvases)
+    pixels = canvases.reshape(n, -1, 4)
+    seen = pixels[..., 3] > 0
+    which = np.broadcast_to(np.arange(n)[:, None], seen.shape)[seen] * BINS
+    each = [np.bincount(which + (pixels[..., c][seen] >> 5), minlength=n * BINS).reshape(n, BINS) for c in range(3)]
+    return np.hstack(each)
 
 
 def _padded(blob: bytes) -> bytes:
@@ -324,14 +333,39 @@ def to_media(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return d.mapInArrow(trimmed(store), MEDIA)
 
 
-DECODED = MEDIA + ", width int, height int, n_frames int, duration_cs long, samples binary, hist array<long>"
+DECODED = MEDIA + ", width int, height int, samples binary, frames array<struct<start_cs:long,delay_cs:int,disposal:int,hist:array<int>>>"
+_TIMED = pa.list_(pa.struct([("start_cs", pa.int64()), ("delay_cs", pa.int32()), ("disposal", pa.int32()), ("hist", pa.list_(pa.int32()))]))
+#: Canvases held at once.
+_SHOWN = 256
+
+
+def _shown(width: int, height: int, palette: np.ndarray | None, frames: list[Frame]) -> Iterator[np.ndarray]:
+    """The canvases of a GIF, some at a time."""
+    held = []
+    for canvas in composite(width, height, palette, frames):
+        held.append(canvas)
+        if len(held) == _SHOWN:
+            yield np.stack(held)
+            held = []
+    if held:
+        yield np.stack(held)
+
+
+def _timed(frames: list[Frame], hists: np.ndarray) -> list[dict]:
+    start, out = 0, []
+    for f, h in zip(frames, hists.tolist(), strict=True):
+        out.append({"start_cs": start, "delay_cs": f.delay_cs, "disposal": f.disposal, "hist": h})
+        start += f.delay_cs
+    return out
 
 
 def decode_media(media: DataFrame) -> DataFrame:
-    """Read the ``gif`` column back: size, frames, duration, all samples, and the summed colour histograms.
+    """Read the ``gif`` column back: size, the red of all pixels as shown, and the timed frames.
 
-    ``hist`` holds 8 ranges of red, green and blue over all frames as shown.
-    A null GIF gives null columns; broken streams end early, as viewers do.
+    ``frames`` has one entry per frame: its start, delay, disposal, and the
+    counts of 8 ranges of red, green and blue on the canvas as shown.  A null GIF
+    gives null columns; broken code streams end early, as viewers do; other bytes
+    that are no GIF raise ``ValueError`` or ``struct.error``.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,20 +375,17 @@ def decode_media(media: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for g in gifs:
                 if g is None:
-                    rows.append((None,) * 6)
+                    rows.append((None,) * 4)
                     continue
                 width, height, palette, frames = next(found)
-                plain = all(f.transparent is None and f.palette is None and f.disposal < 2 and f.samples.size == width * height for f in frames)
-                samples = b"".join(f.samples.tobytes() for f in frames)
-                if plain and palette is not None:  # each frame covers the whole canvas: count samples, then look up their colours
-                    counts = np.bincount(np.frombuffer(samples, np.uint8), minlength=256)[: len(palette)]
-                    hist = np.concatenate([np.bincount(palette[:, c] >> 5, weights=counts, minlength=BINS) for c in range(3)])
-                else:
-                    hist = sum((histogram(p) for p in composite(width, height, palette, frames)), np.zeros(3 * BINS))
-                rows.append((width, height, len(frames), sum(f.delay_cs for f in frames), samples, hist.astype(np.int64).tolist()))
+                red, hists = [], [np.zeros((0, 3 * BINS), np.int64)]
+                for canvases in _shown(width, height, palette, frames):
+                    red.append(canvases[..., 0].tobytes())
+                    hists.append(histograms(canvases))
+                rows.append((width, height, b"".join(red), _timed(frames, np.concatenate(hists))))
+            kinds = (pa.int32(), pa.int32(), pa.binary(), _TIMED)
+            names = ("width", "height", "samples", "frames")
             columns = zip(*rows, strict=True)
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            names = ("width", "height", "n_frames", "duration_cs", "samples", "hist")
             yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in ("doc_id", "n_bytes", "gif")} | {n: pa.array(list(c), k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
     return media.select("doc_id", "n_bytes", "gif").mapInArrow(trimmed(read), DECODED)
@@ -373,7 +404,7 @@ def media_frames(media: DataFrame) -> DataFrame:
             for (doc, _), (width, height, palette, frames) in zip(keep, decode_frames([g for _, g in keep]), strict=True):
                 start = 0
                 for i, (f, canvas) in enumerate(zip(frames, composite(width, height, palette, frames), strict=True)):
-                    rows.append((doc, i, start, f.delay_cs, f.disposal, canvas[..., :3].tobytes(), histogram(canvas).tolist()))
+                    rows.append((doc, i, start, f.delay_cs, f.disposal, canvas[..., :3].tobytes(), histograms(canvas[None])[0].tolist()))
                     start += f.delay_cs
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
             if rows:

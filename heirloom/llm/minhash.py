@@ -12,7 +12,7 @@ buckets that hold documents of two components or more, so what an earlier turn
 has linked is not compared again.  A large bucket is split into blocks, and
 each pair of blocks is one group of bounded size; within a group, pairs are
 tested only across components.  Two sets of similarity 0.8 share no band with
-probability 5e-8.
+probability 5e-8, and fall below the floor of the estimates with 3e-8.
 """
 
 from __future__ import annotations
@@ -26,14 +26,16 @@ from pyspark.sql import functions as F
 
 from heirloom.cut import cut
 from heirloom.llm import kernels as K
-from heirloom.llm.common import as_bytes, small_batches, trimmed
+from heirloom.llm.common import as_bytes, column, small_batches, trimmed
 from heirloom.operators.components import connected_components
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
 BANDS = REGISTERS // BAND
 TURNS = ([0], [1], [2, 3], [4, 5, 6, 7], list(range(8, 16)), list(range(16, 32)))
-#: Representatives of a bucket that one block holds.
-BLOCK = 2048
+#: Representatives of a bucket that one block holds, and shingles that they have together.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
+#: Deviations below the threshold at which an estimate still leads to confirmation.
+DEVIATIONS = 6
 #: Ids that are broadcast at most (16 MB); beyond, texts are fetched by a shuffled join.
 BROADCAST_IDS = 500_000
 _MULTIPLY = K._splitmix(101, REGISTERS) | np.uint64(1)
@@ -101,11 +103,11 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
-SIGNATURES = "doc_id long, n_shingles long, s1 long, s2 long, sig binary"
+SIGNATURES = "doc_id long, text_hash long, n_shingles long, s1 long, s2 long, sig binary"
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
-    """``doc_id, n_shingles, s1, s2, sig``: set size, a 128-bit hash of the set, and the registers (null if empty)."""
+    """``doc_id, text_hash, n_shingles, s1, s2, sig``: set size, a 128-bit hash of the set, and the registers (null if empty)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 2 << 20):
@@ -115,6 +117,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
+                    "text_hash": batch.column("text_hash"),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "s1": pa.array(np.array([s.sum() for s in sets], np.uint64).view(np.int64)),
                     "s2": pa.array(np.array([K.mix(s).sum() for s in sets], np.uint64).view(np.int64)),
@@ -122,7 +125,8 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
                 }
             )
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(sign), SIGNATURES)
+    narrow = docs.select(column(key).cast("long").alias("doc_id"), column(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    return narrow.mapInArrow(trimmed(sign), SIGNATURES)
 
 
 class _Group:
@@ -202,50 +206,53 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     key reaches what its set reaches and is kept only if it stands alone.  Other
     columns of the input are not read.  An empty input gives an empty result.
     """
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    narrow = docs.select(column(key).cast("long").alias("doc_id"), column(text).alias("text"))
     signed = cut(signatures(narrow, "doc_id", "text", words))
     reps = cut(
         signed.where("sig is not null and doc_id is not null")
         .groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+        .select("s1", "s2", F.col("of.doc_id").alias("rep"), F.col("of.text_hash").alias("text_hash"), "sig", "n")
     )
-    state = reps.select("rep", "n", "sig", F.col("rep").alias("comp"))
-    member = "key long, band int, rep long, n long, sig binary, comp long, pair string"
-    floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
+    # Rows that share a key are told apart by their texts.
+    state = reps.withColumn("comp", F.col("rep"))
+    member = "key long, band int, rep long, text_hash long, n long, sig binary, comp long, pair string"
+    floor = percent / 100 - DEVIATIONS * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     for turn in TURNS:
         keys = F.array(*[F.struct(F.xxhash64(F.substring("sig", 1 + 2 * BAND * b, 2 * BAND), F.lit(b)).alias("key"), F.lit(b).alias("band")) for b in turn])
-        in_bucket = state.select("rep", "comp", "n", "sig", F.inline(keys))
-        mixed = in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        mixed = cut(mixed.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+        in_bucket = state.select("rep", "text_hash", "comp", "n", "sig", F.inline(keys))
+        mixed = in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("n").alias("shingles")).where("lo <> hi")
+        mixed = cut(mixed.select("key", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
         n_mixed = mixed.count()
         if not n_mixed:
             continue
         if n_mixed <= BROADCAST_IDS:
             members = in_bucket.join(F.broadcast(mixed), "key")
         else:  # Registers are fetched for the members alone.
-            members = in_bucket.select("key", "band", "rep").join(mixed, "key").join(state, "rep")
-        mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+            members = in_bucket.select("key", "band", "rep", "text_hash").join(mixed, "key").join(state, ["rep", "text_hash"])
+        mine = F.pmod(F.xxhash64("rep", "text_hash"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        paired = members.select("key", "band", "rep", "n", "sig", "comp", mine.alias("mine"), other.alias("other")).withColumn(
+        paired = members.select("key", "band", "rep", "text_hash", "n", "sig", "comp", mine.alias("mine"), other.alias("other")).withColumn(
             "pair", F.concat_ws("-", F.least("mine", "other"), F.greatest("mine", "other"))
         )
         full = paired.drop("mine", "other")
         found = cut(full.groupBy("key", "pair").applyInArrow(_partners(percent, floor), member))
-        need = found.select("rep").distinct()
+        need = found.select("rep", "text_hash").distinct()
         n_need = need.count()
         if not n_need:
             continue
         # Bounded: at most BROADCAST_IDS numbers, counted just above.
         wanted = F.broadcast(need) if n_need <= BROADCAST_IDS else need
-        texts = narrow.join(wanted, narrow.doc_id == need.rep).select("rep", "text").dropDuplicates(["rep"])
-        links = found.join(texts, "rep").groupBy("key", "pair").applyInArrow(_confirm(percent, floor, words), "src long, dst long")
+        told = narrow.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text")
+        texts = told.join(wanted, ["rep", "text_hash"]).dropDuplicates(["rep", "text_hash"])
+        links = found.join(texts, ["rep", "text_hash"]).groupBy("key", "pair").applyInArrow(_confirm(percent, floor, words), "src long, dst long")
         links = cut(links.distinct())
         if not links.limit(1).count():
             continue
         to = cut(connected_components(links).where("id <> component").select(F.col("id").alias("comp"), F.col("component").alias("_to")))
         step = F.broadcast(to) if to.count() <= BROADCAST_IDS else to
-        state = state.join(step, "comp", "left").select("rep", "n", "sig", F.coalesce("_to", "comp").alias("comp"))
-    of_set = reps.select("s1", "s2", "rep").join(state.select("rep", "comp"), "rep").select("s1", "s2", "comp")
+        state = state.join(step, "comp", "left").select("s1", "s2", "rep", "text_hash", "n", "sig", F.coalesce("_to", "comp").alias("comp"))
+    of_set = state.select("s1", "s2", "comp")
     component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.coalesce("comp", "doc_id"))
     out = signed.join(of_set, ["s1", "s2"], "left").select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -2,31 +2,31 @@
 
 Every source gets a target number of words; a document's expected copies are
 ``target / source size``.  Within a source the expected copies are summed along
-the order (size, key), one random offset is added, and a document is emitted
+the order (size, cell, key), one random offset is added, and a document is emitted
 once per integer that its stretch of the sum crosses.  Ordering by size keeps
 the words taken within about half of the largest document of the target.
 
 No group is collected: the place of a row comes from counts of cells
-(source, size, range of keys) plus its place within one cell, so that a source
-or a size that holds most rows is spread over as many tasks as it has cells.
+(source, size, hash of the key) plus its place within one cell, so that a source
+or a size that holds most rows is spread over as many tasks as there are cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heirloom.llm.common import WORD
+from heirloom.llm.common import WORD, column, spare
 
-#: Rows of one (source, size) that one window group holds, for evenly spread keys.
+#: Rows that one cell, a hash range of the keys, holds over all sources and sizes.
 CELL_ROWS = 50_000
 
 
 def with_size(docs: DataFrame, text: str = "text", size: str = "size") -> DataFrame:
     """Add the number of words of ``text`` (null: 0)."""
-    return docs.withColumn(size, F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
+    return docs.withColumn(size, F.coalesce(F.regexp_count(column(text), F.lit(WORD)), F.lit(0)).cast("long"))
 
 
 def source_targets(
@@ -74,8 +74,12 @@ def source_targets(
 
 def source_offset(source: str, seed: int):
     """The random offset in [0, 1) of a source: a function of its name and the seed alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(source), F.lit("\u0000null"))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    return _hash32(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(source), F.lit("\u0000null"))))) / F.lit(float(1 << 32))
+
+
+def _hash32(digest: Column) -> Column:
+    """The first 32 bits of a hexadecimal digest."""
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def mix_to_targets(
@@ -93,48 +97,49 @@ def mix_to_targets(
     ``copies`` is how often the mix takes the row, ``taken`` the words of that.
     Columns of the input with these names are replaced; all others pass through.
     Rows with a null source form one source; null sizes count as 0; null keys
-    come last among rows of one size.  Rows that agree in source, size and key
+    share a cell and come last in it.  Rows that agree in source, size and key
     share the copies of their places in no particular order.  An empty input
     gives an empty result.
     """
-    n, low, high = sized.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
-    cells = max(1, n // CELL_ROWS)
-    width = max(1, ((high or 0) - (low or 0) + 1 + cells - 1) // cells)
+    cells = max(1, sized.count() // CELL_ROWS)
     new = {"source_size", "target", "copies", "taken"}
-    d = sized.select(*[c for c in sized.columns if c not in new]).withColumns(
+    passed = [c for c in sized.columns if c.lower() not in new]
+    src, n, cell, place, start, offset = spare(passed, "_src", "_n", "_cell", "_place", "_start", "_offset")
+    group = [src, n, cell]
+    d = sized.select(*map(column, passed)).withColumns(
         {
-            "_src": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")),
-            "_n": F.coalesce(F.col(size), F.lit(0)).cast("long"),
-            "_cell": F.coalesce(F.floor((F.col(key) - F.lit(low or 0)) / F.lit(width)), F.lit(1 << 62)),
+            src: F.coalesce(F.concat(F.lit("s"), column(source)), F.lit("n")),
+            n: F.coalesce(column(size), F.lit(0)).cast("long"),
+            cell: F.coalesce(_hash32(F.md5(column(key).cast("string"))) % cells, F.lit(0)),
         }
     )
-    cell = d.groupBy("_src", "_n", "_cell").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = cell.groupBy("_src", "_n").agg(F.sum("rows").alias("rows"))
-    by_size = Window.partitionBy("_src").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
-    by_cell = Window.partitionBy("_src", "_n").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    lower = sizes.select("_src", "_n", F.coalesce(F.sum("rows").over(by_size), F.lit(0)).alias("_below"))
-    ahead = cell.select("_src", "_n", "_cell", F.coalesce(F.sum("rows").over(by_cell), F.lit(0)).alias("_ahead"))
-    start = ahead.join(lower, ["_src", "_n"]).select("_src", "_n", "_cell", (F.col("_below") + F.col("_ahead")).alias("_start"))
-
-    t = source_targets(sized.withColumn(size, F.coalesce(F.col(size), F.lit(0)).cast("long")), source, size, weights, share, ceiling)
+    counted = d.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = counted.groupBy(src, n).agg(F.sum("rows").alias("rows"))
+    by_size = Window.partitionBy(src).orderBy(n).rowsBetween(Window.unboundedPreceding, -1)
+    by_cell = Window.partitionBy(src, n).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    lower = sizes.select(src, n, F.coalesce(F.sum("rows").over(by_size), F.lit(0)).alias("below"))
+    ahead = counted.select(*group, F.coalesce(F.sum("rows").over(by_cell), F.lit(0)).alias("ahead"))
+
+    t = source_targets(d.select(column(source).alias("source"), F.col(n).alias("size")), "source", "size", weights, share, ceiling)
     t = t.select(
-        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("_src"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias(src),
         "source_size",
         F.coalesce("target", F.lit(0.0)).alias("target"),
-        source_offset("source", seed).alias("_offset"),
+        source_offset("source", seed).alias(offset),
     )
-    place = F.row_number().over(Window.partitionBy("_src", "_n", "_cell").orderBy(F.col(key).asc_nulls_last()))
-    d = d.withColumn("_place", place).join(start, ["_src", "_n", "_cell"]).join(t, "_src")
+    # What a row learns of its source comes with its cell, so that no row is joined by source alone.
+    known = ahead.join(lower, [src, n]).join(t, src).select(*group, (F.col("below") + F.col("ahead")).alias(start), "source_size", "target", offset)
+    turn = F.row_number().over(Window.partitionBy(*group).orderBy(column(key).asc_nulls_last()))
+    d = d.withColumn(place, turn).join(known, group)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    upto = F.floor(F.col("_offset") + rate * (F.col("_start") + F.col("_place")))
-    prior = F.floor(F.col("_offset") + rate * (F.col("_start") + F.col("_place") - 1))
+    upto = F.floor(F.col(offset) + rate * (F.col(start) + F.col(place)))
+    prior = F.floor(F.col(offset) + rate * (F.col(start) + F.col(place) - 1))
     # Rounding could cross one integer too many where the rate is a whole number.
     copies = F.least(upto - prior, F.ceil(rate)).cast("long")
-    return d.withColumns({"copies": copies, "taken": copies * F.col("_n")}).drop(
-        "_src", "_n", "_cell", "_place", "_start", "_offset"
-    )
+    return d.select(*map(column, passed), "source_size", "target", copies.alias("copies"), (copies * F.col(n)).alias("taken"))
 
 
 def emit_copies(mixed: DataFrame) -> DataFrame:
     """Repeat every row ``copies`` times."""
-    return mixed.withColumn("_copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).drop("_copy")
+    (copy,) = spare(mixed.columns, "_copy")
+    return mixed.withColumn(copy, F.explode(F.expr("array_repeat(0, cast(copies as int))"))).drop(copy)

@@ -6,8 +6,10 @@ fitted on a bounded sample of labelled rows.  Hosts and the paths on them get
 posteriors of their mean quality from grouped sums over all documents: a path
 is shrunk toward its host and a host toward the global prior, the more the
 fewer documents it has; the strength of the shrinkage comes from the spread of
-the groups.  A document's posterior odds are its own, moved by the odds of its
-path against the global prior.
+hosts around the global mean and of paths around their host's.  A document's
+posterior odds are its own, moved by the odds of its path against the global
+prior; its own evidence is taken off the sums of its path and host first, so that
+it counts once.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 
 from heirloom.cut import cut
 from heirloom.llm import kernels as K
-from heirloom.llm.common import as_bytes, small_batches, trimmed
+from heirloom.llm.common import add_columns, as_bytes, column, small_batches, spare, trimmed
 from heirloom.llm.langid import _points, _Words, held_out
 
 SYMBOLS = np.zeros(256, bool)
@@ -126,11 +128,11 @@ class Model:
         return {k: h.predict(x) for k, h in self.heads.items()}
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 8000, vocabulary: int = 1000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 8000) -> Model:
     """Fit heads for ``quality`` and ``toxic`` on about ``sample`` labelled documents that are not held out.
 
     Telling words are those whose documents carry the rarer label far more often
-    than chance (at least 5 of them, 6 deviations), ``vocabulary`` at most.
+    than chance (at least 5 of them, 6 deviations); the sample bounds their number.
     Unlabelled rows and null keys are left out; without labels the heads are 1/2.
     """
     lab = labels.select(F.col(key).alias("k"), "quality", "toxic").where("k is not null and quality is not null and toxic is not null")
@@ -162,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for name, total in (("bad", totals[1]), ("toxic", totals[2])):
         due = F.col("n") * F.lit(total / max(1, totals[0]))
         z = (F.col(name) - due) / F.sqrt(due + F.lit(1e-9))
-        found = seen.where((F.col(name) >= 5) & (z > 6)).orderBy(z.desc(), "h").limit(vocabulary).select("h").toPandas()
+        found = seen.where((F.col(name) >= 5) & (z > 6)).select("h").toPandas()
         telling[name] = Telling(np.sort(found.h.to_numpy(np.int64).view(np.uint64)))
     model = Model(telling, {})
 
@@ -181,46 +183,57 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def with_evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``p_doc`` (quality) and ``p_toxic``, from the text alone; a null text counts as empty."""
-    d = docs.drop("p_doc", "p_toxic")
-    schema = T.StructType([*d.schema.fields, T.StructField("p_doc", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, text):
-            p = model.predict(batch.column(text).to_pylist(), as_bytes(batch.column(text)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p["quality"]), pa.array(p["toxic"])], [*batch.schema.names, "p_doc", "p_toxic"])
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        p = model.predict(texts.to_pylist(), as_bytes(texts))
+        return [pa.array(p["quality"], pa.float64()), pa.array(p["toxic"], pa.float64())]
 
-    return d.mapInArrow(trimmed(run), schema)
+    return add_columns(docs, text, {"p_doc": T.DoubleType(), "p_toxic": T.DoubleType()}, compute)
 
 
-def _strength(groups: DataFrame, mean: float, within: float) -> float:
-    """How many documents the prior is worth: from the spread of group means beyond what their sizes explain."""
-    g = groups.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.col("n") * (F.col("s") / F.col("n") - F.lit(mean)) ** 2)).first()
-    between = max(1e-6, (g[2] - (g[0] - 1) * within) / max(1.0, g[1]))
+def _strength(mean: float, groups: int, rows: float, spread: float, within: float) -> float:
+    """How many documents a prior is worth: from the squared distances of group means (weighted by rows), beyond what their sizes explain."""
+    between = max(1e-6, (spread - groups * within) / max(1.0, rows))
     return float(np.clip(mean * (1 - mean) / between - 1, 1.0, 1e6))
 
 
 def with_site_priors(scored: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """Add ``site_quality``, the shrunk mean of the row's path, and ``posterior``, the document's quality given its site.
+    """Add ``site_quality``, the shrunk mean of the other rows of the row's path, and ``posterior``, the document's quality given its site.
 
     ``scored`` has ``p_doc``.  Groups are (host) and (host, path), nulls being
     groups of their own; sums are aggregated before any shuffle, so a host that
-    holds most rows costs one sum per task.  Only four numbers reach the driver.
+    holds most rows costs one sum per task.  Only a few sums reach the driver.
+    Columns of the input with these two names are replaced, all others pass
+    through.  A row alone in its path has the host's mean of other rows, one alone
+    in its host the global mean.  An empty input gives an empty result.
     """
-    s = scored.drop("site_quality", "posterior").withColumns(
-        {"_h": F.coalesce(F.concat(F.lit("h"), F.col(host)), F.lit("n")), "_p": F.coalesce(F.concat(F.lit("p"), F.col(path)), F.lit("n"))}
+    passed = [c for c in scored.columns if c.lower() not in ("site_quality", "posterior")]
+    h, p = spare(passed, "_h", "_p")
+    names = spare(passed, "_n", "_s", "_hn", "_hs")
+    s = scored.select(*map(column, passed)).withColumns(
+        {h: F.coalesce(F.concat(F.lit("h"), column(host).cast("string")), F.lit("n")), p: F.coalesce(F.concat(F.lit("p"), column(path).cast("string")), F.lit("n"))}
     )
-    cells = cut(s.groupBy("_h", "_p").agg(F.count(F.lit(1)).alias("n"), F.sum("p_doc").alias("s"), F.sum(F.col("p_doc") ** 2).alias("ss")))
-    n, total, squares = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0.0)), F.coalesce(F.sum("ss"), F.lit(0.0))).first()
+    cells = cut(s.groupBy(h, p).agg(F.count(F.lit(1)).alias("n"), F.sum("p_doc").alias("s"), F.sum(F.col("p_doc") ** 2).alias("ss")))
+    hosts = cells.groupBy(h).agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"), F.count(F.lit(1)).alias("paths"), F.sum("ss").alias("ss"), F.sum(F.col("s") ** 2 / F.col("n")).alias("square"))
+    zero = F.lit(0.0)
+    add = lambda c: F.coalesce(F.sum(c), zero).cast("double")
+    n, total, of_hosts, n_hosts, n_paths, squares, inner = hosts.agg(
+        add("hn"), add("hs"), add(F.col("hs") ** 2 / F.col("hn")), F.count(F.lit(1)), add("paths"), add("ss"), add("square")
+    ).first()
     mean = float(np.clip(total / n if n else 0.5, 1e-4, 1 - 1e-4))
-    within = max(1e-6, squares / n - mean**2 if n else 0.25)
-    hosts = cells.groupBy("_h").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    k_host, k_path = _strength(hosts, mean, within), _strength(cells, mean, within)
-    of_host = hosts.select("_h", ((F.col("s") + F.lit(k_host * mean)) / (F.col("n") + F.lit(k_host))).alias("_host"))
-    of_path = cells.join(of_host, "_h").select("_h", "_p", ((F.col("s") + k_path * F.col("_host")) / (F.col("n") + F.lit(k_path))).alias("site_quality"))
-    logit = lambda p: F.log(p / (1 - p))
-    own = F.least(F.greatest(F.col("p_doc"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    z = logit(own) + logit(F.col("site_quality")) - F.lit(float(np.log(mean / (1 - mean))))
-    return s.join(of_path, ["_h", "_p"]).withColumn("posterior", 1 / (1 + F.exp(-z))).drop("_h", "_p")
+    # Sums of squares: of hosts around the mean, of paths around their host, of documents around their path.
+    within = max(1e-6, (squares - inner) / (n - n_paths)) if n > n_paths else max(1e-6, mean * (1 - mean))
+    k_host = _strength(mean, n_hosts - 1, n, of_hosts - n * (total / n if n else 0.0) ** 2, within)
+    k_path = _strength(mean, n_paths - n_hosts, n, inner - of_hosts, within)
+    sums = cells.join(hosts.select(h, "hn", "hs"), h).select(h, p, *[F.col(c).alias(name) for c, name in zip(("n", "s", "hn", "hs"), names, strict=True)])
+    own = F.col("p_doc")
+    n_p, s_p, n_h, s_h = map(F.col, names)
+    host_mean = (s_h - own + F.lit(k_host * mean)) / (n_h - 1 + F.lit(k_host))
+    site = (s_p - own + F.lit(k_path) * host_mean) / (n_p - 1 + F.lit(k_path))
+    bounded = lambda x: F.least(F.greatest(x, F.lit(1e-9)), F.lit(1 - 1e-9))
+    logit = lambda x: F.log(x / (1 - x))
+    z = logit(bounded(own)) + logit(bounded(site)) - F.lit(float(np.log(mean / (1 - mean))))
+    return s.join(sums, [h, p]).select(*map(column, passed), bounded(site).alias("site_quality"), (1 / (1 + F.exp(-z))).alias("posterior"))
 
 
 def classify(docs: DataFrame, model: Model, host: str = "source", path: str = "lang", text: str = "text") -> DataFrame:

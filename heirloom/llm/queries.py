@@ -31,7 +31,7 @@ def op3_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.substring("samples", -32, 32)).alias("tail_crc32"),
         F.octet_length("gif").cast("long").alias("media_bytes"),
         F.sha2("gif", 256).alias("media_sha256"),
-        F.concat_ws(";", F.concat_ws("x", "width", "height"), "n_frames", "duration_cs", F.concat_ws(",", F.col("hist").cast("array<string>"))).alias("feature"),
+        F.concat_ws(";", F.concat_ws("x", "width", "height"), F.size("frames"), F.aggregate("frames", F.lit(0).cast("long"), lambda a, f: a + f["delay_cs"]), F.xxhash64("frames")).alias("feature"),
     )
 
 
@@ -66,10 +66,6 @@ def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 6))
 
 
-def op8_lm_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(documents(spark, sf_dir), order=3).withColumn("log_score", F.round("log_score", 6))
-
-
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = pieces.load_vocabulary()
     found = pieces.decode_documents(pieces.encode_documents(documents(spark, sf_dir), v), v)
@@ -101,7 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_debruijn": op6_debruijn,
     "op7_language_id": op7_language_id,
     "op8_lm_scores": op8_lm_scores,
-    "op8_lm_trigrams": op8_lm_trigrams,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
 }
@@ -116,8 +111,8 @@ w as (select *, cast(case (row_number() over (order by source nulls last) - 1) %
 o as (select *, cast(sum(ss) over () as double) * cast(1.5 as double) as every, coalesce(sum(cap) over {_AHEAD}, 0) as used, sum(w) over () - coalesce(sum(w) over {_AHEAD}, 0) as rest from w),
 f as (select *, (every - used) >= cap / w * rest as is_full from o),
 g as (select *, sum(case when is_full then cap else 0 end) over () as fc, sum(case when is_full then 0 else w end) over () as ow from f),
-r as (select source, ss, case when is_full then cap else least(cap, (every - fc) / nullif(ow, 0) * w) end as target, cast(cast('0x' || substr(md5('17:' || source), 1, 8) as bigint) as double) / cast(4294967296 as double) as u from g),
-p as (select s.doc_id, s.size, r.ss, r.target, r.u, case when r.ss > 0 then r.target / r.ss else 0 end as rate, row_number() over (partition by s.source order by s.size, s.doc_id) as place from s join r on s.source = r.source),
+r as (select source, ss, case when is_full then cap else least(cap, (every - fc) / nullif(ow, 0) * w) end as target, cast(cast('0x' || substr(md5('17:' || coalesce(source, chr(0) || 'null')), 1, 8) as bigint) as double) / cast(4294967296 as double) as u from g),
+p as (select s.doc_id, s.size, r.ss, r.target, r.u, case when r.ss > 0 then r.target / r.ss else 0 end as rate, row_number() over (partition by s.source order by s.size, cast('0x' || substr(md5(cast(s.doc_id as varchar)), 1, 8) as bigint) % greatest(1, (select count(*) from s) // 50000), s.doc_id) as place from s join r on s.source is not distinct from r.source),
 c as (select *, cast(least(floor(u + rate * place) - floor(u + rate * (place - 1)), ceil(rate)) as bigint) as copies from p)
 select doc_id, size, ss as source_size, target, copies * size as taken, copies from c""",
     "op5_minhash": f"""with recursive d as (select doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
@@ -128,10 +123,14 @@ e0 as (select p.a, p.b from pairs p join n x on x.doc_id = p.a join n y on y.doc
 e as (select a, b from e0 union all select b, a from e0),
 r(id, c) as (select doc_id, doc_id from d union select e.b, r.c from r join e on e.a = r.id where r.c < e.b)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, d.doc_id = m.c as kept from d left join n using (doc_id) join (select id, min(c) as c from r group by 1) m on m.id = d.doc_id""",
-    "op8_lm_scores": f"""with {_TOKENS}, c as (select doc_id, i, word, lag(word) over (partition by doc_id order by i) as prev from t),
-n as (select *, count(*) over () as total, count(*) over (partition by doc_id) as mine, count(*) over (partition by word) - count(*) over (partition by doc_id, word) as c1, case when prev is null then 0 else count(*) over (partition by prev, word) - count(*) over (partition by doc_id, prev, word) end as c2 from c),
-x as (select *, lag(c1) over (partition by doc_id order by i) as ctx, case when c1 > 0 then cast(c1 as double) / (total - mine) else cast(0.4 as double) / (total + 1) end as v from n),
-y as (select doc_id, case when prev is null then v when c2 > 0 and ctx > 0 then cast(c2 as double) / ctx else cast(0.4 as double) * v end as v, case when prev is null then c1 > 0 else c2 > 0 and ctx > 0 end as seen from x),
-z as (select doc_id, count(*) as n, count(case when seen then 1 end) as s, round(sum(log10(v)) / count(*), 6) as l from y group by 1)
+    "op8_lm_scores": f"""with {_TOKENS}, c as (select doc_id, i, word, lag(word) over (partition by doc_id order by i) as p1, lag(word, 2) over (partition by doc_id order by i) as p2 from t),
+n as (select *, count(*) over () as total, count(*) over (partition by doc_id) as mine, count(*) over (partition by word) - count(*) over (partition by doc_id, word) as c1,
+case when p1 is null then 0 else count(*) over (partition by p1, word) - count(*) over (partition by doc_id, p1, word) end as c2,
+case when p2 is null then 0 else count(*) over (partition by p2, p1, word) - count(*) over (partition by doc_id, p2, p1, word) end as c3 from c),
+x as (select *, lag(c1) over (partition by doc_id order by i) as x1, lag(c2) over (partition by doc_id order by i) as x2, case when c1 > 0 then cast(c1 as double) / (total - mine) else cast(0.4 as double) / (total + 1) end as v1 from n),
+y2 as (select *, case when p1 is null then v1 when c2 > 0 and x1 > 0 then cast(c2 as double) / x1 else cast(0.4 as double) * v1 end as v2 from x),
+y3 as (select doc_id, case when p2 is null then v2 when c3 > 0 and x2 > 0 then cast(c3 as double) / x2 else cast(0.4 as double) * v2 end as v,
+case when p1 is null then c1 > 0 when p2 is null then c2 > 0 and x1 > 0 else c3 > 0 and x2 > 0 end as seen from y2),
+z as (select doc_id, count(*) as n, count(case when seen then 1 end) as s, round(sum(log10(v)) / count(*), 6) as l from y3 group by 1)
 select d.doc_id, coalesce(z.n, 0) as n_words, coalesce(z.s, 0) as n_seen, z.l as log_score from documents d left join z using (doc_id)""",
 }

@@ -12,7 +12,10 @@ by suffix (its suffixes of at least ``length`` bytes, to that depth), and the
 parse, which is the earliest document of each phrase, is combined with it:
 suffixes that agree in ``length`` bytes are neighbours in corpus order and share
 their earliest document.  Triggers that occur in one document only are found
-first, from hashes alone, and their phrases never travel.
+first, from hashes alone, and their phrases never travel.  The strings of a trigger
+with very many distinct phrases (one line in many surroundings) travel one by one
+as 128 bits of hashes, each to the bucket of its own hash, so that no bucket grows
+with a trigger.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ NEVER = np.iinfo(np.int64).max
 _BATCH = 1 << 20
 #: Strings whose suffixes are sorted at once.
 _SLAB = 1 << 17
+#: Distinct phrases of one trigger beyond which its strings travel one by one.
+HOT = 4096
+#: A second random byte table, for a hash that is independent of the first.
+_SECOND = K._splitmix(1234567, 256)
 
 
 class Phrases:
@@ -86,50 +93,76 @@ def _ids(t: pa.Table, key: str) -> np.ndarray:
     return t.column(key).cast(pa.int64()).fill_null(NEVER).to_numpy()
 
 
-def _triggers(p: Phrases) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct triggers, sorted, and which of them occur in two documents or more."""
-    order = np.lexsort((p.doc, p.trigger))
-    t, d = p.trigger[order], p.doc[order]
+def _triggers(p: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct triggers, sorted, which of them occur in two documents or more, and the number of distinct phrases of each."""
+    order = np.lexsort((p.hash, p.trigger))
+    t, d, h = p.trigger[order], p.doc[order], p.hash[order]
     starts = K.group_starts(t)
-    return t[starts], np.maximum.reduceat(d, starts) > np.minimum.reduceat(d, starts) if len(starts) else np.zeros(0, bool)
+    if not len(starts):
+        return t, np.zeros(0, bool), np.zeros(0, np.int64)
+    fresh = np.ones(len(t), np.int64)
+    fresh[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
+    return t[starts], np.maximum.reduceat(d, starts) > np.minimum.reduceat(d, starts), np.add.reduceat(fresh, starts)
+
+
+def _chosen(p: Phrases, mail: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each phrase: whether it travels whole, and whether its strings travel one by one as its trigger is hot."""
+    found, _, _ = _triggers(p)
+    if not len(found):
+        return np.zeros(0, bool), np.zeros(0, bool)
+    twice, hot = (x[np.searchsorted(found, p.trigger)] for x in X.read_census(found, mail, buckets))
+    return twice & ~hot, twice & hot
+
+
+class _Strings:
+    """The strings of hot phrases: two hashes each, and the distinct ones with their earliest document in the chunk."""
+
+    def __init__(self, p: Phrases, hot: np.ndarray, blobs: list[bytes], ids: np.ndarray, length: int):
+        self.runs = np.nonzero(hot)[0]
+        n = p.count[self.runs]
+        one, two, at = [], [], 0
+        ends = np.cumsum(n + length - 1)
+        while at < len(self.runs):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _BATCH)))
+            r = self.runs[at:end]
+            sizes = p.count[r] + length - 1
+            buf = np.frombuffer(b"".join(blobs[i][s : s + z] for i, s, z in zip(p.doc[r].tolist(), p.start[r].tolist(), sizes.tolist(), strict=True)), np.uint8)
+            starts = K.ragged(np.cumsum(sizes) - sizes, p.count[r])
+            for table, out in ((K.TABLE, one), (_SECOND, two)):
+                out.append(K.span_hashes(K.prefix_sums(table[buf]), starts, starts + length))
+            at = end
+        none = np.zeros(0, np.uint64)
+        h1, h2 = (np.concatenate(x) if x else none for x in (one, two))
+        owner = np.repeat(ids[p.doc[self.runs]], n)
+        order = np.lexsort((h2, h1))
+        starts = K.group_starts(h1[order], h2[order])
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+        self.h1, self.h2 = h1[order][starts], h2[order][starts]
+        self.owner = np.minimum.reduceat(owner[order], starts) if len(starts) else owner
 
+    def ask(self, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
+        """Letters to buckets after those of the phrases; a size below 0 marks them."""
+        return [(buckets + b, chunk, np.int64(lo - hi).tobytes() + X.pack_sorted(self.h1[lo:hi]) + self.h2[lo:hi].tobytes() + self.owner[lo:hi].tobytes()) for b, lo, hi in X.runs_by_bucket(self.h1, buckets)]
 
-def _ask_triggers(p: Phrases, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
-    t, many = _triggers(p)
-    at = X.bucket_bounds(t, buckets)
-    rows = []
-    for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        if hi > lo:
-            rows.append((b, chunk, np.int64(hi - lo).tobytes() + np.packbits(many[lo:hi]).tobytes() + X.pack_sorted(t[lo:hi])))
-    return rows
+    def least(self, mail: dict[int, bytes], buckets: int) -> np.ndarray:
+        """The earliest document of every string of the hot phrases, in text order of the runs."""
+        out = np.zeros(len(self.h1), np.int64)
+        for b, lo, hi in X.runs_by_bucket(self.h1, buckets):
+            out[lo:hi] = np.frombuffer(mail[buckets + b], np.int64)
+        return out[self.of]
 
 
-def _seen_twice(blobs: list[bytes]) -> list[bytes]:
-    """For each blob, a bit per value: it was marked, or came in another blob too."""
-    values, marks, sizes = [], [], []
-    for b in blobs:
-        n = int(np.frombuffer(b, np.int64, 1)[0])
-        m = -(-n // 8)
-        marks.append(np.unpackbits(np.frombuffer(b, np.uint8, m, 8), count=n).astype(bool))
-        values.append(X.unpack_sorted(b[8 + m :], n))
-        sizes.append(n)
-    v, m = np.concatenate(values), np.concatenate(marks)
-    order = np.argsort(v, kind="stable")
-    starts = K.group_starts(v[order])
-    counts = np.diff(np.append(starts, len(v)))
-    twice = np.zeros(len(v), bool)
-    twice[order] = np.repeat((counts > 1) | (np.add.reduceat(m[order].astype(np.int64), starts) > 0), counts)
-    return [np.packbits(x).tobytes() for x in np.split(twice, np.cumsum(sizes)[:-1])]
-
-
-def _bits(t: np.ndarray, mail: dict[int, bytes], buckets: int) -> np.ndarray:
-    """The answers' bits, in the order of the sorted values asked for."""
-    at = X.bucket_bounds(t, buckets)
-    out = np.zeros(len(t), bool)
-    for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        if hi > lo:
-            out[lo:hi] = np.unpackbits(np.frombuffer(mail[b], np.uint8), count=hi - lo)
-    return out
+def _earliest_strings(blobs: list[bytes]) -> list[bytes]:
+    """The earliest document of each string, strings being equal if both hashes are."""
+    sizes = [-int(np.frombuffer(b, np.int64, 1)[0]) for b in blobs]
+    h1 = np.concatenate([X.unpack_sorted(b[8 : 8 + 8 * n], n) for b, n in zip(blobs, sizes, strict=True)])
+    h2 = np.concatenate([np.frombuffer(b, np.uint64, n, 8 + 8 * n) for b, n in zip(blobs, sizes, strict=True)])
+    owner = np.concatenate([np.frombuffer(b, np.int64, n, 8 + 16 * n) for b, n in zip(blobs, sizes, strict=True)])
+    order = np.lexsort((h2, h1))
+    starts = K.group_starts(h1[order], h2[order])
+    owner[order] = np.repeat(np.minimum.reduceat(owner[order], starts), np.diff(np.append(starts, len(order))))
+    return [x.tobytes() for x in np.split(owner, np.cumsum(sizes)[:-1])]
 
 
 class _Distinct:
@@ -149,14 +182,12 @@ class _Distinct:
 
 
 def _ask_phrases(p: Phrases, d: _Distinct, blobs: list[bytes], chunk: int, buckets: int, length: int) -> list[tuple[int, int, bytes]]:
-    at = X.bucket_bounds(d.trigger, buckets)
     rows = []
-    for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        if hi > lo:
-            head = d.head[lo:hi]
-            sizes = (p.count[head] + length - 1).astype(np.uint32)
-            texts = b"".join(blobs[i][s : s + n] for i, s, n in zip(p.doc[head].tolist(), p.start[head].tolist(), sizes.tolist(), strict=True))
-            rows.append((b, chunk, np.int64(hi - lo).tobytes() + X.pack_sorted(d.trigger[lo:hi]) + sizes.tobytes() + d.owner[lo:hi].tobytes() + texts))
+    for b, lo, hi in X.runs_by_bucket(d.trigger, buckets):
+        head = d.head[lo:hi]
+        sizes = (p.count[head] + length - 1).astype(np.uint32)
+        texts = b"".join(blobs[i][s : s + n] for i, s, n in zip(p.doc[head].tolist(), p.start[head].tolist(), sizes.tolist(), strict=True))
+        rows.append((b, chunk, np.int64(hi - lo).tobytes() + X.pack_sorted(d.trigger[lo:hi]) + sizes.tobytes() + d.owner[lo:hi].tobytes() + texts))
     return rows
 
 
@@ -168,6 +199,8 @@ def suffix_order(buf: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
 
 def _combine(blobs: list[bytes], length: int) -> list[bytes]:
     """Sort the bucket's dictionary by suffix and give every phrase the earliest document of each of its strings."""
+    if np.frombuffer(blobs[0], np.int64, 1)[0] < 0:
+        return _earliest_strings(blobs)
     trigger, size, owner, texts, counts = [], [], [], [], []
     for b in blobs:
         n = int(np.frombuffer(b, np.int64, 1)[0])
@@ -237,17 +270,15 @@ def _combine(blobs: list[bytes], length: int) -> list[bytes]:
     return out
 
 
-def _covered(p: Phrases, d: _Distinct, ids: np.ndarray, sizes: np.ndarray, mail: dict[int, bytes], buckets: int, length: int) -> np.ndarray:
+def _covered(p: Phrases, d: _Distinct, hot: _Strings, ids: np.ndarray, sizes: np.ndarray, mail: dict[int, bytes], buckets: int, length: int) -> np.ndarray:
     """A flag for every byte of the chunk's documents in order: it is in a string that an earlier document holds."""
-    at = X.bucket_bounds(d.trigger, buckets)
     first, varied = np.zeros(len(d.trigger), np.int64), np.zeros(len(d.trigger), bool)
     rest = []
-    for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        if hi > lo:
-            n, m = hi - lo, -(-(hi - lo) // 8)
-            varied[lo:hi] = np.unpackbits(np.frombuffer(mail[b], np.uint8, m), count=n)
-            first[lo:hi] = np.frombuffer(mail[b], np.int64, n, m)
-            rest.append(np.frombuffer(mail[b][m + 8 * n :], np.int64))
+    for b, lo, hi in X.runs_by_bucket(d.trigger, buckets):
+        n, m = hi - lo, -(-(hi - lo) // 8)
+        varied[lo:hi] = np.unpackbits(np.frombuffer(mail[b], np.uint8, m), count=n)
+        first[lo:hi] = np.frombuffer(mail[b], np.int64, n, m)
+        rest.append(np.frombuffer(mail[b][m + 8 * n :], np.int64))
     each = np.concatenate(rest) if rest else np.zeros(0, np.int64)
     widths = np.where(varied, p.count[d.head], 0) if len(d.head) else np.zeros(0, np.int64)
     begin = np.cumsum(widths) - widths
@@ -261,8 +292,11 @@ def _covered(p: Phrases, d: _Distinct, ids: np.ndarray, sizes: np.ndarray, mail:
     n = p.count[runs][mixed]
     values = each[K.ragged(begin[of[mixed]], n)] if len(n) else each[:0]
     strings = K.ragged(place[mixed], n)[values < np.repeat(own[mixed], n)] if len(n) else np.zeros(0, np.int64)
-    lo.append(strings)
-    hi.append(strings + length)
+    alone = p.count[hot.runs]
+    one_by_one = K.ragged(base[p.doc[hot.runs]] + p.start[hot.runs], alone)[hot.least(mail, buckets) < np.repeat(ids[p.doc[hot.runs]], alone)]
+    for x in (strings, one_by_one):
+        lo.append(x)
+        hi.append(x + length)
     total = int(sizes.sum())
     # Counted in place: sums over a chunk in 64 bits would take many times its bytes.
     step = np.zeros(total + 1, np.int32)
@@ -274,7 +308,7 @@ def _covered(p: Phrases, d: _Distinct, ids: np.ndarray, sizes: np.ndarray, mail:
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, trigger: int = 16, carry: tuple[str, ...] = ("doc_id",), each: int = X.CHUNK, as_text: bool = False
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, trigger: int = 16, carry: tuple[str, ...] = ("doc_id",), each: int = X.CHUNK, as_text: bool = False, hot: int = HOT
 ) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts in a document with a smaller key.
 
@@ -287,34 +321,31 @@ def remove_repeats(
     do not remove each other's bytes.  Input columns of the result's names are
     replaced.  An empty input gives an empty result.
     """
-    carry = tuple(dict.fromkeys(c for c in carry if c not in ("n_bytes", "kept", "span_start", "span_len")))
-    names = list(dict.fromkeys((key, text, *carry)))
-    d, buckets = X.chunked(docs.select(*names), key, text, each)
+    carry = X.result_names(carry, {"n_bytes", "kept", "span_start", "span_len"})
+    d, buckets = X.chunked(docs, key, text, carry, each)
 
     def read(t: pa.Table) -> tuple[list[bytes], Phrases, np.ndarray, int]:
-        blobs = as_bytes(t.column(text))
-        return blobs, Phrases(blobs, length, trigger), _ids(t, key), t.column("_chunk")[0].as_py() if t.num_rows else -1
+        blobs = as_bytes(t.column("text"))
+        return blobs, Phrases(blobs, length, trigger), _ids(t, "key"), t.column("chunk")[0].as_py() if t.num_rows else -1
 
     def ask(t: pa.Table) -> list[tuple[int, int, bytes]]:
         _, p, _, chunk = read(t)
-        return _ask_triggers(p, chunk, buckets)
+        return X.ask_census(*_triggers(p), chunk, buckets)
 
     def spell(t: pa.Table, mail: dict[int, bytes]) -> pa.Table:
         blobs, p, ids, chunk = read(t)
-        found, _ = _triggers(p)
-        chosen = _bits(found, mail, buckets)[np.searchsorted(found, p.trigger)] if len(found) else np.zeros(0, bool)
-        return X.letters(_ask_phrases(p, _Distinct(p, chosen, ids), blobs, chunk, buckets, length))
+        whole, single = _chosen(p, mail, buckets)
+        rows = _ask_phrases(p, _Distinct(p, whole, ids), blobs, chunk, buckets, length)
+        return X.letters(rows + _Strings(p, single, blobs, ids, length).ask(chunk, buckets))
 
     def remove(t: pa.Table, mail: dict[int, bytes]) -> pa.Table:
         blobs, p, ids, _ = read(t)
         if mail:
-            # The phrases asked about are those whose trigger's bit was set in the first answers.
-            found, _ = _triggers(p)
-            first = {b >> 1: m for b, m in mail.items() if not b & 1}
-            chosen = _bits(found, first, buckets)[np.searchsorted(found, p.trigger)]
-            second = {b >> 1: m for b, m in mail.items() if b & 1}
+            # The phrases asked about are those that the first answers chose.
+            first, second = X.two_rounds(mail)
+            whole, single = _chosen(p, first, buckets)
             sizes = np.array([len(b) for b in blobs], np.int64)
-            flags = _covered(p, _Distinct(p, chosen, ids), ids, sizes, second, buckets, length)
+            flags = _covered(p, _Distinct(p, whole, ids), _Strings(p, single, blobs, ids, length), ids, sizes, second, buckets, length)
         else:
             flags = np.zeros(sum(map(len, blobs)), bool)
         kept, starts, lens, at = [], [], [], 0
@@ -337,10 +368,9 @@ def remove_repeats(
             "span_start": pa.array(starts, pa.list_(pa.int64())),
             "span_len": pa.array(lens, pa.list_(pa.int64())),
         }
-        return pa.table({c: t.column(c) for c in carry} | new)
+        return pa.table({f"c{i}": t.column(f"c{i}") for i in range(len(carry))} | new)
 
-    seen = X.answer(X.send(d, ask), _seen_twice)
+    seen = X.answer(X.send(d, ask), lambda blobs: X.census(blobs, hot))
     spelled = X.answer(X.meet(d, seen, spell, X.LETTER), lambda blobs: _combine(blobs, length))
-    both = seen.selectExpr("bucket * 2 as bucket", "chunk", "blob").union(spelled.selectExpr("bucket * 2 + 1 as bucket", "chunk", "blob"))
-    schema = X.schema_of(docs, list(carry)) + f", n_bytes long, kept {'string' if as_text else 'binary'}, span_start array<long>, span_len array<long>"
-    return X.meet(d, both, remove, schema)
+    schema = X.carried(docs, carry) + f"n_bytes long, kept {'string' if as_text else 'binary'}, span_start array<long>, span_len array<long>"
+    return X.named(X.meet(d, X.both(seen, spelled), remove, schema), carry)
