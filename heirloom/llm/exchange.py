@@ -24,6 +24,7 @@ from heirloom.llm.kernels import group_starts
 #: Bytes of text in a chunk.
 CHUNK = 8 << 20
 LETTER = "bucket int, chunk int, blob binary"
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def chunked(docs: DataFrame, key: str, text: str, carry: tuple[str, ...], each: int = CHUNK) -> tuple[DataFrame, int]:
@@ -75,8 +76,17 @@ def unpack_sorted(blob: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
 
 
+def squeeze(blob: bytes) -> bytes:
+    """A blob in less room: planes of hashes and counts have few bits to a byte."""
+    return len(blob).to_bytes(8, "little") + _CODEC.compress(blob, asbytes=True)
+
+
+def swell(blob: bytes) -> bytes:
+    return _CODEC.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+
+
 def letters(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    b, c, x = zip(*rows, strict=True) if rows else ((), (), ())
+    b, c, x = zip(*((b, c, squeeze(x)) for b, c, x in rows), strict=True) if rows else ((), (), ())
     return pa.table({"bucket": pa.array(b, pa.int32()), "chunk": pa.array(c, pa.int32()), "blob": pa.array(x, pa.binary())})
 
 
@@ -97,7 +107,7 @@ def answer(questions: DataFrame, reply: Callable[[list[bytes]], list[bytes]]) ->
 
     def group(t: pa.Table) -> pa.Table:
         try:
-            found = reply(t.column("blob").to_pylist())
+            found = reply([swell(b) for b in t.column("blob").to_pylist()])
             return letters(list(zip(t.column("bucket").to_pylist(), t.column("chunk").to_pylist(), found, strict=True)))
         finally:
             trim()
@@ -106,7 +116,7 @@ def answer(questions: DataFrame, reply: Callable[[list[bytes]], list[bytes]]) ->
 
 
 def _mail(t: pa.Table) -> dict[int, bytes]:
-    return dict(zip(t.column("bucket").to_pylist(), t.column("blob").to_pylist(), strict=True))
+    return dict(zip(t.column("bucket").to_pylist(), map(swell, t.column("blob").to_pylist()), strict=True))
 
 
 def meet(chunks: DataFrame, answers: DataFrame, then: Callable[[pa.Table, dict[int, bytes]], pa.Table], schema: str) -> DataFrame:
