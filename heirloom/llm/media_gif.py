@@ -13,6 +13,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heirloom.llm.common import as_bytes, small_batches, trimmed
+from heirloom.llm.kernels import ragged
 
 SIDE = 24
 FRAME = SIDE * SIDE
 DELAY_CS = 4
 #: A byte that no UTF-8 text and no filling holds: frames use it for samples that stay as they are.
 SAME = 254
+#: Samples of an image whose table keys and codes fit in 31 bits together.
+_TOGETHER = 1700
 #: Codes that are unpacked at once.
 _CODES = 1 << 20
 GRAY = np.repeat(np.arange(256, dtype=np.uint8)[:, None], 3, axis=1)
@@ -59,14 +63,14 @@ def _codes(samples: bytes, size: int) -> list[int]:
     out, table, free = [clear], {}, clear + 2
     if not samples:
         return [clear, clear + 1]
-    held = samples[0]
-    put, known = out.append, table.get
+    held, put = samples[0], out.append
     for s in samples[1:]:
-        if (found := known(held << 8 | s)) is not None:
-            held = found
+        key = held << 8 | s
+        if key in table:
+            held = table[key]
             continue
         put(held)
-        table[held << 8 | s] = free
+        table[key] = free
         free += 1
         if free == 4096:
             put(clear)
@@ -78,28 +82,76 @@ def _codes(samples: bytes, size: int) -> list[int]:
     return out
 
 
+def _codes_together(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of many images of one size, which no table outgrows, step by step through all; and the number of each.
+
+    Every image has a table of hashed places that hold a string (code and sample) above the code of it.
+    """
+    n, count = rows.shape
+    clear, slots = 1 << size, 1 << max(4, (4 * count - 1).bit_length() - 1)
+    table = np.zeros(n * slots, np.int32)
+    base = np.arange(n, dtype=np.int64) * slots
+    out = np.empty((n, count + 2), np.int16)
+    out[:, 0] = clear
+    each = np.arange(n)
+    made = np.ones(n, np.int64)
+    held = rows[:, 0].astype(np.int32)
+    for t in range(1, count):
+        s = rows[:, t].astype(np.int32)
+        key = (held << 8 | s) + 1
+        place = (key * np.int32(0x9E35) >> 3) & (slots - 1)
+        at = base + place
+        found = table[at]
+        missed = found >> 12 != key
+        # Another string's place: look at the next ones.
+        busy = np.nonzero(missed & (found != 0))[0]
+        while len(busy):
+            at[busy] = base[busy] + (at[busy] + 1 & (slots - 1))
+            found[busy] = table[at[busy]]
+            missed[busy] = found[busy] >> 12 != key[busy]
+            busy = busy[missed[busy] & (found[busy] != 0)]
+        new = np.nonzero(missed)[0]
+        out[new, made[new]] = held[new]
+        table[at[new]] = key[new] << 12 | (clear + 1 + made[new]).astype(np.int32)
+        made[new] += 1
+        held = np.where(missed, s, found & 4095)
+    out[each, made] = held
+    out[each, made + 1] = clear + 1
+    made += 2
+    return out[np.arange(count + 2) < made[:, None]].astype(np.int64), made
+
+
 def lzw_encode(frames: list[bytes], size: int = 8) -> list[bytes]:
     """The LZW code streams of ``frames``, with variable code widths."""
-    found = [np.array(_codes(f, size), np.int64) for f in frames]
-    if not found:
+    if not frames:
         return []
-    codes = np.concatenate(found)
-    first = np.cumsum([0] + [len(x) for x in found])
+    count = len(frames[0])
+    if 0 < count <= _TOGETHER and all(len(f) == count for f in frames):
+        codes, sizes = _codes_together(np.frombuffer(b"".join(frames), np.uint8).reshape(-1, count), size)
+        first = np.concatenate(([0], np.cumsum(sizes)))
+    else:
+        found = [_codes(f, size) for f in frames]
+        first = np.cumsum([0] + [len(x) for x in found])
+        codes = np.fromiter(chain.from_iterable(found), np.int64, int(first[-1]))
     clears = np.nonzero(codes == 1 << size)[0]
-    place = np.arange(len(codes)) - np.repeat(clears, np.diff(np.append(clears, len(codes))))
-    width = np.concatenate(([size + 1], _widths(size, int(place.max()))))[place]
-    # A clear code within a stream comes at the width that its place has in the table before it.
-    inner = clears[np.isin(clears, first, invert=True)]
-    width[inner] = 12
+    run = np.diff(np.append(clears, len(codes)))
+    place = np.arange(len(codes)) - np.repeat(clears, run)
+    width = np.concatenate(([size + 1], _widths(size, int(run.max()) - 1)))[place]
+    # A clear code within a stream comes where the table is full.
+    width[clears[np.isin(clears, first, invert=True)]] = 12
     ends = np.cumsum(width)
     begin = np.concatenate(([0], ends))[first]
     n_bytes = -(-np.diff(begin) // 8)
     base = np.cumsum(n_bytes) - n_bytes
-    bit = ends - width - np.repeat(begin[:-1], np.diff(first)) + 8 * np.repeat(base, np.diff(first))
+    bit = ends - width + np.repeat(8 * base - begin[:-1], np.diff(first))
+    # Codes do not overlap; so many in turn do not begin in one byte.
+    turns = -(-8 // (size + 1))
     out = np.zeros(int(n_bytes.sum()) + 3, np.uint8)
-    spread = codes << (bit & 7)
+    spread, byte = codes << (bit & 7), bit >> 3
     for k in range(3):
-        np.add.at(out, (bit >> 3) + k, (spread >> 8 * k & 255).astype(np.uint8))
+        part = (spread >> 8 * k & 255).astype(np.uint8)
+        for turn in range(turns):
+            out[byte[turn::turns] + k] |= part[turn::turns]
     flat = out.tobytes()
     return [flat[a : a + n] for a, n in zip(base.tolist(), n_bytes.tolist(), strict=True)]
 
@@ -116,63 +168,73 @@ def lzw_decode(streams: list[bytes], size: int, count: int) -> np.ndarray:
 def _decode_some(streams: list[bytes], size: int, out: np.ndarray) -> None:
     """All streams together, one stretch between clear codes after another."""
     clear, count = 1 << size, out.shape[1]
-    raw = np.frombuffer(b"".join(streams) + b"\0\0\0", np.uint8).astype(np.int64)
+    raw = np.frombuffer(b"".join(streams) + b"\0\0\0", np.uint8)
+    raw = raw[:-2] | raw[1:-1].astype(np.int32) << 8 | raw[2:].astype(np.int32) << 16
     n_bits = 8 * np.array([len(s) for s in streams], np.int64)
     base = np.cumsum(n_bits) - n_bits
-    widths = _widths(size, count + 2)
-    offset = np.cumsum(widths) - widths
     live, bit, made = np.arange(len(streams)), np.zeros(len(streams), np.int64), np.zeros(len(streams), np.int64)
+    # A stretch has as many codes as its stream has room for, and as many as it may need samples.
+    most = int(min(count + 2, n_bits.max(initial=0) // (size + 1) + 1))
+    widths = _widths(size, most)
+    offset = np.cumsum(widths) - widths
+    # A code may name the entry that it completes itself, and no later one.
+    entries = np.minimum(clear + 2 + np.arange(most), 4096)
+    entries[0] = clear
+    mask = ((1 << widths) - 1).astype(np.int32)
     while len(live):
-        at = bit[live, None] + offset
-        fits = at + widths <= n_bits[live, None]
-        byte = np.where(fits, (base[live, None] + at) >> 3, 0)
-        code = (raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> ((base[live, None] + at) & 7) & ((1 << widths) - 1)
-        code = np.where(fits, code, clear + 1)
-        stop = (code == clear) | (code == clear + 1)
-        # A code may name the entry that it completes itself, and no later one.
-        entries = np.minimum(clear + 2 + np.arange(count + 2), 4096)
-        entries[0] = clear
-        stop |= code >= np.where(np.arange(count + 2) == 0, clear, entries)
-        n = np.where(stop.any(axis=1), stop.argmax(axis=1), count + 2)
+        end = offset[-1] + widths[-1]
+        if (bit[live] + end <= n_bits[live]).all():
+            at = (base[live] + bit[live])[:, None] + offset
+            code = raw[at >> 3] >> (at & 7).astype(np.int32) & mask
+        else:
+            fits = offset + widths <= (n_bits - bit)[live, None]
+            at = np.where(fits, (base[live] + bit[live])[:, None] + offset, 0)
+            code = np.where(fits, raw[at >> 3] >> (at & 7).astype(np.int32) & mask, clear + 1)
+        stop = (code == clear) | (code == clear + 1) | (code >= entries)
+        n = np.where(stop.any(axis=1), stop.argmax(axis=1), most)
         _expand(code, n, clear, live, made, out)
-        at_stop = np.minimum(n, count + 1)
-        again = (n < count + 2) & (code[np.arange(len(live)), at_stop] == clear)
+        at_stop = np.minimum(n, most - 1)
+        again = (n < most) & (code[np.arange(len(live)), at_stop] == clear)
         bit[live] += offset[at_stop] + widths[at_stop]
         live = live[again & (made[live] < count) & (bit[live] < n_bits[live])]
 
 
 def _expand(code: np.ndarray, n: np.ndarray, clear: int, live: np.ndarray, made: np.ndarray, out: np.ndarray) -> None:
     """Write the strings of the first ``n`` codes of each row of ``code`` after what its stream has made."""
-    used = np.arange(code.shape[1]) < n[:, None]
-    c = code[used]
+    c = code[np.arange(code.shape[1]) < n[:, None]].astype(np.int32)
     if not len(c):
         return
-    row = np.repeat(np.arange(len(n)), n)
-    first = np.repeat(np.cumsum(n) - n, n)
+    first = np.repeat((np.cumsum(n) - n).astype(np.int32), n)
     # Entry k is the string of code k and one sample more: lengths add up along the chain of codes.
+    own = np.arange(len(c), dtype=np.int32)
     above = c >= clear + 2
-    parent = np.where(above, first + c - clear - 2, np.arange(len(c)))
-    length = above.astype(np.int64)
-    while (length[parent] > 0).any():
-        length += length[parent]
+    named = np.where(above, first + c - (clear + 2), own)
+    parent, length = named, above.astype(np.int32)
+    while (more := length[parent]).any():
+        length = length + more
         parent = parent[parent]
     length += 1
-    start = np.cumsum(length) - length
-    # Each sample of such a string is an earlier sample of the output.
-    of = np.repeat(np.arange(len(c)), length)
-    place = np.arange(int(length.sum()))
-    source = np.where(above[of], start[np.where(above, first + c - clear - 2, 0)][of] + place - start[of], place)
-    while True:
-        further = source[source]
-        if (further == source).all():
-            break
+    ends = np.cumsum(length, dtype=np.int32)
+    start = ends - length
+    # Each sample of such a string is an earlier sample of the output, and so on down to a code of one sample.
+    shift = np.where(above, start - start[named], 0).astype(np.int32)
+    place = np.arange(int(ends[-1]), dtype=np.int32)
+    source = place - np.repeat(shift, length)
+    while not ((further := source[source]) == source).all():
         source = further
-    samples = c[of[source]].astype(np.uint8)
-    begin = start[np.minimum(np.cumsum(n) - n, len(c) - 1)]
-    to = made[live][row[of]] + place - begin[row[of]]
-    keep = to < out.shape[1]
-    out[live[row[of[keep]]], to[keep]] = samples[keep]
-    made[live] += np.bincount(row, weights=length, minlength=len(n)).astype(np.int64)
+    value = np.zeros(len(place), np.uint8)
+    value[start[~above]] = c[~above]
+    samples = value[source]
+    # Rows may hold more than is asked for, or less.
+    total = np.bincount(np.repeat(np.arange(len(n)), n), weights=length, minlength=len(n)).astype(np.int64)
+    begin = np.cumsum(total) - total
+    room = np.minimum(total, out.shape[1] - made[live])
+    if (room == out.shape[1]).all() and (total == room).all() and len(live) == len(out):
+        out[:] = samples.reshape(out.shape)
+    else:
+        flat = out.reshape(-1)
+        flat[ragged(live * out.shape[1] + made[live], room)] = samples[ragged(begin, room)]
+    made[live] += total
 
 
 def _sub_blocks(data: bytes) -> bytes:
@@ -282,16 +344,21 @@ def decode_frames(gifs: list[bytes]) -> list[tuple[int, int, np.ndarray | None,
 def composite(width: int, height: int, palette: np.ndarray | None, frames: list[Frame]) -> Iterator[np.ndarray]:
     """The RGBA canvas as each frame shows it, after disposal of the one before."""
     canvas = np.zeros((height, width, 4), np.uint8)
+    common = _opaque(GRAY if palette is None else palette)
     for f in frames:
         kept = canvas.copy() if f.disposal == 3 else None
-        colours = f.palette if f.palette is not None else palette if palette is not None else GRAY
-        index = np.minimum(f.samples, len(colours) - 1).reshape(f.height, f.width)
-        picture = np.empty((f.height, f.width, 4), np.uint8)
-        picture[..., :3], picture[..., 3] = colours[index], 255
+        colours = common if f.palette is None else _opaque(f.palette)
+        index = f.samples.reshape(f.height, f.width)
+        if len(colours) < 256:
+            index = np.minimum(index, len(colours) - 1)
         area = canvas[f.y : f.y + f.height, f.x : f.x + f.width]
-        picture = picture[: area.shape[0], : area.shape[1]]
-        shown = index[: area.shape[0], : area.shape[1]] != (-1 if f.transparent is None else f.transparent)
-        area[shown] = picture[shown]
+        if area.shape[:2] != index.shape:
+            index = index[: area.shape[0], : area.shape[1]]
+        if f.transparent is None:
+            area[:] = colours[index]
+        else:
+            shown = index != f.transparent
+            area[shown] = colours[index[shown]]
         yield canvas.copy()
         if f.disposal == 2:
             area[:] = 0
@@ -299,14 +366,19 @@ def composite(width: int, height: int, palette: np.ndarray | None, frames: list[
             canvas = kept
 
 
+def _opaque(palette: np.ndarray) -> np.ndarray:
+    return np.hstack([palette, np.full((len(palette), 1), 255, np.uint8)])
+
+
 def histograms(canvases: np.ndarray) -> np.ndarray:
     """Of each canvas, counts of ``BINS`` equal ranges of red, then green, then blue, over the opaque pixels."""
     n = len(canvases)
     pixels = canvases.reshape(n, -1, 4)
     seen = pixels[..., 3] > 0
-    which = np.broadcast_to(np.arange(n)[:, None], seen.shape)[seen] * BINS
-    each = [np.bincount(which + (pixels[..., c][seen] >> 5), minlength=n * BINS).reshape(n, BINS) for c in range(3)]
-    return np.hstack(each)
+    first = np.arange(0, n * BINS, BINS, dtype=np.int32)[:, None]
+    each = [first + (pixels[..., c] >> 5) for c in range(3)]
+    every = seen.all()
+    return np.hstack([np.bincount(x.reshape(-1) if every else x[seen], minlength=n * BINS).reshape(n, BINS) for x in each])
 
 
 def _padded(blob: bytes) -> bytes:
