@@ -26,6 +26,8 @@ from heirloom.llm.common import batches_of, small_batches, trimmed
 
 SPACE, NO_SPACE = 0x2581, 0x110000
 OFFSET = 10.0
+#: Bytes of code points whose lattices are held at once; a text beyond it is one batch.
+_LATTICE = 1 << 19
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -223,7 +225,7 @@ def sample_pieces(v: Vocabulary, texts: list[str | None], keys: list[int | None]
     blobs = [(t or "").encode("utf-32-le") for t in texts]
     seeds = K.mix(np.array([(k or 0) & ((1 << 64) - 1) for k in keys], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
     out: list[np.ndarray] = []
-    for lo, hi in batches_of(blobs, 1 << 20):
+    for lo, hi in batches_of(blobs, _LATTICE):
         out += _encode(v, blobs[lo:hi], seeds[lo:hi])
     return out
 
@@ -254,10 +256,15 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
-    """``doc_id`` and ``pieces``, the sampled ids, for every row; other columns are not read."""
+    """``doc_id`` and ``pieces``, the sampled ids, for every row; other columns are not read.
+
+    A null or empty text has no pieces, and decodes to the empty text; rows that
+    share a key and a text, or have no key and one text, draw alike.  Memory grows
+    with the longest text, by some hundred bytes a character.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", _LATTICE):
             yield _encoded(v, batch, seed)
 
     return _keyed(docs, key, text).mapInArrow(trimmed(run), "doc_id long, pieces array<int>")
@@ -277,7 +284,7 @@ def round_trip(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text: str =
     """``encode_documents`` and ``decode_documents`` in one worker: half as many hold the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", _LATTICE):
             yield from _decoded(v, _encoded(v, batch, seed))
 
     return _keyed(docs, key, text).mapInArrow(trimmed(run), "doc_id long, pieces array<int>, decoded string")
