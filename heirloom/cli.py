@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import argparse
+import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
+from heirloom.functions import names as N
 from heirloom.operators import claims as C
 from heirloom.operators import documents as D
 from heirloom.operators import living as L
 from heirloom.operators import llm_claims as LLM
+from heirloom.operators import llm_pipeline as LP
 from heirloom.operators import merging as M
 from heirloom.operators import people as P
 from heirloom.operators import promotion as PR
+from heirloom.operators import reconcile as RC
 from heirloom.sources import content, sinks
 
 ENTITIES = "entity_id string, canonical_name string, entity_type string, gender string, birth_year int, death_year int, confidence double, aliases array<string>"
@@ -22,48 +26,76 @@ RELATIONS = "relation_id string, source_entity_id string, target_entity_id strin
 FORMATS = ("dot", "json", "gedcom", "html")
 
 
-def build_tree(spark: SparkSession, source: str, out: str) -> dict[str, DataFrame]:
-    """Claims, people, relationships, families and documents from content lists."""
+def build_tree(spark: SparkSession, source: str, out: str, reference: str = "") -> dict[str, DataFrame]:
+    """Claims, people, relationships, families, mentions, resolution, conflicts and documents from content lists."""
     place = F.concat_ws("|", "source_path", F.lpad(F.col("ordinal").cast("string"), 10, "0"))
     chunks = cut(content.chunks(content.content_items(spark, source)).withColumn("k", place))
     claims = cut(C.extract_claims(chunks))
     roles = C.claim_people(claims)
     people = cut(P.fold_people(roles))
     rels = cut(P.validate(P.relationships(claims, roles, people), people))
+    mentions = cut(C.extract_mentions(chunks).withColumn("mention_id", F.concat_ws("-", F.lit("mention"), "k", "mention_no")))
+    resolved = P.resolve_mentions(mentions, people)
+    families = P.families(rels, "accepted")
+    conflicts = P.with_conflict_ids(P.conflicts(rels, roles, people))
     docs = D.person_documents(people, rels).unionByName(D.relationship_documents(rels, people)).unionByName(D.claim_documents(claims)).unionByName(D.chunk_documents(chunks))
-    tables = {"source_chunks": chunks, "claims": claims, "people": people, "relationships": rels, "families": P.families(rels, "accepted"), "documents": docs}
+    docs = docs.unionByName(D.family_documents(families, people)).unionByName(D.conflict_documents(conflicts)).unionByName(D.mention_documents(mentions)).unionByName(D.resolution_documents(resolved))
+    named = people
+    if reference:
+        named = RC.reconcile(_numbered(people), content.reference_people(spark, reference)).drop("seq", "ref")
+    tables = {
+        "source_chunks": chunks, "sources": chunks.select("source_id", F.col("source_path").alias("path")).distinct(), "claims": claims, "evidences": P.evidences(claims, "chunk_id" if "chunk_id" in claims.columns else "k"),
+        "people": named, "relationships": rels, "families": families, "mentions": mentions, "resolution": P.roll_up_mentions(mentions, people, claims), "unresolved_mentions": resolved.where("outcome <> 'resolved'"), "conflicts": conflicts, "documents": docs,
+    }
     for name, df in tables.items():
         sinks.write_jsonl(df, f"{out}/{name}")
     return tables
 
 
-def living_rules(entities: DataFrame, rel: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Roll-up, merge, quotes, roles, time line and derived kinship, in this order."""
+def _numbered(people: DataFrame) -> DataFrame:
+    """``people`` with ``seq``, whole numbers that follow ``person_id``: sorted ranges, numbered within, behind the sizes of those before."""
+    ranges = cut(people.repartitionByRange("person_id").sortWithinPartitions("person_id").withColumn("_part", F.spark_partition_id()))
+    sizes = ranges.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range.
+    ahead = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy("person_id"))
+    return ranges.withColumn("seq", within).join(F.broadcast(ahead), "_part").withColumn("seq", (F.col("seq") + F.col("_ahead")).cast("long")).drop("_part", "_ahead")
+
+
+def living_rules(entities: DataFrame, rel: DataFrame, derive: bool = True) -> dict[str, DataFrame]:
+    """Roll-up, merge, quotes, time line, roles and derived kinship, in this order.
+
+    Returns ``entities, relations`` and what was mended: ``merge_groups, repairs, role_conflicts``.
+    """
     entities, mapping = M.merge_entities(entities, rel)
     entities, rel = cut(entities), cut(M.remap(rel, mapping))
     quotes = rel.groupBy("src", "tgt", F.lower("type").alias("type"), "directed", "symmetric").agg(F.array_join(F.sort_array(F.collect_set("quote")), " ").alias("quote"))
     r = L.roll_up(rel).join(quotes, ["src", "tgt", "type", "directed", "symmetric"], "left")
-    r = PR.promote_parents(r, entities).drop("promoted")
+    r = PR.promote_parents(r, entities).withColumn("inference_rule", F.when(F.col("promoted"), "evidence_parent_cue")).drop("promoted")
+    r = L.specialise_parents(r, entities)
     r = PR.promote_avuncular(r, entities).drop("promoted")
-    r = cut(L.guard_timeline(L.specialise_parents(r, entities), entities))
-    r = L.limit_roles(r, [F.desc("confidence"), F.desc("support_count"), F.col("src")]).select("src", "tgt", "type", "confidence", "support_count", "directed", "symmetric", "relation_id")
-    r = cut(r)
-    kin = L.derive_kinship(r, entities)
-    return entities, r.unionByName(kin.drop("inference_rule"), allowMissingColumns=True)
+    r = cut(L.guard_timeline(r, entities))
+    repairs = r.where("action is not null").select("src", "tgt", "type", "action", "reasons")
+    r, conflicts = L.resolve_role_conflicts(r.drop("action", "reasons"), entities)
+    r = cut(r.select("src", "tgt", "type", "confidence", "support_count", "directed", "symmetric", "relation_id"))
+    if derive:
+        r = r.unionByName(L.derive_kinship(r, entities).drop("inference_rule"), allowMissingColumns=True)
+    return {"entities": entities, "relations": r, "merge_groups": M.merge_groups(mapping), "repairs": repairs, "role_conflicts": conflicts}
 
 
-def build_living(spark: SparkSession, source: str, out: str, max_relations: int = 400) -> dict[str, DataFrame]:
-    """A living graph's entities and relations after all rules, with DOT and HTML."""
+def build_living(spark: SparkSession, source: str, out: str, max_relations: int = 400, include: str = "", exclude: str = "", derive: bool = True) -> dict[str, DataFrame]:
+    """A living graph's entities and relations after all rules, conflicts, DOT and HTML."""
     entities, raw = content.living_graph(spark, source, ENTITIES, RELATIONS)
-    quote = F.array_join(F.filter(F.concat(F.transform(F.coalesce("evidence", F.array()), lambda e: F.trim(e["quote"])), F.array(F.trim("quote"))), lambda x: x != ""), " ")
+    quote = N.relation_quote("evidence", "quote")
     rel = raw.select("relation_id", F.trim("source_entity_id").alias("src"), F.trim("target_entity_id").alias("tgt"), F.col("relation_type").alias("type"), "confidence", "support_count", F.coalesce("directed", F.lit(True)).alias("directed"), F.coalesce("symmetric", F.lit(False)).alias("symmetric"), quote.alias("quote"))
-    entities, rel = living_rules(entities, cut(rel))
-    rel = cut(rel)
-    sinks.write_jsonl(entities, f"{out}/entities")
-    sinks.write_jsonl(rel, f"{out}/relations")
+    made = living_rules(entities, cut(rel), derive)
+    entities, rel = made["entities"], cut(L.filter_types(made["relations"], L.type_list(include), L.type_list(exclude)))
+    made["relations"] = rel
+    for name, df in made.items():
+        sinks.write_jsonl(df, f"{out}/{name}")
     sinks.write_lines(sinks.living_dot_lines(entities, rel, max_relations, order="relation_id"), f"{out}/living_graph.dot")
     sinks.living_html_rows(entities, rel).orderBy("section", "key").select("html").write.mode("overwrite").text(f"{out}/living_graph.html")
-    return {"entities": entities, "relations": rel}
+    return made
 
 
 def export(spark: SparkSession, folder: str, fmt: str, out: str) -> None:
@@ -81,11 +113,16 @@ def export(spark: SparkSession, folder: str, fmt: str, out: str) -> None:
         sinks.write_jsonl(families, f"{out}/families")
 
 
-def llm_candidates(spark: SparkSession, folder: str, out: str, window: int = 1) -> DataFrame:
-    """The chunks to ask a model about; ``llm_claims.complete`` and ``judge`` take its answers."""
-    chunks = content.jsonl(spark, f"{folder}/source_chunks", "source_id string, ordinal int, chunk_id string, text string")
-    found = LLM.candidates(chunks, "source_id", "ordinal", window=window)
-    sinks.write_jsonl(found, out)
+def llm_extract(spark: SparkSession, folder: str, out: str, window: int = 1, most: int = 0, completion=None) -> dict[str, DataFrame]:
+    """The chunks to ask a model about and, with a ``completion``, its answers, the validated claims and their graph."""
+    chunks = content.jsonl(spark, f"{content.artifact_folder(folder, 'source_chunks')}/source_chunks", "source_id string, ordinal int, chunk_id string, text string")
+    if completion is None:
+        found = {"candidates": LP.prompts(LLM.candidates(chunks, "source_id", "ordinal", window=window, max_candidates=most or None))}
+    else:
+        found = LP.run(chunks, completion, window=window, max_candidates=most or None)
+        found["rejected"] = found["validated"].where("status = 'rejected'")
+    for name, df in found.items():
+        sinks.write_jsonl(df, f"{out}/{name}")
     return found
 
 
@@ -95,16 +132,26 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("build", help="artifacts from content lists or a living graph")
     b.add_argument("--input", required=True)
     b.add_argument("--output", default="./outputs")
-    b.add_argument("--graph-mode", choices=["tree", "living"], default="tree")
+    b.add_argument("--graph-mode", choices=["auto", "tree", "living"], default="auto")
     b.add_argument("--max-relations", type=int, default=400)
+    b.add_argument("--include-relation-types", default="", help="of a living graph, types to keep, with commas")
+    b.add_argument("--exclude-relation-types", default="", help="of a living graph, types to leave out, with commas")
+    b.add_argument("--derive-kinship", action=argparse.BooleanOptionalAction, default=True)
+    b.add_argument("--reference-people", default="", help="a JSON array of people whose names and years a tree takes over")
     e = sub.add_parser("export", help="a built tree in another format")
     e.add_argument("--input", required=True)
     e.add_argument("--format", choices=FORMATS, required=True)
     e.add_argument("--output", required=True)
     x = sub.add_parser("llm-extract", help="chunks to ask a model about")
     x.add_argument("--input", required=True)
-    x.add_argument("--output", required=True)
+    x.add_argument("--output", default="", help="default: llm_claim_graph below the input")
     x.add_argument("--context-window", type=int, default=1)
+    x.add_argument("--max-candidates", type=int, default=0)
+    x.add_argument("--model", default=os.getenv("LLM_MODEL", ""))
+    x.add_argument("--llm-base-url", default=os.getenv("LLM_BASE_URL", ""), help="without it, only prompts are written")
+    x.add_argument("--llm-api-key", default=os.getenv("LLM_API_KEY", ""))
+    x.add_argument("--llm-timeout", type=int, default=int(os.getenv("LLM_TIMEOUT", "300")))
+    x.add_argument("--llm-max-tokens", type=int, default=int(os.getenv("LLM_MAX_TOKENS", "900")))
     return p
 
 
@@ -112,14 +159,16 @@ def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if a.command == "build":
-        if a.graph_mode == "living":
-            build_living(spark, a.input, a.output, a.max_relations)
+        living = a.graph_mode == "living" or a.graph_mode == "auto" and os.path.basename(a.input) == "living_graph.json"
+        if living:
+            build_living(spark, a.input, a.output, a.max_relations, a.include_relation_types, a.exclude_relation_types, a.derive_kinship)
         else:
-            build_tree(spark, a.input, a.output)
+            build_tree(spark, a.input, a.output, a.reference_people)
     elif a.command == "export":
         export(spark, a.input, a.format, a.output)
     else:
-        llm_candidates(spark, a.input, a.output, a.context_window)
+        ask = LP.http_completion(a.llm_base_url, a.model, a.llm_api_key, a.llm_timeout, a.llm_max_tokens) if a.llm_base_url else None
+        llm_extract(spark, a.input, a.output or f"{a.input.rstrip('/')}/llm_claim_graph", a.context_window, a.max_candidates, ask)
     return 0
 
 

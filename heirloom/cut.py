@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no folder, as in tests on one machine.
+#: Used only on one machine, as in tests, where the session names no folder.
 LOCAL_DEFAULT = "/tmp/checkpoints/heirloom"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session: what ``spark.checkpoint.dir`` names, else a local default."""
+    """The checkpoint folder of the session: what ``spark.checkpoint.dir`` names; in local mode alone a default of its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or LOCAL_DEFAULT)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or LOCAL_DEFAULT)
     return sc.getCheckpointDir()
 
 

@@ -35,7 +35,7 @@ FEMALE = "f female woman girl feminine fem ж жен женщина женски
 PARENT_GAP = (12, 80)
 CONFIDENCE = {"parent_child": 0.8, "spouse": 0.75, "sibling": 0.75, "transfer": 0.68, "avuncular": 0.72, "grand": 0.73, "cousin": 0.70}
 
-#: (claim type, pattern without flags, whether the third group is a second parent); names keep their case, cues do not.
+#: (claim type, pattern without flags); the third group is a second parent. Names keep their case, cues do not.
 _N = f"(?-i:{NAME}{YEARS_SUFFIX})"
 _NU = f"(?-iu:{NAME}{YEARS_SUFFIX})"
 
@@ -50,6 +50,8 @@ def claim_patterns(name: str) -> list[tuple[str, str]]:
 
 
 JAVA_CLAIMS = [(t, f"(?iu){p}") for t, p in claim_patterns(_NU)]
+#: What every match of each pattern holds.
+CLAIM_CUES = [r"(?i)(?:son|daughter|child)\s+of", r"(?iu)сын|дочь|ребенок", r"(?i)married\s+to|spouse\s+of", r"(?iu)муж|жена|супруг"]
 RE2_CLAIMS = [(t, f"(?i){p}") for t, p in claim_patterns(_N)]
 HEADINGS = [
     r"^([А-ЯЁA-Z][А-Яа-яЁёA-Za-z]+(?:\s+[IVXLCDM]+|\s+[А-ЯЁA-Z][А-Яа-яЁёA-Za-z]+){0,3})\s*\(",

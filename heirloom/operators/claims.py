@@ -11,13 +11,17 @@ from heirloom.functions import text as T
 from heirloom.functions import vocab as V
 
 
-def _matches(no: int, kind: str, pattern: str) -> Column:
-    """The matches of one pattern in ``_t`` with its groups."""
-    groups = F.arrays_zip(*[F.regexp_extract_all("_t", F.lit(pattern), F.lit(g)).alias(f"g{g}") for g in range(4)])
+def _matches(no: int, kind: str, pattern: str, cue: str) -> Column:
+    """The matches of one pattern in ``_t`` with its groups.
+
+    Only a text with a cue word is searched, once; the groups are taken from the
+    short matches, where the pattern takes the same way as in the text.
+    """
+    whole = F.when(F.col("_t").rlike(cue), F.regexp_extract_all("_t", F.lit(pattern), F.lit(0)))
     return F.transform(
-        groups,
+        F.coalesce(whole, F.array().cast("array<string>")),
         lambda m, i: F.struct(
-            F.lit(no).alias("pattern_no"), i.alias("match_no"), F.lit(kind).alias("claim_type"), m["g0"].alias("quote"), m["g1"].alias("r1"), m["g2"].alias("r2"), m["g3"].alias("r3")
+            F.lit(no).alias("pattern_no"), i.alias("match_no"), F.lit(kind).alias("claim_type"), m.alias("quote"), *[F.regexp_extract(m, pattern, g).alias(f"r{g}") for g in (1, 2, 3)]
         ),
     )
 
@@ -32,7 +36,7 @@ def extract_claims(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("
     """
     base = df.select(*keys, T.compact(F.col(text)).alias("_t"))
     # All patterns read the text in one pass.
-    found = F.array(*[_matches(no, kind, p) for no, (kind, p) in enumerate(V.JAVA_CLAIMS)])
+    found = F.array(*[_matches(no, kind, p, V.CLAIM_CUES[no]) for no, (kind, p) in enumerate(V.JAVA_CLAIMS)])
     rows = base.select(*keys, F.inline(F.flatten(found)))
     for i in (1, 2, 3):
         raw = F.nullif(F.col(f"r{i}"), F.lit(""))
@@ -58,12 +62,15 @@ def extract_mentions(df: DataFrame, text: str = "text", keys: tuple[str, ...] =
     pattern = V.MENTION + V.YEARS_SUFFIX
     base = df.select(*keys, F.col(text).alias("_t"))
     base = base.withColumns({"_m": F.regexp_extract_all("_t", F.lit(f"({pattern})"), F.lit(1)), "_s": F.split("_t", pattern, -1)})
-    rows = base.select(*keys, "_m", "_s", F.posexplode("_m").alias("mention_no", "raw"))
-    before = lambda c, n: F.aggregate(F.transform(F.slice(c, 1, n), F.length), F.lit(0), lambda a, x: a + x)
-    start = before(F.col("_s"), F.col("mention_no") + 1) + before(F.col("_m"), F.col("mention_no"))
+    # The start of a match: what the split leaves up to it and the matches before, summed once along the text.
+    steps = F.zip_with(F.transform("_m", lambda x: F.length(x)), F.transform("_s", lambda x: F.length(x)), lambda m, s: F.struct(s.alias("s"), F.coalesce(m, F.lit(0)).alias("m")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    walk = F.aggregate(steps, start, lambda a, x: F.struct((a["at"] + x["s"] + x["m"]).alias("at"), F.concat(a["all"], F.array(a["at"] + x["s"])).alias("all")))
+    rows = base.withColumn("_at", walk["all"]).select(*keys, "_at", F.posexplode("_m").alias("mention_no", "raw"))
+    start = F.get("_at", F.col("mention_no"))
     low, high = T.year_range(F.col("raw"))
     rows = rows.withColumns({"surface": T.clean_name(F.col("raw")), "birth_year": low, "death_year": high, "span_start": start, "span_end": start + F.length("raw")})
-    rows = rows.withColumn("normalized", T.normalize_name(F.col("surface"))).drop("_m", "_s")
+    rows = rows.withColumn("normalized", T.normalize_name(F.col("surface"))).drop("_at")
     noise = F.col("normalized").isin(V.MENTION_NOISE)
     return rows.where(~noise & ~F.col("normalized").rlike(r"^[\d ]+$") & F.col("surface").rlike(r"\p{L}"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from heirloom.cut import cut
+from heirloom.functions import names as N
 from heirloom.functions import text as T
 from heirloom.functions import vocab as V
 
@@ -102,6 +104,54 @@ def limit_roles(rel: DataFrame, order: list[Column], limits: dict[str, int] | No
     return rel.withColumn("demoted", over).withColumn("type", F.when(F.col("demoted"), "relative").otherwise(F.col("type")))
 
 
+#: The role that a relation gives a parent, and how many of it a child has.
+ROLES = {"father_of": ("father", 1), "mother_of": ("mother", 1), "parent_of": ("parent", 2)}
+
+
+def resolve_role_conflicts(rel: DataFrame, entities: DataFrame, order: str = "relation_id") -> tuple[DataFrame, DataFrame]:
+    """Keep one father, one mother and two parents of no stated role per child; the others become ``relative``.
+
+    Relations ``src, tgt, type, confidence, directed, symmetric`` and, where there
+    are any, ``quote, polarity, support_count, inference_rule``.  Those stay whose
+    quote names the source as the parent, that are not negative, of high
+    confidence and support, with long quotes, and not promoted from a quote; then
+    by ``order``.  A demoted row is dropped where its pair is ``relative`` already,
+    or by an earlier demoted row.  Adds ``demoted``.  Also returns the conflicts:
+    ``child, role, role_limit, kept, downgraded`` (ids by rank).
+    """
+    has = lambda c, kind: F.col(c) if c in rel.columns else F.lit(None).cast(kind)
+    e = entities.select("entity_id", F.coalesce("canonical_name", F.col("entity_id").cast("string")).alias("_name"))
+    role = F.create_map(*[x for k, (name, _) in ROLES.items() for x in (F.lit(k), F.lit(name))])
+    limit = F.create_map(*[x for name, n in ROLES.values() for x in (F.lit(name), F.lit(n))])
+    r = rel.withColumn("_role", F.element_at(role, F.lower(T.relation_type(F.col("type")))))
+    # Only children with more parents of a role than may be are ranked.
+    many = r.where("_role is not null and tgt is not null").groupBy("tgt", "_role").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.element_at(limit, F.col("_role")))
+    r = cut(r.join(many.withColumn("_many", F.lit(True)).drop("_n"), ["tgt", "_role"], "left"))
+    rivals = r.where("_many").join(e.toDF("src", "_s"), "src", "left").join(e.toDF("tgt", "_t"), "tgt", "left")
+    quote = F.coalesce(has("quote", "string"), F.lit(""))
+    anchor = N.parent_anchor(T.cue_text(quote), F.coalesce("_s", F.col("src").cast("string")), F.coalesce("_t", F.col("tgt").cast("string")), F.lit(True))
+    rivals = rivals.withColumn("_anchor", anchor)
+    rank = [
+        F.desc("_anchor"), F.coalesce(F.lower(F.trim(has("polarity", "string"))) == "negative", F.lit(False)), F.desc(F.coalesce("confidence", F.lit(0.0))),
+        F.desc(F.coalesce(has("support_count", "int"), F.lit(0))), F.desc(F.length(quote)), F.coalesce(has("inference_rule", "string") == "evidence_parent_cue", F.lit(False)), F.col(order),
+    ]
+    ranked = cut(rivals.withColumn("_rank", F.row_number().over(Window.partitionBy("tgt", "_role").orderBy(*rank))).withColumn("_over", F.col("_rank") > F.element_at(limit, F.col("_role"))))
+    ids = lambda over: F.transform(F.sort_array(F.collect_list(F.when(F.col("_over") == over, F.struct("_rank", F.col(order).alias("id"))))), lambda x: x["id"])
+    conflicts = ranked.groupBy(F.col("tgt").alias("child"), F.col("_role").alias("role")).agg(F.element_at(limit, F.first("_role")).alias("role_limit"), ids(False).alias("kept"), ids(True).alias("downgraded"))
+    kept = r.where("_many is null").select(*rel.columns).unionByName(ranked.where("not _over").select(*rel.columns)).withColumn("demoted", F.lit(False))
+    already = kept.where(F.lower(T.relation_type(F.col("type"))) == "relative").select("src", "tgt").distinct()
+    first = F.row_number().over(Window.partitionBy("src", "tgt").orderBy(order))
+    down = ranked.where("_over").join(already, ["src", "tgt"], "left_anti").withColumn("_first", first).where("_first = 1")
+    new = {"type": F.lit("relative"), "directed": F.lit(False), "symmetric": F.lit(True), "inference_rule": F.concat_ws(";", F.nullif(F.trim(has("inference_rule", "string")), F.lit("")), F.lit("parent_role_conflict_downgrade"))}
+    down = down.select(*[new[c].alias(c) if c in new else F.col(c) for c in rel.columns]).withColumn("demoted", F.lit(True))
+    return kept.unionByName(down), conflicts
+
+
+def type_list(csv: str) -> set[str]:
+    """Relation types of a comma-separated argument."""
+    return {x.strip().lower() for x in csv.split(",") if x.strip()}
+
+
 def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
     """Siblings, aunts and uncles, nieces and nephews, grandparents and cousins that follow from one pass over ``rel``.
 
@@ -117,10 +167,10 @@ def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
     shared = parent.alias("x").join(parent.alias("y"), F.expr("x.p = y.p and x.c <> y.c")).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
     by_uncle = avuncular.join(parent, "c").where("u <> p").select(F.col("u").alias("a"), F.col("p").alias("b"))
     by_uncle = by_uncle.union(by_uncle.select("b", "a")).distinct()
-    sib = shared.union(by_uncle).distinct()
+    sib = cut(shared.union(by_uncle).distinct())
     c = V.CONFIDENCE
     gp = parent.select(F.col("p").alias("gp"), F.col("c").alias("p")).join(parent, "p").select("gp", "c")
-    aunt = parent.join(sib.select(F.col("a").alias("p"), F.col("b").alias("u")), "p").select("u", "c")
+    aunt = parent.join(sib.select(F.col("a").alias("p"), F.col("b").alias("u")), "p").select("u", "c").distinct()
     cousin = aunt.join(parent.select(F.col("p").alias("u"), F.col("c").alias("d")), "u").where("c <> d").select("c", "d").distinct()
     transfer = by_uncle.join(parent.select(F.col("c").alias("a"), "p"), "a").select(F.col("p").alias("src"), F.col("b").alias("tgt"), F.lit("parent").alias("role"), F.lit(c["transfer"]).alias("confidence"), F.lit("avuncular_parent_transfer").alias("inference_rule"), F.lit(2).alias("o"))
     row = lambda df, a, b, role, conf, rule, o: df.select(F.col(a).alias("src"), F.col(b).alias("tgt"), F.lit(role).alias("role"), F.lit(c[conf]).alias("confidence"), F.lit(rule).alias("inference_rule"), F.lit(o).alias("o"))

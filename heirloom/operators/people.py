@@ -123,3 +123,33 @@ def conflicts(rels: DataFrame, roles: DataFrame, people: DataFrame) -> DataFrame
     lost = resolve_people(roles, people).where("person_id is null")
     cid = F.concat_ws("-", F.lit("claim"), "k", "pattern_no", "match_no")
     return of_rel.unionByName(lost.select(F.lit("unresolved_claim_person").alias("conflict_type"), F.concat_ws("-", cid, "role").alias("key"), F.array().cast("array<string>").alias("person_ids"), F.array(cid).alias("claim_ids")))
+
+
+def claims_by_name(claims: DataFrame) -> DataFrame:
+    """``normalized, claim_ids``: the claims that name each person, by any of their people."""
+    cid = F.concat_ws("-", F.lit("claim"), "k", "pattern_no", "match_no")
+    names = claims.select(cid.alias("claim_id"), F.explode(F.array("name1", "name2", "name3")).alias("name"))
+    return names.withColumn("normalized", T.normalize_name(F.col("name"))).where("normalized <> ''").groupBy("normalized").agg(F.sort_array(F.collect_set("claim_id")).alias("claim_ids"))
+
+
+def roll_up_mentions(mentions: DataFrame, people: DataFrame, claims: DataFrame, key: str = "mention_id") -> DataFrame:
+    """Resolved mentions by person: ``person_id, name, normalized, mention_ids, surfaces, claim_ids, reasons``, all sorted and distinct."""
+    resolved = resolve_mentions(mentions, people, key).where("outcome = 'resolved'").select(key, "surface", F.element_at("candidates", 1).alias("person_id"))
+    dated = mentions.select(key, F.when(F.col("birth_year").isNotNull() | F.col("death_year").isNotNull(), "year_compatible").alias("_dated"))
+    some = lambda c: F.sort_array(F.collect_set(c))
+    by_person = resolved.join(dated, key).groupBy("person_id").agg(some(key).alias("mention_ids"), some("surface").alias("surfaces"), F.sort_array(F.array_append(F.collect_set("_dated"), F.lit("normalized_name_match"))).alias("reasons"))
+    named = by_person.join(people.select("person_id", "name", "normalized"), "person_id").join(claims_by_name(claims), "normalized", "left")
+    return named.select("person_id", "name", "normalized", "mention_ids", "surfaces", F.coalesce("claim_ids", F.array().cast("array<string>")).alias("claim_ids"), "reasons")
+
+
+def evidences(claims: DataFrame, chunk: str = "k") -> DataFrame:
+    """``claim_id, evidence_id, chunk_id, quote``: the places that claims rest on, once each."""
+    cid = F.concat_ws("-", F.lit("claim"), "k", "pattern_no", "match_no")
+    rows = claims.select(cid.alias("claim_id"), F.col(chunk).cast("string").alias("chunk_id"), "quote")
+    return rows.withColumn("evidence_id", T.stable_id("evidence", F.col("chunk_id"), F.col("quote"))).dropDuplicates(["claim_id", "evidence_id"])
+
+
+def with_conflict_ids(conflicts: DataFrame) -> DataFrame:
+    """Add ``conflict_id`` and keep one row of each."""
+    cid = T.stable_id("conflict", F.col("conflict_type"), F.col("key"), F.array_join("person_ids", "|"))
+    return conflicts.withColumn("conflict_id", cid).dropDuplicates(["conflict_id"])

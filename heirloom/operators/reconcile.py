@@ -108,7 +108,7 @@ def reconcile(people: DataFrame, reference: DataFrame) -> DataFrame:
     renamed = hit & F.coalesce(new != old, F.lit(True))
     mine = F.coalesce("aliases", none) if "aliases" in people.columns else none
     theirs = F.coalesce("_r.aliases", none) if "aliases" in reference.columns else none
-    more = F.concat(F.when(renamed & (F.trim(old) != ""), F.array(F.trim(old))).otherwise(none), F.when(hit, F.filter(F.transform(theirs, F.trim), lambda x: x != "")).otherwise(none))
+    more = F.concat(F.when(renamed & (F.trim(old) != ""), F.array(F.trim(old))).otherwise(none), F.when(hit, F.filter(F.transform(theirs, lambda x: F.trim(x)), lambda x: x != "")).otherwise(none))
     norm = F.coalesce(F.nullif(F.trim("_r.normalized_name"), F.lit("")), T.normalize_name(new)) if "normalized_name" in reference.columns else T.normalize_name(new)
     cols = {"name": F.when(hit, new).otherwise(old), "aliases": F.concat(mine, F.array_except(more, mine))}
     if "normalized_name" in people.columns:

@@ -13,22 +13,21 @@ from heirloom.operators import claims as C
 from heirloom.operators import documents as D
 from heirloom.operators import living as L
 from heirloom.operators import llm_claims as LLM
+from heirloom.operators import llm_pipeline as LP
 from heirloom.operators import merging as M
 from heirloom.operators import people as P
 from heirloom.operators import promotion as PR
 from heirloom.operators import reconcile as RC
 from heirloom.operators import retrieval as R
 from heirloom.operators.components import connected_components
-from heirloom.sources import content, sinks
+from heirloom.sources import content, parsed, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 #: Family sentences made of the parts table, in SQL that Spark and DuckDB both read.
 KIN_TEXT = """select c.k as k, concat(c.nm,' (',cast(c.y as string),'-',cast(c.y+60 as string),') was child of ',a.nm,' (',cast(a.y as string),'-',
-cast(a.y+50 as string),') and ',b.nm,'. ',a.nm,' is married to ',b.nm,'.') as text from {p} c join {p} a on a.k=(c.k*7+1) % c.n join {p} b on b.k=(c.k*11+3) % c.n where c.k % 4 = 0"""
-#: The same with a sentence of every row.
-KIN_TEXT_WHOLE = KIN_TEXT.removesuffix(" where c.k % 4 = 0")
+cast(a.y+50 as string),') and ',b.nm,'. ',a.nm,' is married to ',b.nm,'.') as text from {p} c join {p} a on a.k=(c.k*7+1) % c.n join {p} b on b.k=(c.k*11+3) % c.n"""
 KIN_PART = "select p_partkey as k, concat(upper(p_name),' ',p_type) as nm, 1500 + cast(p_partkey % 300 as int) as y, (select count(*) from part) as n from part"
 #: Edges with a few cycles, a self-loop and shared parents.
 KIN_EDGES = "select cast((k*k+1) % n as bigint) as src, k as tgt from (select p_partkey as k, (select count(*) from part) as n from part) union all select cast(0 as bigint), cast(0 as bigint)"
@@ -48,12 +47,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def kin_text(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
-    """Sentences of every fourth row of part, as the SQL of KIN_TEXT has it, or of every row."""
+def kin_text(spark: SparkSession, d: str) -> DataFrame:
+    """A family's sentences for every row of part, as the SQL of KIN_TEXT has them; texts made of a small table, so dealt out anew."""
     p = table(spark, d, "part")
     n = p.count()
     q = p.select(F.col("p_partkey").alias("k"), F.concat(F.upper("p_name"), F.lit(" "), "p_type").alias("nm"), (1500 + (F.col("p_partkey") % 300).cast("int")).alias("y"))
-    c = (q if whole else q.where("k % 4 = 0")).withColumns({"ka": (F.col("k") * 7 + 1) % n, "kb": (F.col("k") * 11 + 3) % n})
+    c = q.repartition(spark.sparkContext.defaultParallelism, "k").withColumns({"ka": (F.col("k") * 7 + 1) % n, "kb": (F.col("k") * 11 + 3) % n})
     a, b = q.select(F.col("k").alias("ka"), F.col("nm").alias("na"), F.col("y").alias("ya")), q.select(F.col("k").alias("kb"), F.col("nm").alias("nb"))
     text = F.format_string("%s (%d-%d) was child of %s (%d-%d) and %s. %s is married to %s.", "nm", "y", F.col("y") + 60, "na", "ya", F.col("ya") + 50, "nb", "na", "nb")
     return c.join(a, "ka").join(b, "kb").select("k", text.alias("text"))
@@ -80,7 +79,6 @@ def q(s: str) -> str:
 
 
 _KIN = f"p as ({KIN_PART}), kin as ({KIN_TEXT.format(p='p')})"
-_KIN_WHOLE = f"p as ({KIN_PART}), kin as ({KIN_TEXT_WHOLE.format(p='p')})"
 _STRIP = "[ ,.;:!?\\t\\n\"''`«»“”()\\[\\]{}]+"
 _NOISE = "|".join(V.NOISE_SUFFIXES)
 
@@ -130,12 +128,14 @@ best as (select k, pattern_no, match_no, claim_type, role, pid from (select *, r
 edge as (select c.k, c.pattern_no, c.match_no, p.pid as src, 'parent_of' as type, c.pid as tgt, 0.8 as confidence from best c join best p on c.k = p.k and c.pattern_no = p.pattern_no and c.match_no = p.match_no and c.role = 1 and p.role > 1 where c.claim_type = 'parent_child'
 union all select a.k, a.pattern_no, a.match_no, least(a.pid, b.pid), 'spouse_of', greatest(a.pid, b.pid), 0.75 from best a join best b on a.k = b.k and a.pattern_no = b.pattern_no and a.match_no = b.match_no and a.role = 1 and b.role = 2 where a.claim_type = 'spouse'),
 rels as (select src, type, tgt, cast(max(confidence) as double) as confidence, count(distinct concat(k,'-',pattern_no,'-',match_no)) as support_count from edge group by 1, 2, 3)"""
+_ROLE_ROWS = """li as (select l_orderkey * 10 + l_linenumber as relation_id, case when l_linenumber % 2 = 1 then 0 when l_suppkey % 2 = 0 then case when l_partkey % 2 = 0 then 1 else 2 end when l_partkey % 2 = 0 then -2 else -1 end as anchor, l_suppkey as src, l_partkey as tgt, l_discount as confidence, l_linenumber as support_count,
+case when l_returnflag = 'A' then 'father_of' when l_returnflag = 'R' then 'mother_of' when l_linenumber % 3 = 0 then 'relative' else 'parent_of' end as type from lineitem)"""
 _CYCLE = ", reach(a, b) as (select src, tgt from e0 union select r.a, e.tgt from reach r join e0 e on e.src = r.b)"
 
 
 @query(f"with {_KIN} select k, text from kin")
-def kin_text_view(spark, d, whole=False):
-    return kin_text(spark, d, whole)
+def kin_text_view(spark, d):
+    return kin_text(spark, d)
 
 
 @query(f"select doc_id, md5({_norm('text')}) as normalized_md5 from documents")
@@ -183,8 +183,8 @@ def src_parser_routing(spark, d):
 
 
 @query(f"with {_CLAIMS} select k, pattern_no, match_no, claim_type, quote, nullif(name1,'') as name1, birth1, death1, nullif(name2,'') as name2, birth2, death2, nullif(name3,'') as name3, birth3, death3 from claims")
-def nlp_claims(spark, d, whole=False):
-    c = C.extract_claims(kin_text(spark, d, whole))
+def nlp_claims(spark, d):
+    c = C.extract_claims(kin_text(spark, d))
     return c.select("k", "pattern_no", "match_no", "claim_type", "quote", *[f"{x}{i}" for i in (1, 2, 3) for x in ("name", "birth", "death")])
 
 
@@ -198,22 +198,22 @@ def nlp_mentions(spark, d):
 
 
 @query(f"with {_PEOPLE} select person_id, name, normalized, birth_year, death_year from people")
-def gr_people(spark, d, whole=False):
-    return P.fold_people(C.claim_people(C.extract_claims(kin_text(spark, d, whole))))
+def gr_people(spark, d):
+    return P.fold_people(C.claim_people(C.extract_claims(kin_text(spark, d))))
 
 
-def _tree(spark, d, whole=False):
+def _tree(spark, d):
     from heirloom.cut import cut
 
-    claims = cut(C.extract_claims(kin_text(spark, d, whole)))
+    claims = cut(C.extract_claims(kin_text(spark, d)))
     roles = C.claim_people(claims)
     people = cut(P.fold_people(roles))
     return claims, roles, people, P.relationships(claims, roles, people)
 
 
 @query(f"with {_RELS} select src, type, tgt, confidence, support_count from rels")
-def gr_relationships(spark, d, whole=False):
-    return _tree(spark, d, whole)[3].drop("claim_ids")
+def gr_relationships(spark, d):
+    return _tree(spark, d)[3].drop("claim_ids")
 
 
 @query(
@@ -224,22 +224,22 @@ def gr_relationships(spark, d, whole=False):
     + ", g as (select f.*, type = 'parent_of' and exists (select 1 from e0 where e0.src = f.src and e0.tgt = f.tgt) and exists (select 1 from reach where reach.a = f.tgt and reach.b = f.src) as loop from f) "
     "select src, type, tgt, case when self or odd or many or loop then 'conflict' else 'accepted' end as status, concat_ws(',', case when self then 'self_relationship' end, case when odd then 'implausible_parent_age_gap' end, case when many then 'too_many_parent_relationships' end, case when loop then 'parent_cycle' end) as conflicts from g"
 )
-def gr_conflicts(spark, d, whole=False):
-    _, _, people, rels = _tree(spark, d, whole)
+def gr_conflicts(spark, d):
+    _, _, people, rels = _tree(spark, d)
     return P.validate(rels, people).select("src", "type", "tgt", "status", F.array_join("conflicts", ",").alias("conflicts"))
 
 
 #: Roles whose person is taken out of the people, so that they stay unresolved.
 @query(f"with {_PEOPLE} select 'unresolved_claim_person' as conflict_type, concat('claim-', k, '-', pattern_no, '-', match_no, '-', role) as key from roles where length(normalized) % 5 = 0")
-def gr_unresolved(spark, d, whole=False):
-    _, roles, people, rels = _tree(spark, d, whole)
+def gr_unresolved(spark, d):
+    _, roles, people, rels = _tree(spark, d)
     fewer = people.where("length(normalized) % 5 <> 0")
     return P.conflicts(P.validate(rels.where("false"), fewer), roles, fewer).select("conflict_type", "key")
 
 
 @query(None)
 def doc_kinds(spark, d):
-    claims, roles, people, rels = _tree(spark, d, True)
+    claims, roles, people, rels = _tree(spark, d)
     rels = P.validate(rels, people)
     m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name"), "mention_no": F.col("match_no") * 4 + F.col("role")})
     docs = D.family_documents(P.families(rels, "accepted"), people).unionByName(D.conflict_documents(P.conflicts(rels, roles, people))).unionByName(D.mention_documents(m)).unionByName(D.resolution_documents(P.resolve_mentions(m, people)))
@@ -251,31 +251,52 @@ def gr_cycles(spark, d):
     return P.cycle_edges(kin_edges(spark, d).where("src <> tgt"))
 
 
-@query(f"with recursive e0 as (select src as a, tgt as b from ({KIN_EDGES}) where src % 5 = 0 or src = tgt), e as (select a, b from e0 union select b, a from e0), r(id, c) as (select a, a from e union select e.b, r.c from r join e on e.a = r.id) select id, min(c) as component from r group by 1")
-def gr_components(spark, d):
-    e = kin_edges(spark, d).where("src % 5 = 0 or src = tgt")
-    return connected_components(e, "src", "tgt").select("id", "component")
-
-
-#: Every edge; the query above keeps about a fifth of them, as its SQL does.
 @query(f"with recursive e0 as (select src as a, tgt as b from ({KIN_EDGES})), e as (select a, b from e0 union select b, a from e0), r(id, c) as (select a, a from e union select e.b, r.c from r join e on e.a = r.id) select id, min(c) as component from r group by 1")
-def gr_components_whole(spark, d):
+def gr_components(spark, d):
     return connected_components(kin_edges(spark, d), "src", "tgt").select("id", "component")
 
 
 @query(f"with {_RELS}, of_child as (select tgt, string_agg(distinct src, ',' order by src) as parents from rels where type = 'parent_of' group by 1) select parents, count(*) as n_children from of_child group by 1 union all select concat(src, ',', tgt), 0 from (select distinct src, tgt from rels where type = 'spouse_of') where concat(src, ',', tgt) not in (select parents from of_child)")
-def gr_families(spark, d, whole=False):
-    f = P.families(_tree(spark, d, whole)[3])
+def gr_families(spark, d):
+    f = P.families(_tree(spark, d)[3])
     return f.select(F.array_join("parent_ids", ",").alias("parents"), F.size("child_ids").cast("long").alias("n_children"))
 
 
 @query(f"with {_PEOPLE}, c as (select r.k, r.pattern_no, r.match_no, r.role, count(distinct p.person_id) as every, count(distinct case when coalesce(r.birth_year = p.birth_year, true) and coalesce(r.death_year = p.death_year, true) then p.person_id end) as fit from roles r left join people p using (normalized) group by 1, 2, 3, 4) select case when every = 0 then 'no_matching_person' when fit = 0 then 'year_mismatch' when fit > 1 then 'multiple_matching_people' else 'resolved' end as outcome, count(*) as n from c group by 1")
-def gr_resolution(spark, d, whole=False):
-    _, roles, people, _ = _tree(spark, d, whole)
+def gr_resolution(spark, d):
+    _, roles, people, _ = _tree(spark, d)
     m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name")})
     return P.resolve_mentions(m, people).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""with {_PEOPLE}, c as (select r.k, r.pattern_no, r.match_no, r.role, r.name as surface, r.birth_year is not null or r.death_year is not null as dated, count(*) as fit, min(p.person_id) as person_id from roles r join people p on p.normalized = r.normalized and coalesce(r.birth_year = p.birth_year, true) and coalesce(r.death_year = p.death_year, true) group by 1, 2, 3, 4, 5, 6),
+named as (select normalized, count(distinct concat(k, '-', pattern_no, '-', match_no)) as n_claims from roles group by 1)
+select p.person_id, count(*) as n_mentions, count(distinct surface) as n_surfaces, any_value(n.n_claims) as n_claims, case when bool_or(dated) then 'normalized_name_match,year_compatible' else 'normalized_name_match' end as reasons from c join people p using (person_id) join named n on n.normalized = p.normalized where c.fit = 1 group by 1""")
+def gr_mention_roll_up(spark, d):
+    claims, roles, people, _ = _tree(spark, d)
+    m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name")})
+    size = lambda c: F.size(c).cast("long")
+    return P.roll_up_mentions(m, people, claims).select("person_id", size("mention_ids").alias("n_mentions"), size("surfaces").alias("n_surfaces"), size("claim_ids").alias("n_claims"), F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(f"with {_CLAIMS} select distinct concat('claim-', k, '-', pattern_no, '-', match_no) as claim_id, concat('evidence-', md5(concat_ws(chr(10), cast(k as varchar), quote))) as evidence_id, quote from claims where nullif(name1, '') is not null and nullif(name2, '') is not null")
+def gr_evidences(spark, d):
+    return P.evidences(C.extract_claims(kin_text(spark, d))).select("claim_id", "evidence_id", "quote")
+
+
+@query("select type, cast(100.0 * count(case when type <> 'zip' then 1 end) / count(*) as double) as success_rate, count(*) as files from (select case when page_id % 5 = 4 then 'zip' else 'other' end as type from pages) group by 1")
+def src_batch(spark, d):
+    files = table(spark, d, "pages").select(F.concat(F.lit("/in/"), "page_id", F.when(F.col("page_id") % 5 == 4, ".zip").otherwise(".pdf")).alias("path")).withColumn("out_dir", content.output_folder(F.col("path")))
+
+    def parse(path: str, out_dir: str) -> None:
+        if path.endswith(".zip"):
+            raise ValueError("unknown kind")
+
+    done = parsed.run_batch(files, parse)
+    by_kind = [parsed.batch_summary(done.where(F.col("path").endswith(".zip") == is_zip)).select(F.lit(kind).alias("type"), "success_rate", "files") for kind, is_zip in (("zip", True), ("other", False))]
+    return by_kind[0].unionByName(by_kind[1])
+
+
 @query("select l_partkey as src, l_suppkey as tgt, lower(l_returnflag) as type, max(l_discount) as confidence, cast(sum(greatest(coalesce(l_linenumber,1),1)) as bigint) as support_count from lineitem where l_partkey <> l_suppkey group by 1, 2, 3")
 def lg_roll_up(spark, d):
     li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("tgt"), F.col("l_returnflag").alias("type"), F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("support_count"), F.lit(True).alias("directed"), F.lit(False).alias("symmetric"))
@@ -288,11 +309,13 @@ def lg_pair_links(spark, d):
     return L.pair_links(li).select("a", "b", "confidence", F.col("support").cast("long").alias("support"), F.array_join("types", ",").alias("types"))
 
 
-@query("select event_type as type, count(*) as n from events where event_type in (select event_type from events group by 1 order by 1 limit 2) group by 1")
+@query(f"with {_ROLE_ROWS} select 'parents' as kept, type, count(*) as n from li where type <> 'relative' group by 2 union all select 'others', type, count(*) from li where type not in ('father_of', 'mother_of', 'parent_of') group by 2 union all select 'one', type, count(*) from li where type = 'mother_of' group by 2")
 def lg_type_filter(spark, d):
-    e = table(spark, d, "events").select(F.col("event_type").alias("type"))
-    first = [r[0] for r in e.groupBy("type").count().orderBy("type").limit(2).collect()]
-    return L.filter_types(e, set(first)).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    kind = F.when(F.col("l_returnflag") == "A", "Father_of").when(F.col("l_returnflag") == "R", " mother_of").when(F.col("l_linenumber") % 3 == 0, "relative").otherwise("parent_of")
+    rel = table(spark, d, "lineitem").select(kind.alias("type"))
+    counted = lambda name, df: df.groupBy(F.lower(F.trim("type")).alias("type")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("kept"), "type", "n")
+    some = counted("parents", L.filter_types(rel, L.type_list("parent_child"))).unionByName(counted("others", L.filter_types(rel, exclude=L.type_list("PARENT_CHILD,"))))
+    return some.unionByName(counted("one", L.filter_types(rel, L.type_list("mother_of, relative"), L.type_list("relative"))))
 
 
 _ENT = "ent as (select cast(p_partkey as varchar) as id, case when p_partkey % 3 = 0 then 'male' when p_partkey % 3 = 1 then 'female' end as g, cast(1500 + (p_partkey * 37) % 300 as integer) as b, cast(1560 + (p_partkey * 37) % 300 as integer) as dd from part)"
@@ -321,6 +344,15 @@ def lg_role_limits(spark, d):
     return L.limit_roles(li, [F.desc("l_discount"), F.col("l_orderkey"), F.col("l_linenumber")]).select("tgt", "src", "l_orderkey", "l_linenumber", "type")
 
 
+@query(f"with {_ROLE_ROWS}, ranked as (select *, row_number() over (partition by tgt, type order by anchor desc, confidence desc, support_count desc, relation_id) > case type when 'parent_of' then 2 else 1 end and type <> 'relative' as over_ from li), kept as (select * from ranked where not over_), down as (select *, row_number() over (partition by src, tgt order by relation_id) as rn from ranked where over_ and not exists (select 1 from kept where kept.type = 'relative' and kept.src = ranked.src and kept.tgt = ranked.tgt)) select relation_id, src, tgt, type, false as demoted from kept union all select relation_id, src, tgt, 'relative', true from down where rn = 1")
+def lg_role_conflicts(spark, d):
+    kind = F.when(F.col("l_returnflag") == "A", "father_of").when(F.col("l_returnflag") == "R", "mother_of").when(F.col("l_linenumber") % 3 == 0, "relative").otherwise("parent_of")
+    rel = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("relation_id"), F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("tgt"), F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("support_count"), kind.alias("type"), F.lit(True).alias("directed"), F.lit(False).alias("symmetric"), F.when(F.col("l_linenumber") % 2 == 0, "He was a son of Zorro, they say.").alias("quote"))
+    people = table(spark, d, "part").select(F.col("p_partkey").alias("entity_id"), F.when(F.col("p_partkey") % 2 == 0, "Zorro").otherwise("Quill").alias("canonical_name"))
+    kept, _ = L.resolve_role_conflicts(rel, people)
+    return kept.select("relation_id", "src", "tgt", "type", "demoted")
+
+
 @query(
     f"with {_ENT}, {_REL}, par as (select distinct rel.src as p, rel.tgt as c from rel join ent s on s.id = rel.src join ent t on t.id = rel.tgt), sib as (select distinct x.c as a, y.c as b from par x join par y on x.p = y.p and x.c <> y.c), "
     "gp as (select x.p as gp, y.c from par x join par y on x.c = y.p), aunt as (select s.b as u, par.c from par join sib s on s.a = par.p), "
@@ -415,26 +447,53 @@ def llm_ladder(spark, d):
     rows = table(spark, d, "part").select(
         F.when(k == 0, "rumour").otherwise("parent_child").alias("claim_type"),
         F.when(k == 2, "").otherwise("Anna Ivanova").alias("person1"),
-        F.when(k == 3, "Emperor").otherwise("Boris Ivanov").alias("person2"),
+        F.array(F.when(k == 3, "Emperor").otherwise("Boris Ivanov")).alias("others"),
         F.when(k == 1, "not said").otherwise("Anna is a child of Boris").alias("evidence_quote"),
         F.lit("It is known: Anna is  a child of BORIS.").alias("context"),
     )
     return LLM.judge(rows).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(None)
+@query("select case when p_partkey % 3 = 0 then 'invalid_json' when p_partkey % 3 = 1 then 'parsed' else 'error' end as parse_status, count(*) as n from part group by 1")
 def llm_completion(spark, d):
     k = table(spark, d, "part").select("p_partkey", F.concat(F.lit("part "), "p_partkey").alias("prompt"))
-    answer = lambda p: '<think>{"a": 1}</think>```json\n{"claims": [{"p": "%s",},]}\n```' % p if int(p.split()[1]) % 2 else "no json"
+
+    def answer(prompt: str) -> str:
+        no = int(prompt.split()[1]) % 3
+        if no == 2:
+            raise TimeoutError("no answer")
+        return '<thinking>{"a": 1}</thinking>```json\n{"claims": [{"p": "%s",},]}\n```' % prompt if no else "no json"
+
     return LLM.complete(k, answer).groupBy("parse_status").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Six kinds of answers about the names of parts; every claim's fate follows from the number of its part.
+_FATES = """case k % 6 when 0 then 'accepted_candidate' when 1 then 'empty' else 'rejected' end as status,
+case k % 6 when 2 then 'rejected_no_evidence_quote' when 3 then 'rejected_generic_person_name' when 4 then 'missing_candidate' when 5 then 'invalid_json' end as reason"""
+
+
+@query(f"with p as (select p_partkey as k, p_name as nm from part) select cast(k as varchar) as candidate_id, i as claim_no, {_FATES}, case when k % 6 in (0, 2, 3) then nm || ' ' || i end as name1, case when k % 6 = 0 then cast(1500 + k % 300 as integer) end as birth1 from (select *, unnest(case when k % 6 in (0, 2, 3) then [0, 1] else [cast(null as integer)] end) as i from p)")
+def llm_validate(spark, d):
+    k, nm = F.col("p_partkey"), F.col("p_name")
+    no = k % 6
+    claim = lambda i: F.format_string(
+        '{"type": "parent", "child": {"name": "%s %d"%s}, "parents": [{"name": "%s"}], "quote": "%s"}',
+        nm, F.lit(i), F.when(no == 0, F.concat(F.lit(', "birth_year": '), 1500 + k % 300)).otherwise(""), F.when(no == 3, "Emperor").otherwise("Anna Bell"), F.when(no == 2, "never said").otherwise(F.concat(nm, F.lit("  is a CHILD"))),
+    )
+    parsed = F.when(no == 1, '{"claims": []}').when(no != 5, F.concat(F.lit('{"claims": ['), claim(0), F.lit(", 7, "), claim(1), F.lit("]}")))
+    part = table(spark, d, "part")
+    raw = part.select(k.cast("string").alias("candidate_id"), parsed.alias("parsed"), F.when(no == 5, "invalid_json").otherwise("parsed").alias("parse_status"))
+    asked = part.where("p_partkey % 6 <> 4").select(k.cast("string").alias("candidate_id"), F.concat(F.lit("They say: "), nm, F.lit(" is a child, Anna Bell a parent.")).alias("context"))
+    v = LP.validate(raw, asked)
+    return v.select("candidate_id", "claim_no", "status", "reason", F.col("first.name").alias("name1"), F.col("first.birth").alias("birth1"))
+
+
 @query(None)
 def ret_graph(spark, d):
-    claims, _, people, rels = _tree(spark, d, True)
+    claims, _, people, rels = _tree(spark, d)
     rels = P.validate(rels, people)
     name = people.orderBy("person_id").limit(1).first()
-    docs = D.person_documents(people, rels).unionByName(D.relationship_documents(rels, people)).unionByName(D.claim_documents(claims)).unionByName(D.chunk_documents(kin_text(spark, d, True)))
+    docs = D.person_documents(people, rels).unionByName(D.relationship_documents(rels, people)).unionByName(D.claim_documents(claims)).unionByName(D.chunk_documents(kin_text(spark, d)))
     asked = R.resolve_query(people, f"Who are {name['name'] if name else 'x'} parents and relations connected?")
     graph = R.graph_ranked(docs, rels, asked)
     rest = R.lexical_scores(docs, name["name"] if name else "x", kind="kind").join(graph.select("document_id"), "document_id", "left_anti")
@@ -443,37 +502,24 @@ def ret_graph(spark, d):
 
 @query(None)
 def out_dot(spark, d):
-    _, _, people, rels = _tree(spark, d, True)
+    _, _, people, rels = _tree(spark, d)
     return sinks.dot_lines(people, P.families(P.validate(rels, people), "accepted"))
 
 
 @query(None)
 def out_gedcom(spark, d):
-    _, _, people, rels = _tree(spark, d, True)
+    _, _, people, rels = _tree(spark, d)
     return sinks.gedcom_lines(people, P.families(P.validate(rels, people), "accepted"))
 
 
 @query(f"with {_RELS} select r.tgt as child_id, c.name as child, p.name as parent, r.support_count from rels r join people c on c.person_id = r.tgt join people p on p.person_id = r.src where r.type = 'parent_of'")
-def tree_parents(spark, d, whole=False):
+def tree_parents(spark, d):
     """Who are the parents of each person: from text to named relationships."""
-    _, _, people, rels = _tree(spark, d, whole)
+    _, _, people, rels = _tree(spark, d)
     name = people.select("person_id", "name")
     r = rels.where("type = 'parent_of'").join(name.select(F.col("person_id").alias("tgt"), F.col("name").alias("child")), "tgt").join(name.select(F.col("person_id").alias("src"), F.col("name").alias("parent")), "src")
     return r.select(F.col("tgt").alias("child_id"), "child", "parent", "support_count")
 
 
-def _register_whole(f) -> None:
-    def run(spark, d):
-        return f(spark, d, whole=True)
-
-    run.__name__ = f"{f.__name__}_whole"
-    query(ORACLE[f.__name__].replace(_KIN, _KIN_WHOLE))(run)
-
-
-#: The queries above read every fourth sentence, as their SQL does; these read all.
-for _f in (kin_text_view, nlp_claims, gr_people, gr_relationships, gr_conflicts, gr_unresolved, gr_families, gr_resolution, tree_parents):
-    _register_whole(_f)
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree_parents(spark, sf_dir, whole=True)
+    return tree_parents(spark, sf_dir)

@@ -15,16 +15,24 @@ def content_items(spark: SparkSession, path: str) -> DataFrame:
 
     ``path`` is a ``.json`` file or a folder: its ``*_content_list.json`` files at
     any depth, else its ``*.json`` files.  Items that are no objects are dropped.
+    A file that holds no JSON array, or whose array breaks off, fails the query; a
+    missing last bracket alone is forgiven; an empty file, which Spark does not
+    open, has no items.
     """
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read.format("binaryFile")
     if path.endswith(".json"):
-        raw = reader.text(path)
+        raw = reader.load(path)
     else:
-        raw = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*_content_list.json").text(path)
-        if not raw.limit(1).count():
-            raw = reader.option("pathGlobFilter", "*.json").text(path)
-    raw = raw.withColumn("source_path", F.input_file_name())
-    items = raw.select("source_path", F.posexplode(F.from_json("value", "array<variant>")).alias("pos", "v"))
+        raw = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*_content_list.json").load(path)
+        if not raw.select("path").limit(1).count():
+            raw = reader.option("pathGlobFilter", "*.json").load(path)
+    raw = raw.select(F.col("content").cast("string").alias("value"), F.input_file_name().alias("source_path"))
+    value = F.rtrim(F.regexp_replace("value", r"\s+$", ""))
+    value = F.when(value.endswith("]"), value).otherwise(F.concat(value, F.lit("]")))
+    parsed = F.try_parse_json(value)
+    broken = F.concat(F.lit("no JSON array: "), F.col("source_path"))
+    whole = F.when(F.coalesce(F.schema_of_variant(parsed).startswith("ARRAY"), F.lit(False)), F.try_variant_get(parsed, "$", "array<variant>")).otherwise(F.raise_error(broken))
+    items = raw.select("source_path", F.posexplode(whole).alias("pos", "v"))
     objects = items.where(F.schema_of_variant("v").startswith("OBJECT"))
     get = lambda field, kind: F.try_variant_get("v", f"$.{field}", kind)
     rows = objects.select("source_path", "pos", get("type", "string").alias("type"), get("text", "string").alias("text"), get("page_idx", "int").alias("page_idx"))
@@ -52,6 +60,24 @@ def living_graph(spark: SparkSession, path: str, entities: str, relations: str)
     return one.select(F.inline("entities")), one.select(F.inline("relations"))
 
 
+def reference_people(spark: SparkSession, path: str) -> DataFrame:
+    """``ref, name, normalized_name, birth_year, death_year, birth_place, death_place, aliases`` of a JSON array of people, in its order."""
+    raw = spark.read.option("wholetext", True).text(path)
+    parsed = F.try_parse_json("value")
+    whole = F.when(F.coalesce(F.schema_of_variant(parsed).startswith("ARRAY"), F.lit(False)), F.try_variant_get(parsed, "$", "array<variant>")).otherwise(F.raise_error(F.lit(f"no JSON array: {path}")))
+    get = lambda field, kind: F.try_variant_get("v", f"$.{field}", kind).alias(field)
+    rows = raw.select(F.posexplode(whole).alias("ref", "v")).select(
+        F.col("ref").cast("long").alias("ref"), get("name", "string"), get("normalized_name", "string"), get("birth_year", "int"), get("death_year", "int"), get("birth_place", "string"), get("death_place", "string"), get("aliases", "array<string>")
+    )
+    return rows.where(F.trim("name") != "")
+
+
+def artifact_folder(path: str, name: str = "people") -> str:
+    """The folder of an artifact set, given itself or one of its tables."""
+    bare = path.rstrip("/")
+    return os.path.dirname(bare) if os.path.basename(bare).split(".")[0] == name else bare
+
+
 def files(spark: SparkSession, path: str, extensions: list[str]) -> DataFrame:
     """Files to parse, by extension, with the output folder that a batch run gives each."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

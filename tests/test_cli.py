@@ -15,7 +15,7 @@ def test_tree_and_exports(spark, tmp_path):
         assert cli.main(["export", "--input", out, "--format", fmt, "--output", f"{out}/{fmt}"]) == 0
     gedcom = [r.value for r in spark.read.text(f"{out}/gedcom").collect()]
     assert "1 NAME Alice Doe" in gedcom and "0 TRLR" in gedcom
-    assert cli.main(["llm-extract", "--input", out, "--output", f"{out}/cand"]) == 0 and spark.read.json(f"{out}/cand").count() == 2
+    assert cli.main(["llm-extract", "--input", out, "--output", f"{out}/cand"]) == 0 and spark.read.json(f"{out}/cand/candidates").count() == 2
 
 
 def test_living_graph(spark, tmp_path):
