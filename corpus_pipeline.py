@@ -65,7 +65,7 @@ STAGES = [
     ("sample_pieces", sample_pieces),
 ]
 
-#: SQL cannot express the stages' hashes and models; the stage test checks only columns and that rows are left.
+#: SQL cannot express the stages' hashes and models; tests hold each stage against a plain version, row by row.
 ORACLE_SQL = None
 
 
