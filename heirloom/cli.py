@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
@@ -19,6 +19,7 @@ from heirloom.operators import merging as M
 from heirloom.operators import people as P
 from heirloom.operators import promotion as PR
 from heirloom.operators import reconcile as RC
+from heirloom.operators.order import numbered
 from heirloom.sources import content, sinks
 
 ENTITIES = "entity_id string, canonical_name string, entity_type string, gender string, birth_year int, death_year int, confidence double, aliases array<string>"
@@ -42,7 +43,7 @@ def build_tree(spark: SparkSession, source: str, out: str, reference: str = "")
     docs = docs.unionByName(D.family_documents(families, people)).unionByName(D.conflict_documents(conflicts)).unionByName(D.mention_documents(mentions)).unionByName(D.resolution_documents(resolved))
     named = people
     if reference:
-        named = RC.reconcile(_numbered(people), content.reference_people(spark, reference)).drop("seq", "ref")
+        named = RC.reconcile(numbered(people, "person_id", "seq"), content.reference_people(spark, reference)).drop("seq", "ref")
     tables = {
         "source_chunks": chunks, "sources": chunks.select("source_id", F.col("source_path").alias("path")).distinct(), "claims": claims, "evidences": P.evidences(claims, "chunk_id" if "chunk_id" in claims.columns else "k"),
         "people": named, "relationships": rels, "families": families, "mentions": mentions, "resolution": P.roll_up_mentions(mentions, people, claims), "unresolved_mentions": resolved.where("outcome <> 'resolved'"), "conflicts": conflicts, "documents": docs,
@@ -52,16 +53,6 @@ def build_tree(spark: SparkSession, source: str, out: str, reference: str = "")
     return tables
 
 
-def _numbered(people: DataFrame) -> DataFrame:
-    """``people`` with ``seq``, whole numbers that follow ``person_id``: sorted ranges, numbered within, behind the sizes of those before."""
-    ranges = cut(people.repartitionByRange("person_id").sortWithinPartitions("person_id").withColumn("_part", F.spark_partition_id()))
-    sizes = ranges.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range.
-    ahead = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy("person_id"))
-    return ranges.withColumn("seq", within).join(F.broadcast(ahead), "_part").withColumn("seq", (F.col("seq") + F.col("_ahead")).cast("long")).drop("_part", "_ahead")
-
-
 def living_rules(entities: DataFrame, rel: DataFrame, derive: bool = True) -> dict[str, DataFrame]:
     """Roll-up, merge, quotes, time line, roles and derived kinship, in this order.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,14 +217,35 @@ def gr_relationships(spark, d):
     return _tree(spark, d)[3].drop("claim_ids")
 
 
-@query(
-    f"with recursive {_RELS}, y as (select r.*, a.birth_year as sb, b.birth_year as tb from rels r left join people a on a.person_id = r.src left join people b on b.person_id = r.tgt), "
+_VALID = (
+    f"{_RELS}, y as (select r.*, a.birth_year as sb, b.birth_year as tb from rels r left join people a on a.person_id = r.src left join people b on b.person_id = r.tgt), "
     "f as (select *, src = tgt as self, type = 'parent_of' and src <> tgt and coalesce(not (tb - sb between 12 and 80), false) as odd, type = 'parent_of' and count(case when type = 'parent_of' then 1 end) over (partition by tgt) > 2 as many from y), "
     "e0 as (select src, tgt from f where type = 'parent_of' and not self and not odd and not many)"
     + _CYCLE
     + ", g as (select f.*, type = 'parent_of' and exists (select 1 from e0 where e0.src = f.src and e0.tgt = f.tgt) and exists (select 1 from reach where reach.a = f.tgt and reach.b = f.src) as loop from f) "
-    "select src, type, tgt, case when self or odd or many or loop then 'conflict' else 'accepted' end as status, concat_ws(',', case when self then 'self_relationship' end, case when odd then 'implausible_parent_age_gap' end, case when many then 'too_many_parent_relationships' end, case when loop then 'parent_cycle' end) as conflicts from g"
+    ", valid as (select src, type, tgt, case when self or odd or many or loop then 'conflict' else 'accepted' end as status, list_filter([case when self then 'self_relationship' end, case when odd then 'implausible_parent_age_gap' end, case when many then 'too_many_parent_relationships' end, case when loop then 'parent_cycle' end], lambda x: x is not null) as reasons from g)"
 )
+_YEARS = "case when {b} is null and {d} is null then '' else concat(' (', coalesce(cast(nullif({b}, 0) as varchar), '?'), '-', coalesce(cast(nullif({d}, 0) as varchar), '?'), ')') end"
+_FAMILIES = _VALID + """, acc as (select * from valid where status = 'accepted'), of_child as (select tgt, list_sort(list(distinct src)) as parents from acc where type = 'parent_of' group by 1),
+wc as (select parents, list_sort(list(distinct tgt)) as children from of_child group by 1),
+fam as (select parents, children from wc union all select parents, cast([] as varchar[]) from (select distinct [src, tgt] as parents from acc where type = 'spouse_of') where parents not in (select parents from wc)),
+fams as (select *, concat('family-', md5(array_to_string(parents, ','))) as fid from fam)"""
+_DOCUMENTS = _FAMILIES + f""", near as (select tgt as me, 'Parents' as role, src as other from acc where type = 'parent_of' union all select src, 'Children', tgt from acc where type = 'parent_of' union all select src, 'Spouses', tgt from acc where type = 'spouse_of' union all select tgt, 'Spouses', src from acc where type = 'spouse_of'),
+lists as (select me, concat(role, ': ', string_agg(distinct p.name, ', ' order by p.name)) as line from near join people p on p.person_id = near.other group by me, role),
+joined as (select me, string_agg(line, '. ' order by line) as lines from lists group by 1),
+cand2 as (select r.k, r.pattern_no, r.match_no, r.role, r.name as surface, list_sort(list(distinct p.person_id)) as every, list_sort(list(distinct case when coalesce(r.birth_year = p.birth_year, true) and coalesce(r.death_year = p.death_year, true) then p.person_id end)) as fit from roles r join people p using (normalized) group by 1, 2, 3, 4, 5),
+res as (select *, list_filter(fit, lambda x: x is not null) as f from cand2),
+docs as (select 'person' as kind, concat('Person: ', p.name, {_YEARS.format(b='p.birth_year', d='p.death_year')}, coalesce('. ' || j.lines, '')) as text from people p left join joined j on j.me = p.person_id
+union all select 'relationship', concat(case status when 'accepted' then 'Relationship: ' else 'Relationship in conflict, not accepted as fact: ' end, a.name, ' ', replace(type, '_', ' '), ' ', b.name) from valid v join people a on a.person_id = v.src join people b on b.person_id = v.tgt
+union all select 'claim', concat('Claim ', claim_type, ': ', quote) from claims where nullif(name1, '') is not null and nullif(name2, '') is not null
+union all select 'source_chunk', text from kin
+union all select 'family', concat('Family. Parents: ', pn, coalesce('. Children: ' || cn, '')) from (select fid, string_agg(distinct p.name, ', ' order by p.name) as pn from (select fid, unnest(parents) as x from fams) f join people p on p.person_id = f.x group by 1) a left join (select fid, string_agg(distinct p.name, ', ' order by p.name) as cn from (select fid, unnest(children) as x from fams) f join people p on p.person_id = f.x group by 1) b using (fid)
+union all select 'conflict', concat('Conflict ', replace(r, '_', ' '), ': ', src, ', ', tgt) from (select src, tgt, unnest(reasons) as r from valid)
+union all select 'mention', concat('Mention: ', name, {_YEARS.format(b='birth_year', d='death_year')}) from roles
+union all select 'resolution', concat('Resolution of ', surface, ': ', case when len(f) = 0 then 'year mismatch' when len(f) > 1 then 'multiple matching people' else 'resolved' end, '. Candidates: ', array_to_string(case when len(f) > 0 then f else every end, ', ')) from res)"""
+
+
+@query(f"with recursive {_VALID} select src, type, tgt, status, array_to_string(reasons, ',') as conflicts from valid")
 def gr_conflicts(spark, d):
     _, _, people, rels = _tree(spark, d)
     return P.validate(rels, people).select("src", "type", "tgt", "status", F.array_join("conflicts", ",").alias("conflicts"))
@@ -237,13 +259,26 @@ def gr_unresolved(spark, d):
     return P.conflicts(P.validate(rels.where("false"), fewer), roles, fewer).select("conflict_type", "key")
 
 
-@query(None)
+@query(f"with recursive {_DOCUMENTS} select kind, count(*) as n from docs group by 1")
 def doc_kinds(spark, d):
+    return _documents(spark, d).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with recursive {_DOCUMENTS} select kind, md5(text) as text_md5, count(*) as n from docs group by 1, 2")
+def doc_texts(spark, d):
+    return _documents(spark, d).groupBy("kind", F.md5("text").alias("text_md5")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _documents(spark, d):
+    """The documents of every kind."""
     claims, roles, people, rels = _tree(spark, d)
     rels = P.validate(rels, people)
     m = roles.withColumns({"mention_id": F.concat_ws("-", "k", "pattern_no", "match_no", "role"), "surface": F.col("name"), "mention_no": F.col("match_no") * 4 + F.col("role")})
-    docs = D.family_documents(P.families(rels, "accepted"), people).unionByName(D.conflict_documents(P.conflicts(rels, roles, people))).unionByName(D.mention_documents(m)).unionByName(D.resolution_documents(P.resolve_mentions(m, people)))
-    return docs.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("first_text"))
+    parts = [
+        D.person_documents(people, rels), D.relationship_documents(rels, people), D.claim_documents(claims), D.chunk_documents(kin_text(spark, d)), D.family_documents(P.families(rels, "accepted"), people),
+        D.conflict_documents(P.conflicts(rels, roles, people)), D.mention_documents(m), D.resolution_documents(P.resolve_mentions(m, people)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(f"with recursive e0 as (select src, tgt from ({KIN_EDGES}) where src <> tgt){_CYCLE} select e0.src, e0.tgt from e0 where exists (select 1 from reach where reach.a = e0.tgt and reach.b = e0.src)")
@@ -500,13 +535,32 @@ def ret_graph(spark, d):
     return R.top(graph.unionByName(rest.select(*graph.columns))).select("document_id", "kind", "score", "text")
 
 
-@query(None)
+_DOT_HEAD = ["digraph family_tree {", "  rankdir=LR;", '  graph [fontsize=10 fontname="Helvetica"];', '  node [fontsize=10 fontname="Helvetica"];', '  edge [fontsize=9 fontname="Helvetica"];']
+
+
+def _fixed(part: int, lines: list[str]) -> str:
+    return " union all ".join(f"select {part} as part, '' as key, {i} as no, '{q(x)}' as line" for i, x in enumerate(lines))
+
+
+@query(f"""with recursive {_FAMILIES}, x as ({_fixed(0, _DOT_HEAD)} union all {_fixed(3, ["}"])}
+union all select 1, person_id, 0, format('  "{{}}" [shape=box label="{{}}"];', person_id, name) from people
+union all select 2, fid, 0, format('  "{{}}" [shape=diamond label="family"];', fid) from fams
+union all select 2, fid, i, format('  "{{}}" -> "{{}}" [label="parent"];', parents[i], fid) from (select fid, parents, unnest(range(1, len(parents) + 1)) as i from fams)
+union all select 2, fid, len(parents) + i, format('  "{{}}" -> "{{}}" [label="child"];', fid, children[i]) from (select fid, parents, children, unnest(range(1, len(children) + 1)) as i from fams)
+union all select 2, fid, len(parents) + len(children) + 1, format('  "{{}}" -> "{{}}" [dir=none style=dashed label="spouse"];', parents[1], parents[2]) from fams where len(parents) >= 2) select part, key, cast(no as integer) as no, line from x""")
 def out_dot(spark, d):
     _, _, people, rels = _tree(spark, d)
     return sinks.dot_lines(people, P.families(P.validate(rels, people), "accepted"))
 
 
-@query(None)
+@query(f"""with recursive {_FAMILIES}, ind as (select *, row_number() over (order by person_id) as i from people), xr as (select person_id, concat('@I', i, '@') as x from ind), fn as (select *, row_number() over (order by fid) as i from fams),
+facts as (select person_id, list_filter([concat('0 @I', i, '@ INDI'), concat('1 NAME ', name), case when coalesce(birth_year, 0) <> 0 then '1 BIRT' end, case when coalesce(birth_year, 0) <> 0 then concat('2 DATE ', birth_year) end, case when coalesce(death_year, 0) <> 0 then '1 DEAT' end, case when coalesce(death_year, 0) <> 0 then concat('2 DATE ', death_year) end], lambda z: z is not null) as lines from ind),
+x as ({_fixed(0, ["0 HEAD", "1 SOUR HEIRLOOM", "1 CHAR UTF-8"])} union all {_fixed(3, ["0 TRLR"])}
+union all select 1, lpad(person_id, 64, ' '), n - 1, lines[n] from (select person_id, lines, unnest(range(1, len(lines) + 1)) as n from facts)
+union all select 2, fid, 0, concat('0 @F', i, '@ FAM') from fn
+union all select 2, fid, n, concat(case n when 1 then '1 HUSB ' else '1 WIFE ' end, x) from (select fid, parents[n] as person_id, n from (select fid, parents, unnest(range(1, least(len(parents), 2) + 1)) as n from fams)) join xr using (person_id)
+union all select 2, fid, n + 2, concat('1 CHIL ', x) from (select fid, children[n] as person_id, n from (select fid, children, unnest(range(1, len(children) + 1)) as n from fams)) join xr using (person_id))
+select part, key, cast(no as integer) as no, line from x""")
 def out_gedcom(spark, d):
     _, _, people, rels = _tree(spark, d)
     return sinks.gedcom_lines(people, P.families(P.validate(rels, people), "accepted"))

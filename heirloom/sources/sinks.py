@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heirloom.functions import text as T
 from heirloom.functions import vocab as V
+from heirloom.operators.order import numbered
 
 # Colours of relation types.
 COLOURS = {
@@ -58,12 +59,12 @@ def dot_lines(people: DataFrame, families: DataFrame) -> DataFrame:
 
 def gedcom_lines(people: DataFrame, families: DataFrame) -> DataFrame:
     """``part, key, no, line`` of a GEDCOM file.  Husband and wife are the first and second parent by id."""
-    p = people.withColumn("xref", F.concat(F.lit("@I"), F.row_number().over(Window.orderBy("person_id")), F.lit("@")))
+    p = numbered(people, "person_id", "_i").withColumn("xref", F.concat(F.lit("@I"), "_i", F.lit("@")))
     event = lambda tag, c: F.when(F.coalesce(c, F.lit(0)) != 0, F.array(F.lit(f"1 {tag}"), F.concat(F.lit("2 DATE "), c))).otherwise(F.array().cast("array<string>"))
     indi = F.concat(F.array(F.concat(F.lit("0 "), F.col("xref"), F.lit(" INDI")), F.concat(F.lit("1 NAME "), F.coalesce("name", F.lit("Unknown")))), event("BIRT", F.col("birth_year")), event("DEAT", F.col("death_year")))
     people_lines = p.select(F.lit(1).alias("part"), F.lpad("person_id", 64, " ").alias("key"), F.posexplode(indi).alias("no", "line"))
     f = families.withColumn("fid", _family_id())
-    f = f.withColumn("fx", F.concat(F.lit("0 @F"), F.row_number().over(Window.orderBy("fid")), F.lit("@ FAM")))
+    f = numbered(f, "fid", "_i").withColumn("fx", F.concat(F.lit("0 @F"), "_i", F.lit("@ FAM")))
     who = f.select("fid", F.posexplode("parent_ids").alias("i", "person_id")).where("i < 2").select("fid", "person_id", F.when(F.col("i") == 0, "1 HUSB ").otherwise("1 WIFE ").alias("tag"), F.col("i").alias("no"))
     who = who.unionByName(f.select("fid", F.posexplode("child_ids").alias("i", "person_id")).select("fid", "person_id", F.lit("1 CHIL ").alias("tag"), (F.col("i") + 2).alias("no")))
     members = who.join(p.select("person_id", "xref"), "person_id").select(F.lit(2).alias("part"), F.col("fid").alias("key"), F.col("no") + 1, F.concat("tag", "xref").alias("line")).toDF("part", "key", "no", "line")
