@@ -16,7 +16,19 @@ from pyspark.sql import types as T
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch at most.  Texts are long, and both the executor and its worker hold a batch.
+BATCH_ROWS = 2000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches to ``BATCH_ROWS`` rows, or fewer where it says so."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -52,7 +64,7 @@ def batches_of(blobs: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
         yield at, len(blobs)
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches whose ``column`` holds about ``limit`` bytes at most."""
     for batch in batches:
         if not batch.num_rows:
