@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heirloom.llm import langid, minhash, mixing, pieces, suffix_dedup
+from heirloom.llm.common import bound_batches
 
 #: Share of the likeliest language below which a text counts as no language.
 LEAST_SCORE = 0.5
@@ -17,6 +18,7 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognisable language; fill in the language where it is null."""
+    bound_batches(spark)
     found = langid.identify(docs, langid.train(docs))
     clean = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
     return clean.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
@@ -27,6 +29,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that share a key, the one whose text comes first stays; rows without a key all stay.
     """
+    bound_batches(spark)
     found = minhash.near_duplicates(docs, words=5, percent=80)
     lost = found.where(~F.col("kept")).select("doc_id").distinct()
     few = lost.count() <= minhash.BROADCAST_IDS
@@ -40,6 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove every stretch of 50 bytes or more that an earlier document has, and correct ``n_chars``."""
+    bound_batches(spark)
     carry = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
     found = suffix_dedup.remove_repeats(docs, carry=carry, as_text=True)
     return found.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
@@ -47,11 +51,13 @@ def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that the sources' words come near their targets."""
+    bound_batches(spark)
     return mixing.emit_copies(mixing.mix_to_targets(mixing.with_size(docs))).select(*docs.columns)
 
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled SentencePiece ids of every row, decoded again to show that nothing is lost."""
+    bound_batches(spark)
     v = pieces.load_vocabulary()
     found = pieces.round_trip(docs, v)
     return found.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"))
