@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
-from heirloom.llm import debruijn, fingerprints, langid, lm, media_gif, minhash, mixing, pieces, quality, suffix_dedup
+from heirloom.llm import codes, debruijn, fingerprints, langid, line_dedup, lloyd, lm, media_gif, minhash, mixing, pieces, quality, suffix_dedup, vectors
 from heirloom.llm.common import documents
 
 
@@ -88,6 +88,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    found, books = codes.compress(rows)
+    coded = cut(found.select("vec_id", "code", "error", "label"))
+    summed = vectors.with_group_sum(coded, "label", "error", "label_error")
+    return summed.select("vec_id", "code", "error", "label_error", F.lit(codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op12_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = lloyd.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    placed = cut(found.select("vec_id", "cluster", "distance"))
+    # One row a cluster.
+    sums = placed.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia")).join(lloyd.centroid_digests(spark, centroids), "cluster")
+    every = placed.agg(F.sum("distance")).first()[0]
+    return placed.join(F.broadcast(sums), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", F.lit(every).cast("long").alias("inertia"), "centroid_sha256")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    kept = line_dedup.kept_text(F.col("text"), F.col("keep"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_fingerprints": op2_fingerprints,
@@ -99,11 +122,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scores": op8_lm_scores,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_lloyd": op12_lloyd,
+    "op13_line_dedup": op13_line_dedup,
 }
 _WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
 _TOKENS = f"t as (select doc_id, w, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from (select doc_id, {_WORDS.format('text')} as w from documents))"
 _AHEAD = "(order by cap / w, source rows between unbounded preceding and 1 preceding)"
 
+_FINITE = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of assignment written out one after another, a row for each component."""
+    steps = [
+        f"""k as materialized (select *, row_number() over (order by vec_id) as r from (select vec_id, label, list_transform(embedding, lambda x: cast(floor(cast(x as double) * 4096) as bigint)) as v from embeddings where {_FINITE})),
+c as materialized (select vec_id, r, label, (i - 1) // (len(v) // {parts}) as p, (i - 1) % (len(v) // {parts}) as j, v[i] as x from (select *, unnest(range(1, len(v) + 1)) as i from k)),
+b0 as materialized (select p, r - 1 as e, j, x as m from c where r <= {entries})"""
+    ]
+    for t in range(rounds + 1):
+        steps.append(f"""d{t} as (select r, c.p, e, sum((x - m) * (x - m)) as d from c join b{t} b on c.p = b.p and c.j = b.j group by 1, 2, 3),
+a{t} as materialized (select r, p, arg_min(e, (d, e)) as e, min(d) as d from d{t} group by 1, 2)""")
+        if t < rounds:
+            steps.append(f"""n{t} as (select c.p, a.e, c.j, sum(x) as s, count(*) as n from c join a{t} a on a.r = c.r and a.p = c.p group by 1, 2, 3),
+b{t + 1} as materialized (select b.p, b.e, b.j, coalesce(n.s // n.n - case when n.s % n.n < 0 then 1 else 0 end, b.m) as m from b{t} b left join n{t} n on n.p = b.p and n.e = b.e and n.j = b.j)""")
+    return "with " + ",\n".join(steps) + f""", f as (select r, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by p) as code, cast(sum(d) as bigint) as error from a{rounds} group by 1)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, (select sha256(string_agg(cast(m as varchar), ',' order by p, e, j)) from b{rounds}) as codebooks_sha256 from k join f using (r)"""
+
+
+def _lloyd_sql(clusters: int = 8, width: int = 64, rounds: int = 10) -> str:
+    steps = [
+        f"""k as materialized (select *, row_number() over (order by sha256(concat('3:', vec_id))) as r from (select vec_id, list_transform(embedding, lambda x: cast(floor(cast(x as double) * 1024) as bigint)) as v from embeddings where {_FINITE} and len(embedding) = {width})),
+c as materialized (select r, j, v[j] as x from (select *, unnest(range(1, len(v) + 1)) as j from k)),
+b0 as materialized (select r - 1 as e, j, x as m from c where r <= {clusters})"""
+    ]
+    for t in range(rounds + 1):
+        steps.append(f"""d{t} as (select r, e, sum((x - m) * (x - m)) as d from c join b{t} b using (j) group by 1, 2),
+a{t} as materialized (select r, arg_min(e, (d, e)) as e, min(d) as d from d{t} group by 1)""")
+        if t < rounds:
+            steps.append(f"""n{t} as (select a.e, c.j, sum(x) as s, count(*) as n from c join a{t} a using (r) group by 1, 2),
+b{t + 1} as materialized (select b.e, b.j, coalesce(n.s // n.n - case when n.s % n.n < 0 then 1 else 0 end, b.m) as m from b{t} b left join n{t} n on n.e = b.e and n.j = b.j)""")
+    return "with " + ",\n".join(steps) + f""", h as (select e, sha256(string_agg(cast(m as varchar), ',' order by j)) as centroid_sha256 from b{rounds} group by 1)
+select vec_id, cast(e as integer) as cluster, cast(d as bigint) as distance, cast(sum(d) over (partition by e) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia, centroid_sha256 from k join a{rounds} using (r) join h using (e)"""
+
+
+_BLANK = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+_LINES = f"""l as (select doc_id, i, list[i] as line, translate(trim(list[i], {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from (select doc_id, list, unnest(range(1, len(list) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as list from documents))),
+f as (select key, min(doc_id) as first from l where length(key) >= 10 group by 1 having count(distinct doc_id) > 1),
+m as (select l.*, coalesce(l.doc_id > f.first, false) as lost from l left join f using (key))"""
+
 ORACLE: dict[str, str] = {
     "op1_mix_sources": f"""with s as (select doc_id, source, cast(len({_WORDS.format('text')}) as bigint) as size from documents),
 t as (select source, cast(sum(size) as bigint) as ss from s group by 1),
@@ -133,4 +200,7 @@ y3 as (select doc_id, case when p2 is null then v2 when c3 > 0 and x2 > 0 then c
 case when p1 is null then c1 > 0 when p2 is null then c2 > 0 and x1 > 0 else c3 > 0 and x2 > 0 end as seen from y2),
 z as (select doc_id, count(*) as n, count(case when seen then 1 end) as s, round(sum(log10(v)) / count(*), 6) as l from y3 group by 1)
 select d.doc_id, coalesce(z.n, 0) as n_words, coalesce(z.s, 0) as n_seen, z.l as log_score from documents d left join z using (doc_id)""",
+    "op11_vector_codes": _codes_sql(),
+    "op12_lloyd": _lloyd_sql(),
+    "op13_line_dedup": f"with {_LINES} select doc_id, count(*) as n_lines, count(case when lost then 1 end) as n_dropped, sha256(coalesce(string_agg(case when not lost then line end, chr(10) order by i), '')) as kept_sha256 from m group by 1",
 }
