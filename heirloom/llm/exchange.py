@@ -134,10 +134,14 @@ def meet(chunks: DataFrame, answers: DataFrame, then: Callable[[pa.Table, dict[i
 def ask_census(values: np.ndarray, many: np.ndarray, counts: np.ndarray, chunk: int, buckets: int) -> list[tuple[int, int, bytes]]:
     """Ask of each of the chunk's sorted ``values`` whether other chunks have it, or one with ``many``, and whether it is hot.
 
-    ``counts`` says how often the value counts in this chunk, 255 at most.
+    ``counts`` says how often the value counts in this chunk.  Counts travel whole,
+    as four planes of bytes: nearly all are 1, so that the planes compress away.
     """
-    small = np.minimum(counts, 255).astype(np.uint8)
-    return [(b, chunk, np.int64(hi - lo).tobytes() + np.packbits(many[lo:hi]).tobytes() + small[lo:hi].tobytes() + pack_sorted(values[lo:hi])) for b, lo, hi in runs_by_bucket(values, buckets)]
+
+    def planes(c: np.ndarray) -> bytes:
+        return np.minimum(c, (1 << 32) - 1).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+    return [(b, chunk, np.int64(hi - lo).tobytes() + np.packbits(many[lo:hi]).tobytes() + planes(counts[lo:hi]) + pack_sorted(values[lo:hi])) for b, lo, hi in runs_by_bucket(values, buckets)]
 
 
 def census(blobs: list[bytes], hot: int) -> list[bytes]:
@@ -147,8 +151,9 @@ def census(blobs: list[bytes], hot: int) -> list[bytes]:
         n = int(np.frombuffer(b, np.int64, 1)[0])
         m = -(-n // 8)
         marks.append(np.unpackbits(np.frombuffer(b, np.uint8, m, 8), count=n).astype(bool))
-        counts.append(np.frombuffer(b, np.uint8, n, 8 + m))
-        values.append(unpack_sorted(b[8 + m + n :], n))
+        planes = np.frombuffer(b, np.uint8, 4 * n, 8 + m).reshape(4, n)
+        counts.append(np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64))
+        values.append(unpack_sorted(b[8 + m + 4 * n :], n))
         sizes.append(n)
     v, m, c = np.concatenate(values), np.concatenate(marks), np.concatenate(counts)
     order = np.argsort(v, kind="stable")
@@ -156,7 +161,7 @@ def census(blobs: list[bytes], hot: int) -> list[bytes]:
     width = np.diff(np.append(starts, len(v)))
     twice, many = np.zeros(len(v), bool), np.zeros(len(v), bool)
     twice[order] = np.repeat((width > 1) | (np.add.reduceat(m[order].astype(np.int64), starts) > 0), width)
-    many[order] = np.repeat(np.add.reduceat(c[order].astype(np.int64), starts) > hot, width)
+    many[order] = np.repeat(np.add.reduceat(c[order], starts) > hot, width)
     cuts = np.cumsum(sizes)[:-1]
     return [np.packbits(a).tobytes() + np.packbits(b).tobytes() for a, b in zip(np.split(twice, cuts), np.split(many, cuts), strict=True)]
 

@@ -232,7 +232,8 @@ def _combine(blobs: list[bytes], length: int) -> list[bytes]:
     of_string = np.repeat(several, strings)
     place = K.ragged(begin[phrase[several]], strings)
     least = first[of_string]
-    # Equal strings have one trigger, so the array is sorted in slabs of whole families.
+    # Equal strings have one trigger, so the array is sorted in slabs of whole families.  A family has at most HOT
+    # phrases, each of length - trigger + 1 strings but where a text repeats itself in less than that.
     family_of = np.repeat(np.cumsum(np.repeat(family > 1, family) & np.isin(np.arange(len(phrase)), heads))[several], strings)
     at = 0
     while at < len(place):
