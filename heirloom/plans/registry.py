@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heirloom.cut import cut, ensure_checkpoint_dir
 from heirloom.functions import text as T
 from heirloom.functions import vocab as V
 from heirloom.operators import claims as C
@@ -21,7 +23,7 @@ from heirloom.operators import promotion as PR
 from heirloom.operators import reconcile as RC
 from heirloom.operators import retrieval as R
 from heirloom.operators.components import connected_components
-from heirloom.sources import content, parsed, sinks
+from heirloom.sources import content, json_arrays, parsed, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -177,6 +179,23 @@ def src_chunks(spark, d):
     return content.chunks(items).select("chunk_id", "doc_id")
 
 
+#: Files that the pages are written to as JSON arrays.
+_FILES = 8
+
+
+@query(f"select page_id % {_FILES} as file, cast(row_number() over (partition by page_id % {_FILES} order by page_id) - 1 as integer) as ordinal, cast(page_id as integer) as page_idx, md5(html) as text_md5, cast(strlen(html) as bigint) as n_bytes from pages")
+def src_json_arrays(spark, d):
+    """Pages written as files of one JSON array each, with line breaks and numbers between the objects, and read back by ranges of bytes."""
+    item = F.to_json(F.struct(F.lit("text").alias("type"), F.col("html").alias("text"), F.col("page_id").alias("page_idx"), F.struct("url").alias("from")), {"pretty": "true"})
+    rows = table(spark, d, "pages").select((F.col("page_id") % _FILES).cast("int").alias("file"), F.col("page_id").alias("no"), F.concat(item, F.lit(", 7, ")).alias("value"))
+    ends = spark.range(_FILES).select(F.col("id").cast("int").alias("file"), F.inline(F.expr("array(struct(cast(-1 as bigint), '['), struct(9223372036854775807L, ']'))")).alias("no", "value"))
+    folder = f"{ensure_checkpoint_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    rows.unionByName(ends).repartitionById(_FILES, F.col("file")).sortWithinPartitions("no").select("value").write.text(folder)
+    found = content.items_of(json_arrays.array_items(spark, folder, "part-*"))
+    file = F.regexp_extract("source_path", r"part-(\d+)", 1).cast("long")
+    return found.select(file.alias("file"), "ordinal", "page_idx", F.md5("text").alias("text_md5"), F.octet_length("text").cast("long").alias("n_bytes"))
+
+
 @query("select e.type, e.parser, count(*) as n from (select case when page_id % 5 = 0 then '.pdf' when page_id % 5 = 1 then '.png' when page_id % 5 = 2 then '.docx' when page_id % 5 = 3 then '.html' else '.zip' end as type, case when page_id % 5 = 1 then 'image' when page_id % 5 = 2 then 'office' when page_id % 5 = 3 then 'html' else 'pdf' end as parser from pages) e group by 1, 2")
 def src_parser_routing(spark, d):
     ext = F.element_at(F.array(*[F.lit(x) for x in (".pdf", ".png", ".docx", ".html", ".zip")]), (F.col("page_id") % 5 + 1).cast("int"))
@@ -204,8 +223,6 @@ def gr_people(spark, d):
 
 
 def _tree(spark, d):
-    from heirloom.cut import cut
-
     claims = cut(C.extract_claims(kin_text(spark, d)))
     roles = C.claim_people(claims)
     people = cut(P.fold_people(roles))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heirloom.functions import text as T
+from heirloom.sources import json_arrays
 
 
 def content_items(spark: SparkSession, path: str) -> DataFrame:
@@ -15,29 +16,22 @@ def content_items(spark: SparkSession, path: str) -> DataFrame:
 
     ``path`` is a ``.json`` file or a folder: its ``*_content_list.json`` files at
     any depth, else its ``*.json`` files.  Items that are no objects are dropped.
-    A file that holds no JSON array, or whose array breaks off, fails the query; a
-    missing last bracket alone is forgiven; an empty file, which Spark does not
-    open, has no items.
+    A long file is read by many tasks, see ``json_arrays``.  A file that holds no
+    JSON array, or whose array breaks off, fails the query; a missing last bracket
+    alone is forgiven; an empty file has no items.
     """
-    reader = spark.read.format("binaryFile")
-    if path.endswith(".json"):
-        raw = reader.load(path)
-    else:
-        raw = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*_content_list.json").load(path)
-        if not raw.select("path").limit(1).count():
-            raw = reader.option("pathGlobFilter", "*.json").load(path)
-    raw = raw.select(F.col("content").cast("string").alias("value"), F.input_file_name().alias("source_path"))
-    value = F.rtrim(F.regexp_replace("value", r"\s+$", ""))
-    value = F.when(value.endswith("]"), value).otherwise(F.concat(value, F.lit("]")))
-    parsed = F.try_parse_json(value)
-    broken = F.concat(F.lit("no JSON array: "), F.col("source_path"))
-    whole = F.when(F.coalesce(F.schema_of_variant(parsed).startswith("ARRAY"), F.lit(False)), F.try_variant_get(parsed, "$", "array<variant>")).otherwise(F.raise_error(broken))
-    items = raw.select("source_path", F.posexplode(whole).alias("pos", "v"))
-    objects = items.where(F.schema_of_variant("v").startswith("OBJECT"))
-    get = lambda field, kind: F.try_variant_get("v", f"$.{field}", kind)
-    rows = objects.select("source_path", "pos", get("type", "string").alias("type"), get("text", "string").alias("text"), get("page_idx", "int").alias("page_idx"))
-    before = F.row_number().over(Window.partitionBy("source_path").orderBy("pos")) - 1
-    return rows.withColumn("ordinal", before.cast("int")).drop("pos")
+    glob = None
+    if not path.endswith(".json"):
+        names = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        glob = "*_content_list.json" if names.option("pathGlobFilter", "*_content_list.json").load(path).select("path").limit(1).count() else "*.json"
+    return items_of(json_arrays.array_items(spark, path, glob))
+
+
+def items_of(found: DataFrame) -> DataFrame:
+    """``source_path, ordinal, type, text, page_idx`` of array items as JSON text; an item that is no JSON fails the query."""
+    v = F.parse_json("item")
+    get = lambda field, kind: F.try_variant_get("v", f"$.{field}", kind).alias(field)
+    return found.select(F.col("file").alias("source_path"), "pos", v.alias("v")).select("source_path", get("type", "string"), get("text", "string"), get("page_idx", "int"), F.col("pos").cast("int").alias("ordinal"))
 
 
 def chunks(items: DataFrame) -> DataFrame:
