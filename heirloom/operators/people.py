@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heirloom.cut import cut
 from heirloom.functions import text as T
 from heirloom.functions import vocab as V
+from heirloom.operators.components import cycle_edges
 
 SEQ = ("k", "pattern_no", "match_no", "role")
 
@@ -70,32 +70,6 @@ def validate(rels: DataFrame, people: DataFrame) -> DataFrame:
     return r.withColumn("conflicts", reasons).withColumn("status", F.when(F.size("conflicts") > 0, "conflict").otherwise("accepted")).drop("_sb", "_tb", *names)
 
 
-def cycle_edges(edges: DataFrame, src: str = "src", dst: str = "tgt", max_rounds: int = 10_000) -> DataFrame:
-    """The edges whose ends lie in one strongly connected component.
-
-    First vertices without an edge in or out are peeled off, round by round, which
-    leaves little in a family tree; then the reach of what is left grows by edges.
-    """
-    e = cut(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct())
-    n = e.count()
-    for _ in range(max_rounds):
-        left = e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-        left = cut(left.select("a", "b"))
-        m = left.count()
-        e, n, before = left, m, n
-        if m in (0, before):
-            break
-    reach, size = e, n
-    while n:
-        doubled = reach.join(reach.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
-        reach = cut(reach.union(doubled).distinct())
-        if (grown := reach.count()) == size:
-            break
-        size = grown
-    back = reach.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    return e.join(back, ["a", "b"], "left_semi").select(F.col("a").alias(src), F.col("b").alias(dst))
-
-
 def families(rels: DataFrame, status: str | None = None) -> DataFrame:
     """``parent_ids, child_ids``: children with the same one or more parents, and couples without children."""
     r = rels.where(F.lower("status") == status) if status else rels
