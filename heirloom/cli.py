@@ -23,7 +23,7 @@ from heirloom.operators.order import numbered
 from heirloom.sources import content, sinks
 
 ENTITIES = "entity_id string, canonical_name string, entity_type string, gender string, birth_year int, death_year int, confidence double, aliases array<string>"
-RELATIONS = "relation_id string, source_entity_id string, target_entity_id string, relation_type string, confidence double, support_count int, directed boolean, symmetric boolean, evidence array<struct<quote:string,page_idx:int>>, quote string"
+RELATIONS = "relation_id string, source_entity_id string, target_entity_id string, relation_type string, confidence double, support_count int, directed boolean, symmetric boolean, evidence array<struct<quote:string,page_idx:int>>, quote string, polarity string, inference_rule string"
 FORMATS = ("dot", "json", "gedcom", "html")
 
 
@@ -53,32 +53,41 @@ def build_tree(spark: SparkSession, source: str, out: str, reference: str = "")
     return tables
 
 
-def living_rules(entities: DataFrame, rel: DataFrame, derive: bool = True) -> dict[str, DataFrame]:
-    """Roll-up, merge, quotes, time line, roles and derived kinship, in this order.
+def living_rules(entities: DataFrame, rel: DataFrame, derive: bool = False) -> dict[str, DataFrame]:
+    """Merge, roll-up, quotes, time line, roles and, if asked for, derived kinship, in this order.
 
+    ``rel`` has ``src, tgt, type, confidence, support_count, directed, symmetric, relation_no`` (the order in which relations
+    came) and, where there are any, ``evidence, quote, polarity, inference_rule``.
     Returns ``entities, relations`` and what was mended: ``merge_groups, repairs, role_conflicts``.
     """
     entities, mapping = M.merge_entities(entities, rel)
-    entities, rel = cut(entities), cut(M.remap(rel, mapping))
-    quotes = rel.groupBy("src", "tgt", F.lower("type").alias("type"), "directed", "symmetric").agg(F.array_join(F.sort_array(F.collect_set("quote")), " ").alias("quote"))
-    r = L.roll_up(rel).join(quotes, ["src", "tgt", "type", "directed", "symmetric"], "left")
-    r = PR.promote_parents(r, entities).withColumn("inference_rule", F.when(F.col("promoted"), "evidence_parent_cue")).drop("promoted")
+    entities, rel = cut(entities), M.remap(rel, mapping)
+    for c in ("polarity", "inference_rule"):
+        rel = rel if c in rel.columns else rel.withColumn(c, F.lit(None).cast("string"))
+    # What a relation was rolled up by is its place from now on, whatever becomes of its ends and type.
+    place = {f"_{c}": F.col(c) for c in ("src", "tgt", "type", "directed", "symmetric")}
+    r = L.roll_up(cut(rel), "relation_no").withColumns(place)
+    r = PR.promote_parents(r, entities)
+    r = r.withColumns({"inference_rule": F.when(F.col("promoted"), F.coalesce("inference_rule", F.lit("evidence_parent_cue"))).otherwise(F.col("inference_rule"))}).drop("promoted")
     r = L.specialise_parents(r, entities)
-    r = PR.promote_avuncular(r, entities).drop("promoted")
-    r = cut(L.guard_timeline(r, entities))
+    r = PR.promote_avuncular(r, entities)
+    r = r.withColumns({"inference_rule": L.append_rule("evidence_avuncular_cue", F.col("promoted"))}).drop("promoted")
+    r = L.guard_timeline(r, entities)
+    turned, lowered = (F.coalesce(F.col("action") == x, F.lit(False)) for x in ("reversed", "downgraded"))
+    r = r.withColumn("inference_rule", L.append_rule("parent_timeline_reverse", turned)).withColumn("inference_rule", L.append_rule("parent_timeline_downgrade", lowered))
+    r = cut(r.withColumns({"directed": F.when(turned, True).when(lowered, False).otherwise(F.col("directed")), "symmetric": F.when(turned, False).when(lowered, True).otherwise(F.col("symmetric"))}))
     repairs = r.where("action is not null").select("src", "tgt", "type", "action", "reasons")
-    r, conflicts = L.resolve_role_conflicts(r.drop("action", "reasons"), entities)
-    r = cut(r.select("src", "tgt", "type", "confidence", "support_count", "directed", "symmetric", "relation_id"))
+    r, conflicts = L.resolve_role_conflicts(r.drop("action", "reasons"), entities, tie=tuple(place))
+    r = cut(r.select("src", "tgt", "type", "confidence", "support_count", "directed", "symmetric", "relation_id", "polarity", "inference_rule", "quote"))
     if derive:
-        r = r.unionByName(L.derive_kinship(r, entities).drop("inference_rule"), allowMissingColumns=True)
+        r = r.unionByName(L.derive_kinship(r, entities), allowMissingColumns=True)
     return {"entities": entities, "relations": r, "merge_groups": M.merge_groups(mapping), "repairs": repairs, "role_conflicts": conflicts}
 
 
-def build_living(spark: SparkSession, source: str, out: str, max_relations: int = 400, include: str = "", exclude: str = "", derive: bool = True) -> dict[str, DataFrame]:
+def build_living(spark: SparkSession, source: str, out: str, max_relations: int = 400, include: str = "", exclude: str = "", derive: bool = False) -> dict[str, DataFrame]:
     """A living graph's entities and relations after all rules, conflicts, DOT and HTML."""
     entities, raw = content.living_graph(spark, source, ENTITIES, RELATIONS)
-    quote = N.relation_quote("evidence", "quote")
-    rel = raw.select("relation_id", F.trim("source_entity_id").alias("src"), F.trim("target_entity_id").alias("tgt"), F.col("relation_type").alias("type"), "confidence", "support_count", F.coalesce("directed", F.lit(True)).alias("directed"), F.coalesce("symmetric", F.lit(False)).alias("symmetric"), quote.alias("quote"))
+    rel = raw.select("relation_no", F.trim("source_entity_id").alias("src"), F.trim("target_entity_id").alias("tgt"), F.col("relation_type").alias("type"), "confidence", "support_count", F.coalesce("directed", F.lit(True)).alias("directed"), F.coalesce("symmetric", F.lit(False)).alias("symmetric"), N.relation_quote("evidence", None).alias("evidence"), "quote", "polarity", "inference_rule")
     made = living_rules(entities, cut(rel), derive)
     entities, rel = made["entities"], cut(L.filter_types(made["relations"], L.type_list(include), L.type_list(exclude)))
     made["relations"] = rel
@@ -127,7 +136,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--max-relations", type=int, default=400)
     b.add_argument("--include-relation-types", default="", help="of a living graph, types to keep, with commas")
     b.add_argument("--exclude-relation-types", default="", help="of a living graph, types to leave out, with commas")
-    b.add_argument("--derive-kinship", action=argparse.BooleanOptionalAction, default=True)
+    b.add_argument("--derive-kinship", action=argparse.BooleanOptionalAction, default=False)
     b.add_argument("--reference-people", default="", help="a JSON array of people whose names and years a tree takes over")
     e = sub.add_parser("export", help="a built tree in another format")
     e.add_argument("--input", required=True)

@@ -11,12 +11,46 @@ from heirloom.functions import text as T
 from heirloom.functions import vocab as V
 
 
-def roll_up(rel: DataFrame) -> DataFrame:
-    """One row per (src, tgt, lower type, directed, symmetric): highest confidence, summed support; no self-loops."""
+_RELATION = ("src", "tgt", "type", "directed", "symmetric")
+
+
+def roll_up(rel: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per (src, tgt, lower type, directed, symmetric): highest confidence, summed support; no self-loops.
+
+    With ``order``, a column that puts the relations in the order they came in, all other columns are those of the first
+    row, and ``evidence`` and ``quote`` (strings) gather: the text of what is known is the first row's
+    evidence, what was added, and the first row's quote, joined by spaces; a later row's text (evidence, then quote)
+    is added where it is no part of that yet.  Texts that repeat count at their first place, so that a pair
+    told of in very many equal words costs one row for each text; it makes a difference only to a text that was
+    part of what is known by running over into the first row's quote.  The gathered text comes back as ``quote``.
+    """
     r = rel.where("src <> tgt").withColumn("type", F.lower(T.relation_type(F.col("type"))))
-    g = r.groupBy("src", "tgt", "type", "directed", "symmetric").agg(F.max("confidence").alias("confidence"), F.sum(F.greatest(F.coalesce("support_count", F.lit(1)), F.lit(1))).alias("support_count"))
+    aggs = [F.max(F.coalesce("confidence", F.lit(0.0))).alias("confidence"), F.sum(F.greatest(F.coalesce("support_count", F.lit(1)), F.lit(1))).alias("support_count")]
     mark = lambda b: F.initcap(F.col(b).cast("string"))
-    return g.withColumn("relation_id", F.concat(F.lit("rel-"), F.md5(F.concat_ws("|", "src", "tgt", "type", mark("directed"), mark("symmetric")))))
+    rid = F.concat(F.lit("rel-"), F.md5(F.concat_ws("|", "src", "tgt", "type", mark("directed"), mark("symmetric"))))
+    if order is None:
+        return r.groupBy(*_RELATION).agg(*aggs).withColumn("relation_id", rid)
+    told = {"evidence", "quote"}
+    rest = [c for c in r.columns if c not in {*_RELATION, *told, "confidence", "support_count", "relation_id", order}]
+    has = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) if c in r.columns else F.lit("")
+    r = r.withColumns({"_ev": has("evidence"), "_own": has("quote")}).withColumn("_said", F.trim(F.concat_ws(" ", F.nullif("_ev", F.lit("")), F.nullif("_own", F.lit("")))))
+    first = F.struct(F.col(order), "_ev", "_own", *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+    # Equal texts meet in partial sums; what is left of a pair is put in order and read once.
+    texts = r.groupBy(*_RELATION, "_said").agg(F.max(F.coalesce("confidence", F.lit(0.0))).alias("confidence"), F.sum(F.greatest(F.coalesce("support_count", F.lit(1)), F.lit(1))).alias("support_count"), F.min(F.col(order)).alias("_at"), F.min_by(first, order).alias("_first"))
+    g = texts.groupBy(*_RELATION).agg(F.max("confidence").alias("confidence"), F.sum("support_count").alias("support_count"), F.min_by("_first", "_at").alias("_first"), F.array_sort(F.collect_list(F.when(F.col("_said") != "", F.struct("_at", "_said")))).alias("_all"))
+    join = lambda a, b: F.concat_ws(" ", F.nullif(a, F.lit("")), F.nullif(b, F.lit("")))
+    g = g.withColumns({"_ev": F.col("_first._ev"), "_own": F.col("_first._own")})
+    # The state holds the evidence so far and, unchanged, the first row's own quote.
+    state = F.struct(F.col("_ev").alias("ev"), F.col("_own").alias("own"))
+    more = lambda s, x: F.struct(F.when(F.contains(join(s["ev"], s["own"]), x["_said"]), s["ev"]).otherwise(join(s["ev"], x["_said"])).alias("ev"), s["own"].alias("own"))
+    text = F.aggregate("_all", state, more, lambda s: join(s["ev"], s["own"]))
+    return g.select(*_RELATION, "confidence", "support_count", *[F.col(f"_first._r{i}").alias(c) for i, c in enumerate(rest)], text.alias("quote")).withColumn("relation_id", rid)
+
+
+def append_rule(rule: str, when: Column) -> Column:
+    """``inference_rule`` with one more rule where ``when`` holds."""
+    old = F.nullif(F.trim("inference_rule"), F.lit(""))
+    return F.when(when, F.concat_ws(";", old, F.lit(rule))).otherwise(F.col("inference_rule"))
 
 
 def pair_links(rel: DataFrame) -> DataFrame:
@@ -108,18 +142,19 @@ def limit_roles(rel: DataFrame, order: list[Column], limits: dict[str, int] | No
 ROLES = {"father_of": ("father", 1), "mother_of": ("mother", 1), "parent_of": ("parent", 2)}
 
 
-def resolve_role_conflicts(rel: DataFrame, entities: DataFrame, order: str = "relation_id") -> tuple[DataFrame, DataFrame]:
+def resolve_role_conflicts(rel: DataFrame, entities: DataFrame, order: str = "relation_id", tie: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Keep one father, one mother and two parents of no stated role per child; the others become ``relative``.
 
     Relations ``src, tgt, type, confidence, directed, symmetric`` and, where there
     are any, ``quote, polarity, support_count, inference_rule``.  Those stay whose
     quote names the source as the parent, that are not negative, of high
     confidence and support, with long quotes, and not promoted from a quote; then
-    by ``order``.  A demoted row is dropped where its pair is ``relative`` already,
-    or by an earlier demoted row.  Adds ``demoted``.  Also returns the conflicts:
+    by the columns ``tie``, or by ``order`` where there are none.  A demoted row is dropped where its pair
+    is ``relative`` already, or by an earlier demoted row.  Adds ``demoted``.  Also returns the conflicts:
     ``child, role, role_limit, kept, downgraded`` (ids by rank).
     """
     has = lambda c, kind: F.col(c) if c in rel.columns else F.lit(None).cast(kind)
+    tie = tie or (order,)
     e = entities.select("entity_id", F.coalesce("canonical_name", F.col("entity_id").cast("string")).alias("_name"))
     role = F.create_map(*[x for k, (name, _) in ROLES.items() for x in (F.lit(k), F.lit(name))])
     limit = F.create_map(*[x for name, n in ROLES.values() for x in (F.lit(name), F.lit(n))])
@@ -133,14 +168,14 @@ def resolve_role_conflicts(rel: DataFrame, entities: DataFrame, order: str = "re
     rivals = rivals.withColumn("_anchor", anchor)
     rank = [
         F.desc("_anchor"), F.coalesce(F.lower(F.trim(has("polarity", "string"))) == "negative", F.lit(False)), F.desc(F.coalesce("confidence", F.lit(0.0))),
-        F.desc(F.coalesce(has("support_count", "int"), F.lit(0))), F.desc(F.length(quote)), F.coalesce(has("inference_rule", "string") == "evidence_parent_cue", F.lit(False)), F.col(order),
+        F.desc(F.coalesce(has("support_count", "int"), F.lit(0))), F.desc(F.length(quote)), F.coalesce(has("inference_rule", "string") == "evidence_parent_cue", F.lit(False)), *map(F.col, tie),
     ]
     ranked = cut(rivals.withColumn("_rank", F.row_number().over(Window.partitionBy("tgt", "_role").orderBy(*rank))).withColumn("_over", F.col("_rank") > F.element_at(limit, F.col("_role"))))
     ids = lambda over: F.transform(F.sort_array(F.collect_list(F.when(F.col("_over") == over, F.struct("_rank", F.col(order).alias("id"))))), lambda x: x["id"])
     conflicts = ranked.groupBy(F.col("tgt").alias("child"), F.col("_role").alias("role")).agg(F.element_at(limit, F.first("_role")).alias("role_limit"), ids(False).alias("kept"), ids(True).alias("downgraded"))
     kept = r.where("_many is null").select(*rel.columns).unionByName(ranked.where("not _over").select(*rel.columns)).withColumn("demoted", F.lit(False))
     already = kept.where(F.lower(T.relation_type(F.col("type"))) == "relative").select("src", "tgt").distinct()
-    first = F.row_number().over(Window.partitionBy("src", "tgt").orderBy(order))
+    first = F.row_number().over(Window.partitionBy("src", "tgt").orderBy(*tie))
     down = ranked.where("_over").join(already, ["src", "tgt"], "left_anti").withColumn("_first", first).where("_first = 1")
     new = {"type": F.lit("relative"), "directed": F.lit(False), "symmetric": F.lit(True), "inference_rule": F.concat_ws(";", F.nullif(F.trim(has("inference_rule", "string")), F.lit("")), F.lit("parent_role_conflict_downgrade"))}
     down = down.select(*[new[c].alias(c) if c in new else F.col(c) for c in rel.columns]).withColumn("demoted", F.lit(True))

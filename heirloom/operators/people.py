@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heirloom.functions import text as T
 from heirloom.functions import vocab as V
+from heirloom.operators import identity
 from heirloom.operators.components import cycle_edges
 
 SEQ = ("k", "pattern_no", "match_no", "role")
@@ -18,8 +19,11 @@ def fold_people(mentions: DataFrame, seq: tuple[str, ...] = SEQ) -> DataFrame:
     The first person of a name takes all mentions without a birth year and the
     first birth year that comes; other years make people of their own.  In closed
     form a person is (name, own year or the first year of that name).  Partial
-    aggregates carry this, so a very common name costs one row per task.
+    aggregates carry this, so a very common name costs one row per task.  Where
+    mentions have a ``birth_place``, it counts too: see ``identity``.
     """
+    if "birth_place" in mentions.columns:
+        return identity.fold_people(mentions, seq)
     order = F.struct(*seq)
     first = mentions.where("birth_year is not null").groupBy("normalized").agg(F.min_by("birth_year", order).alias("_first"))
     m = mentions.join(first, "normalized", "left").withColumn("_year", F.coalesce("birth_year", "_first"))

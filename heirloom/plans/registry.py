@@ -14,6 +14,7 @@ from heirloom.functions import text as T
 from heirloom.functions import vocab as V
 from heirloom.operators import claims as C
 from heirloom.operators import documents as D
+from heirloom.operators import identity as I
 from heirloom.operators import living as L
 from heirloom.operators import llm_claims as LLM
 from heirloom.operators import llm_pipeline as LP
@@ -222,6 +223,30 @@ def gr_people(spark, d):
     return P.fold_people(C.claim_people(C.extract_claims(kin_text(spark, d))))
 
 
+#: Mentions of a thousand names with years and places, some unknown; a line of an order is a mention.
+_PLACED = """m as (select ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey as seq, concat('Clerk ', l_partkey % 997) as nm, case when l_orderkey % 3 > 0 then cast(1700 + l_suppkey % 4 as integer) end as y,
+case when l_linenumber % 3 > 0 then concat('Town ', l_partkey // 997 % 5) end as p, case when l_quantity > 40 then cast(1760 + l_partkey % 7 as integer) end as dy, case when l_linenumber = 2 then concat('Old ', l_returnflag) end as al from lineitem)"""
+
+
+@query(f"""with recursive {_PLACED}, pairs as (select nm, y, p, min(seq) as seen from m group by 1, 2, 3), q as (select *, row_number() over (partition by nm order by seen) as i from pairs),
+r as (select nm, cast(1 as bigint) as i, [{{'y': y, 'p': p}}] as recs, cast(1 as bigint) as who from q where i = 1
+union all select t.nm, t.i, case when t.at is null then list_append(t.recs, {{'y': t.y, 'p': t.p}}) else list_transform(t.recs, lambda x, j: case when j = t.at then {{'y': coalesce(x.y, t.y), 'p': coalesce(x.p, t.p)}} else x end) end, coalesce(t.at, len(t.recs) + 1)
+from (select q.nm, q.i, q.y, q.p, r.recs, cast(nullif(coalesce(list_position(list_transform(r.recs, lambda x: coalesce(x.y = q.y, true) and coalesce(x.p = q.p, true)), true), 0), 0) as bigint) as at from r join q on q.nm = r.nm and q.i = r.i + 1) t),
+o as (select m.*, r.who from m join q on q.nm = m.nm and q.y is not distinct from m.y and q.p is not distinct from m.p join r on r.nm = q.nm and r.i = q.i)
+select concat('person-', substr(md5(lower(nm)), 1, 16), '-', lpad(cast(who as varchar), 4, '0')) as person_id, nm as name, arg_min(y, seq) filter (y is not null) as birth_year, arg_min(p, seq) filter (p is not null) as birth_place, arg_min(dy, seq) filter (dy is not null) as death_year,
+coalesce(string_agg(distinct al, ',' order by al), '') as aliases from o group by nm, who""")
+def gr_placed_people(spark, d):
+    """People by name, year and place: the fold in claim order, a name's pairs one after another."""
+    li = table(spark, d, "lineitem")
+    nm = F.concat(F.lit("Clerk "), F.col("l_partkey") % 997)
+    m = li.select(
+        F.expr("((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey").alias("seq"), nm.alias("name"), T.normalize_name(nm).alias("normalized"), F.when(F.col("l_orderkey") % 3 > 0, 1700 + F.col("l_suppkey") % 4).cast("int").alias("birth_year"),
+        F.when(F.col("l_linenumber") % 3 > 0, F.concat(F.lit("Town "), F.expr("l_partkey div 997 % 5"))).alias("birth_place"), F.when(F.col("l_quantity") > 40, 1760 + F.col("l_partkey") % 7).cast("int").alias("death_year"), F.when(F.col("l_linenumber") == 2, F.array(F.concat(F.lit("Old "), "l_returnflag"))).alias("aliases"),
+    )
+    p = I.fold_people(m, ("seq",))
+    return p.select("person_id", "name", "birth_year", "birth_place", "death_year", F.array_join("aliases", ",").alias("aliases"))
+
+
 def _tree(spark, d):
     claims = cut(C.extract_claims(kin_text(spark, d)))
     roles = C.claim_people(claims)
@@ -355,6 +380,37 @@ def lg_roll_up(spark, d):
     return L.roll_up(li).select("src", "tgt", "type", "confidence", F.col("support_count").cast("long").alias("support_count"))
 
 
+#: Relations told of in words that are often part of one another.
+_SAID = "alpha beta gamma delta epsilon zeta eta"
+_TOLD = f"""li as (select l_suppkey as src, l_partkey % 50 + 1000000 as tgt, lower(l_returnflag) as type, ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey as seq, l_discount as confidence, l_linenumber as support_count, l_linestatus as polarity,
+trim(substr('{_SAID}', cast(1 + l_orderkey % 17 as integer), cast(l_quantity as integer) % 9)) as evidence, case when l_linenumber % 2 = 1 then trim(substr('{_SAID}', cast(1 + l_partkey % 23 as integer), 4)) else '' end as quote from lineitem)"""
+
+
+@query(f"""with recursive {_TOLD}, said as (select *, trim(concat_ws(' ', nullif(evidence, ''), nullif(quote, ''))) as s from li),
+g as (select src, tgt, type, max(confidence) as confidence, cast(sum(support_count) as bigint) as support_count, arg_min(polarity, seq) as polarity, arg_min(evidence, seq) as ev, arg_min(quote, seq) as own from said group by 1, 2, 3),
+t as (select *, row_number() over (partition by src, tgt, type order by begins) as i from (select src, tgt, type, s, min(seq) as begins from said where s <> '' group by 1, 2, 3, 4)),
+r as (select src, tgt, type, cast(0 as bigint) as i, ev, own from g
+union all select r.src, r.tgt, r.type, t.i, case when contains(concat_ws(' ', nullif(r.ev, ''), nullif(r.own, '')), t.s) then r.ev else concat_ws(' ', nullif(r.ev, ''), t.s) end, r.own from r join t on t.src = r.src and t.tgt = r.tgt and t.type = r.type and t.i = r.i + 1)
+select g.src, g.tgt, g.type, g.confidence, g.support_count, g.polarity, concat_ws(' ', nullif(z.ev, ''), nullif(z.own, '')) as quote from g join (select src, tgt, type, arg_max(ev, i) as ev, any_value(own) as own from r group by 1, 2, 3) z on z.src = g.src and z.tgt = g.tgt and z.type = g.type""")
+def lg_quotes(spark, d):
+    """Relations rolled up in the order they came: quotes that are new to what is known, and fields of the first row."""
+    told = spark.sql(f"with {_TOLD.replace('from lineitem', 'from {lineitem}')} select * from li", lineitem=table(spark, d, "lineitem"))
+    r = L.roll_up(told.withColumns({"directed": F.lit(True), "symmetric": F.lit(False)}), "seq")
+    return r.select("src", "tgt", "type", "confidence", F.col("support_count").cast("long").alias("support_count"), "polarity", "quote")
+
+
+@query(f"""with {_ROLE_ROWS}, e as (select src, tgt, type, round(confidence * 2) as c from li where type <> 'relative'), p as (select src, tgt, type, max(c) as c from e group by 1, 2, 3),
+ranked as (select *, row_number() over (partition by tgt, type order by c desc, src) > case type when 'parent_of' then 2 else 1 end as over_ from p),
+down as (select *, row_number() over (partition by src, tgt order by src, tgt, type) as rn from ranked where over_) select src, tgt, type, false as demoted from ranked where not over_ union all select src, tgt, 'relative', true from down where rn = 1""")
+def lg_role_ties(spark, d):
+    """Parents of equal rank: the first by source, target and type stays, as the roll-up puts them."""
+    kind = F.when(F.col("l_returnflag") == "A", "father_of").when(F.col("l_returnflag") == "R", "mother_of").when(F.col("l_linenumber") % 3 == 0, "relative").otherwise("parent_of")
+    rel = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("tgt"), kind.alias("type"), F.round(F.col("l_discount") * 2).alias("confidence")).where("type <> 'relative'")
+    rel = rel.groupBy("src", "tgt", "type").agg(F.max("confidence").alias("confidence")).withColumns({"directed": F.lit(True), "symmetric": F.lit(False), "relation_id": F.md5(F.concat_ws("|", "src", "tgt", "type"))})
+    people = table(spark, d, "part").select(F.col("p_partkey").alias("entity_id"), F.lit("x").alias("canonical_name"))
+    return L.resolve_role_conflicts(rel, people, tie=("src", "tgt", "type"))[0].select("src", "tgt", "type", "demoted")
+
+
 @query("select least(l_partkey, l_suppkey) as a, greatest(l_partkey, l_suppkey) as b, max(l_discount) as confidence, cast(sum(greatest(l_linenumber,1)) as bigint) as support, string_agg(distinct lower(l_returnflag), ',' order by lower(l_returnflag)) as types from lineitem where l_partkey <> l_suppkey group by 1, 2")
 def lg_pair_links(spark, d):
     li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("tgt"), F.col("l_returnflag").alias("type"), F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("support_count"))

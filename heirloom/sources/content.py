@@ -49,9 +49,9 @@ def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def living_graph(spark: SparkSession, path: str, entities: str, relations: str) -> tuple[DataFrame, DataFrame]:
-    """The two tables of a living-graph JSON file."""
+    """The two tables of a living-graph JSON file; relations with ``relation_no``, their place."""
     one = spark.read.schema(f"entities array<struct<{entities}>>, relations array<struct<{relations}>>").option("multiLine", True).json(path)
-    return one.select(F.inline("entities")), one.select(F.inline("relations"))
+    return one.select(F.inline("entities")), one.select(F.posexplode("relations").alias("relation_no", "r")).select("relation_no", "r.*")
 
 
 def reference_people(spark: SparkSession, path: str) -> DataFrame:

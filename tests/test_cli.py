@@ -27,7 +27,7 @@ def test_living_graph(spark, tmp_path):
     ]
     src.write_text(json.dumps({"entities": e, "relations": r}))
     out = str(tmp_path / "out")
-    assert cli.main(["build", "--input", str(src), "--output", out, "--graph-mode", "living"]) == 0
+    assert cli.main(["build", "--input", str(src), "--output", out, "--graph-mode", "living", "--derive-kinship"]) == 0
     got = {(x.src, x.type, x.tgt) for x in spark.read.json(f"{out}/relations").collect()}
     assert got == {("j", "father_of", "m"), ("j", "father_of", "p"), ("m", "brother_of", "p"), ("p", "brother_of", "m")}
     dot = [x.value for x in spark.read.text(f"{out}/living_graph.dot").collect()]
