@@ -113,13 +113,16 @@ def export(spark: SparkSession, folder: str, fmt: str, out: str) -> None:
         sinks.write_jsonl(families, f"{out}/families")
 
 
-def llm_extract(spark: SparkSession, folder: str, out: str, window: int = 1, most: int = 0, completion=None) -> dict[str, DataFrame]:
-    """The chunks to ask a model about and, with a ``completion``, its answers, the validated claims and their graph."""
+def llm_extract(spark: SparkSession, folder: str, out: str, window: int = 1, most: int = 0, completion=None, model: str = "", threads: int = 1) -> dict[str, DataFrame]:
+    """The chunks to ask a model about and, with a ``completion``, its answers, the validated claims and their graph.
+
+    Answers are kept in ``journal`` below ``out``: a run that was broken off goes on where it was.
+    """
     chunks = content.jsonl(spark, f"{content.artifact_folder(folder, 'source_chunks')}/source_chunks", "source_id string, ordinal int, chunk_id string, text string")
     if completion is None:
         found = {"candidates": LP.prompts(LLM.candidates(chunks, "source_id", "ordinal", window=window, max_candidates=most or None))}
     else:
-        found = LP.run(chunks, completion, window=window, max_candidates=most or None)
+        found = LP.run(chunks, completion, window=window, max_candidates=most or None, journal=f"{out}/journal", model=model, threads=threads)
         found["rejected"] = found["validated"].where("status = 'rejected'")
     for name, df in found.items():
         sinks.write_jsonl(df, f"{out}/{name}")
@@ -150,6 +153,7 @@ def parser() -> argparse.ArgumentParser:
     x.add_argument("--model", default=os.getenv("LLM_MODEL", ""))
     x.add_argument("--llm-base-url", default=os.getenv("LLM_BASE_URL", ""), help="without it, only prompts are written")
     x.add_argument("--llm-api-key", default=os.getenv("LLM_API_KEY", ""))
+    x.add_argument("--llm-threads", type=int, default=1, help="questions that a task has open at a time")
     x.add_argument("--llm-timeout", type=int, default=int(os.getenv("LLM_TIMEOUT", "300")))
     x.add_argument("--llm-max-tokens", type=int, default=int(os.getenv("LLM_MAX_TOKENS", "900")))
     return p
@@ -168,7 +172,7 @@ def main(argv: list[str] | None = None) -> int:
         export(spark, a.input, a.format, a.output)
     else:
         ask = LP.http_completion(a.llm_base_url, a.model, a.llm_api_key, a.llm_timeout, a.llm_max_tokens) if a.llm_base_url else None
-        llm_extract(spark, a.input, a.output or f"{a.input.rstrip('/')}/llm_claim_graph", a.context_window, a.max_candidates, ask)
+        llm_extract(spark, a.input, a.output or f"{a.input.rstrip('/')}/llm_claim_graph", a.context_window, a.max_candidates, ask, a.model, a.llm_threads)
     return 0
 
 

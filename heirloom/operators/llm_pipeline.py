@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import urllib.request
 from collections.abc import Callable
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 from heirloom.cut import cut
 from heirloom.functions import text as T
 from heirloom.operators import claims as C
+from heirloom.operators import journal as J
 from heirloom.operators import llm_claims as LLM
 from heirloom.operators import people as P
+from heirloom.sources import content
 
 #: How a model is asked; the fields of an answer that `claims` reads.
 ASK = """Find statements of kinship in the passage below, Russian or English, and answer with JSON alone.
@@ -42,6 +45,9 @@ def prompts(candidates: DataFrame) -> DataFrame:
 def http_completion(url: str, model: str, key: str = "", timeout: int = 300, max_tokens: int = 900) -> Callable[[str], str]:
     """A completion function that asks a chat endpoint, for ``llm_claims.complete``."""
 
+    if content.offline() and urlsplit(url).hostname not in ("localhost", "127.0.0.1", "::1"):
+        raise PermissionError("the environment forbids network access")
+
     def ask(prompt: str) -> str:
         body = {"model": model, "temperature": 0, "max_tokens": max_tokens, "messages": [{"role": "user", "content": prompt}]}
         head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
@@ -160,14 +166,15 @@ def graph(claims: DataFrame) -> dict[str, DataFrame]:
     return {"claims": claims, "people": people, "relationships": rels, "families": P.families(rels, "accepted"), "conflicts": P.conflicts(rels, roles, people)}
 
 
-def run(chunks: DataFrame, completion: Callable[[str], str], group: str = "source_id", position: str = "ordinal", window: int = 1, max_candidates: int | None = None) -> dict[str, DataFrame]:
+def run(chunks: DataFrame, completion: Callable[[str], str], group: str = "source_id", position: str = "ordinal", window: int = 1, max_candidates: int | None = None, journal: str = "", model: str = "", threads: int = 1) -> dict[str, DataFrame]:
     """From chunks to a graph: candidates, prompts, answers, validated claims, people and relationships.
 
     Answers are written to the shared folder before they are read again, so that no
-    row is asked twice.
+    row is asked twice.  With ``journal``, a folder, answers of earlier runs count too: see ``journal.ask``.
     """
     found = cut(prompts(LLM.candidates(chunks, group, position, window=window, max_candidates=max_candidates)))
-    raw = cut(LLM.complete(found.select("candidate_id", "chunk_id", "prompt"), completion))
+    wanted = found.select("candidate_id", "chunk_id", "prompt")
+    raw = cut(J.ask(wanted, completion, journal, model, threads=threads) if journal else LLM.complete(wanted, completion, threads=threads))
     validated = cut(validate(raw, found))
     return {"candidates": found, "raw": raw, "validated": validated, **graph(accepted_claims(validated))}
 

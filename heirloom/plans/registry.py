@@ -15,6 +15,7 @@ from heirloom.functions import vocab as V
 from heirloom.operators import claims as C
 from heirloom.operators import documents as D
 from heirloom.operators import identity as I
+from heirloom.operators import journal as J
 from heirloom.operators import living as L
 from heirloom.operators import llm_claims as LLM
 from heirloom.operators import llm_pipeline as LP
@@ -575,6 +576,25 @@ def llm_completion(spark, d):
     return LLM.complete(k, answer).groupBy("parse_status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("select p_partkey as k, case p_partkey % 3 when 0 then 'invalid_json' when 1 then 'parsed' else 'error' end as parse_status, case when p_partkey % 3 = 1 then p_name end as said, cast(case when p_partkey % 6 = 2 then 2 else 1 end as bigint) as asked from part")
+def llm_journal(spark, d):
+    """Every part asked about, even ones in a run that was broken off; in the next run what failed is asked again, nothing else."""
+    part = table(spark, d, "part")
+    rows = part.select("p_partkey", F.concat(F.lit("part-"), "p_partkey").alias("candidate_id"), F.concat_ws("|", (F.col("p_partkey") % 3).cast("string"), "p_name").alias("prompt"))
+    folder = f"{ensure_checkpoint_dir(spark)}/journal-{uuid.uuid4().hex}"
+
+    def answer(prompt: str) -> str:
+        no, name = prompt.split("|", 1)
+        if no == "2":
+            raise TimeoutError("no answer")
+        return f'<think>hm</think>{{"name": "{name}",}}' if no == "1" else "no json"
+
+    J.ask(rows.where("p_partkey % 2 = 0"), answer, folder, rows_per_task=2048)
+    found = J.ask(rows, answer, folder, retry_errors=True, rows_per_task=2048)
+    times = J.read_journal(spark, folder).groupBy("candidate_id").agg(F.count(F.lit(1)).alias("asked"))
+    return found.join(times, "candidate_id").select(F.col("p_partkey").alias("k"), "parse_status", F.get_json_object("parsed", "$.name").alias("said"), "asked")
+
+
 #: Six kinds of answers about the names of parts; every claim's fate follows from the number of its part.
 _FATES = """case k % 6 when 0 then 'accepted_candidate' when 1 then 'empty' else 'rejected' end as status,
 case k % 6 when 2 then 'rejected_no_evidence_quote' when 3 then 'rejected_generic_person_name' when 4 then 'missing_candidate' when 5 then 'invalid_json' end as reason"""
