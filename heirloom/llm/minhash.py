@@ -17,7 +17,7 @@ probability 5e-8, and fall below the floor of the estimates with 3e-8.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from heirloom.cut import cut
 from heirloom.llm import kernels as K
-from heirloom.llm.common import as_bytes, column, small_batches, trimmed
+from heirloom.llm.common import as_bytes, column, small_batches, trim, trimmed
 from heirloom.operators.components import connected_components
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
@@ -129,6 +129,23 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return narrow.mapInArrow(trimmed(sign), SIGNATURES)
 
 
+#: Members from which on a group's memory is given back at its end.
+_MANY = 256
+
+
+def _tidy(find: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``find``, giving memory back after a large group: workers live on between tasks."""
+
+    def run(t: pa.Table) -> pa.Table:
+        try:
+            return find(t)
+        finally:
+            if t.num_rows >= _MANY:
+                trim()
+
+    return run
+
+
 class _Group:
     """The members of a bucket, or of a pair of its blocks."""
 
@@ -165,7 +182,7 @@ def _partners(percent: int, floor: float):
                 keep[i] |= len(others) > 0
         return t.filter(pa.array(keep))
 
-    return find
+    return _tidy(find)
 
 
 def _confirm(percent: int, floor: float, words: int):
@@ -193,7 +210,7 @@ def _confirm(percent: int, floor: float, words: int):
                 against(i, others)
         return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
-    return find
+    return _tidy(find)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
