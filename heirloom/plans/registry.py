@@ -628,6 +628,7 @@ def ret_graph(spark, d):
     return R.top(graph.unionByName(rest.select(*graph.columns))).select("document_id", "kind", "score", "text")
 
 
+#: The header lines of the file.
 _DOT_HEAD = ["digraph family_tree {", "  rankdir=LR;", '  graph [fontsize=10 fontname="Helvetica"];', '  node [fontsize=10 fontname="Helvetica"];', '  edge [fontsize=9 fontname="Helvetica"];']
 
 

@@ -39,6 +39,7 @@ def _family_id():
 def dot_lines(people: DataFrame, families: DataFrame) -> DataFrame:
     """``part, key, no, line`` of a DOT graph; sorted by the first three they are the file."""
     q = lambda c: F.concat(F.lit('"'), _quoted(c), F.lit('"'))
+    # The header lines of the file.
     head = ["digraph family_tree {", "  rankdir=LR;", '  graph [fontsize=10 fontname="Helvetica"];', '  node [fontsize=10 fontname="Helvetica"];', '  edge [fontsize=9 fontname="Helvetica"];']
     one = people.sparkSession.range(1)
     fixed = lambda part, texts: one.select(F.lit(part).alias("part"), F.lit("").alias("key"), F.posexplode(F.array(*[F.lit(t) for t in texts])).alias("no", "line"))
@@ -110,6 +111,7 @@ def living_dot_lines(entities: DataFrame, rel: DataFrame, max_relations: int = 4
     one = entities.sparkSession.range(1)
     fixed = lambda part, texts: one.select(F.lit(part).alias("part"), F.lit("").alias("key"), F.posexplode(F.array(*[F.lit(t) for t in texts])).alias("no", "line"))
     font = 'fontname="Helvetica"'
+    # The header lines of the file.
     head = ["digraph living_graph {", f"  graph [overlap=false splines=true ranksep=1.0 nodesep=0.35 rankdir=TB fontsize=10 {font}];", f'  node [shape=ellipse style=filled fillcolor="#f8fafc" color="#94a3b8" fontsize=10 {font}];', f'  edge [fontsize=9 {font} color="{OTHER_COLOUR}"];']
     e = entities.where("trim(entity_id) <> ''").withColumns({"_n": F.coalesce(F.nullif(F.trim("canonical_name"), F.lit("")), F.col("entity_id")), "_b": T.strict_year(F.col("birth_year"))})
     show = lambda y: F.coalesce(F.nullif(y, F.lit(0)).cast("string"), F.lit("?"))
