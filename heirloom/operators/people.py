@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heirloom.functions import text as T
 from heirloom.functions import vocab as V
-from heirloom.operators import identity
+from heirloom.operators import identity, variants
 from heirloom.operators.components import cycle_edges
 
 SEQ = ("k", "pattern_no", "match_no", "role")
@@ -85,14 +85,8 @@ def families(rels: DataFrame, status: str | None = None) -> DataFrame:
 
 
 def resolve_mentions(mentions: DataFrame, people: DataFrame, key: str = "mention_id") -> DataFrame:
-    """Mentions with ``candidates`` and ``outcome``: resolved, or unresolved or ambiguous with the reason's name."""
-    p = people.select("normalized", "person_id", F.col("birth_year").alias("_pb"), F.col("death_year").alias("_pd"))
-    fits = F.coalesce(F.col("birth_year") == F.col("_pb"), F.lit(True)) & F.coalesce(F.col("death_year") == F.col("_pd"), F.lit(True))
-    c = mentions.join(p, "normalized", "left").groupBy(key, "surface", "normalized").agg(
-        F.sort_array(F.collect_set("person_id")).alias("_all"), F.sort_array(F.collect_set(F.when(fits, F.col("person_id")))).alias("_fit")
-    )
-    outcome = F.when(F.size("_all") == 0, "no_matching_person").when(F.size("_fit") == 0, "year_mismatch").when(F.size("_fit") > 1, "multiple_matching_people").otherwise("resolved")
-    return c.select(key, "surface", "normalized", F.when(F.size("_fit") > 0, F.col("_fit")).otherwise(F.col("_all")).alias("candidates"), outcome.alias("outcome"))
+    """Mentions with ``candidates`` and ``outcome``: resolved, or unresolved or ambiguous with the reason's name; people go by aliases too."""
+    return variants.meet(mentions, people).select(key, "surface", "normalized", "candidates", "outcome")
 
 
 def conflicts(rels: DataFrame, roles: DataFrame, people: DataFrame) -> DataFrame:
@@ -111,12 +105,16 @@ def claims_by_name(claims: DataFrame) -> DataFrame:
 
 
 def roll_up_mentions(mentions: DataFrame, people: DataFrame, claims: DataFrame, key: str = "mention_id") -> DataFrame:
-    """Resolved mentions by person: ``person_id, name, normalized, mention_ids, surfaces, claim_ids, reasons``, all sorted and distinct."""
-    resolved = resolve_mentions(mentions, people, key).where("outcome = 'resolved'").select(key, "surface", F.element_at("candidates", 1).alias("person_id"))
-    dated = mentions.select(key, F.when(F.col("birth_year").isNotNull() | F.col("death_year").isNotNull(), "year_compatible").alias("_dated"))
+    """Resolved mentions by person: ``person_id, name, normalized, mention_ids, surfaces, claim_ids, reasons``, all sorted and distinct.
+
+    The claims are those that name the person by any form: name or alias.
+    """
+    dated = F.when(F.col("birth_year").isNotNull() | F.col("death_year").isNotNull(), "year_compatible")
+    resolved = variants.meet(mentions, people).where("outcome = 'resolved'").select(key, "surface", F.element_at("candidates", 1).alias("person_id"), dated.alias("_dated"))
     some = lambda c: F.sort_array(F.collect_set(c))
-    by_person = resolved.join(dated, key).groupBy("person_id").agg(some(key).alias("mention_ids"), some("surface").alias("surfaces"), F.sort_array(F.array_append(F.collect_set("_dated"), F.lit("normalized_name_match"))).alias("reasons"))
-    named = by_person.join(people.select("person_id", "name", "normalized"), "person_id").join(claims_by_name(claims), "normalized", "left")
+    by_person = resolved.groupBy("person_id").agg(some(key).alias("mention_ids"), some("surface").alias("surfaces"), F.sort_array(F.array_append(F.collect_set("_dated"), F.lit("normalized_name_match"))).alias("reasons"))
+    told = variants.forms(people).join(claims_by_name(claims), F.col("variant") == F.col("normalized")).groupBy("person_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("claim_ids")))).alias("claim_ids"))
+    named = by_person.join(people.select("person_id", "name", "normalized"), "person_id").join(told, "person_id", "left")
     return named.select("person_id", "name", "normalized", "mention_ids", "surfaces", F.coalesce("claim_ids", F.array().cast("array<string>")).alias("claim_ids"), "reasons")
 
 

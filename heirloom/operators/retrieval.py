@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heirloom.functions import text as T
+from heirloom.operators import variants
 
 
 def lexical_scores(docs: DataFrame, query: str, text: str = "text", kind: str | None = None) -> DataFrame:
@@ -29,13 +30,17 @@ def top(scored: DataFrame, k: int = 8, key: str = "document_id") -> DataFrame:
     return scored.orderBy(F.desc("score"), first.desc(), F.desc(key)).limit(max(0, k))
 
 
-def resolve_query(people: DataFrame, query: str) -> DataFrame:
-    """The person whose normalized name the query holds: most words, then longest, then the smallest id; one row or none."""
-    p = people.where(T.contains_phrase(T.normalize_name(F.lit(query)), F.col("normalized")))
-    n = F.size(F.split("normalized", " "))
+def resolve_query(people: DataFrame, query: str, surfaces: DataFrame | None = None) -> DataFrame:
+    """Whom the query names by any form (``variants.forms``): most words, then the last form, then the smallest id; one row or none.
+
+    One scan of the forms; for many questions see ``variants.resolve_questions``.
+    """
+    named = variants.forms(people, surfaces).where(T.contains_phrase(T.normalize_name(F.lit(query)), F.col("variant")))
+    n = F.size(F.split("variant", " "))
     score = F.lit(0.7) + F.least(F.lit(0.25), F.lit(0.04) * n)
-    found = p.select("person_id", "name", "normalized", score.alias("confidence"), T.intent(F.lit(query)).alias("intent"), n.alias("_n"))
-    return found.orderBy(F.desc("confidence"), F.desc("_n"), F.desc("normalized"), "person_id").limit(1).drop("_n")
+    found = named.select("person_id", F.col("variant").alias("matched_text"), score.alias("confidence"), T.intent(F.lit(query)).alias("intent"), n.alias("_n"))
+    best = found.orderBy(F.desc("confidence"), F.desc("_n"), F.desc("matched_text"), "person_id").limit(1).drop("_n")
+    return people.select("person_id", "name", "normalized").join(F.broadcast(best), "person_id")  # one row
 
 
 def relations_for(rels: DataFrame, person: DataFrame) -> DataFrame:

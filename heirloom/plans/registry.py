@@ -24,6 +24,7 @@ from heirloom.operators import people as P
 from heirloom.operators import promotion as PR
 from heirloom.operators import reconcile as RC
 from heirloom.operators import retrieval as R
+from heirloom.operators import variants
 from heirloom.operators.components import connected_components
 from heirloom.sources import content, json_arrays, parsed, sinks
 
@@ -357,6 +358,62 @@ def gr_mention_roll_up(spark, d):
     return P.roll_up_mentions(m, people, claims).select("person_id", size("mention_ids").alias("n_mentions"), size("surfaces").alias("n_surfaces"), size("claim_ids").alias("n_claims"), F.array_join("reasons", ",").alias("reasons"))
 
 
+#: People with shared names, one alias of their own, a longer one that holds it, and one that they share; in SQL that Spark and DuckDB both read.
+_FORMED = """select concat('p', lpad(cast(p_partkey as string), 9, '0')) as person_id, concat('Clan ', p_brand, ' ', p_type) as name, 1500 + cast(p_partkey % 300 as int) as birth_year, case when p_partkey % 2 = 0 then 1560 + cast(p_partkey % 300 as int) end as death_year,
+array(concat('Part ', p_partkey), concat('PART ', p_partkey, ', ', p_type), concat('Small ', p_size)) as aliases from {part}"""
+#: Mentions of these, by name, own alias, wrong or right year, and shared alias.
+_MENTIONED = """select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as mention_id, case l_linenumber % 4 when 0 then concat('CLAN  brand-', l_suppkey % 25, ' economy') when 1 then concat('Part ', l_partkey, '!') when 2 then concat('«Part ', l_partkey + 1000, '» ') else concat('small/', cast(l_quantity as int)) end as surface,
+case l_linenumber % 4 when 0 then 1500 + cast(l_partkey % 300 as int) when 2 then 1500 + cast((l_partkey + 1000 + l_suppkey % 2) % 300 as int) end as birth_year, case when l_linenumber % 4 = 2 and l_suppkey % 3 = 0 then 1560 + cast((l_partkey + 1000) % 300 as int) end as death_year from {lineitem}"""
+_MET = f"""people as ({_FORMED.format(part='part').replace('array(', 'list_value(')}), forms as (select distinct person_id, {_norm('x')} as variant from (select person_id, unnest(list_append(aliases, name)) as x from people)),
+m as (select *, {_norm('surface')} as normalized, row_number() over () as no from ({_MENTIONED.format(lineitem='lineitem')})),
+c as (select m.no, any_value(m.mention_id) as mention_id, any_value(m.surface) as surface, any_value(m.normalized) as normalized, coalesce(string_agg(p.person_id, ',' order by p.person_id), '') as every, coalesce(string_agg(p.person_id, ',' order by p.person_id) filter (coalesce(m.birth_year = p.birth_year, true) and coalesce(m.death_year = p.death_year, true)), '') as fit
+from m left join forms f on f.variant = m.normalized left join people p on p.person_id = f.person_id group by 1),
+met as (select mention_id, surface, normalized, case when fit <> '' then fit else every end as candidates, case when every = '' then 'no_matching_person' when fit = '' then 'year_mismatch' when contains(fit, ',') then 'multiple_matching_people' else 'resolved' end as outcome from c)"""
+
+
+def _formed(spark, d) -> tuple[DataFrame, DataFrame]:
+    """People with aliases, and mentions of them."""
+    people = spark.sql(_FORMED, part=table(spark, d, "part")).withColumn("normalized", T.normalize_name(F.col("name")))
+    return people, spark.sql(_MENTIONED, lineitem=table(spark, d, "lineitem")).withColumn("normalized", T.normalize_name(F.col("surface")))
+
+
+@query(f"with {_MET} select mention_id, outcome, md5(candidates) as candidates_md5 from met")
+def gr_variants(spark, d):
+    """Mentions resolved by names and aliases."""
+    people, m = _formed(spark, d)
+    return P.resolve_mentions(m, people).select("mention_id", "outcome", F.md5(F.array_join("candidates", ",")).alias("candidates_md5"))
+
+
+@query(f"""with {_MET}, asked as (select distinct {_norm("concat('Part ', p_partkey * 2)")} as normalized from part union select distinct concat('small ', p_size) from part union select distinct {_norm("concat('Clan ', p_brand, ' ', p_type)")} from part),
+under as (select normalized, mention_id, case outcome when 'multiple_matching_people' then 'ambiguous' else 'unresolved' end as status, outcome as reason, candidates from met where outcome <> 'resolved'
+union all select {_norm('p.name')}, mention_id, 'resolved', 'normalized_name_match', candidates from met join people p on p.person_id = met.candidates where outcome = 'resolved')
+select normalized, mention_id, status, reason, md5(candidates) as candidates_md5 from under join asked using (normalized)""")
+def gr_mention_candidates(spark, d):
+    """The mentions listed for names to which claims give no person."""
+    people, m = _formed(spark, d)
+    part = table(spark, d, "part")
+    names = part.select(F.explode(F.array(F.concat(F.lit("Part "), F.col("p_partkey") * 2), F.concat(F.lit("Small "), "p_size"), F.concat_ws(" ", F.lit("Clan"), "p_brand", "p_type"))).alias("name"))
+    found = variants.mention_candidates(names.select(T.normalize_name(F.col("name")).alias("normalized")), variants.meet(m, people), people)
+    return found.select("normalized", "mention_id", "status", "reason", F.md5(F.array_join("candidates", ",")).alias("candidates_md5"))
+
+
+#: Questions about these people, by an alias, a longer one, two at once, or a surface that was resolved.
+_ASKED = """select distinct concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as question_id, concat(case l_linenumber % 5 when 0 then 'Who were the parents of ' when 1 then 'Name the children of ' when 2 then 'Who was married to ' when 3 then 'To whom is related ' else 'Tell me of ' end,
+case l_suppkey % 4 when 0 then concat('part #', l_partkey + 500, ', Economy') when 1 then concat('Part ', l_partkey + 500, ' or Small 7') when 2 then concat('old Nick ', l_suppkey) else concat('Clan Brand ', l_suppkey % 30, ' Economy') end, '?') as question from {lineitem}"""
+_INTENT = "case " + " ".join(f"when list_has_any(toks, [{', '.join(repr(w) for w in words)}]) then '{name}'" for name, words in (("parents", V.PARENT_INTENT), ("children", V.CHILD_INTENT), ("spouses", V.SPOUSE_INTENT), ("relationships", V.RELATION_INTENT))) + " else 'person' end"
+
+
+@query(f"""with people as ({_FORMED.format(part='part').replace('array(', 'list_value(')}), forms as (select distinct person_id, {_norm('x')} as variant from (select person_id, unnest(list_append(aliases, name)) as x from people union all select concat('p', lpad(cast(c_custkey as string), 9, '0')), concat('Nick ', c_custkey % 100) from customer) where person_id in (select person_id from people)),
+a as (select *, string_split({_norm('question')}, ' ') as toks from ({_ASKED.format(lineitem='lineitem')})), phr as (select question_id, toks, array_to_string(list_slice(toks, i, j), ' ') as variant from (select *, unnest(range(i, len(toks) + 1)) as j from (select *, unnest(range(1, len(toks) + 1)) as i from a))),
+ranked as (select question_id, toks, person_id, variant, len(string_split(variant, ' ')) as n, row_number() over (partition by question_id order by len(string_split(variant, ' ')) desc, variant desc, person_id) as rn from phr join forms using (variant))
+select question_id, person_id, p.name, variant as matched_text, cast(0.7 as double) + least(cast(0.25 as double), cast(0.04 as double) * n) as confidence, {_INTENT} as intent from ranked join people p using (person_id) where rn = 1""")
+def ret_questions(spark, d):
+    """Whom each of many questions is about, by names, aliases and resolved surfaces."""
+    people, _ = _formed(spark, d)
+    surfaces = table(spark, d, "customer").select(F.concat(F.lit("p"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("person_id"), F.array(F.concat(F.lit("Nick "), F.col("c_custkey") % 100)).alias("surfaces"))
+    return variants.resolve_questions(spark.sql(_ASKED, lineitem=table(spark, d, "lineitem")), people, surfaces)
+
+
 @query(f"with {_CLAIMS} select distinct concat('claim-', k, '-', pattern_no, '-', match_no) as claim_id, concat('evidence-', md5(concat_ws(chr(10), cast(k as varchar), quote))) as evidence_id, quote from claims where nullif(name1, '') is not null and nullif(name2, '') is not null")
 def gr_evidences(spark, d):
     return P.evidences(C.extract_claims(kin_text(spark, d))).select("claim_id", "evidence_id", "quote")
