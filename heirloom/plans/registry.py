@@ -24,6 +24,7 @@ from heirloom.operators import people as P
 from heirloom.operators import promotion as PR
 from heirloom.operators import reconcile as RC
 from heirloom.operators import retrieval as R
+from heirloom.operators import store as S
 from heirloom.operators import variants
 from heirloom.operators.components import connected_components
 from heirloom.sources import content, json_arrays, parsed, sinks
@@ -230,6 +231,15 @@ _PLACED = """m as (select ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey
 case when l_linenumber % 3 > 0 then concat('Town ', l_partkey // 997 % 5) end as p, case when l_quantity > 40 then cast(1760 + l_partkey % 7 as integer) end as dy, case when l_linenumber = 2 then concat('Old ', l_returnflag) end as al from lineitem)"""
 
 
+def _placed(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    nm = F.concat(F.lit("Clerk "), F.col("l_partkey") % 997)
+    return li.select(
+        F.expr("((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey").alias("seq"), nm.alias("name"), T.normalize_name(nm).alias("normalized"), F.when(F.col("l_orderkey") % 3 > 0, 1700 + F.col("l_suppkey") % 4).cast("int").alias("birth_year"),
+        F.when(F.col("l_linenumber") % 3 > 0, F.concat(F.lit("Town "), F.expr("l_partkey div 997 % 5"))).alias("birth_place"), F.when(F.col("l_quantity") > 40, 1760 + F.col("l_partkey") % 7).cast("int").alias("death_year"), F.when(F.col("l_linenumber") == 2, F.array(F.concat(F.lit("Old "), "l_returnflag"))).alias("aliases"), F.col("l_linenumber").alias("line"),
+    )
+
+
 @query(f"""with recursive {_PLACED}, pairs as (select nm, y, p, min(seq) as seen from m group by 1, 2, 3), q as (select *, row_number() over (partition by nm order by seen) as i from pairs),
 r as (select nm, cast(1 as bigint) as i, [{{'y': y, 'p': p}}] as recs, cast(1 as bigint) as who from q where i = 1
 union all select t.nm, t.i, case when t.at is null then list_append(t.recs, {{'y': t.y, 'p': t.p}}) else list_transform(t.recs, lambda x, j: case when j = t.at then {{'y': coalesce(x.y, t.y), 'p': coalesce(x.p, t.p)}} else x end) end, coalesce(t.at, len(t.recs) + 1)
@@ -239,16 +249,27 @@ select concat('person-', substr(md5(lower(nm)), 1, 16), '-', lpad(cast(who as va
 coalesce(string_agg(distinct al, ',' order by al), '') as aliases from o group by nm, who""")
 def gr_placed_people(spark, d):
     """People by name, year and place: the fold in claim order, a name's pairs one after another."""
-    li = table(spark, d, "lineitem")
-    nm = F.concat(F.lit("Clerk "), F.col("l_partkey") % 997)
-    m = li.select(
-        F.expr("((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey").alias("seq"), nm.alias("name"), T.normalize_name(nm).alias("normalized"), F.when(F.col("l_orderkey") % 3 > 0, 1700 + F.col("l_suppkey") % 4).cast("int").alias("birth_year"),
-        F.when(F.col("l_linenumber") % 3 > 0, F.concat(F.lit("Town "), F.expr("l_partkey div 997 % 5"))).alias("birth_place"), F.when(F.col("l_quantity") > 40, 1760 + F.col("l_partkey") % 7).cast("int").alias("death_year"), F.when(F.col("l_linenumber") == 2, F.array(F.concat(F.lit("Old "), "l_returnflag"))).alias("aliases"),
-    )
+    m = _placed(spark, d)
     p = I.fold_people(m, ("seq",))
     return p.select("person_id", "name", "birth_year", "birth_place", "death_year", F.array_join("aliases", ",").alias("aliases"))
 
 
+#: The same mentions in three batches, by line number.
+_BATCHED = ORACLE["gr_placed_people"].replace(" as seq, concat(", " + l_linenumber % 3 * 1000000000000000000 as seq, concat(", 1)
+
+
+@query(_BATCHED)
+def gr_store(spark, d):
+    """People of three batches that reach the keyed store in another order, one of them twice, with a compaction in between."""
+    folder = f"{ensure_checkpoint_dir(spark)}/store-{uuid.uuid4().hex}"
+    m = _placed(spark, d).drop("normalized")
+    for batch in (2, 0, 1, 2):
+        S.upsert_people(m.where(F.col("line") % 3 == batch), folder, batch, "seq")
+        if batch == 0:
+            S.compact(spark, folder, S.PEOPLE)
+    return S.people(spark, folder).select("person_id", "name", "birth_year", "birth_place", "death_year", F.array_join("aliases", ",").alias("aliases"))
+
+
 def _tree(spark, d):
     claims = cut(C.extract_claims(kin_text(spark, d)))
     roles = C.claim_people(claims)
