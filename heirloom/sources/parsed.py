@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heirloom.cut import cut
+from heirloom.sources import supervised
 
 IMAGE_FIELDS = ("img_path", "table_img_path", "equation_img_path")
 
@@ -73,24 +74,31 @@ def flatten_docling(docs: DataFrame, doc: str = "doc", value: str = "value", max
 BATCH = "path string, out_dir string, success boolean, error string, seconds double"
 
 
-def run_batch(files: DataFrame, parse: Callable[[str, str], None], dry_run: bool = False) -> DataFrame:
+def run_batch(files: DataFrame, parse: Callable[[str, str], None], dry_run: bool = False, seconds: float | None = None, at_once: int = 4) -> DataFrame:
     """Call ``parse(path, out_dir)`` for every file, each on its own: an exception becomes the row's error.
 
-    ``files`` has ``path, out_dir``.  A dry run calls nothing and reports success.
+    ``files`` has ``path, out_dir``.  With ``seconds``, each file has a child process of its own, ``at_once`` of them in a task;
+    one that takes longer is ended with all that it started, and its row says that it timed out.  A parser that
+    brings its process down costs its own file only.  A dry run calls nothing and reports success.
     """
 
-    def one(path: str, out_dir: str) -> tuple[bool, str | None, float]:
+    def one(path: str, out_dir: str) -> supervised.Outcome:
         began = time.perf_counter()
         try:
-            if not dry_run:
-                parse(path, out_dir)
+            parse(path, out_dir)
         except Exception as e:  # noqa: BLE001  the row carries the failure
             return False, str(e) or type(e).__name__, time.perf_counter() - began
         return True, None, time.perf_counter() - began
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            done = [one(p, o) for p, o in zip(f["path"], f["out_dir"], strict=True)]
+            tasks = list(zip(f["path"], f["out_dir"], strict=True))
+            if dry_run:
+                done = [(True, None, 0.0)] * len(tasks)
+            elif seconds:
+                done = list(supervised.each(parse, tasks, seconds, at_once))
+            else:
+                done = [one(*t) for t in tasks]
             yield pd.DataFrame({"path": f["path"], "out_dir": f["out_dir"], "success": [d[0] for d in done], "error": [d[1] for d in done], "seconds": [d[2] for d in done]})
 
     return files.select("path", "out_dir").mapInPandas(run, BATCH)
