@@ -35,12 +35,11 @@ def resolve_query(people: DataFrame, query: str, surfaces: DataFrame | None = No
 
     One scan of the forms; for many questions see ``variants.resolve_questions``.
     """
-    named = variants.forms(people, surfaces).where(T.contains_phrase(T.normalize_name(F.lit(query)), F.col("variant")))
+    named = variants.spellings(people, surfaces, ("name", "normalized")).where(T.contains_phrase(T.normalize_name(F.lit(query)), F.col("variant")))
     n = F.size(F.split("variant", " "))
     score = F.lit(0.7) + F.least(F.lit(0.25), F.lit(0.04) * n)
-    found = named.select("person_id", F.col("variant").alias("matched_text"), score.alias("confidence"), T.intent(F.lit(query)).alias("intent"), n.alias("_n"))
-    best = found.orderBy(F.desc("confidence"), F.desc("_n"), F.desc("matched_text"), "person_id").limit(1).drop("_n")
-    return people.select("person_id", "name", "normalized").join(F.broadcast(best), "person_id")  # one row
+    found = named.select("person_id", "name", "normalized", F.col("variant").alias("matched_text"), score.alias("confidence"), T.intent(F.lit(query)).alias("intent"), n.alias("_n"))
+    return found.orderBy(F.desc("confidence"), F.desc("_n"), F.desc("matched_text"), "person_id").limit(1).drop("_n")
 
 
 def relations_for(rels: DataFrame, person: DataFrame) -> DataFrame:

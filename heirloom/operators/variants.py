@@ -12,19 +12,25 @@ from pyspark.sql import functions as F
 from heirloom.functions import text as T
 
 
+def spellings(people: DataFrame, surfaces: DataFrame | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """``forms`` with columns ``also`` of the people, not yet distinct: one scan."""
+    every = F.array("name", "normalized")
+    if "aliases" in people.columns:
+        every = F.concat(every, F.coalesce("aliases", F.array().cast("array<string>")))
+    own = people.select("person_id", *also, F.explode(every).alias("variant"))
+    if surfaces is not None:
+        told = surfaces.select("person_id", F.explode("surfaces").alias("variant"))
+        own = own.unionByName(told.join(people.select("person_id", *also).dropDuplicates(["person_id"]), "person_id"))
+    return own.withColumn("variant", T.normalize_name(F.col("variant"))).where("person_id <> '' and variant <> ''")
+
+
 def forms(people: DataFrame, surfaces: DataFrame | None = None) -> DataFrame:
     """``person_id, variant``: each person's distinct forms.
 
     ``people`` has ``person_id, name, normalized`` and may have ``aliases``, an array.  ``surfaces`` has ``person_id, surfaces``, as
     ``people.roll_up_mentions`` returns them; those of people who are not there are left out.
     """
-    every = F.array("name", "normalized")
-    if "aliases" in people.columns:
-        every = F.concat(every, F.coalesce("aliases", F.array().cast("array<string>")))
-    own = people.select("person_id", F.explode(every).alias("variant"))
-    if surfaces is not None:
-        own = own.unionByName(surfaces.select("person_id", F.explode("surfaces").alias("variant")).join(people.select("person_id"), "person_id", "left_semi"))
-    return own.select("person_id", T.normalize_name(F.col("variant")).alias("variant")).where("person_id <> '' and variant <> ''").distinct()
+    return spellings(people, surfaces).distinct()
 
 
 def index(people: DataFrame) -> DataFrame:
