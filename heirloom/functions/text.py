@@ -22,9 +22,14 @@ def normalize_place(x: Column) -> Column:
     return F.nullif(F.trim(x), F.lit(""))
 
 
+def match_tokens(x: Column) -> Column:
+    """Latin and Cyrillic tokens in lower case, ё as е; null stays null."""
+    return F.regexp_extract_all(F.replace(F.lower(x), F.lit("ё"), F.lit("е")), F.lit("[0-9a-zа-я]+"), F.lit(0))
+
+
 def match_normalize(x: Column) -> Column:
-    """Lower case, ё as е, Latin and Cyrillic tokens joined by spaces."""
-    return F.array_join(F.regexp_extract_all(F.replace(F.lower(F.coalesce(x, F.lit(""))), F.lit("ё"), F.lit("е")), F.lit("[0-9a-zа-я]+"), F.lit(0)), " ")
+    """The ``match_tokens`` joined by spaces; null becomes empty."""
+    return F.array_join(match_tokens(F.coalesce(x, F.lit(""))), " ")
 
 
 def tokens(x: Column) -> Column:
