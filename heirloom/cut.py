@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Used only on one machine, as in tests, where the session names no folder.
@@ -31,3 +33,10 @@ def cut(df: DataFrame) -> DataFrame:
     kept = df.checkpoint(eager=True)._jdf
     fresh = df.sparkSession._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False)
     return DataFrame(fresh, df.sparkSession)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it back: for wide rows, of which later reads take a few columns."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

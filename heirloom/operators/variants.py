@@ -6,11 +6,23 @@ All forms are normalized; empty ones count for nothing, and neither do people wi
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heirloom.functions import text as T
 
+#: What of a mention decides whom it can mean.
+SAID = ("normalized", "birth_year", "death_year")
+
+
+def join_alike(rows: DataFrame, answers: DataFrame, on: tuple[str, ...], how: str = "inner") -> DataFrame:
+    """``rows`` with the other columns of ``answers``; in ``on``, nulls equal nulls."""
+    right = answers.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in answers.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return rows.join(right, same, how).drop(*[f"_on_{c}" for c in on])
+
 
 def spellings(people: DataFrame, surfaces: DataFrame | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """``forms`` with columns ``also`` of the people, not yet distinct: one scan."""
@@ -43,22 +55,27 @@ def index(people: DataFrame) -> DataFrame:
     return forms(people).join(known, "person_id").groupBy("variant").agg(F.array_sort(F.collect_list(who)).alias("namesakes"))
 
 
-def meet(mentions: DataFrame, people: DataFrame) -> DataFrame:
+def meet(mentions: DataFrame, people: DataFrame, keep: dict[str, Column] | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """Each row of ``mentions`` (``normalized, birth_year, death_year``) with ``candidates`` and ``outcome``.
 
     ``outcome`` is ``resolved``, or why not: ``no_matching_person``, ``year_mismatch`` (``candidates`` has all of the name then),
-    ``multiple_matching_people``.  Unknown years contradict nothing.  Mentions meet one row of the index each, so a very
-    common name makes no more rows than it has mentions.
+    ``multiple_matching_people``.  Unknown years contradict nothing.  Mentions of equal name, years and columns ``also`` are answered once,
+    by one row of the index.  ``keep`` has, by name, what each mention gets besides ``outcome`` instead of its ``candidates``, as columns of these two and
+    of what is answered once: lists as long as all people of a name need not go out to every mention of it then.
     """
+    on = (*SAID, *also)
     by_form = index(people).select(F.col("variant").alias("normalized"), F.col("namesakes").alias("_all"))
     same = lambda a, b: F.coalesce(F.col(a) == b, F.lit(True))
     fit = F.filter("_all", lambda p: same("birth_year", p["birth_year"]) & same("death_year", p["death_year"]))
-    m = mentions.join(by_form, "normalized", "left").withColumn("_fit", fit)
+    m = mentions.select(*on).distinct().join(by_form, "normalized", "left").withColumn("_fit", fit)
     n = F.size("_fit")
     outcome = F.when(F.col("_all").isNull(), "no_matching_person").when(n == 0, "year_mismatch").when(n > 1, "multiple_matching_people").otherwise("resolved")
     ids = lambda c: F.transform(c, lambda p: p["person_id"])
     found = F.when(F.col("_all").isNull(), F.array().cast("array<string>")).when(n > 0, ids("_fit")).otherwise(ids("_all"))
-    return m.select(*mentions.columns, found.alias("candidates"), outcome.alias("outcome"))
+    m = m.select(*on, found.alias("candidates"), outcome.alias("outcome"))
+    if keep is not None:
+        m = m.select(*on, *[c.alias(name) for name, c in keep.items()], "outcome")
+    return join_alike(mentions, m, on)
 
 
 def mention_candidates(names: DataFrame, met: DataFrame, people: DataFrame, key: str = "mention_id") -> DataFrame:
