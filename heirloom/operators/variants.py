@@ -78,19 +78,20 @@ def meet(mentions: DataFrame, people: DataFrame, keep: dict[str, Column] | None
     return join_alike(mentions, m, on)
 
 
-def mention_candidates(names: DataFrame, met: DataFrame, people: DataFrame, key: str = "mention_id") -> DataFrame:
+def mention_candidates(names: DataFrame, met: DataFrame, people: DataFrame, key: str = "mention_id", listed: str = "candidates", who: Column | None = None) -> DataFrame:
     """The mentions that could be meant by names (``normalized``) to which a claim gives no person.
 
     ``met`` has the rows of ``meet`` with ``key`` and ``surface``.  Returns ``normalized``, ``key``, ``surface, candidates, status, reason``:
     mentions without a person, or with several, under their own name and the others under their person's, without a
     surface.  Rows are listed once for each distinct name, whoever asks for it; sort by ``key`` within a name for the reference order.
+    ``met`` may have a column ``listed`` instead of ``candidates`` and, as ``who``, the person of a resolved mention.
     """
     asked = names.where("normalized <> ''").select("normalized").distinct()
     several = F.col("outcome") == "multiple_matching_people"
-    open_ = met.where("outcome <> 'resolved'").select("normalized", key, "surface", "candidates", F.when(several, "ambiguous").otherwise("unresolved").alias("status"), F.col("outcome").alias("reason"))
+    open_ = met.where("outcome <> 'resolved'").select("normalized", key, "surface", listed, F.when(several, "ambiguous").otherwise("unresolved").alias("status"), F.col("outcome").alias("reason"))
     person = people.select(F.col("person_id").alias("_pid"), T.normalize_name(F.col("normalized")).alias("normalized"))
-    settled = met.where("outcome = 'resolved'").select(key, "candidates", F.element_at("candidates", 1).alias("_pid")).join(person, "_pid")
-    settled = settled.select("normalized", key, F.lit(None).cast("string").alias("surface"), "candidates", F.lit("resolved").alias("status"), F.lit("normalized_name_match").alias("reason"))
+    settled = met.where("outcome = 'resolved'").select(key, listed, (F.element_at("candidates", 1) if who is None else who).alias("_pid")).join(person, "_pid")
+    settled = settled.select("normalized", key, F.lit(None).cast("string").alias("surface"), listed, F.lit("resolved").alias("status"), F.lit("normalized_name_match").alias("reason"))
     return open_.unionByName(settled).join(asked, "normalized", "left_semi")
 
 

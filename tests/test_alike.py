@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from heirloom.operators import documents as D
 from heirloom.operators import people as P
 from heirloom.operators import variants
 
@@ -39,3 +40,25 @@ def test_what_is_kept_of_candidates(spark):
     m = spark.createDataFrame([(str(i), "ann bell", y, None) for i, y in enumerate([None, 1503, 1, None])] + [("9", "zed", None, None)], "mention_id string, normalized string, birth_year int, death_year int")
     got = {r.mention_id: (r.n, r.outcome) for r in variants.meet(m, namesakes(spark, 5), {"n": F.size("candidates")}).collect()}
     assert got == {"0": (5, "multiple_matching_people"), "1": (1, "resolved"), "2": (5, "year_mismatch"), "3": (5, "multiple_matching_people"), "9": (0, "no_matching_person")}
+
+
+def test_candidates_of_a_name_in_another_form(spark):
+    people = namesakes(spark, 3).withColumn("aliases", F.array(F.concat(F.lit("Nan "), "person_id")))
+    m = spark.createDataFrame([("a", "Ann Bell", "ann bell", None, None), ("b", "Nan p001", "nan p001", None, None)], "mention_id string, surface string, normalized string, birth_year int, death_year int")
+    kept = {"n": F.size("candidates"), "who": F.when(F.col("outcome") == "resolved", F.element_at("candidates", 1))}
+    found = variants.mention_candidates(m.select("normalized"), variants.meet(m, people, kept), people, listed="n", who=F.col("who"))
+    assert sorted((r.normalized, r.mention_id, r.n, r.status) for r in found.collect()) == [("ann bell", "a", 3, "ambiguous"), ("ann bell", "b", 1, "resolved")]
+
+
+def test_claims_are_counted_once_for_people_of_the_same_forms(spark):
+    claims = spark.createDataFrame([(k, 0, 0, "Ann Bell", "Bob", None) for k in range(5)], "k long, pattern_no int, match_no int, name1 string, name2 string, name3 string")
+    m = spark.createDataFrame([(str(y), "Ann Bell", "ann bell", y, None) for y in (1500, 1501)], "mention_id string, surface string, normalized string, birth_year int, death_year int")
+    rows = P.roll_up_mentions(m, namesakes(spark, 3), claims, claims_as=F.size).collect()
+    assert sorted((r.person_id, r.claim_ids, r.mention_ids) for r in rows) == [("p000", 5, ["1500"]), ("p001", 5, ["1501"])]
+
+
+def test_a_resolution_text_made_before(spark):
+    m = spark.createDataFrame([(str(i), "Ann Bell", "ann bell", None, None) for i in range(3)], "mention_id string, surface string, normalized string, birth_year int, death_year int")
+    made = P.resolve_mentions(m, namesakes(spark, 2), keep={"text": F.md5(D.resolution_text())}, also=("surface",))
+    plain = D.resolution_documents(P.resolve_mentions(m, namesakes(spark, 2)))
+    assert sorted(D.resolution_documents(made).select("document_id", "text").collect()) == sorted(plain.select("document_id", F.md5("text").alias("text")).collect())
