@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COLUMNS = ("document_id", "kind", "text", "person_ids", "claim_ids", "chunk_ids", "rel_key")
@@ -80,7 +80,14 @@ def mention_documents(mentions: DataFrame) -> DataFrame:
     return _doc(mentions, "mention", F.concat_ws("|", F.col("k").cast("string"), F.col("mention_no").cast("string")), text, chunk_ids=F.array(F.col("k").cast("string")))
 
 
+def resolution_text() -> Column:
+    """The text about a mention with ``surface, outcome, candidates``."""
+    return F.concat(F.lit("Resolution of "), F.col("surface"), F.lit(": "), F.replace("outcome", F.lit("_"), F.lit(" ")), F.when(F.size("candidates") > 0, F.concat(F.lit(". Candidates: "), F.array_join("candidates", ", "))).otherwise(""))
+
+
 def resolution_documents(resolved: DataFrame, key: str = "mention_id") -> DataFrame:
-    """A document per resolved or unresolved mention (rows of ``people.resolve_mentions``)."""
-    text = F.concat(F.lit("Resolution of "), F.col("surface"), F.lit(": "), F.replace("outcome", F.lit("_"), F.lit(" ")), F.when(F.size("candidates") > 0, F.concat(F.lit(". Candidates: "), F.array_join("candidates", ", "))).otherwise(""))
-    return _doc(resolved, "resolution", F.col(key).cast("string"), text, person_ids=F.col("candidates"))
+    """A document per resolved or unresolved mention (rows of ``people.resolve_mentions``, which may have a ``text`` made before)."""
+    if "text" in resolved.columns:
+        ids = F.col("candidates") if "candidates" in resolved.columns else F.array().cast("array<string>")
+        return _doc(resolved, "resolution", F.col(key).cast("string"), F.col("text"), person_ids=ids)
+    return _doc(resolved, "resolution", F.col(key).cast("string"), resolution_text(), person_ids=F.col("candidates"))
