@@ -193,41 +193,62 @@ def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
     Returns ``src, tgt, type, confidence, inference_rule, relation_id``.  Triples
     that ``rel`` has already, and self-relations, are left out; of several rules
     for a triple the first in order stays.
+
+    Siblings share a hub: a parent, or the link that an uncle of someone makes to that one's parents.  A pair that several
+    hubs or paths lead to is made at the first of them alone, which each row can tell from the hubs that it carries; so
+    pairs, of which there are far more than people, are not brought together to be told apart.
     """
-    known = entities.select("entity_id")
+    known = entities.select("entity_id").distinct()
     r = rel.where("src <> tgt").join(known.select(F.col("entity_id").alias("src")), "src", "left_semi").join(known.select(F.col("entity_id").alias("tgt")), "tgt", "left_semi")
     t = F.lower("type")
-    parent = r.where(t.isin(V.PARENT_TYPES)).select(F.col("src").alias("p"), F.col("tgt").alias("c")).distinct()
+    parent = cut(r.where(t.isin(V.PARENT_TYPES)).select(F.col("src").alias("p"), F.col("tgt").alias("c")).distinct())
     avuncular = r.where(t.isin(V.AVUNCULAR_TYPES)).select(F.col("src").alias("u"), F.col("tgt").alias("c")).union(r.where(t.isin("nephew_of", "niece_of", "nibling_of")).select(F.col("tgt").alias("u"), F.col("src").alias("c"))).distinct()
-    shared = parent.alias("x").join(parent.alias("y"), F.expr("x.p = y.p and x.c <> y.c")).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
     by_uncle = avuncular.join(parent, "c").where("u <> p").select(F.col("u").alias("a"), F.col("p").alias("b"))
-    by_uncle = by_uncle.union(by_uncle.select("b", "a")).distinct()
-    sib = cut(shared.union(by_uncle).distinct())
+    by_uncle = cut(by_uncle.union(by_uncle.select("b", "a")).distinct())
+    link = F.struct(F.lit(1).alias("kind"), F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    hub = parent.select(F.struct(F.lit(0).alias("kind"), F.col("p").alias("x"), F.col("p").alias("y")).alias("hub"), F.col("c").alias("id")).union(by_uncle.select(link, F.col("a")))
+    hubs = hub.groupBy("id").agg(F.collect_list("hub").alias("hubs"))
+    # The gender of whoever a type is made for comes along, from here on.
+    e = entities.groupBy("entity_id").agg(F.max(T.gender(F.col("gender"))).alias("g"))
+    member = cut(hub.join(hubs, "id").join(e.toDF("id", "g"), "id", "left"))
+    # Of each child the parents that have hubs, with these.
+    lines = parent.join(hubs.withColumnRenamed("id", "p"), "p").groupBy("c").agg(F.collect_list(F.struct("p", "hubs")).alias("lines"))
+    child = cut(member.select("hub", F.col("id").alias("p")).join(parent, "p").join(lines, "c").join(e.toDF("c", "c_g"), "c", "left"))
     c = V.CONFIDENCE
-    gp = parent.select(F.col("p").alias("gp"), F.col("c").alias("p")).join(parent, "p").select("gp", "c")
-    aunt = parent.join(sib.select(F.col("a").alias("p"), F.col("b").alias("u")), "p").select("u", "c").distinct()
-    cousin = aunt.join(parent.select(F.col("p").alias("u"), F.col("c").alias("d")), "u").where("c <> d").select("c", "d").distinct()
-    transfer = by_uncle.join(parent.select(F.col("c").alias("a"), "p"), "a").select(F.col("p").alias("src"), F.col("b").alias("tgt"), F.lit("parent").alias("role"), F.lit(c["transfer"]).alias("confidence"), F.lit("avuncular_parent_transfer").alias("inference_rule"), F.lit(2).alias("o"))
-    row = lambda df, a, b, role, conf, rule, o: df.select(F.col(a).alias("src"), F.col(b).alias("tgt"), F.lit(role).alias("role"), F.lit(c[conf]).alias("confidence"), F.lit(rule).alias("inference_rule"), F.lit(o).alias("o"))
-    every = (
-        row(sib, "a", "b", "sibling", "sibling", "shared_parent", 1)
-        .unionByName(transfer)
-        .unionByName(row(aunt, "u", "c", "aunt", "avuncular", "parent_sibling", 3))
-        .unionByName(row(aunt, "c", "u", "niece", "avuncular", "parent_sibling_inverse", 4))
-        .unionByName(row(gp, "gp", "c", "grandparent", "grand", "two_hop_parent_child", 5))
-        .unionByName(row(gp, "c", "gp", "grandchild", "grand", "two_hop_parent_child_inverse", 6))
-        .unionByName(row(cousin, "c", "d", "cousin", "cousin", "parents_are_siblings", 7))
-        .where("src <> tgt")
-    )
-    every = _with_people(every, entities)
-    every = every.where((F.col("role") != "parent") | (F.size(implausible("src", "tgt", parent_type(F.col("src_g")))) == 0))
-    g = F.col("src_g")
+    first = lambda ways: F.array_min(ways)
+    shared = lambda x, y: F.array_intersect(x, y)
+    u = member.select("hub", F.col("id").alias("u"), F.col("hubs").alias("u_hubs"), F.col("g").alias("u_g"))
+    sib = member.join(u, "hub").where((F.col("id") != F.col("u")) & (F.col("hub") == first(shared("hubs", "u_hubs")))).select(F.col("id").alias("a"), F.col("u").alias("b"), "g")
+    by_line = lambda lines, other, other_hubs, tail: F.flatten(F.transform(F.filter(lines, lambda x: x["p"] != other), lambda x: F.transform(shared(x["hubs"], other_hubs), lambda h: F.struct(x["p"].alias("p"), *tail, h.alias("hub")))))
+    ways = by_line("lines", F.col("u"), F.col("u_hubs"), [])
+    aunt = child.join(u, "hub").where("p <> u").where(F.struct("p", "hub") == first(ways)).select("u", "c", "u_g", "c_g")
+    other = child.select("hub", F.col("p").alias("u"), F.col("c").alias("d"), F.col("lines").alias("d_lines"))
+    ways = F.flatten(F.transform("d_lines", lambda y: by_line("lines", y["p"], y["hubs"], [y["p"].alias("u")])))
+    cousin = child.join(other, "hub").where("p <> u and c <> d").where(F.struct("p", "u", "hub") == first(ways)).select("c", "d", F.lit(None).cast("string").alias("g"))
+    gp = parent.select(F.col("p").alias("gp"), F.col("c").alias("p")).join(parent, "p").select("gp", "c").distinct().join(e.toDF("gp", "gp_g"), "gp", "left").join(e.toDF("c", "c_g"), "c", "left")
+    transfer = by_uncle.join(parent.select(F.col("c").alias("a"), "p"), "a").select(F.col("p").alias("src"), F.col("b").alias("tgt")).where("src <> tgt").distinct()
+    transfer = _with_people(transfer, entities)
+    transfer = transfer.where(F.size(implausible("src", "tgt", parent_type(F.col("src_g")))) == 0).select("src", "tgt", F.col("src_g").alias("g"))
     names = {
         "sibling": ("brother_of", "sister_of", "sibling_of"), "aunt": ("uncle_of", "aunt_of", "aunt_uncle_of"), "niece": ("nephew_of", "niece_of", "nibling_of"),
         "grandparent": ("grandfather_of", "grandmother_of", "grandparent_of"), "grandchild": ("grandson_of", "granddaughter_of", "grandchild_of"), "parent": ("father_of", "mother_of", "parent_of"), "cousin": ("cousin_of",) * 3,
     }
-    kind = F.coalesce(*[F.when(F.col("role") == k, T.gendered(*v, g)) for k, v in names.items()])
-    one = every.withColumn("type", kind).groupBy("src", "tgt", "type").agg(F.min_by(F.struct("confidence", "inference_rule"), "o").alias("x")).select("src", "tgt", "type", "x.*")
-    old = rel.select("src", F.lower("type").alias("type"), "tgt").distinct()
+    # A role has one rule, and no two roles have a type in common.
+    row = lambda df, a, b, role, conf, rule, g="g": df.select(F.col(a).alias("src"), F.col(b).alias("tgt"), F.col(g).alias("g"), F.lit(role).alias("role"), F.lit(c[conf]).alias("confidence"), F.lit(rule).alias("inference_rule"))
+    every = (
+        row(sib, "a", "b", "sibling", "sibling", "shared_parent")
+        .unionByName(row(transfer, "src", "tgt", "parent", "transfer", "avuncular_parent_transfer"))
+        .unionByName(row(aunt, "u", "c", "aunt", "avuncular", "parent_sibling", "u_g"))
+        .unionByName(row(aunt, "c", "u", "niece", "avuncular", "parent_sibling_inverse", "c_g"))
+        .unionByName(row(gp, "gp", "c", "grandparent", "grand", "two_hop_parent_child", "gp_g"))
+        .unionByName(row(gp, "c", "gp", "grandchild", "grand", "two_hop_parent_child_inverse", "c_g"))
+        .unionByName(row(cousin, "c", "d", "cousin", "cousin", "parents_are_siblings"))
+        .where("src <> tgt")
+    )
+    kind = F.coalesce(*[F.when(F.col("role") == k, T.gendered(*v, F.col("g"))) for k, v in names.items()])
+    # Only types that can follow are looked up among those that are there.
+    old = cut(rel.select("src", F.lower("type").alias("type"), "tgt").where(F.col("type").isin(sorted({x for v in names.values() for x in v}))).distinct())
+    one = every.withColumn("type", kind)
+    one = one.join(old, ["src", "type", "tgt"], "left_anti") if old.limit(1).count() else one
     rid = F.concat(F.lit("derived-"), F.substring(F.md5(F.concat_ws("|", "src", "type", "tgt")), 1, 12))
-    return one.join(old, ["src", "type", "tgt"], "left_anti").withColumn("relation_id", rid).select("src", "tgt", "type", "confidence", "inference_rule", "relation_id")
+    return one.withColumn("relation_id", rid).select("src", "tgt", "type", "confidence", "inference_rule", "relation_id")
