@@ -237,7 +237,6 @@ def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
     row = lambda df, a, b, role, conf, rule, g="g": df.select(F.col(a).alias("src"), F.col(b).alias("tgt"), F.col(g).alias("g"), F.lit(role).alias("role"), F.lit(c[conf]).alias("confidence"), F.lit(rule).alias("inference_rule"))
     every = (
         row(sib, "a", "b", "sibling", "sibling", "shared_parent")
-        .unionByName(row(transfer, "src", "tgt", "parent", "transfer", "avuncular_parent_transfer"))
         .unionByName(row(aunt, "u", "c", "aunt", "avuncular", "parent_sibling", "u_g"))
         .unionByName(row(aunt, "c", "u", "niece", "avuncular", "parent_sibling_inverse", "c_g"))
         .unionByName(row(gp, "gp", "c", "grandparent", "grand", "two_hop_parent_child", "gp_g"))
@@ -246,9 +245,11 @@ def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
         .where("src <> tgt")
     )
     kind = F.coalesce(*[F.when(F.col("role") == k, T.gendered(*v, F.col("g"))) for k, v in names.items()])
-    # Only types that can follow are looked up among those that are there.
-    old = cut(rel.select("src", F.lower("type").alias("type"), "tgt").where(F.col("type").isin(sorted({x for v in names.values() for x in v}))).distinct())
+    # Only types that can follow are looked up among those that are there; parents follow from few rows.
+    old = rel.select("src", F.lower("type").alias("type"), "tgt")
+    moved = row(transfer, "src", "tgt", "parent", "transfer", "avuncular_parent_transfer").where("src <> tgt").withColumn("type", kind).join(old.where(F.col("type").isin(*names["parent"])), ["src", "type", "tgt"], "left_anti")
+    others = cut(old.where(F.col("type").isin(sorted({x for k, v in names.items() if k != "parent" for x in v}))).distinct())
     one = every.withColumn("type", kind)
-    one = one.join(old, ["src", "type", "tgt"], "left_anti") if old.limit(1).count() else one
+    one = (one.join(others, ["src", "type", "tgt"], "left_anti") if others.limit(1).count() else one).unionByName(moved)
     rid = F.concat(F.lit("derived-"), F.substring(F.md5(F.concat_ws("|", "src", "type", "tgt")), 1, 12))
     return one.withColumn("relation_id", rid).select("src", "tgt", "type", "confidence", "inference_rule", "relation_id")
