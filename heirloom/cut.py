@@ -35,6 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(fresh, df.sparkSession)
 
 
+#: Rows of a few narrow columns that one task takes at least, where they are counted.
+ROWS_EACH = 100_000
+
+
+def gathered(df: DataFrame, each: int = ROWS_EACH) -> tuple[DataFrame, int]:
+    """``cut``, and the number of rows; they lie in no more partitions than ``each`` rows apiece fill, so that later steps over few rows are few tasks."""
+    kept = cut(df)
+    n = kept.coalesce(kept.sparkSession.sparkContext.defaultParallelism).count()
+    return kept.coalesce(max(1, -(-n // each))), n
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back: for wide rows, of which later reads take a few columns."""
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"

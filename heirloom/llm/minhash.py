@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heirloom.cut import cut
+from heirloom.cut import cut, gathered
 from heirloom.llm import kernels as K
 from heirloom.llm.common import as_bytes, column, small_batches, trim, trimmed
 from heirloom.operators.components import connected_components
@@ -233,14 +233,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     )
     # Rows that share a key are told apart by their texts.
     state = reps.withColumn("comp", F.col("rep"))
+    moved = None
     member = "key long, band int, rep long, text_hash long, n long, sig binary, comp long, pair string"
     floor = percent / 100 - DEVIATIONS * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     for turn in TURNS:
         keys = F.array(*[F.struct(F.xxhash64(F.substring("sig", 1 + 2 * BAND * b, 2 * BAND), F.lit(b)).alias("key"), F.lit(b).alias("band")) for b in turn])
         in_bucket = state.select("rep", "text_hash", "comp", "n", "sig", F.inline(keys))
         mixed = in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("n").alias("shingles")).where("lo <> hi")
-        mixed = cut(mixed.select("key", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
-        n_mixed = mixed.count()
+        mixed, n_mixed = gathered(mixed.select("key", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
         if not n_mixed:
             continue
         if n_mixed <= BROADCAST_IDS:
@@ -254,8 +254,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         )
         full = paired.drop("mine", "other")
         found = cut(full.groupBy("key", "pair").applyInArrow(_partners(percent, floor), member))
-        need = found.select("rep", "text_hash").distinct()
-        n_need = need.count()
+        need, n_need = gathered(found.select("rep", "text_hash").distinct())
         if not n_need:
             continue
         # Bounded: at most BROADCAST_IDS numbers, counted just above.
@@ -263,12 +262,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         told = narrow.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text")
         texts = told.join(wanted, ["rep", "text_hash"]).dropDuplicates(["rep", "text_hash"])
         links = found.join(texts, ["rep", "text_hash"]).groupBy("key", "pair").applyInArrow(_confirm(percent, floor, words), "src long, dst long")
-        links = cut(links.distinct())
-        if not links.limit(1).count():
+        links, n_links = gathered(links.distinct())
+        if not n_links:
             continue
-        to = cut(connected_components(links).where("id <> component").select(F.col("id").alias("comp"), F.col("component").alias("_to")))
-        step = F.broadcast(to) if to.count() <= BROADCAST_IDS else to
-        state = state.join(step, "comp", "left").select("s1", "s2", "rep", "text_hash", "n", "sig", F.coalesce("_to", "comp").alias("comp"))
+        to = connected_components(links).where("id <> component").select(F.col("id").alias("comp"), F.col("component").alias("_to"))
+        if moved is not None:  # What was moved before goes on with the component that it was moved to.
+            on = to.select(F.col("comp").alias("_to"), F.col("_to").alias("_on"))
+            to = to.unionByName(moved.join(on, "_to", "left").select("comp", F.coalesce("_on", "_to").alias("_to")))
+        moved, n_moved = gathered(to)
+        step = F.broadcast(moved) if n_moved <= BROADCAST_IDS else moved
+        state = reps.withColumn("comp", F.col("rep")).join(step, "comp", "left").select("s1", "s2", "rep", "text_hash", "n", "sig", F.coalesce("_to", "comp").alias("comp"))
     of_set = state.select("s1", "s2", "comp")
     component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.coalesce("comp", "doc_id"))
     out = signed.join(of_set, ["s1", "s2"], "left").select("doc_id", "n_shingles", component.alias("component_id"))

@@ -2,12 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from heirloom.cut import cut
+from heirloom.cut import ROWS_EACH, cut, gathered
+
+
+def _contracted(a: pa.Array, b: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The vertices of some edges, and the smallest vertex that each reaches over these edges alone."""
+    every = pa.concat_arrays([a, b])
+    ids = every.unique()
+    ids = ids.take(pc.sort_indices(ids))
+    x, y = np.split(pc.index_in(every, ids).to_numpy(), 2)
+    root, was = np.arange(len(ids)), None
+    while was is None or (root != was).any():
+        was = root
+        low = np.minimum(root[x], root[y])
+        root = root.copy()
+        np.minimum.at(root, was[x], low)
+        np.minimum.at(root, was[y], low)
+        while (root[root] != root).any():
+            root = root[root]
+    return ids, ids.take(pa.array(root))
+
+
+def contract(edges: DataFrame, each: int) -> DataFrame:
+    """``a, b``, of one type, with every run of at most ``each`` edges of a partition replaced by edges from its vertices to the smallest that they reach in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, each):
+                part = batch.slice(at, each)
+                if held and n + part.num_rows > each:
+                    yield from told(held)
+                    held, n = [], 0
+                held.append(part)
+                n += part.num_rows
+        if held:
+            yield from told(held)
+
+    def told(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        yield pa.RecordBatch.from_arrays(list(_contracted(*[c.combine_chunks() for c in t.columns])), ["a", "b"])
+
+    kind = edges.schema["a"].dataType
+    return edges.mapInArrow(run, T.StructType([T.StructField(c, kind) for c in ("a", "b")]))
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -18,9 +65,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     the smallest known label over each edge and then follows the label of the
     label (pointer jumping), so that long chains take a logarithmic number of
     rounds.  A vertex of high degree costs one partially aggregated group.
+    Before, every task joins up what its own edges connect, ``ROWS_EACH`` at a time;
+    where there are no more edges than that in all, it needs no round.
     Raises ``RuntimeError`` if labels still change after ``max_rounds``.
     """
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
+    if len({f.dataType for f in e.schema}) > 1:
+        wide = e.select(F.col("a").alias("id")).union(e.select("b")).schema["id"].dataType
+        e = e.select(F.col("a").cast(wide).alias("a"), F.col("b").cast(wide).alias("b"))
+    e, n = gathered(e.distinct(), ROWS_EACH)
+    e = contract(e, ROWS_EACH)
+    if n <= ROWS_EACH:
+        return cut(e.toDF("id", "component"))
     both = cut(e.union(e.select(F.col("b"), F.col("a"))).distinct())
     labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min(F.least("a", "b")).alias("component")))
     for _ in range(max_rounds):
