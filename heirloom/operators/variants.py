@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heirloom.cut import cut
 from heirloom.functions import text as T
 
 #: What of a mention decides whom it can mean.
@@ -95,9 +96,15 @@ def mention_candidates(names: DataFrame, met: DataFrame, people: DataFrame, key:
     return open_.unionByName(settled).join(asked, "normalized", "left_semi")
 
 
-def _phrases(words: Column, size: int) -> Column:
-    """All phrases of ``size`` words."""
+#: First words of forms, each with the lengths that such forms have, that are told to every task at most.
+STARTS = 10_000
+
+
+def _phrases(words: Column, size: int, first: list[str] | None) -> Column:
+    """All phrases of ``size`` words; with ``first``, of those that begin with one of these."""
     starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)).otherwise(F.array().cast("array<int>"))
+    if first is not None:
+        starts = F.filter(starts, lambda i: F.element_at(words, i).isin(first))
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
 
 
@@ -106,17 +113,22 @@ def resolve_questions(questions: DataFrame, people: DataFrame, surfaces: DataFra
 
     The form of most words wins, then the last in order of code points, then the smallest person id.  A question's phrases are
     as many as its words times the lengths that forms have, which are gathered first: L different ones need forms of L * L / 2 words
-    in all.  Of repeated keys one row is returned; a null text names nobody.
+    in all.  Where forms have few first words (``STARTS``), phrases that begin with another are not made.  Questions with
+    the same phrases are answered once.  Of repeated keys one row is returned; a null text names nobody.
     """
     n = F.size(F.split("variant", " "))
     known = forms(people, surfaces).groupBy("variant").agg(F.min("person_id").alias("person_id")).withColumn("n", n)
-    lengths = [r.n for r in known.select("n").distinct().collect()]
+    begun = cut(known.select("n", F.substring_index("variant", " ", 1).alias("first")).distinct())
+    lengths = [r.n for r in begun.select("n").distinct().collect()]
+    told_first = begun.limit(STARTS + 1).collect()
+    first = {size: None if len(told_first) > STARTS else [r["first"] for r in told_first if r.n == size] for size in lengths}
     told = questions.select(key, T.intent(F.col(text)).alias("intent"), F.split(T.normalize_name(F.col(text)), " ").alias("_t"))
-    phrases = [_phrases(F.col("_t"), size) for size in sorted(lengths)]
+    phrases = [_phrases(F.col("_t"), size, first[size]) for size in sorted(lengths)]
     every = F.array_distinct(F.concat(*phrases)) if phrases else F.array().cast("array<string>")
-    said = told.select(key, "intent", F.explode(every).alias("variant"))
-    best = said.join(known, "variant").groupBy(key).agg(F.max(F.struct("n", "variant", "person_id")).alias("b"), F.min("intent").alias("intent"))
+    asked = told.select(key, "intent", every.alias("said")).where(F.size("said") > 0)
     named = people.select("person_id", "name").dropDuplicates(["person_id"])
+    said = asked.select("said").distinct().select("said", F.explode("said").alias("variant"))
+    best = said.join(known.join(named, "person_id"), "variant").groupBy("said").agg(F.max(F.struct("n", "variant", "person_id", "name")).alias("b"))
+    met = asked.join(best, "said").groupBy(key).agg(F.max("b").alias("b"), F.min("intent").alias("intent"))
     score = F.lit(0.7) + F.least(F.lit(0.25), F.lit(0.04) * F.col("b.n"))
-    found = best.select(key, F.col("b.person_id").alias("person_id"), F.col("b.variant").alias("matched_text"), score.alias("confidence"), "intent")
-    return found.join(named, "person_id").select(key, "person_id", F.coalesce("name", "person_id").alias("name"), "matched_text", "confidence", "intent")
+    return met.select(key, F.col("b.person_id").alias("person_id"), F.coalesce("b.name", "b.person_id").alias("name"), F.col("b.variant").alias("matched_text"), score.alias("confidence"), "intent")
