@@ -49,5 +49,5 @@ def gathered(df: DataFrame, each: int = ROWS_EACH) -> tuple[DataFrame, int]:
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back: for wide rows, of which later reads take a few columns."""
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
