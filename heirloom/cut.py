@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Used only on one machine, as in tests, where the session names no folder.
 LOCAL_DEFAULT = "/tmp/checkpoints/heirloom"
@@ -46,6 +47,16 @@ def gathered(df: DataFrame, each: int = ROWS_EACH) -> tuple[DataFrame, int]:
     return kept.coalesce(max(1, -(-n // each))), n
 
 
+#: Names or ids that are told to every task at most; beyond, rows travel to them.
+TOLD = 200_000
+
+
+def few(df: DataFrame, most: int = TOLD) -> DataFrame:
+    """``cut`` for one side of a join, short names or ids: broadcast if it has at most ``most`` rows, so that the other side stays where it is."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.limit(most + 1).count() <= most else kept
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back: for wide rows, of which later reads take a few columns."""
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
