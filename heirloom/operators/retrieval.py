@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heirloom.cut import cut, few
 from heirloom.functions import text as T
 from heirloom.operators import variants
 
@@ -57,15 +58,17 @@ def graph_ranked(docs: DataFrame, rels: DataFrame, person: DataFrame) -> DataFra
 
     ``docs`` has ``document_id, kind, person_ids, claim_ids, chunk_ids, rel_key``.
     """
-    chosen = relations_for(rels, person)
+    chosen = cut(relations_for(rels, person))
     me = person.select("person_id")
-    near = chosen.select(F.explode(F.array("src", "tgt")).alias("person_id")).distinct().join(me, "person_id", "left_anti")
-    claims = chosen.select(F.explode("claim_ids").alias("claim_id")).distinct()
+    # Documents stay where they are if the ids that they are asked for are few.
+    near = few(chosen.select(F.explode(F.array("src", "tgt")).alias("person_id")).distinct().join(me, "person_id", "left_anti"))
+    claims = few(chosen.select(F.explode("claim_ids").alias("claim_id")).distinct())
+    me = few(me)
     of = lambda kind, column, name: docs.where(F.col("kind") == kind).withColumn(name, F.explode(column))
     keep = lambda df, score, no: df.select(*docs.columns, F.lit(score).alias("score"), F.lit(no).alias("_no"))
     claim_docs = of("claim", "claim_ids", "claim_id").join(claims, "claim_id", "left_semi")
-    chunks = claim_docs.select(F.explode("chunk_ids").alias("chunk_id")).distinct()
-    rel_keys = chosen.select(F.concat_ws("|", "src", "type", "tgt").alias("rel_key"))
+    chunks = few(claim_docs.select(F.explode("chunk_ids").alias("chunk_id")).distinct())
+    rel_keys = few(chosen.select(F.concat_ws("|", "src", "type", "tgt").alias("rel_key")))
     found = (
         keep(of("person", "person_ids", "person_id").join(me, "person_id", "left_semi"), 5.0, 0)
         .unionByName(keep(docs.where("kind = 'relationship'").join(rel_keys, "rel_key", "left_semi"), 4.5, 1))
