@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from heirloom.cut import cut
 from heirloom.llm import langid, minhash, mixing, pieces, suffix_dedup
-from heirloom.llm.common import bound_batches
+from heirloom.llm.common import BATCH_BYTES, bound_batches
 
 #: Share of the likeliest language below which a text counts as no language.
 LEAST_SCORE = 0.5
-
+#: Bytes of code points whose lattices a worker holds at once, half of what op9 takes: other stages have filled the executors before.
+LATTICE_BYTES = 1 << 18
 
 #: The columns that stages read or change; all others pass through them untouched.
 KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
@@ -39,7 +40,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and keys stay or go together with their texts, null keys too.  If no row has a language, all go.  Other columns
     pass through whatever their names; an empty table stays empty.
     """
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BYTES)
     d, names = aside(docs)
     found = langid.identify(d, langid.train(d))
     clean = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
@@ -53,7 +54,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     all stay.  Null and empty texts have no duplicates.  Other columns pass through whatever their names; an
     empty table stays empty.
     """
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BYTES)
     d, names = aside(docs)
     found = minhash.near_duplicates(d, words=5, percent=80)
     lost = found.where(~F.col("kept")).select("doc_id").distinct()
@@ -73,7 +74,7 @@ def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     from each other.  Every row stays, repeated ones too.  Other columns pass through whatever their
     names; an empty table stays empty.
     """
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BYTES)
     d, names = aside(docs)
     carry = tuple(c for c in names if c not in ("text", "n_chars"))
     found = suffix_dedup.remove_repeats(d, carry=carry, as_text=True)
@@ -87,7 +88,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     like others.  Null keys come last among rows of their size; of repeated rows each has its own copies.  Other
     columns pass through whatever their names; an empty table stays empty.
     """
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BYTES)
     d, names = aside(docs)
     return back(mixing.emit_copies(mixing.mix_to_targets(mixing.with_size(d, size="_size"), size="_size")), names, docs)
 
@@ -98,9 +99,9 @@ def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null text counts as empty.  One row for each row of ``docs``, repeated ones and those with a null key too; other columns
     are not read.  An empty table stays empty.
     """
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BYTES)
     v = pieces.load_vocabulary()
-    found = pieces.round_trip(docs, v)
+    found = pieces.round_trip(docs, v, held=LATTICE_BYTES)
     return found.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

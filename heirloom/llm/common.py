@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -18,13 +19,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows of an Arrow batch at most.  Texts are long, and both the executor and its worker hold a batch.
 BATCH_ROWS = 2000
+#: Bytes of an Arrow batch at which it ends, where steps follow each other on the same executors: buffers of several MB
+#: lie outside the heap, and what is freed of them stays with the executor.
+BATCH_BYTES = 1 << 19
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Keep the session's Arrow batches to ``BATCH_ROWS`` rows, or fewer where it says so."""
+def bound_batches(spark: SparkSession, n_bytes: int | None = None) -> None:
+    """Keep the session's Arrow batches to ``BATCH_ROWS`` rows and, if given, about ``n_bytes``, or fewer where it says so."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if n_bytes and not 0 < _in_bytes(spark.conf.get(key)) <= n_bytes:
+        spark.conf.set(key, str(n_bytes))
+
+
+def _in_bytes(said: str) -> int:
+    """A size as Spark's settings say it: ``1m``, ``64kb``, ``1048576``."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", said.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +92,12 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1
         yield batch.slice(at)
 
 
+def in_slices(t: pa.Table, limit: int = BATCH_BYTES) -> pa.Table:
+    """``t`` in batches of about ``limit`` bytes, or one row: a group's result crosses to the executor batch by batch."""
+    each = max(1, t.num_rows * limit // max(1, t.nbytes))
+    return t if each >= t.num_rows else pa.Table.from_batches(t.to_batches(max_chunksize=each), t.schema)
+
+
 def total_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one aggregated row."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heirloom.llm.common import column, parts_for, total_bytes, trim
+from heirloom.llm.common import column, in_slices, parts_for, total_bytes, trim
 from heirloom.llm.kernels import group_starts
 
 #: Bytes of text in a chunk.
@@ -95,7 +95,7 @@ def send(chunks: DataFrame, ask: Callable[[pa.Table], list[tuple[int, int, bytes
 
     def group(t: pa.Table) -> pa.Table:
         try:
-            return letters(ask(t))
+            return in_slices(letters(ask(t)))
         finally:
             trim()
 
@@ -108,7 +108,7 @@ def answer(questions: DataFrame, reply: Callable[[list[bytes]], list[bytes]]) ->
     def group(t: pa.Table) -> pa.Table:
         try:
             found = reply([swell(b) for b in t.column("blob").to_pylist()])
-            return letters(list(zip(t.column("bucket").to_pylist(), t.column("chunk").to_pylist(), found, strict=True)))
+            return in_slices(letters(list(zip(t.column("bucket").to_pylist(), t.column("chunk").to_pylist(), found, strict=True))))
         finally:
             trim()
 
@@ -124,7 +124,7 @@ def meet(chunks: DataFrame, answers: DataFrame, then: Callable[[pa.Table, dict[i
 
     def group(docs: pa.Table, mail: pa.Table) -> pa.Table:
         try:
-            return then(docs, _mail(mail))
+            return in_slices(then(docs, _mail(mail)))
         finally:
             trim()
 

@@ -220,12 +220,12 @@ def _encode(v: Vocabulary, points: list[bytes], seeds: np.ndarray) -> list[np.nd
     return [next(rows) if z else np.zeros(0, np.int32) for z in sizes.tolist()]
 
 
-def sample_pieces(v: Vocabulary, texts: list[str | None], keys: list[int | None], seed: int = 0) -> list[np.ndarray]:
+def sample_pieces(v: Vocabulary, texts: list[str | None], keys: list[int | None], seed: int = 0, held: int = _LATTICE) -> list[np.ndarray]:
     """Sampled piece ids of each text; a null or empty text has none, a null key draws as key 0."""
     blobs = [(t or "").encode("utf-32-le") for t in texts]
     seeds = K.mix(np.array([(k or 0) & ((1 << 64) - 1) for k in keys], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
     out: list[np.ndarray] = []
-    for lo, hi in batches_of(blobs, _LATTICE):
+    for lo, hi in batches_of(blobs, held):
         out += _encode(v, blobs[lo:hi], seeds[lo:hi])
     return out
 
@@ -235,8 +235,8 @@ def join_pieces(v: Vocabulary, ids: list[int]) -> str:
     return b"".join(map(v.pieces.__getitem__, ids))[1:].decode()
 
 
-def _encoded(v: Vocabulary, batch: pa.RecordBatch, seed: int) -> pa.RecordBatch:
-    found = sample_pieces(v, batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), seed)
+def _encoded(v: Vocabulary, batch: pa.RecordBatch, seed: int, held: int = _LATTICE) -> pa.RecordBatch:
+    found = sample_pieces(v, batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), seed, held)
     ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
     flat = np.concatenate(found) if found else np.zeros(0, np.int32)
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))], ["doc_id", "pieces"])
@@ -280,11 +280,14 @@ def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
     return encoded.select("doc_id", "pieces").mapInArrow(trimmed(run), "doc_id long, pieces array<int>, decoded string")
 
 
-def round_trip(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
-    """``encode_documents`` and ``decode_documents`` in one worker: half as many hold the vocabulary."""
+def round_trip(docs: DataFrame, v: Vocabulary, key: str = "doc_id", text: str = "text", seed: int = 0, held: int = _LATTICE) -> DataFrame:
+    """``encode_documents`` and ``decode_documents`` in one worker: half as many hold the vocabulary.
+
+    Lattices of ``held`` bytes of code points are held at once; the pieces are the same for any.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", _LATTICE):
-            yield from _decoded(v, _encoded(v, batch, seed))
+        for batch in small_batches(batches, "text", held):
+            yield from _decoded(v, _encoded(v, batch, seed, held))
 
     return _keyed(docs, key, text).mapInArrow(trimmed(run), "doc_id long, pieces array<int>, decoded string")
