@@ -197,6 +197,11 @@ def type_list(csv: str) -> set[str]:
     return {x.strip().lower() for x in csv.split(",") if x.strip()}
 
 
+#: Pairs that one task makes, about, and tasks of one step at most.
+PAIRS_EACH = 500_000
+PAIRS_TASKS = 1_000
+
+
 def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
     """Siblings, aunts and uncles, nieces and nephews, grandparents and cousins that follow from one pass over ``rel``.
 
@@ -206,7 +211,8 @@ def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
 
     Siblings share a hub: a parent, or the link that an uncle of someone makes to that one's parents.  A pair that several
     hubs or paths lead to is made at the first of them alone, which each row can tell from the hubs that it carries; so
-    pairs, of which there are far more than people, are not brought together to be told apart.
+    pairs, of which there are far more than people, are not brought together to be told apart.  Where a child has one path alone, no hubs
+    are compared.  All pairs are given out: their number, not that of the relations, is what it costs.
     """
     known = entities.select("entity_id").distinct()
     r = rel.where("src <> tgt").join(known.select(F.col("entity_id").alias("src")), "src", "left_semi").join(known.select(F.col("entity_id").alias("tgt")), "tgt", "left_semi")
@@ -218,48 +224,74 @@ def derive_kinship(rel: DataFrame, entities: DataFrame) -> DataFrame:
     link = F.struct(F.lit(1).alias("kind"), F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     hub = parent.select(F.struct(F.lit(0).alias("kind"), F.col("p").alias("x"), F.col("p").alias("y")).alias("hub"), F.col("c").alias("id")).union(by_uncle.select(link, F.col("a")))
     hubs = hub.groupBy("id").agg(F.collect_list("hub").alias("hubs"))
+    names = {
+        "sibling": ("brother_of", "sister_of", "sibling_of"), "aunt": ("uncle_of", "aunt_of", "aunt_uncle_of"), "niece": ("nephew_of", "niece_of", "nibling_of"),
+        "grandparent": ("grandfather_of", "grandmother_of", "grandparent_of"), "grandchild": ("grandson_of", "granddaughter_of", "grandchild_of"), "parent": ("father_of", "mother_of", "parent_of"), "cousin": ("cousin_of",) * 3,
+    }
+
+    def told(role: str, who: str, g: str = "g") -> list[Column]:
+        """The type of a role by the gender, and what the id of a row of it begins with: made once for each person, not for each pair."""
+        kind = T.gendered(*names[role], F.col(g))
+        return [kind.alias("type"), F.concat(F.col(who), F.lit("|"), kind, F.lit("|")).alias("head")]
+
     # The gender of whoever a type is made for comes along, from here on.
     e = entities.groupBy("entity_id").agg(F.max(T.gender(F.col("gender"))).alias("g"))
-    member = cut(hub.join(hubs, "id").join(e.toDF("id", "g"), "id", "left"))
-    # Of each child the parents that have hubs, with these.
+    member = cut(hub.join(hubs, "id").join(e.toDF("id", "g"), "id", "left").withColumn("many", F.size("hubs") > 1))
+    # Of each child the parents that have hubs, with these; of many, where paths can lead to the same pair.
     lines = parent.join(hubs.withColumnRenamed("id", "p"), "p").groupBy("c").agg(F.collect_list(F.struct("p", "hubs")).alias("lines"))
+    lines = lines.withColumn("many", (F.size("lines") > 1) | (F.size(F.col("lines")[0]["hubs"]) > 1))
     child = cut(member.select("hub", F.col("id").alias("p")).join(parent, "p").join(lines, "c").join(e.toDF("c", "c_g"), "c", "left"))
+    size = lambda df, m, n: df.select("hub", F.lit(m).alias("m"), F.lit(n).alias("n"), F.col("many").cast("int").alias("t"))
+    sizes = size(member, 1.0, 0.0).unionByName(size(child, 0.0, 1.0)).groupBy("hub").agg(F.sum("m").alias("m"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("t")).alias("t"))
+    n_sib, n_aunt, n_cousin, tangled = (x or 0 for x in sizes.agg(F.sum(F.col("m") * F.col("m")), F.sum(F.col("m") * F.col("n")), F.sum(F.col("n") * F.col("n")), F.sum("t")).first())
+
+    def pairs(left: DataFrame, right: DataFrame, n: float) -> DataFrame:
+        """Few rows make very many pairs, so tasks are as many as the pairs fill."""
+        tasks = int(min(PAIRS_TASKS, n // PAIRS_EACH + 1))
+        return left.repartition(tasks, "hub").join(right.repartition(tasks, "hub"), "hub")
+
     c = V.CONFIDENCE
     first = lambda ways: F.array_min(ways)
     shared = lambda x, y: F.array_intersect(x, y)
-    u = member.select("hub", F.col("id").alias("u"), F.col("hubs").alias("u_hubs"), F.col("g").alias("u_g"))
-    sib = member.join(u, "hub").where((F.col("id") != F.col("u")) & (F.col("hub") == first(shared("hubs", "u_hubs")))).select(F.col("id").alias("a"), F.col("u").alias("b"), "g")
     by_line = lambda lines, other, other_hubs, tail: F.flatten(F.transform(F.filter(lines, lambda x: x["p"] != other), lambda x: F.transform(shared(x["hubs"], other_hubs), lambda h: F.struct(x["p"].alias("p"), *tail, h.alias("hub")))))
-    ways = by_line("lines", F.col("u"), F.col("u_hubs"), [])
-    aunt = child.join(u, "hub").where("p <> u").where(F.struct("p", "hub") == first(ways)).select("u", "c", "u_g", "c_g")
-    other = child.select("hub", F.col("p").alias("u"), F.col("c").alias("d"), F.col("lines").alias("d_lines"))
-    ways = F.flatten(F.transform("d_lines", lambda y: by_line("lines", y["p"], y["hubs"], [y["p"].alias("u")])))
-    cousin = child.join(other, "hub").where("p <> u and c <> d").where(F.struct("p", "u", "hub") == first(ways)).select("c", "d", F.lit(None).cast("string").alias("g"))
+    row = lambda df, a, b, conf, rule: df.select(F.col(a).alias("src"), F.col(b).alias("tgt"), "type", F.lit(c[conf]).alias("confidence"), F.lit(rule).alias("inference_rule"), "head").where("src <> tgt")
+    u = member.select("hub", F.col("id").alias("u"), F.col("hubs").alias("u_hubs"), F.col("many").alias("u_many"))
+    sib = pairs(member.select("hub", F.col("id").alias("a"), "hubs", "many", *told("sibling", "id")), u, n_sib).where("a <> u").where(~F.col("many") | ~F.col("u_many") | (F.col("hub") == first(shared("hubs", "u_hubs"))))
+    # Where one path alone leads to a child's aunts, or to its cousins and back, there is nothing to tell apart.
+    only, by_many = child.where("not many"), child.where("many")
+    aunts = member.select("hub", F.col("id").alias("u"), F.col("hubs").alias("u_hubs"), *told("aunt", "id"))
+    nieces = lambda df: df.select("hub", "p", "c", "lines", *told("niece", "c", "c_g"))
+    plain = lambda df: df.drop("lines", "u_hubs", "d_lines")
+    others = lambda df: df.select("hub", F.col("p").alias("u"), F.col("c").alias("d"), F.col("lines").alias("d_lines"))
+    cousins = lambda df: df.select("hub", "p", "c", "lines", *told("cousin", "c", "c_g"))
+    aunt = pairs(only.select("hub", "p", "c"), plain(aunts), n_aunt).where("p <> u")
+    niece = pairs(plain(nieces(only)), u.select("hub", "u"), n_aunt).where("p <> u")
+    cousin = pairs(plain(cousins(only)), plain(others(only)), n_cousin).where("p <> u and c <> d")
+    if tangled:
+        ways = by_line("lines", F.col("u"), F.col("u_hubs"), [])
+        of_line = lambda df: df.where("p <> u").where(F.struct("p", "hub") == first(ways))
+        aunt = aunt.select("u", "c", "type", "head").unionByName(of_line(pairs(by_many.select("hub", "p", "c", "lines"), aunts, n_aunt)).select("u", "c", "type", "head"))
+        niece = niece.select("u", "c", "type", "head").unionByName(of_line(pairs(nieces(by_many), u.select("hub", "u", "u_hubs"), n_aunt)).select("u", "c", "type", "head"))
+        both = F.flatten(F.transform("d_lines", lambda y: by_line("lines", y["p"], y["hubs"], [y["p"].alias("u")])))
+        of_both = lambda x, y: pairs(cousins(x), others(y), n_cousin).where("p <> u and c <> d").where(F.struct("p", "u", "hub") == first(both)).select("c", "d", "type", "head")
+        cousin = cousin.select("c", "d", "type", "head").unionByName(of_both(by_many, child)).unionByName(of_both(only, by_many))
     gp = parent.select(F.col("p").alias("gp"), F.col("c").alias("p")).join(parent, "p").select("gp", "c").distinct().join(e.toDF("gp", "gp_g"), "gp", "left").join(e.toDF("c", "c_g"), "c", "left")
     transfer = by_uncle.join(parent.select(F.col("c").alias("a"), "p"), "a").select(F.col("p").alias("src"), F.col("b").alias("tgt")).where("src <> tgt").distinct()
     transfer = _with_people(transfer, entities)
-    transfer = transfer.where(F.size(implausible("src", "tgt", parent_type(F.col("src_g")))) == 0).select("src", "tgt", F.col("src_g").alias("g"))
-    names = {
-        "sibling": ("brother_of", "sister_of", "sibling_of"), "aunt": ("uncle_of", "aunt_of", "aunt_uncle_of"), "niece": ("nephew_of", "niece_of", "nibling_of"),
-        "grandparent": ("grandfather_of", "grandmother_of", "grandparent_of"), "grandchild": ("grandson_of", "granddaughter_of", "grandchild_of"), "parent": ("father_of", "mother_of", "parent_of"), "cousin": ("cousin_of",) * 3,
-    }
+    transfer = transfer.where(F.size(implausible("src", "tgt", parent_type(F.col("src_g")))) == 0).select("src", "tgt", *told("parent", "src", "src_g"))
     # A role has one rule, and no two roles have a type in common.
-    row = lambda df, a, b, role, conf, rule, g="g": df.select(F.col(a).alias("src"), F.col(b).alias("tgt"), F.col(g).alias("g"), F.lit(role).alias("role"), F.lit(c[conf]).alias("confidence"), F.lit(rule).alias("inference_rule"))
     every = (
-        row(sib, "a", "b", "sibling", "sibling", "shared_parent")
-        .unionByName(row(aunt, "u", "c", "aunt", "avuncular", "parent_sibling", "u_g"))
-        .unionByName(row(aunt, "c", "u", "niece", "avuncular", "parent_sibling_inverse", "c_g"))
-        .unionByName(row(gp, "gp", "c", "grandparent", "grand", "two_hop_parent_child", "gp_g"))
-        .unionByName(row(gp, "c", "gp", "grandchild", "grand", "two_hop_parent_child_inverse", "c_g"))
-        .unionByName(row(cousin, "c", "d", "cousin", "cousin", "parents_are_siblings"))
-        .where("src <> tgt")
+        row(sib, "a", "u", "sibling", "shared_parent")
+        .unionByName(row(aunt, "u", "c", "avuncular", "parent_sibling"))
+        .unionByName(row(niece, "c", "u", "avuncular", "parent_sibling_inverse"))
+        .unionByName(row(gp.select("gp", "c", *told("grandparent", "gp", "gp_g")), "gp", "c", "grand", "two_hop_parent_child"))
+        .unionByName(row(gp.select("gp", "c", *told("grandchild", "c", "c_g")), "c", "gp", "grand", "two_hop_parent_child_inverse"))
+        .unionByName(row(cousin, "c", "d", "cousin", "parents_are_siblings"))
     )
-    kind = F.coalesce(*[F.when(F.col("role") == k, T.gendered(*v, F.col("g"))) for k, v in names.items()])
     # Only types that can follow are looked up among those that are there; parents follow from few rows.
     old = rel.select("src", F.lower("type").alias("type"), "tgt")
-    moved = row(transfer, "src", "tgt", "parent", "transfer", "avuncular_parent_transfer").where("src <> tgt").withColumn("type", kind).join(old.where(F.col("type").isin(*names["parent"])), ["src", "type", "tgt"], "left_anti")
-    others = cut(old.where(F.col("type").isin(sorted({x for k, v in names.items() if k != "parent" for x in v}))).distinct())
-    one = every.withColumn("type", kind)
-    one = (one.join(others, ["src", "type", "tgt"], "left_anti") if others.limit(1).count() else one).unionByName(moved)
-    rid = F.concat(F.lit("derived-"), F.substring(F.md5(F.concat_ws("|", "src", "type", "tgt")), 1, 12))
+    moved = row(transfer, "src", "tgt", "transfer", "avuncular_parent_transfer").join(old.where(F.col("type").isin(*names["parent"])), ["src", "type", "tgt"], "left_anti")
+    there = cut(old.where(F.col("type").isin(sorted({x for k, v in names.items() if k != "parent" for x in v}))).distinct())
+    one = (every.join(there, ["src", "type", "tgt"], "left_anti") if there.limit(1).count() else every).unionByName(moved)
+    rid = F.concat(F.lit("derived-"), F.substring(F.md5(F.concat("head", "tgt")), 1, 12))
     return one.withColumn("relation_id", rid).select("src", "tgt", "type", "confidence", "inference_rule", "relation_id")
