@@ -15,7 +15,7 @@ def compact(x: Column) -> Column:
 
 def normalize_name(x: Column) -> Column:
     """Letters, digits and spaces only, lower case, single spaces; null becomes empty."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^\p{L}\p{N}\s]", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
 def normalize_place(x: Column) -> Column:
@@ -92,7 +92,11 @@ def slug(x: Column) -> Column:
 
 def intent(x: Column) -> Column:
     """What a question asks for: parents before children before spouses before relationships, else the person."""
-    t = F.split(normalize_name(x), " ")
+    return intent_of(F.split(normalize_name(x), " "))
+
+
+def intent_of(t: Column) -> Column:
+    """``intent`` of the words of a normalized text."""
     asks = lambda words: F.arrays_overlap(t, F.array(*[F.lit(w) for w in words]))
     return (
         F.when(asks(V.PARENT_INTENT), "parents").when(asks(V.CHILD_INTENT), "children").when(asks(V.SPOUSE_INTENT), "spouses").when(asks(V.RELATION_INTENT), "relationships").otherwise("person")

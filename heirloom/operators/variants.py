@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heirloom.cut import cut
+from heirloom.cut import cut, stored
 from heirloom.functions import text as T
 
 #: What of a mention decides whom it can mean.
@@ -108,27 +108,45 @@ def _phrases(words: Column, size: int, first: list[str] | None) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
 
 
-def resolve_questions(questions: DataFrame, people: DataFrame, surfaces: DataFrame | None = None, key: str = "question_id", text: str = "question") -> DataFrame:
+#: First words that one regular expression names at most.
+NAMED_STARTS = 64
+
+
+def _found(text: Column, size: int, first: list[str] | None) -> Column:
+    """All phrases of ``size`` words of a normalized text with a space before it, which may overlap; with ``first``, of those that begin with one of these."""
+    start = "[^ ]+" if first is None else f"(?:{'|'.join(sorted(first))})"
+    return F.regexp_extract_all(text, F.lit(f"(?= ({start}(?: [^ ]+){{{size - 1}}})(?![^ ]))"), F.lit(1))
+
+
+def resolve_questions(questions: DataFrame, people: DataFrame, surfaces: DataFrame | None = None, key: str = "question_id", text: str = "question", unique: bool = False) -> DataFrame:
     """Whom each question is about: ``key, person_id, name, matched_text, confidence, intent``; a row only for questions that name someone.
 
     The form of most words wins, then the last in order of code points, then the smallest person id.  A question's phrases are
     as many as its words times the lengths that forms have, which are gathered first: L different ones need forms of L * L / 2 words
     in all.  Where forms have few first words (``STARTS``), phrases that begin with another are not made.  Questions with
-    the same phrases are answered once.  Of repeated keys one row is returned; a null text names nobody.
+    the same phrases are answered once.  Of repeated keys one row is returned; ``unique`` says that there are none, so that
+    answers need not be brought together by key.  A null text names nobody.
     """
     n = F.size(F.split("variant", " "))
     known = forms(people, surfaces).groupBy("variant").agg(F.min("person_id").alias("person_id")).withColumn("n", n)
     begun = cut(known.select("n", F.substring_index("variant", " ", 1).alias("first")).distinct())
-    lengths = [r.n for r in begun.select("n").distinct().collect()]
+    lengths = sorted(r.n for r in begun.select("n").distinct().collect())
     told_first = begun.limit(STARTS + 1).collect()
     first = {size: None if len(told_first) > STARTS else [r["first"] for r in told_first if r.n == size] for size in lengths}
-    told = questions.select(key, T.intent(F.col(text)).alias("intent"), F.split(T.normalize_name(F.col(text)), " ").alias("_t"))
-    phrases = [_phrases(F.col("_t"), size, first[size]) for size in sorted(lengths)]
-    every = F.array_distinct(F.concat(*phrases)) if phrases else F.array().cast("array<string>")
-    asked = told.select(key, "intent", every.alias("said")).where(F.size("said") > 0)
+    starts = None if len(told_first) > STARTS else sorted({r["first"] for r in told_first})
+    few_starts = starts is not None and len(starts) <= NAMED_STARTS
+    told = questions.select(key, F.concat(F.lit(" "), T.normalize_name(F.col(text))).alias("_s")).withColumn("_t", F.split(F.trim("_s"), " "))
+    if starts is None or few_starts:
+        phrases = [_found(F.col("_s"), size, first[size]) for size in lengths]
+    else:
+        phrases = [_phrases(F.col("_t"), size, first[size]) for size in lengths]
+    # Kept, as both uses would make it anew; filtered only then, as a filter would be pushed below what it is made of and make that once more.
+    asked = stored(told.select(key, T.intent_of(F.col("_t")).alias("intent"), F.concat_ws("|", *phrases).alias("line"))).where("line <> ''")
     named = people.select("person_id", "name").dropDuplicates(["person_id"])
-    said = asked.select("said").distinct().select("said", F.explode("said").alias("variant"))
-    best = said.join(known.join(named, "person_id"), "variant").groupBy("said").agg(F.max(F.struct("n", "variant", "person_id", "name")).alias("b"))
-    met = asked.join(best, "said").groupBy(key).agg(F.max("b").alias("b"), F.min("intent").alias("intent"))
+    said = asked.select("line").distinct().select("line", F.array_distinct(F.split("line", "[|]")).alias("said")).select("line", F.explode("said").alias("variant"))
+    best = said.join(known.join(named, "person_id"), "variant").groupBy("line").agg(F.max(F.struct("n", "variant", "person_id", "name")).alias("b"))
+    met = asked.join(best, "line")
+    if not unique:
+        met = met.groupBy(key).agg(F.max("b").alias("b"), F.min("intent").alias("intent"))
     score = F.lit(0.7) + F.least(F.lit(0.25), F.lit(0.04) * F.col("b.n"))
     return met.select(key, F.col("b.person_id").alias("person_id"), F.coalesce("b.name", "b.person_id").alias("name"), F.col("b.variant").alias("matched_text"), score.alias("confidence"), "intent")
